@@ -1,0 +1,227 @@
+"""Registered queries over the test tables and their DuckDB oracle SQL.
+
+Every query reads the given tables (or frames Spark derives from them) in
+full, so its work grows with the scale factor. Names describe what runs.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..functions.crypto import HMAC_BLOCK, HMAC_IPAD, HMAC_OPAD, new_key
+from ..operators.analysis import exposure_report, exposure_stats, user_code_counts
+from ..operators.link import link_by_interval
+from ..operators.privacy import decrypt_columns, encrypt_columns, hash_columns
+from ..schemas import PERSONAL_COLUMNS
+from ..sources import testdata as td
+
+# Fixed demonstration key of the keyed-hash queries (the oracle needs it).
+DEMO_HASH_KEY = b"privlink-demo-hash-key"
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None):
+    def deco(fn: Query) -> Query:
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE[name] = sql
+        return fn
+
+    return deco
+
+
+def linked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_by_interval(td.messages(spark, sf_dir), td.conditions(spark, sf_dir))
+
+
+# -- SQL helpers -------------------------------------------------------------
+
+
+def _with_linked(body: str) -> str:
+    return f"WITH linked AS ({td.LINKED_SQL})\n{body}"
+
+
+def _round2(num: str, den: str) -> str:
+    # Spark rounds the double's shortest decimal text HALF_UP; do the same.
+    return (
+        f"CAST(round(CAST(CAST(CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) AS VARCHAR) "
+        f"AS DECIMAL(38,17)), 2) AS DOUBLE)"
+    )
+
+
+def _report_sql(users: str, source: str = "linked") -> str:
+    return _with_linked(
+        f"""
+, per_code AS (
+  SELECT code, {users} AS users, count(*) AS msgs
+  FROM {source} WHERE code IS NOT NULL GROUP BY code)
+SELECT CAST(users AS FLOAT) AS User_Count, code AS Medical_Codes,
+       CAST(msgs AS FLOAT) AS Message_Count, {_round2('msgs', 'users')} AS Avg_Msg_per_User
+FROM per_code"""
+    )
+
+
+# users = groups of (uid, code): distinct non-NULL ids plus one NULL group
+_GROUP_USERS = "count(DISTINCT SynSocial_UID) + max(CASE WHEN SynSocial_UID IS NULL THEN 1 ELSE 0 END)"
+# with a fresh IV per row every non-NULL token is its own group
+_ROW_USERS = "count(SynSocial_UID) + max(CASE WHEN SynSocial_UID IS NULL THEN 1 ELSE 0 END)"
+
+
+def _stats_sql(users: str, records: str) -> str:
+    return _with_linked(
+        f"""
+SELECT CAST({users} AS INTEGER) AS "Social-Media-Users",
+       CAST({records} AS INTEGER) AS "Medical-Records",
+       CAST(count(DISTINCT code) AS INTEGER) AS "Medical-Codes"
+FROM linked"""
+    )
+
+
+def _hmac_sql(col: str, key: bytes) -> str:
+    k = key.ljust(HMAC_BLOCK, b"\0")
+    ipad = bytes(b ^ HMAC_IPAD for b in k).hex()
+    opad = bytes(b ^ HMAC_OPAD for b in k).hex()
+    return f"sha256(unhex('{opad}') || unhex(sha256(unhex('{ipad}') || encode({col}))))"
+
+
+_CLEAR_COLS = [
+    "created_at", "text", *td.MESSAGE_ID, "display", "code", "assertedDate",
+    "abatementDate", "condition_id",
+]
+
+# -- link ----------------------------------------------------------------------
+
+register("link_by_interval", f"SELECT * FROM ({td.LINKED_SQL})")(linked)
+
+# -- analysis on the clear copy -----------------------------------------------
+
+
+@register("exposure_report_clear", _report_sql(_GROUP_USERS))
+def _report_clear(spark, sf_dir):
+    return exposure_report(linked(spark, sf_dir))
+
+
+@register(
+    "exposure_stats_clear",
+    _stats_sql("count(DISTINCT SynSocial_UID)", "count(DISTINCT Synthea_UID)"),
+)
+def _stats_clear(spark, sf_dir):
+    return exposure_stats(linked(spark, sf_dir))
+
+
+@register(
+    "user_code_counts",
+    _with_linked(
+        'SELECT SynSocial_UID, code, count(*) AS "count" FROM linked '
+        "WHERE code IS NOT NULL GROUP BY SynSocial_UID, code"
+    ),
+)
+def _user_code_counts(spark, sf_dir):
+    return user_code_counts(linked(spark, sf_dir))
+
+
+# -- hashed copies ------------------------------------------------------------
+
+
+@register(
+    "hashed_copy_hmac",
+    _with_linked(
+        "SELECT "
+        + ", ".join(_CLEAR_COLS)
+        + ", "
+        + ", ".join(f"{_hmac_sql(c, DEMO_HASH_KEY)} AS {c}_hashed" for c in PERSONAL_COLUMNS)
+        + " FROM linked"
+    ),
+)
+def _hashed_hmac(spark, sf_dir):
+    return hash_columns(linked(spark, sf_dir), algo="hmac-sha256", key=DEMO_HASH_KEY)
+
+
+@register("exposure_report_hmac", _report_sql(_GROUP_USERS))
+def _report_hmac(spark, sf_dir):
+    h = hash_columns(linked(spark, sf_dir), algo="hmac-sha256", key=DEMO_HASH_KEY)
+    return exposure_report(h, uid="SynSocial_UID_hashed")
+
+
+@register(
+    "exposure_stats_hmac",
+    _stats_sql("count(DISTINCT SynSocial_UID)", "count(DISTINCT Synthea_UID)"),
+)
+def _stats_hmac(spark, sf_dir):
+    h = hash_columns(linked(spark, sf_dir), algo="hmac-sha256", key=DEMO_HASH_KEY)
+    return exposure_stats(h, uid="SynSocial_UID_hashed", record="Synthea_UID_hashed")
+
+
+@register("hashed_copy_murmur3")
+def _hashed_murmur3(spark, sf_dir):
+    return hash_columns(linked(spark, sf_dir), algo="murmur3")
+
+
+# murmur3 maps NULL to 42, so an unmatched row's NULL record id is one more
+# distinct "record"; user groups are unchanged (NULL already formed a group).
+@register("exposure_report_murmur3", _report_sql(_GROUP_USERS))
+def _report_murmur3(spark, sf_dir):
+    h = hash_columns(linked(spark, sf_dir), algo="murmur3")
+    return exposure_report(h, uid="SynSocial_UID_hashed")
+
+
+@register(
+    "exposure_stats_murmur3",
+    _stats_sql(
+        "count(DISTINCT SynSocial_UID) + max(CASE WHEN SynSocial_UID IS NULL THEN 1 ELSE 0 END)",
+        "count(DISTINCT Synthea_UID) + max(CASE WHEN Synthea_UID IS NULL THEN 1 ELSE 0 END)",
+    ),
+)
+def _stats_murmur3(spark, sf_dir):
+    h = hash_columns(linked(spark, sf_dir), algo="murmur3")
+    return exposure_stats(h, uid="SynSocial_UID_hashed", record="Synthea_UID_hashed")
+
+
+# -- encrypted copy -------------------------------------------------------------
+
+
+def encrypted(spark, sf_dir, key: str | None = None) -> DataFrame:
+    return encrypt_columns(linked(spark, sf_dir), key or new_key(), row_id_cols=td.LINKED_ROW_ID)
+
+
+@register("exposure_report_encrypted", _report_sql(_ROW_USERS))
+def _report_encrypted(spark, sf_dir):
+    return exposure_report(encrypted(spark, sf_dir), uid="SynSocial_UID_encrypted")
+
+
+@register("exposure_stats_encrypted", _stats_sql("count(SynSocial_UID)", "count(Synthea_UID)"))
+def _stats_encrypted(spark, sf_dir):
+    return exposure_stats(
+        encrypted(spark, sf_dir), uid="SynSocial_UID_encrypted", record="Synthea_UID_encrypted"
+    )
+
+
+@register(
+    "encrypt_decrypt_roundtrip",
+    _with_linked("SELECT *, true AS tokens_valid FROM linked"),
+)
+def _roundtrip(spark, sf_dir):
+    key = new_key()
+    enc = encrypt_columns(linked(spark, sf_dir), key, row_id_cols=td.LINKED_ROW_ID)
+    return decrypt_columns(enc, key, check_column="tokens_valid")
+
+
+@register(
+    "encrypted_token_uniqueness",
+    _with_linked(
+        "SELECT count(SynSocial_UID) AS user_tokens, count(Synthea_UID) AS record_tokens, "
+        "count(*) AS n_rows FROM linked"
+    ),
+)
+def _token_uniqueness(spark, sf_dir):
+    e = encrypted(spark, sf_dir)
+    return e.agg(
+        F.count_distinct("SynSocial_UID_encrypted").alias("user_tokens"),
+        F.count_distinct("Synthea_UID_encrypted").alias("record_tokens"),
+        F.count(F.lit(1)).alias("n_rows"),
+    )

@@ -1,0 +1,108 @@
+"""Pipeline tables mapped onto the star-schema test tables.
+
+The test tables hold no medical data, so conditions come from orders and
+messages from line items, each joined to its customer (the person):
+
+* conditions: one per order; an open order has no end date
+* messages: one per line item, dated by its ship date
+
+Only the columns a query needs are read (parquet column pruning), and the
+joins are plain equi-joins on the customer / order keys that Catalyst plans
+from measured sizes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..functions.keys import MESSAGE_FILE_SUFFIX
+
+# Column set that identifies one message row (line numbers repeat in the
+# test data, so the parts and suppliers are part of the identity).
+MESSAGE_ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+CONDITION_ID = ["condition_id"]
+LINKED_ROW_ID = MESSAGE_ID + CONDITION_ID
+
+# Fixed parameters of the mapping.
+CODE_MODULUS = 40
+SPELL_MODULUS = 90
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer")
+    start = F.to_date("o_orderdate")
+    return o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("o_orderpriority").alias("display"),
+        (F.col("o_orderkey") % CODE_MODULUS).alias("code"),
+        start.alias("assertedDate"),
+        F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("date"))
+        .otherwise(F.date_add(start, (F.col("o_orderkey") % SPELL_MODULUS).cast("int")))
+        .alias("abatementDate"),
+        F.col("c_name").alias("Given_Name"),
+        F.col("c_custkey").cast("string").alias("Identifier"),
+        F.col("c_custkey").cast("string").alias("Synthea_UID"),
+        F.col("c_mktsegment").alias("Family_Name"),
+        F.col("o_orderkey").alias("condition_id"),
+    )
+
+
+def message_file_name(name, segment, custkey):
+    return F.concat(name, F.lit("_"), segment, F.lit("_"), custkey.cast("string"), F.lit(MESSAGE_FILE_SUFFIX))
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+    return j.select(
+        F.col("o_custkey").cast("string").alias("SynSocial_UID"),
+        F.col("c_name").alias("name"),
+        F.lower("c_name").alias("screen_name"),
+        F.to_date("l_shipdate").alias("created_at"),
+        F.concat("l_returnflag", "l_linestatus").alias("text"),
+        message_file_name(F.col("c_name"), F.col("c_mktsegment"), F.col("c_custkey")).alias("filename"),
+        *MESSAGE_ID,
+    )
+
+
+# DuckDB text of the same two views, used by the oracle SQL.
+CONDITIONS_SQL = f"""
+SELECT o_orderpriority AS display,
+       o_orderkey % {CODE_MODULUS} AS code,
+       CAST(o_orderdate AS DATE) AS assertedDate,
+       CASE WHEN o_orderstatus = 'O' THEN NULL
+            ELSE CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % {SPELL_MODULUS} AS INTEGER) AS DATE) END
+         AS abatementDate,
+       c_name AS Given_Name,
+       CAST(c_custkey AS VARCHAR) AS Identifier,
+       CAST(c_custkey AS VARCHAR) AS Synthea_UID,
+       c_mktsegment AS Family_Name,
+       o_orderkey AS condition_id
+FROM orders JOIN customer ON o_custkey = c_custkey
+"""
+
+MESSAGES_SQL = f"""
+SELECT CAST(o_custkey AS VARCHAR) AS SynSocial_UID,
+       c_name AS name,
+       lower(c_name) AS screen_name,
+       CAST(l_shipdate AS DATE) AS created_at,
+       l_returnflag || l_linestatus AS text,
+       c_name || '_' || c_mktsegment || '_' || CAST(c_custkey AS VARCHAR) || '{MESSAGE_FILE_SUFFIX}' AS filename,
+       l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+"""
+
+LINKED_SQL = f"""
+SELECT m.*, c.display, c.code, c.assertedDate, c.abatementDate, c.Given_Name,
+       c.Identifier, c.Synthea_UID, c.Family_Name, c.condition_id
+FROM ({MESSAGES_SQL}) m
+LEFT JOIN ({CONDITIONS_SQL}) c
+  ON m.filename = c.Given_Name || '_' || c.Family_Name || '_' || c.Identifier || '{MESSAGE_FILE_SUFFIX}'
+ AND c.assertedDate <= m.created_at AND m.created_at <= c.abatementDate
+"""
