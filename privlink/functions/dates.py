@@ -46,7 +46,7 @@ def message_day(c: Column | str, strict: bool = False) -> Column:
 def clinical_day(c: Column | str, strict: bool = False) -> Column:
     """Local calendar day of a clinical date/time text: the text before ``T``."""
     raw = _col(c)
-    day = F.try_to_date(F.split_part(F.trim(raw), F.lit("T"), F.lit(1)), F.lit(CLINICAL_DAY_FORMAT))
+    day = F.try_to_date(F.split_part(F.trim(raw), F.lit("T"), F.lit(1)), CLINICAL_DAY_FORMAT)
     return _strict(raw, day, "clinical date") if strict else day
 
 

@@ -225,3 +225,168 @@ def _token_uniqueness(spark, sf_dir):
         F.count_distinct("Synthea_UID_encrypted").alias("record_tokens"),
         F.count(F.lit(1)).alias("n_rows"),
     )
+
+
+# -- nested inputs: flatten, parse, link ---------------------------------------
+
+from ..functions.dates import clinical_day, message_day  # noqa: E402
+from ..operators.flatten import (  # noqa: E402
+    flatten_conditions,
+    flatten_messages,
+    flatten_patients,
+    patient_conditions,
+)
+from ..operators.lineage import dangling_edges, lineage_datasets, lineage_edges  # noqa: E402
+
+_COND_COMMON = f"""
+       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '{td.CLINICAL_ZONE}' AS assertedDate,
+       CASE WHEN o_orderstatus = 'O' THEN NULL
+            ELSE strftime(CAST(o_orderdate AS DATE) + CAST(o_orderkey % {td.SPELL_MODULUS} AS INTEGER), '%Y-%m-%d')
+                 || '{td.ABATEMENT_TIME}' END AS abatementDate,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'urn:uuid:' ELSE 'Patient/' END || CAST(o_custkey AS VARCHAR) AS reference,
+       CAST(o_orderkey AS VARCHAR) AS condition_id"""
+
+FLAT_CONDITIONS_SQL = f"""
+SELECT o_orderpriority AS display, CAST(o_orderkey % {td.CODE_MODULUS} AS VARCHAR) AS code, {_COND_COMMON}
+FROM orders WHERE o_orderkey % {td.NO_CODING_MOD} <> 0
+UNION ALL
+SELECT o_orderpriority || ' (secondary)' AS display,
+       CAST(o_orderkey % {td.CODE_MODULUS} + {td.SECOND_CODE_OFFSET} AS VARCHAR) AS code, {_COND_COMMON}
+FROM orders WHERE o_orderkey % {td.NO_CODING_MOD} <> 0 AND o_orderkey % {td.TWO_CODINGS_MOD} = 0
+"""
+
+FLAT_PATIENTS_SQL = f"""
+SELECT CASE WHEN c_custkey % {td.NULL_GIVEN_MOD} = 0 THEN NULL ELSE c_name END AS Given_Name,
+       CAST(c_custkey AS VARCHAR) AS Identifier, CAST(c_custkey AS VARCHAR) AS id,
+       c_mktsegment AS Family_Name
+FROM customer WHERE c_custkey % {td.NO_NAME_MOD} <> 0
+"""
+
+PATIENT_CONDITIONS_SQL = f"""
+SELECT c.display, c.code, c.assertedDate, c.abatementDate, p.Given_Name, p.Identifier,
+       p.id AS Synthea_UID, p.Family_Name, c.condition_id
+FROM ({FLAT_CONDITIONS_SQL}) c JOIN ({FLAT_PATIENTS_SQL}) p
+  ON regexp_replace(c.reference, '^(urn:uuid:|Patient/)', '') = p.id
+"""
+
+_FILE_NAME_SQL = "c_name || '_' || c_mktsegment || '_' || CAST(c_custkey AS VARCHAR) || 'TwitterData.json'"
+
+FLAT_MESSAGES_SQL = f"""
+SELECT CAST(o_custkey AS VARCHAR) AS SynSocial_UID, c_name AS name, lower(c_name) AS screen_name,
+       strftime(l_shipdate + to_hours(CAST((l_linenumber * 3) % 24 AS BIGINT)), '%a %b %d %H:%M:%S +0000 %Y')
+         AS created_at,
+       l_returnflag || l_linestatus AS text,
+       {_FILE_NAME_SQL} AS filename
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+"""
+
+NESTED_LINKED_SQL = f"""
+SELECT m.SynSocial_UID, m.name, m.screen_name, CAST(l_shipdate AS DATE) AS created_at, m.text, m.filename,
+       c.display, TRY_CAST(c.code AS BIGINT) AS code,
+       CAST(substr(c.assertedDate, 1, 10) AS DATE) AS assertedDate,
+       CAST(substr(c.abatementDate, 1, 10) AS DATE) AS abatementDate,
+       c.Given_Name, c.Identifier, c.Synthea_UID, c.Family_Name, c.condition_id
+FROM (SELECT CAST(o_custkey AS VARCHAR) AS SynSocial_UID, c_name AS name, lower(c_name) AS screen_name,
+             l_shipdate, l_returnflag || l_linestatus AS text, {_FILE_NAME_SQL} AS filename
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey) m
+LEFT JOIN ({PATIENT_CONDITIONS_SQL}) c
+  ON m.filename = concat_ws('_', c.Given_Name, c.Family_Name, c.Identifier) || 'TwitterData.json'
+ AND CAST(substr(c.assertedDate, 1, 10) AS DATE) <= CAST(m.l_shipdate AS DATE)
+ AND CAST(m.l_shipdate AS DATE) <= CAST(substr(c.abatementDate, 1, 10) AS DATE)
+"""
+
+
+def _nested_conditions(spark, sf_dir):
+    b = td.bundles(spark, sf_dir)
+    return patient_conditions(flatten_conditions(b, with_id=True), flatten_patients(b))
+
+
+def _nested_messages(spark, sf_dir):
+    return flatten_messages(td.message_docs(spark, sf_dir))
+
+
+def nested_linked(spark, sf_dir):
+    c = _nested_conditions(spark, sf_dir).withColumn("code", F.col("code").try_cast("long"))
+    return link_by_interval(_nested_messages(spark, sf_dir), c)
+
+
+register("flatten_conditions", FLAT_CONDITIONS_SQL)(
+    lambda spark, sf_dir: flatten_conditions(td.bundles(spark, sf_dir), with_id=True)
+)
+register("flatten_patients", FLAT_PATIENTS_SQL)(lambda spark, sf_dir: flatten_patients(td.bundles(spark, sf_dir)))
+register("patient_conditions", PATIENT_CONDITIONS_SQL)(_nested_conditions)
+register("flatten_messages", FLAT_MESSAGES_SQL)(_nested_messages)
+
+
+@register(
+    "message_days",
+    f"SELECT SynSocial_UID, created_at, CAST(l_shipdate AS DATE) AS day FROM ({FLAT_MESSAGES_SQL.replace('AS filename', 'AS filename, l_shipdate')})",
+)
+def _message_days(spark, sf_dir):
+    m = _nested_messages(spark, sf_dir)
+    return m.select("SynSocial_UID", "created_at", message_day("created_at").alias("day"))
+
+
+@register(
+    "clinical_days",
+    f"""SELECT condition_id, assertedDate, CAST(substr(assertedDate, 1, 10) AS DATE) AS asserted_day,
+       abatementDate, CAST(substr(abatementDate, 1, 10) AS DATE) AS abatement_day
+FROM ({FLAT_CONDITIONS_SQL})""",
+)
+def _clinical_days(spark, sf_dir):
+    c = flatten_conditions(td.bundles(spark, sf_dir), with_id=True)
+    return c.select(
+        "condition_id",
+        "assertedDate",
+        clinical_day("assertedDate").alias("asserted_day"),
+        "abatementDate",
+        clinical_day("abatementDate").alias("abatement_day"),
+    )
+
+
+register("link_from_nested", NESTED_LINKED_SQL)(nested_linked)
+
+
+@register(
+    "exposure_report_from_nested",
+    _report_sql(_GROUP_USERS, source="nested").replace("WITH linked AS (", f"WITH nested AS ({NESTED_LINKED_SQL}), linked AS (", 1),
+)
+def _report_nested(spark, sf_dir):
+    return exposure_report(hash_columns(nested_linked(spark, sf_dir), algo="murmur3"), uid="SynSocial_UID_hashed")
+
+
+# -- lineage documents ----------------------------------------------------------------
+
+LINEAGE_DATASETS_SQL = """
+SELECT 'customer_' || CAST(c_custkey AS VARCHAR) || '@sf' AS qualifiedName, c_name AS name,
+       c_name || ' folder' AS displayName, c_mktsegment AS description, 'hdfs' AS owner,
+       c_custkey * 1000 AS createTime, make_timestamp(c_custkey * 1000 * 1000) AS created
+FROM customer
+UNION ALL
+SELECT 'order_' || CAST(o_orderkey AS VARCHAR) || '@sf', 'order ' || CAST(o_orderkey AS VARCHAR),
+       NULL, o_orderpriority, 'hdfs', epoch_ms(o_orderdate), o_orderdate
+FROM orders WHERE o_orderstatus = 'F'
+"""
+
+LINEAGE_EDGES_SQL = """
+SELECT 'job_' || CAST(o_orderkey AS VARCHAR) || '@sf' AS process, 'job-' || CAST(o_orderkey AS VARCHAR) || '.py' AS process_name,
+       'input' AS direction, 'customer_' || CAST(o_custkey AS VARCHAR) || '@sf' AS dataset,
+       'g-c-' || CAST(o_custkey AS VARCHAR) AS guid, 'hdfs_folder' AS dataset_type
+FROM orders
+UNION ALL
+SELECT 'job_' || CAST(o_orderkey AS VARCHAR) || '@sf', 'job-' || CAST(o_orderkey AS VARCHAR) || '.py',
+       'output', 'order_' || CAST(o_orderkey AS VARCHAR) || '@sf', 'g-o-' || CAST(o_orderkey AS VARCHAR), 'hdfs_folder'
+FROM orders
+"""
+
+register("lineage_datasets", LINEAGE_DATASETS_SQL)(lambda spark, sf_dir: lineage_datasets(td.lineage_docs(spark, sf_dir)))
+register("lineage_edges", LINEAGE_EDGES_SQL)(lambda spark, sf_dir: lineage_edges(td.lineage_docs(spark, sf_dir)))
+
+
+@register(
+    "lineage_dangling_edges",
+    f"SELECT * FROM ({LINEAGE_EDGES_SQL}) e WHERE dataset NOT IN (SELECT qualifiedName FROM ({LINEAGE_DATASETS_SQL}))",
+)
+def _dangling(spark, sf_dir):
+    docs = td.lineage_docs(spark, sf_dir)
+    return dangling_edges(lineage_edges(docs), lineage_datasets(docs))

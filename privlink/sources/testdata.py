@@ -106,3 +106,201 @@ LEFT JOIN ({CONDITIONS_SQL}) c
   ON m.filename = c.Given_Name || '_' || c.Family_Name || '_' || c.Identifier || '{MESSAGE_FILE_SUFFIX}'
  AND c.assertedDate <= m.created_at AND m.created_at <= c.abatementDate
 """
+
+
+# -- nested inputs derived from the same tables --------------------------------
+#
+# One bundle per customer (its Patient) and one per order (its Condition), one
+# message document per line item: no grouping, so no document grows with a
+# person's history. Edge cases are spread by fixed rules on the keys.
+
+# Fixed rules of the nested mapping.
+NO_CODING_MOD = 11      # order key % 11 == 0: condition without codings
+TWO_CODINGS_MOD = 5     # order key % 5 == 0: a second coding
+SECOND_CODE_OFFSET = 1000
+NO_NAME_MOD = 13        # customer key % 13 == 0: patient without a name
+NULL_GIVEN_MOD = 17     # customer key % 17 == 0: first given name is NULL
+CLINICAL_ZONE = "-04:00"
+ABATEMENT_TIME = "T08:00:00-04:00"
+MESSAGE_TIME_PATTERN = "EEE MMM dd HH:mm:ss +0000 yyyy"
+MESSAGE_FOLDER = "hdfs:///DataSet1/social-media-users/"
+
+
+def _null(t: str):
+    return F.lit(None).cast(t)
+
+
+def _resource(**given):
+    from ..schemas import RESOURCE
+
+    return F.struct(
+        *[(given[f.name] if f.name in given else _null(f.dataType.simpleString())).alias(f.name) for f in RESOURCE.fields]
+    )
+
+
+def _bundle(resource, full_url):
+    return F.array(F.struct(full_url.alias("fullUrl"), resource.alias("resource"))).alias("entry")
+
+
+def bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clinical bundles: Patient bundles from customer, Condition bundles
+    from orders."""
+    c = table(spark, sf_dir, "customer")
+    ck = F.col("c_custkey")
+    cid = ck.cast("string")
+    given = F.when(ck % NULL_GIVEN_MOD == 0, F.array(_null("string"), F.col("c_name"))).otherwise(
+        F.array(F.col("c_name"), F.lit("Middle"))
+    )
+    names = F.when(ck % NO_NAME_MOD == 0, F.array().cast("array<struct<family:string,given:array<string>>>")).otherwise(
+        F.array(
+            F.struct(F.col("c_mktsegment").alias("family"), given.alias("given")),
+            F.struct(F.lit("Alias").alias("family"), F.array(F.lit("Other")).alias("given")),
+        )
+    )
+    patients = c.select(
+        F.lit("Bundle").alias("resourceType"),
+        _bundle(
+            _resource(
+                resourceType=F.lit("Patient"),
+                id=cid,
+                identifier=F.array(
+                    F.struct(cid.alias("value")), F.struct(F.concat(F.lit("mrn-"), cid).alias("value"))
+                ),
+                name=names,
+            ),
+            F.concat(F.lit("urn:uuid:"), cid),
+        ),
+    )
+
+    o = table(spark, sf_dir, "orders")
+    ok = F.col("o_orderkey")
+    coding = "array<struct<code:string,display:string>>"
+    first = F.struct((ok % CODE_MODULUS).cast("string").alias("code"), F.col("o_orderpriority").alias("display"))
+    second = F.struct(
+        (ok % CODE_MODULUS + SECOND_CODE_OFFSET).cast("string").alias("code"),
+        F.concat(F.col("o_orderpriority"), F.lit(" (secondary)")).alias("display"),
+    )
+    codings = (
+        F.when(ok % NO_CODING_MOD == 0, F.array().cast(coding))
+        .when(ok % TWO_CODINGS_MOD == 0, F.array(first, second))
+        .otherwise(F.array(first))
+    )
+    end_text = F.when(F.col("o_orderstatus") == "O", _null("string")).otherwise(
+        F.concat(
+            F.date_format(F.date_add(F.to_date("o_orderdate"), (ok % SPELL_MODULUS).cast("int")), "yyyy-MM-dd"),
+            F.lit(ABATEMENT_TIME),
+        )
+    )
+    even = ok % 2 == 0
+    ref = F.when(even, F.concat(F.lit("urn:uuid:"), F.col("o_custkey").cast("string"))).otherwise(
+        F.concat(F.lit("Patient/"), F.col("o_custkey").cast("string"))
+    )
+    conds = o.select(
+        F.lit("Bundle").alias("resourceType"),
+        _bundle(
+            _resource(
+                resourceType=F.lit("Condition"),
+                id=ok.cast("string"),
+                code=F.struct(codings.alias("coding")),
+                assertedDate=F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(CLINICAL_ZONE)),
+                abatementDateTime=F.when(~even, end_text),
+                abatement=F.when(even, F.struct(end_text.alias("dateTime"))),
+                subject=F.struct(ref.alias("reference")),
+            ),
+            F.concat(F.lit("urn:uuid:cond-"), ok.cast("string")),
+        ),
+    )
+    return patients.unionByName(conds)
+
+
+def message_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Message documents (``messages``, ``path``): one per line item, plus an
+    empty document per order in status 'P'."""
+    from ..functions.keys import encode_file_name
+
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+    hours = ((F.col("l_linenumber") * 3) % 24).cast("int")
+    created = F.date_format(F.col("l_shipdate") + F.make_dt_interval(hours=hours), MESSAGE_TIME_PATTERN)
+    name = message_file_name(F.col("c_name"), F.col("c_mktsegment"), F.col("c_custkey"))
+    msg = F.struct(
+        F.struct(
+            F.col("o_custkey").cast("string").alias("id"),
+            F.col("c_name").alias("name"),
+            F.lower("c_name").alias("screen_name"),
+        ).alias("user"),
+        created.alias("created_at"),
+        F.concat("l_returnflag", "l_linestatus").alias("text"),
+    )
+    docs = j.select(F.array(msg).alias("messages"), F.concat(F.lit(MESSAGE_FOLDER), encode_file_name(name)).alias("path"))
+    empty = (
+        table(spark, sf_dir, "orders")
+        .filter(F.col("o_orderstatus") == "P")
+        .select(
+            F.array().cast(docs.schema["messages"].dataType).alias("messages"),
+            F.concat(F.lit(MESSAGE_FOLDER), F.lit("empty-"), F.col("o_orderkey").cast("string"), F.lit(".json")).alias("path"),
+        )
+    )
+    return docs.unionByName(empty)
+
+
+def lineage_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue documents: a dataset per customer and per finished order, a
+    process per order reading its customer and writing the order."""
+    from ..schemas import LINEAGE_DOC
+
+    attrs_t = LINEAGE_DOC["entity"].dataType["attributes"].dataType
+
+    def doc(type_name, **given):
+        attrs = F.struct(
+            *[(given[f.name] if f.name in given else _null(f.dataType.simpleString())).alias(f.name) for f in attrs_t.fields]
+        )
+        return F.struct(F.lit(type_name).alias("typeName"), attrs.alias("attributes")).alias("entity")
+
+    def ref(guid, qn):
+        return F.struct(guid.alias("guid"), F.lit("hdfs_folder").alias("typeName"), F.struct(qn.alias("qualifiedName")).alias("uniqueAttributes"))
+
+    c = table(spark, sf_dir, "customer")
+    o = table(spark, sf_dir, "orders")
+    cq = lambda k: F.concat(F.lit("customer_"), k.cast("string"), F.lit("@sf"))
+    oq = lambda k: F.concat(F.lit("order_"), k.cast("string"), F.lit("@sf"))
+    cust = c.select(
+        doc(
+            "hdfs_folder",
+            owner=F.lit("hdfs"),
+            createTime=F.col("c_custkey") * 1000,
+            qualifiedName=cq(F.col("c_custkey")),
+            displayName=F.concat(F.col("c_name"), F.lit(" folder")),
+            name=F.col("c_name"),
+            description=F.col("c_mktsegment"),
+        )
+    )
+    done = o.filter(F.col("o_orderstatus") == "F").select(
+        doc(
+            "hdfs_folder",
+            owner=F.lit("hdfs"),
+            createTime=F.unix_millis(F.col("o_orderdate").cast("timestamp")),
+            qualifiedName=oq(F.col("o_orderkey")),
+            displayName=F.lit(None).cast("string"),
+            name=F.concat(F.lit("order "), F.col("o_orderkey").cast("string")),
+            description=F.col("o_orderpriority"),
+        )
+    )
+    start = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+    jobs = o.select(
+        doc(
+            "SparkProcess",
+            owner=F.lit("hdfs"),
+            qualifiedName=F.concat(F.lit("job_"), F.col("o_orderkey").cast("string"), F.lit("@sf")),
+            name=F.concat(F.lit("job-"), F.col("o_orderkey").cast("string"), F.lit(".py")),
+            description=F.col("o_orderpriority"),
+            startTime=start,
+            endTime=start + 10000,
+            processId=F.col("o_orderkey").cast("string"),
+            inputs=F.array(ref(F.concat(F.lit("g-c-"), F.col("o_custkey").cast("string")), cq(F.col("o_custkey")))),
+            outputs=F.array(ref(F.concat(F.lit("g-o-"), F.col("o_orderkey").cast("string")), oq(F.col("o_orderkey")))),
+        )
+    )
+    return cust.unionByName(done).unionByName(jobs)
