@@ -31,6 +31,7 @@ def local_session(cores: int | None = None, app: str = "privlink", shuffle_parti
         SparkSession.builder.master(f"local[{n}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or n))
         .config("spark.driver.memory", os.environ.get("PRIVLINK_DRIVER_MEMORY", "4g"))
     )

@@ -1,0 +1,81 @@
+"""Exposure report and stats (E1-E7, L8, L9) and traps T1, T2."""
+
+from pyspark.sql import functions as F
+
+from privlink.operators.analysis import exposure_report, exposure_stats, user_code_counts
+from privlink.operators.privacy import encrypt_columns, hash_columns, new_key
+
+SCHEMA = "SynSocial_UID string, code long, Synthea_UID string, rid int"
+ROWS = [
+    ("u1", 1, "r1", 1),
+    ("u1", 1, "r1", 2),
+    ("u2", 1, "r2", 3),
+    (None, 1, "r3", 4),
+    ("u1", 2, "r1", 5),
+    ("u3", None, None, 6),  # unmatched message
+    ("u2", 2, "r2", 7),
+    ("u2", 2, "r2", 8),
+    ("u2", 2, "r2", 9),
+]
+
+
+def test_report_counts_null_user_as_a_group(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    rep = {r["Medical_Codes"]: r for r in exposure_report(df).collect()}
+    assert rep[1]["User_Count"] == 3.0 and rep[1]["Message_Count"] == 4.0 and rep[1]["Avg_Msg_per_User"] == 1.33
+    assert rep[2]["User_Count"] == 2.0 and rep[2]["Message_Count"] == 4.0 and rep[2]["Avg_Msg_per_User"] == 2.0
+    assert exposure_report(df).dtypes == [
+        ("User_Count", "float"), ("Medical_Codes", "bigint"), ("Message_Count", "float"), ("Avg_Msg_per_User", "double")
+    ]
+
+
+def test_round_half_up(spark):
+    rows = [("u", 1, "r", i) for i in range(201)] + [(f"v{i}", 1, "r", 1000 + i) for i in range(199)]
+    df = spark.createDataFrame(rows, SCHEMA)  # 400 messages / 200 users = 2.0
+    assert exposure_report(df).first()["Avg_Msg_per_User"] == 2.0
+    rows = [(f"u{i}", 1, "r", i) for i in range(200)] + [("u0", 1, "r", 999)]  # 201/200 = 1.005 -> 1.01
+    assert exposure_report(spark.createDataFrame(rows, SCHEMA)).first()["Avg_Msg_per_User"] == 1.01
+
+
+def test_stats(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    s = exposure_stats(df).first()
+    assert (s["Social-Media-Users"], s["Medical-Records"], s["Medical-Codes"]) == (3, 3, 2)
+    assert [t for _, t in exposure_stats(df).dtypes] == ["int", "int", "int"]
+
+
+def test_user_code_counts(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    got = {(r["SynSocial_UID"], r["code"]): r["count"] for r in user_code_counts(df).collect()}
+    assert got[(None, 1)] == 1 and got[("u2", 2)] == 3 and len(got) == 5
+
+
+def test_murmur3_null_is_42_and_counts_as_record(spark):
+    """T1: hash(NULL) = 42, one extra distinct record on the hashed copy."""
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    h = hash_columns(df, ["SynSocial_UID", "Synthea_UID"])
+    assert h.filter(F.col("Synthea_UID_hashed") == "42").count() == 1
+    s = exposure_stats(h, uid="SynSocial_UID_hashed", record="Synthea_UID_hashed").first()
+    assert (s["Social-Media-Users"], s["Medical-Records"]) == (4, 4)
+
+
+def test_hmac_copy_keeps_counts(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    h = hash_columns(df, ["SynSocial_UID", "Synthea_UID"], algo="hmac-sha256", key=b"k")
+    assert h.filter(F.col("Synthea_UID_hashed").isNull()).count() == 1
+    a = exposure_stats(h, uid="SynSocial_UID_hashed", record="Synthea_UID_hashed").first()
+    assert tuple(a) == tuple(exposure_stats(df).first())
+    assert sorted(map(tuple, exposure_report(h, uid="SynSocial_UID_hashed").collect())) == sorted(
+        map(tuple, exposure_report(df).collect())
+    )
+
+
+def test_encrypted_copy_every_row_its_own_user(spark):
+    """T2: with a fresh IV per row, users = rows and averages are 1.0
+    (except where the NULL user group gathers several rows)."""
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    e = encrypt_columns(df, new_key(), ["SynSocial_UID", "Synthea_UID"], row_id_cols=["rid"])
+    rep = {r["Medical_Codes"]: r for r in exposure_report(e, uid="SynSocial_UID_encrypted").collect()}
+    assert rep[2]["User_Count"] == rep[2]["Message_Count"] == 4.0 and rep[2]["Avg_Msg_per_User"] == 1.0
+    s = exposure_stats(e, uid="SynSocial_UID_encrypted", record="Synthea_UID_encrypted").first()
+    assert (s["Social-Media-Users"], s["Medical-Records"], s["Medical-Codes"]) == (8, 8, 2)
