@@ -157,14 +157,30 @@ def _stats_hmac(spark, sf_dir):
     return exposure_stats(h, uid="SynSocial_UID_hashed", record="Synthea_UID_hashed")
 
 
-@register("hashed_copy_murmur3")
+from .murmur_sql import hashed_select  # noqa: E402
+
+_MURMUR_COPY_SQL = hashed_select("linked", _CLEAR_COLS, PERSONAL_COLUMNS)
+
+
+@register("hashed_copy_murmur3", _with_linked(_MURMUR_COPY_SQL))
 def _hashed_murmur3(spark, sf_dir):
     return hash_columns(linked(spark, sf_dir), algo="murmur3")
 
 
 # murmur3 maps NULL to 42, so an unmatched row's NULL record id is one more
-# distinct "record"; user groups are unchanged (NULL already formed a group).
-@register("exposure_report_murmur3", _report_sql(_GROUP_USERS))
+# distinct "record" (T1); collisions, if any, are reproduced too.
+@register(
+    "exposure_report_murmur3",
+    _with_linked(
+        f""", hashed AS ({_MURMUR_COPY_SQL}),
+per_code AS (
+  SELECT code, count(DISTINCT SynSocial_UID_hashed) AS users, count(*) AS msgs
+  FROM hashed WHERE code IS NOT NULL GROUP BY code)
+SELECT CAST(users AS FLOAT) AS User_Count, code AS Medical_Codes,
+       CAST(msgs AS FLOAT) AS Message_Count, {_round2('msgs', 'users')} AS Avg_Msg_per_User
+FROM per_code"""
+    ),
+)
 def _report_murmur3(spark, sf_dir):
     h = hash_columns(linked(spark, sf_dir), algo="murmur3")
     return exposure_report(h, uid="SynSocial_UID_hashed")
@@ -172,9 +188,12 @@ def _report_murmur3(spark, sf_dir):
 
 @register(
     "exposure_stats_murmur3",
-    _stats_sql(
-        "count(DISTINCT SynSocial_UID) + max(CASE WHEN SynSocial_UID IS NULL THEN 1 ELSE 0 END)",
-        "count(DISTINCT Synthea_UID) + max(CASE WHEN Synthea_UID IS NULL THEN 1 ELSE 0 END)",
+    _with_linked(
+        f""", hashed AS ({_MURMUR_COPY_SQL})
+SELECT CAST(count(DISTINCT SynSocial_UID_hashed) AS INTEGER) AS "Social-Media-Users",
+       CAST(count(DISTINCT Synthea_UID_hashed) AS INTEGER) AS "Medical-Records",
+       CAST(count(DISTINCT code) AS INTEGER) AS "Medical-Codes"
+FROM hashed"""
     ),
 )
 def _stats_murmur3(spark, sf_dir):
@@ -390,3 +409,25 @@ register("lineage_edges", LINEAGE_EDGES_SQL)(lambda spark, sf_dir: lineage_edges
 def _dangling(spark, sf_dir):
     docs = td.lineage_docs(spark, sf_dir)
     return dangling_edges(lineage_edges(docs), lineage_datasets(docs))
+
+
+# -- CSV hand-offs: write, read back with the fixed schema -----------------------------
+
+from ..session import scratch_path  # noqa: E402
+from ..sources.files import read_csv, write_csv  # noqa: E402
+
+
+def _csv_roundtrip(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(spark, name)
+    write_csv(df, path)
+    return read_csv(spark, path, df.schema)
+
+
+register("csv_roundtrip_linked", f"SELECT * FROM ({td.LINKED_SQL})")(
+    lambda spark, sf_dir: _csv_roundtrip(spark, linked(spark, sf_dir), "csv-linked")
+)
+
+# message-like text with newlines, quotes and outer blanks in most rows
+register("csv_roundtrip_documents", "SELECT * FROM documents")(
+    lambda spark, sf_dir: _csv_roundtrip(spark, td.table(spark, sf_dir, "documents"), "csv-documents")
+)
