@@ -37,7 +37,8 @@ def message_day(c: Column | str, strict: bool = False) -> Column:
     without depending on the session time zone.
     """
     raw = _col(c)
-    body = F.regexp_replace(F.trim(raw), r"^\S+\s+", "")
+    t = F.trim(raw)
+    body = F.ltrim(F.substr(t, F.locate(" ", t) + 1))
     ts = F.try_to_timestamp(body, F.lit(MESSAGE_TIME_FORMAT))
     day = F.date_from_unix_date(F.floor(F.unix_seconds(ts) / _SECONDS_PER_DAY).cast("int"))
     return _strict(raw, day, "message time") if strict else day

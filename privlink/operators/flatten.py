@@ -91,14 +91,14 @@ def patient_conditions(conditions: DataFrame, patients: DataFrame) -> DataFrame:
 
 def flatten_messages(docs: DataFrame, path_col: str = "path", with_position: bool = False) -> DataFrame:
     """Columns: SynSocial_UID, name, screen_name, created_at, text, filename
-    (+ message_pos, the index inside its document, when asked).
+    (+ source_path and message_pos, the message's identity, when asked).
 
     ``path_col`` holds the source file path (URI); the file name is its last
     segment, decoded. Documents without messages give no row.
     """
     gen = F.posexplode("messages").alias("message_pos", "m") if with_position else F.explode("messages").alias("m")
-    x = docs.select(gen, file_name_from_path(F.col(path_col)).alias("filename"))
-    extra = ["message_pos"] if with_position else []
+    x = docs.select(gen, file_name_from_path(F.col(path_col)).alias("filename"), F.col(path_col).alias("source_path"))
+    extra = ["source_path", "message_pos"] if with_position else []
     return x.select(
         F.col("m.user.id").alias("SynSocial_UID"),
         F.col("m.user.name").alias("name"),

@@ -40,7 +40,7 @@ ANALYSIS = "analysis-{kind}"
 ANALYSIS_STATS = "analysis-{kind}-stats"
 
 # Row identity carried through parquet hand-offs (dropped from the copies).
-_ID_COLS = ["message_pos", "condition_id"]
+_ID_COLS = ["source_path", "message_pos", "condition_id"]
 
 
 @dataclass
@@ -80,32 +80,49 @@ def run_jobs(
     messages_path: str,
     out_dir: str,
     *,
+    messages_as_lines: bool = False,
+    **kw,
+) -> JobsResult:
+    """Flatten -> link -> hashed and encrypted copies -> analysis of each,
+    from the bundle and message folders. See ``run_jobs_on`` for options."""
+    b = read_bundles(spark, bundles_path)
+    docs = read_message_lines(spark, messages_path) if messages_as_lines else read_message_docs(spark, messages_path)
+    return run_jobs_on(spark, b, docs, out_dir, positions=not messages_as_lines, **kw)
+
+
+def run_jobs_on(
+    spark: SparkSession,
+    bundles: DataFrame,
+    message_docs: DataFrame,
+    out_dir: str,
+    *,
     key: str | None = None,
     hop_format: str = "parquet",
     hash_algo: str = "murmur3",
     hash_key: bytes | None = None,
     write_key: bool = False,
-    messages_as_lines: bool = False,
+    positions: bool = True,
     bucket_days: int = DEFAULT_BUCKET_DAYS,
 ) -> JobsResult:
-    """Flatten -> link -> hashed and encrypted copies -> analysis of each.
+    """The jobs over bundle and message-document frames (``path`` column).
 
     The key is generated when not given and returned to the caller; it is
-    written next to the data only with ``write_key=True``.
+    written next to the data only with ``write_key=True``. Parquet hand-offs
+    carry the row identity (document path, message position, condition id),
+    so encryption IVs are unique per linked row; CSV hand-offs keep the
+    original layouts and use the whole row as identity.
     """
     hop = _Hop(spark, out_dir, hop_format)
     keep_ids = hop_format == "parquet"
     res = JobsResult(out_dir=out_dir)
 
     # 1A clinical bundles -> patient-condition table
-    b = read_bundles(spark, bundles_path)
-    pc = patient_conditions(flatten_conditions(b, with_id=keep_ids), flatten_patients(b))
+    pc = patient_conditions(flatten_conditions(bundles, with_id=keep_ids), flatten_patients(bundles))
     pc = pc.withColumn("code", F.col("code").try_cast("long"))
     res.paths["patients"] = hop.write(pc, PATIENTS)
 
     # 1B message documents -> message table
-    docs = read_message_lines(spark, messages_path) if messages_as_lines else read_message_docs(spark, messages_path)
-    res.paths["messages"] = hop.write(flatten_messages(docs, with_position=keep_ids), SOCIAL)
+    res.paths["messages"] = hop.write(flatten_messages(message_docs, with_position=keep_ids and positions), SOCIAL)
 
     # 2 link
     linked = link_by_interval(hop.read(SOCIAL, MESSAGES), hop.read(PATIENTS, CONDITIONS), bucket_days=bucket_days)
@@ -116,7 +133,7 @@ def run_jobs(
     ids = [c for c in _ID_COLS if c in joined.columns]
     # (file, position) + condition + coding identifies a linked row; without
     # the position (JSON lines, CSV hops) the whole row is the identity
-    row_id = ["filename", *ids, "code", "display"] if "message_pos" in ids else None
+    row_id = [*ids, "code", "display"] if "message_pos" in ids else None
     hashed = hash_columns(joined, PERSONAL_COLUMNS, algo=hash_algo, key=hash_key).drop(*ids)
     res.paths["hashed"] = hop.write(hashed, HASHED)
     res.key = key or new_key()

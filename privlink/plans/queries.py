@@ -431,3 +431,48 @@ register("csv_roundtrip_linked", f"SELECT * FROM ({td.LINKED_SQL})")(
 register("csv_roundtrip_documents", "SELECT * FROM documents")(
     lambda spark, sf_dir: _csv_roundtrip(spark, td.table(spark, sf_dir, "documents"), "csv-documents")
 )
+
+
+# -- the six jobs end to end, with written hand-offs ---------------------------------
+
+from ..schemas import REPORT, STATS  # noqa: E402
+from .jobs import run_jobs_on  # noqa: E402
+
+_NESTED_WITH = f"WITH nested AS ({NESTED_LINKED_SQL}), linked AS ("
+
+
+def _run_jobs(spark: SparkSession, sf_dir: str, hop_format: str):
+    out = scratch_path(spark, f"jobs-{hop_format}")
+    return run_jobs_on(spark, td.bundles(spark, sf_dir), td.message_docs(spark, sf_dir), out, hop_format=hop_format)
+
+
+def _read_result(spark, res, name: str, hop_format: str, schema):
+    p = res.paths[name]
+    return spark.read.parquet(p) if hop_format == "parquet" else read_csv(spark, p, schema)
+
+
+_JOBS_REPORT_SQL = _report_sql(_GROUP_USERS, source="nested").replace("WITH linked AS (", _NESTED_WITH, 1)
+
+
+@register("jobs_report_hash_parquet", _JOBS_REPORT_SQL)
+def _jobs_report_parquet(spark, sf_dir):
+    return _read_result(spark, _run_jobs(spark, sf_dir, "parquet"), "analysis-hash", "parquet", REPORT)
+
+
+@register("jobs_report_hash_csv", _JOBS_REPORT_SQL)
+def _jobs_report_csv(spark, sf_dir):
+    return _read_result(spark, _run_jobs(spark, sf_dir, "csv"), "analysis-hash", "csv", REPORT)
+
+
+# encrypted copy: one token per linked row (row identity carried by parquet hops)
+@register(
+    "jobs_stats_encrypt_parquet",
+    _NESTED_WITH.replace(", linked AS (", "")
+    + """
+SELECT CAST(count(SynSocial_UID) AS INTEGER) AS "Social-Media-Users",
+       CAST(count(Synthea_UID) AS INTEGER) AS "Medical-Records",
+       CAST(count(DISTINCT code) AS INTEGER) AS "Medical-Codes"
+FROM nested""",
+)
+def _jobs_stats_encrypt(spark, sf_dir):
+    return _read_result(spark, _run_jobs(spark, sf_dir, "parquet"), "analysis-encrypt-stats", "parquet", STATS)

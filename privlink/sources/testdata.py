@@ -234,7 +234,13 @@ def message_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         created.alias("created_at"),
         F.concat("l_returnflag", "l_linestatus").alias("text"),
     )
-    docs = j.select(F.array(msg).alias("messages"), F.concat(F.lit(MESSAGE_FOLDER), encode_file_name(name)).alias("path"))
+    # one folder per line item: the path identifies the document, its last
+    # segment (the person's file name) links it
+    folder = F.concat_ws("/", *[F.col(c).cast("string") for c in MESSAGE_ID[:4]], F.date_format("l_shipdate", "yyyyMMdd"))
+    docs = j.select(
+        F.array(msg).alias("messages"),
+        F.concat(F.lit(MESSAGE_FOLDER), folder, F.lit("/"), encode_file_name(name)).alias("path"),
+    )
     empty = (
         table(spark, sf_dir, "orders")
         .filter(F.col("o_orderstatus") == "P")

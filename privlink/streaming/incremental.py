@@ -23,7 +23,7 @@ from ..operators.privacy import encrypt_columns, hash_columns
 from ..schemas import MESSAGE, MESSAGE_DOC, PERSONAL_COLUMNS
 from ..session import shared_dir
 
-_ROW_ID = ["filename", "message_pos", "condition_id", "code", "display"]
+_ROW_ID = ["source_path", "message_pos", "condition_id", "code", "display"]
 
 
 def message_stream(spark: SparkSession, path: str, as_lines: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -65,7 +65,7 @@ def link_messages_stream(
     docs = message_stream(spark, messages_path, as_lines=as_lines)
     msgs = flatten_messages(docs, with_position=not as_lines)
     linked = link_by_interval(msgs, conditions, bucket_days=bucket_days)
-    ids = [c for c in ("message_pos", "condition_id") if c in linked.columns]
+    ids = [c for c in ("source_path", "message_pos", "condition_id") if c in linked.columns]
     if protect == "hash":
         k = key.encode("utf-8") if isinstance(key, str) else key
         linked = hash_columns(linked, PERSONAL_COLUMNS, algo=hash_algo, key=k).drop(*ids)

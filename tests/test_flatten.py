@@ -48,7 +48,7 @@ def test_messages_permissive_and_file_names(spark, workdir):
     assert len(rows) == 6
     names = {r["filename"] for r in rows}
     assert names == {"Ann_Lee_100TwitterData.json", "Bo_Diaz Ruiz_200TwitterData.json", "Nobody_X_999TwitterData.json"}
-    assert m.columns == ["SynSocial_UID", "name", "screen_name", "created_at", "text", "filename", "message_pos"]
+    assert m.columns == ["SynSocial_UID", "name", "screen_name", "created_at", "text", "filename", "source_path", "message_pos"]
     assert {r["SynSocial_UID"] for r in rows} == {"11", "22", "33"}  # numeric ids read as text
     assert sorted(r["message_pos"] for r in rows if r["name"] == "Ann") == [0, 1, 2, 3]
 
