@@ -134,6 +134,7 @@ def run_jobs_on(
     # (file, position) + condition + coding identifies a linked row; without
     # the position (JSON lines, CSV hops) the whole row is the identity
     row_id = [*ids, "code", "display"] if "message_pos" in ids else None
+    joined = spread(joined, row_id or joined.columns)
     hashed = hash_columns(joined, PERSONAL_COLUMNS, algo=hash_algo, key=hash_key).drop(*ids)
     res.paths["hashed"] = hop.write(hashed, HASHED)
     res.key = key or new_key()
@@ -153,5 +154,20 @@ def run_jobs_on(
     return res
 
 
+def spread(df: DataFrame, keys) -> DataFrame:
+    """Give a CPU-heavy map stage enough tasks.
+
+    A written table with fewer files than the cluster has task slots (a small
+    input, or a join that ran broadcast inside a few scan tasks) would run
+    encryption on a few cores. Such input is hash-partitioned on the row
+    identity (deterministic under retry); a large table, with at least as
+    many files as slots, is left as it is, so at scale this adds no shuffle.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= slots:
+        return df
+    return df.repartition(slots, *[F.col(c) for c in keys])
+
+
 def _linked_schema(with_ids: bool):
     return LINKED if not with_ids else None  # parquet carries its own schema
