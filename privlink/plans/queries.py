@@ -11,11 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.crypto import HMAC_BLOCK, HMAC_IPAD, HMAC_OPAD, new_key
+from ..functions.dates import clinical_day, message_day
 from ..operators.analysis import exposure_report, exposure_stats, user_code_counts
+from ..operators.flatten import flatten_conditions, flatten_messages, flatten_patients, patient_conditions
+from ..operators.lineage import dangling_edges, lineage_datasets, lineage_edges
 from ..operators.link import link_by_interval
 from ..operators.privacy import decrypt_columns, encrypt_columns, hash_columns
-from ..schemas import PERSONAL_COLUMNS
+from ..schemas import PERSONAL_COLUMNS, REPORT, STATS
+from ..session import scratch_path
 from ..sources import testdata as td
+from ..sources.files import read_csv, write_csv
+from .jobs import run_jobs_on
+from .murmur_sql import hashed_select
 
 # Fixed demonstration key of the keyed-hash queries (the oracle needs it).
 DEMO_HASH_KEY = b"privlink-demo-hash-key"
@@ -157,8 +164,6 @@ def _stats_hmac(spark, sf_dir):
     return exposure_stats(h, uid="SynSocial_UID_hashed", record="Synthea_UID_hashed")
 
 
-from .murmur_sql import hashed_select  # noqa: E402
-
 _MURMUR_COPY_SQL = hashed_select("linked", _CLEAR_COLS, PERSONAL_COLUMNS)
 
 
@@ -248,14 +253,6 @@ def _token_uniqueness(spark, sf_dir):
 
 # -- nested inputs: flatten, parse, link ---------------------------------------
 
-from ..functions.dates import clinical_day, message_day  # noqa: E402
-from ..operators.flatten import (  # noqa: E402
-    flatten_conditions,
-    flatten_messages,
-    flatten_patients,
-    patient_conditions,
-)
-from ..operators.lineage import dangling_edges, lineage_datasets, lineage_edges  # noqa: E402
 
 _COND_COMMON = f"""
        strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '{td.CLINICAL_ZONE}' AS assertedDate,
@@ -413,8 +410,6 @@ def _dangling(spark, sf_dir):
 
 # -- CSV hand-offs: write, read back with the fixed schema -----------------------------
 
-from ..session import scratch_path  # noqa: E402
-from ..sources.files import read_csv, write_csv  # noqa: E402
 
 
 def _csv_roundtrip(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -435,8 +430,6 @@ register("csv_roundtrip_documents", "SELECT * FROM documents")(
 
 # -- the six jobs end to end, with written hand-offs ---------------------------------
 
-from ..schemas import REPORT, STATS  # noqa: E402
-from .jobs import run_jobs_on  # noqa: E402
 
 _NESTED_WITH = f"WITH nested AS ({NESTED_LINKED_SQL}), linked AS ("
 
