@@ -26,6 +26,8 @@ from ..functions.dates import as_day, clinical_day, message_day
 from ..functions.keys import person_file_key
 
 DEFAULT_BUCKET_DAYS = 30
+# bounds of an automatically chosen bucket width, in days
+AUTO_MIN_DAYS, AUTO_MAX_DAYS = 1, 3650
 
 _K, _B = "__pl_key", "__pl_bucket"
 
@@ -34,6 +36,21 @@ def _bucket(day, width: int):
     return F.floor(F.unix_date(day) / F.lit(width))
 
 
+def choose_bucket_days(conditions: DataFrame, start: str, end: str) -> int:
+    """Median span of the matchable conditions (one approximate-percentile
+    aggregate over the condition side), clamped to [1, 3650] days. With the
+    width near the typical span, a condition is copied into about two
+    buckets and a bucket holds about one spell per person."""
+    span = F.datediff(F.col(end), F.col(start)) + 1
+    row = (
+        conditions.filter(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(start) <= F.col(end)))
+        .agg(F.percentile_approx(span, 0.5).alias("m"))
+        .first()
+    )
+    m = row["m"] if row and row["m"] is not None else DEFAULT_BUCKET_DAYS
+    return int(min(max(m, AUTO_MIN_DAYS), AUTO_MAX_DAYS))
+
+
 def link_by_interval(
     messages: DataFrame,
     conditions: DataFrame,
@@ -43,7 +60,7 @@ def link_by_interval(
     at: str = "created_at",
     start: str = "assertedDate",
     end: str = "abatementDate",
-    bucket_days: int = DEFAULT_BUCKET_DAYS,
+    bucket_days: int | str = DEFAULT_BUCKET_DAYS,
     strict_dates: bool = False,
 ) -> DataFrame:
     """Left outer interval join; columns: all message columns, then all
@@ -51,10 +68,12 @@ def link_by_interval(
     timestamp; clinical: the day written before ``T``).
 
     ``condition_key`` is a Column; by default it is the person file name
-    built from Given_Name, Family_Name and Identifier.
+    built from Given_Name, Family_Name and Identifier. ``bucket_days`` is the
+    bucket width; ``"auto"`` measures it from the conditions (one small
+    job over the condition side when the plan is built).
     """
-    if bucket_days < 1:
-        raise ValueError("bucket_days must be >= 1")
+    if bucket_days != "auto" and (not isinstance(bucket_days, int) or bucket_days < 1):
+        raise ValueError("bucket_days must be an int >= 1 or 'auto'")
     clash = set(messages.columns) & set(conditions.columns)
     if clash:
         raise ValueError(f"message and condition columns overlap: {sorted(clash)}")
@@ -62,6 +81,12 @@ def link_by_interval(
     mtypes = dict((f.name, f.dataType) for f in messages.schema.fields)
     ctypes = dict((f.name, f.dataType) for f in conditions.schema.fields)
 
+    if bucket_days == "auto":
+        spans = conditions.select(
+            as_day(start, ctypes[start], clinical_day).alias(start), as_day(end, ctypes[end], clinical_day).alias(end)
+        )
+        bucket_days = choose_bucket_days(spans, start, end)
+
     m = messages.withColumn(at, as_day(at, mtypes[at], message_day, strict_dates))
     m = m.withColumns({_K: F.col(message_key), _B: _bucket(F.col(at), bucket_days)})
 

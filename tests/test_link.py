@@ -57,9 +57,9 @@ def test_name_with_null_part_skips_it(spark):
     assert out.first()["code"] == 7
 
 
-@pytest.mark.parametrize("bucket_days", [1, 7, 30, 365])
+@pytest.mark.parametrize("bucket_days", [1, 7, 30, 365, "auto"])
 def test_bucketed_join_equals_brute_force(spark, bucket_days):
-    rnd = random.Random(bucket_days)
+    rnd = random.Random(str(bucket_days))
     base = dt.date(1999, 12, 1)
     people = [f"p{i}TwitterData.json" for i in range(4)]
     msgs = []
@@ -95,3 +95,16 @@ def test_column_clash_rejected(spark):
     c = spark.createDataFrame([("a", "2010-01-01", "2010-01-02")], "x string, assertedDate string, abatementDate string")
     with pytest.raises(ValueError):
         link_by_interval(m, c, condition_key=F.lit("k"))
+
+
+def test_auto_bucket_width(spark):
+    from privlink.operators.link import choose_bucket_days
+
+    c = spark.createDataFrame(
+        [(dt.date(2000, 1, 1), dt.date(2000, 1, 1) + dt.timedelta(days=d)) for d in (9, 9, 9, 500)]
+        + [(dt.date(2000, 1, 1), None)],
+        "s date, e date",
+    )
+    assert choose_bucket_days(c, "s", "e") == 10
+    empty = spark.createDataFrame([], "s date, e date")
+    assert choose_bucket_days(empty, "s", "e") == 30
