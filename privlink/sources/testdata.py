@@ -28,8 +28,18 @@ CODE_MODULUS = 40
 SPELL_MODULUS = 90
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table; its schema is read once per path, later reads pass it
+    (no footer-reading job per read)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
