@@ -46,11 +46,15 @@ def exposure_stats(
     code: str = "code",
 ) -> DataFrame:
     """One row: distinct users, distinct medical records, distinct codes
-    (NULLs not counted), as ints. One job instead of three collected ones."""
+    (NULLs not counted). One job instead of three collected ones.
+
+    Counts are bigint: on an encrypted copy every token is distinct, so the
+    user count equals the row count and would overflow a 32-bit int at scale.
+    """
     return df.agg(
-        F.count_distinct(uid).cast("int").alias("Social-Media-Users"),
-        F.count_distinct(record).cast("int").alias("Medical-Records"),
-        F.count_distinct(code).cast("int").alias("Medical-Codes"),
+        F.count_distinct(uid).alias("Social-Media-Users"),
+        F.count_distinct(record).alias("Medical-Records"),
+        F.count_distinct(code).alias("Medical-Codes"),
     )
 
 

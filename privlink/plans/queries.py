@@ -82,9 +82,9 @@ _ROW_USERS = "count(SynSocial_UID) + max(CASE WHEN SynSocial_UID IS NULL THEN 1
 def _stats_sql(users: str, records: str) -> str:
     return _with_linked(
         f"""
-SELECT CAST({users} AS INTEGER) AS "Social-Media-Users",
-       CAST({records} AS INTEGER) AS "Medical-Records",
-       CAST(count(DISTINCT code) AS INTEGER) AS "Medical-Codes"
+SELECT CAST({users} AS BIGINT) AS "Social-Media-Users",
+       CAST({records} AS BIGINT) AS "Medical-Records",
+       CAST(count(DISTINCT code) AS BIGINT) AS "Medical-Codes"
 FROM linked"""
     )
 
@@ -195,9 +195,9 @@ def _report_murmur3(spark, sf_dir):
     "exposure_stats_murmur3",
     _with_linked(
         f""", hashed AS ({_MURMUR_COPY_SQL})
-SELECT CAST(count(DISTINCT SynSocial_UID_hashed) AS INTEGER) AS "Social-Media-Users",
-       CAST(count(DISTINCT Synthea_UID_hashed) AS INTEGER) AS "Medical-Records",
-       CAST(count(DISTINCT code) AS INTEGER) AS "Medical-Codes"
+SELECT CAST(count(DISTINCT SynSocial_UID_hashed) AS BIGINT) AS "Social-Media-Users",
+       CAST(count(DISTINCT Synthea_UID_hashed) AS BIGINT) AS "Medical-Records",
+       CAST(count(DISTINCT code) AS BIGINT) AS "Medical-Codes"
 FROM hashed"""
     ),
 )
@@ -462,9 +462,9 @@ def _jobs_report_csv(spark, sf_dir):
     "jobs_stats_encrypt_parquet",
     _NESTED_WITH.replace(", linked AS (", "")
     + """
-SELECT CAST(count(SynSocial_UID) AS INTEGER) AS "Social-Media-Users",
-       CAST(count(Synthea_UID) AS INTEGER) AS "Medical-Records",
-       CAST(count(DISTINCT code) AS INTEGER) AS "Medical-Codes"
+SELECT CAST(count(SynSocial_UID) AS BIGINT) AS "Social-Media-Users",
+       CAST(count(Synthea_UID) AS BIGINT) AS "Medical-Records",
+       CAST(count(DISTINCT code) AS BIGINT) AS "Medical-Codes"
 FROM nested""",
 )
 def _jobs_stats_encrypt(spark, sf_dir):

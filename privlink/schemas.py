@@ -157,9 +157,9 @@ REPORT = T.StructType(
 
 STATS = T.StructType(
     [
-        T.StructField("Social-Media-Users", T.IntegerType()),
-        T.StructField("Medical-Records", T.IntegerType()),
-        T.StructField("Medical-Codes", T.IntegerType()),
+        T.StructField("Social-Media-Users", T.LongType()),
+        T.StructField("Medical-Records", T.LongType()),
+        T.StructField("Medical-Codes", T.LongType()),
     ]
 )
 

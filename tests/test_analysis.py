@@ -41,7 +41,7 @@ def test_stats(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
     s = exposure_stats(df).first()
     assert (s["Social-Media-Users"], s["Medical-Records"], s["Medical-Codes"]) == (3, 3, 2)
-    assert [t for _, t in exposure_stats(df).dtypes] == ["int", "int", "int"]
+    assert [t for _, t in exposure_stats(df).dtypes] == ["bigint", "bigint", "bigint"]
 
 
 def test_user_code_counts(spark):
