@@ -28,14 +28,16 @@ def exposure_report(df: DataFrame, uid: str = "SynSocial_UID", code: str = "code
         .agg(F.count(F.lit(1)).alias("n"))
     )
     per_code = per_user.groupBy(code).agg(
-        F.count(F.lit(1)).cast("float").alias("User_Count"),
-        F.sum("n").cast("float").alias("Message_Count"),
+        F.count(F.lit(1)).alias("users"),
+        F.sum("n").alias("msgs"),
     )
+    # the counts are float columns (the report's layout); the average comes
+    # from the exact 64-bit counts, which float32 stops holding above 2^24
     return per_code.select(
-        "User_Count",
+        F.col("users").cast("float").alias("User_Count"),
         F.col(code).alias("Medical_Codes"),
-        "Message_Count",
-        F.round(F.col("Message_Count") / F.col("User_Count"), 2).alias("Avg_Msg_per_User"),
+        F.col("msgs").cast("float").alias("Message_Count"),
+        F.round(F.col("msgs") / F.col("users"), 2).alias("Avg_Msg_per_User"),
     )
 
 
