@@ -50,7 +50,7 @@ class JobsResult:
     paths: dict = field(default_factory=dict)
 
 
-class _Hop:
+class Hop:
     def __init__(self, spark: SparkSession, out_dir: str, fmt: str):
         if fmt not in ("parquet", "csv"):
             raise ValueError("hop_format must be 'parquet' or 'csv'")
@@ -102,7 +102,7 @@ def run_jobs_on(
     hash_key: bytes | None = None,
     write_key: bool = False,
     positions: bool = True,
-    bucket_days: int = DEFAULT_BUCKET_DAYS,
+    bucket_days: int | str = DEFAULT_BUCKET_DAYS,
 ) -> JobsResult:
     """The jobs over bundle and message-document frames (``path`` column).
 
@@ -112,46 +112,77 @@ def run_jobs_on(
     so encryption IVs are unique per linked row; CSV hand-offs keep the
     original layouts and use the whole row as identity.
     """
-    hop = _Hop(spark, out_dir, hop_format)
-    keep_ids = hop_format == "parquet"
+    hop = Hop(spark, out_dir, hop_format)
     res = JobsResult(out_dir=out_dir)
+    res.paths.update(job_conditions(hop, bundles))
+    res.paths.update(job_messages(hop, message_docs, positions=positions))
+    res.paths.update(job_link(hop, bucket_days=bucket_days))
+    res.key = key or new_key()
+    res.paths.update(job_privacy(hop, res.key, hash_algo=hash_algo, hash_key=hash_key, write_key=write_key))
+    for kind in ("hash", "encrypt"):
+        res.paths.update(job_analysis(hop, kind))
+    return res
+
+
+# -- the jobs, one per original program; each reads and writes under one base folder
 
-    # 1A clinical bundles -> patient-condition table
+
+def job_conditions(hop: Hop, bundles: DataFrame) -> dict:
+    """1A: clinical bundles -> patient-condition table."""
+    keep_ids = hop.fmt == "parquet"
     pc = patient_conditions(flatten_conditions(bundles, with_id=keep_ids), flatten_patients(bundles))
     pc = pc.withColumn("code", F.col("code").try_cast("long"))
-    res.paths["patients"] = hop.write(pc, PATIENTS)
+    return {"patients": hop.write(pc, PATIENTS)}
+
+
+def job_messages(hop: Hop, message_docs: DataFrame, positions: bool = True) -> dict:
+    """1B: message documents -> message table."""
+    keep_ids = hop.fmt == "parquet" and positions
+    return {"messages": hop.write(flatten_messages(message_docs, with_position=keep_ids), SOCIAL)}
 
-    # 1B message documents -> message table
-    res.paths["messages"] = hop.write(flatten_messages(message_docs, with_position=keep_ids and positions), SOCIAL)
 
-    # 2 link
+def job_link(hop: Hop, bucket_days: int | str = DEFAULT_BUCKET_DAYS) -> dict:
+    """2: messages + conditions -> linked table."""
     linked = link_by_interval(hop.read(SOCIAL, MESSAGES), hop.read(PATIENTS, CONDITIONS), bucket_days=bucket_days)
-    res.paths["joined"] = hop.write(linked, JOINED)
+    return {"joined": hop.write(linked, JOINED)}
 
-    # 3 privacy copies
-    joined = hop.read(JOINED, _linked_schema(keep_ids))
+
+def job_privacy(
+    hop: Hop,
+    key: str,
+    *,
+    hash_algo: str = "murmur3",
+    hash_key: bytes | None = None,
+    write_key: bool = False,
+) -> dict:
+    """3: linked table -> hashed copy, encrypted copy (and key record)."""
+    joined = hop.read(JOINED, _linked_schema(hop.fmt == "parquet"))
     ids = [c for c in _ID_COLS if c in joined.columns]
     # (file, position) + condition + coding identifies a linked row; without
     # the position (JSON lines, CSV hops) the whole row is the identity
     row_id = [*ids, "code", "display"] if "message_pos" in ids else None
     joined = spread(joined, row_id or joined.columns)
+    out = {}
     hashed = hash_columns(joined, PERSONAL_COLUMNS, algo=hash_algo, key=hash_key).drop(*ids)
-    res.paths["hashed"] = hop.write(hashed, HASHED)
-    res.key = key or new_key()
-    enc = encrypt_columns(joined, res.key, PERSONAL_COLUMNS, row_id).drop(*ids)
-    res.paths["encrypted"] = hop.write(enc, ENCRYPTED)
+    out["hashed"] = hop.write(hashed, HASHED)
+    enc = encrypt_columns(joined, key, PERSONAL_COLUMNS, row_id).drop(*ids)
+    out["encrypted"] = hop.write(enc, ENCRYPTED)
     if write_key:
-        res.paths["key"] = hop.write(key_record(spark, res.key, _dt.date.today()), KEY, small=True)
-
-    # 4A / 4B analysis of each copy
-    for kind, folder, suffix in (("hash", HASHED, "_hashed"), ("encrypt", ENCRYPTED, "_encrypted")):
-        copy = hop.read(folder, protected(suffix))
-        uid, rec = f"SynSocial_UID{suffix}", f"Synthea_UID{suffix}"
-        res.paths[f"analysis-{kind}"] = hop.write(exposure_report(copy, uid=uid), ANALYSIS.format(kind=kind), small=True)
-        res.paths[f"analysis-{kind}-stats"] = hop.write(
+        out["key"] = hop.write(key_record(hop.spark, key, _dt.date.today()), KEY, small=True)
+    return out
+
+
+def job_analysis(hop: Hop, kind: str) -> dict:
+    """4A (``kind="hash"``) / 4B (``kind="encrypt"``): report and stats."""
+    folder, suffix = {"hash": (HASHED, "_hashed"), "encrypt": (ENCRYPTED, "_encrypted")}[kind]
+    copy = hop.read(folder, protected(suffix))
+    uid, rec = f"SynSocial_UID{suffix}", f"Synthea_UID{suffix}"
+    return {
+        f"analysis-{kind}": hop.write(exposure_report(copy, uid=uid), ANALYSIS.format(kind=kind), small=True),
+        f"analysis-{kind}-stats": hop.write(
             exposure_stats(copy, uid=uid, record=rec), ANALYSIS_STATS.format(kind=kind), small=True
-        )
-    return res
+        ),
+    }
 
 
 def spread(df: DataFrame, keys) -> DataFrame:

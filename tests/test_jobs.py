@@ -37,3 +37,20 @@ def test_run_jobs(spark, workdir, hop_format):
         assert dec.filter("NOT ok").count() == 0
         assert sorted(r["SynSocial_UID"] for r in dec.select("SynSocial_UID").distinct().collect()) == ["11", "22", "33"]
         assert spark.read.parquet(res.paths["key"]).first()["Key-String"] == res.key
+
+
+def test_command_line_steps(spark, workdir):
+    """The six programs as separate steps give the same analysis as one run."""
+    from privlink.__main__ import main
+
+    b, m, base = (os.path.join(workdir, x) for x in ("bundles", "messages", "DataSet1"))
+    write_bundles(b)
+    write_messages(m)
+    main(["conditions", "--base", base, "--bundles", b, "--format", "csv"])
+    main(["messages", "--base", base, "--messages", m, "--format", "csv"])
+    main(["link", "--base", base, "--format", "csv", "--bucket-days", "auto"])
+    main(["privacy", "--base", base, "--format", "csv", "--write-key"])
+    out = main(["analysis", "--base", base, "--format", "csv", "--kind", "hash"])
+    rep = spark.read.options(header=True, inferSchema=True).csv(out["analysis-hash"])
+    assert {r["Medical_Codes"]: r["Message_Count"] for r in rep.collect()}[444814009] == 4.0
+    assert os.path.isdir(os.path.join(base, "KEY"))
