@@ -1,6 +1,6 @@
 """Command line: the original six programs as steps over one base folder.
 
-    spark-submit -m privlink conditions --base hdfs:///DataSet1 --bundles hdfs:///DataSet1/patients
+    spark-submit --py-files privlink.zip scripts/privlink_job.py conditions --base hdfs:///DataSet1 --bundles ...
     python -m privlink messages --base DIR --messages DIR [--lines]
     python -m privlink link --base DIR [--bucket-days N|auto]
     python -m privlink privacy --base DIR [--write-key] [--hash hmac-sha256 --hash-key-env VAR]
