@@ -2,7 +2,7 @@
 
     spark-submit --py-files privlink.zip scripts/privlink_job.py conditions --base hdfs:///DataSet1 --bundles ...
     python -m privlink messages --base DIR --messages DIR [--lines]
-    python -m privlink link --base DIR [--bucket-days N|auto]
+    python -m privlink link --base DIR [--bucket-days auto|N]
     python -m privlink privacy --base DIR [--write-key] [--hash hmac-sha256 --hash-key-env VAR]
     python -m privlink analysis --base DIR --kind hash|encrypt
     python -m privlink all --base DIR --bundles DIR --messages DIR
@@ -22,7 +22,7 @@ import os
 from pyspark.sql import SparkSession
 
 from .operators.privacy import new_key
-from .plans.jobs import DEFAULT_BUCKET_DAYS, Hop, job_analysis, job_conditions, job_link, job_messages, job_privacy, run_jobs
+from .plans.jobs import Hop, job_analysis, job_conditions, job_link, job_messages, job_privacy, run_jobs
 from .session import configure
 from .sources.files import read_bundles, read_message_docs, read_message_lines
 
@@ -39,7 +39,7 @@ def main(argv: list[str] | None = None) -> dict:
     p.add_argument("--messages", help="folder of message documents")
     p.add_argument("--lines", action="store_true", help="message files are JSON lines")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv"])
-    p.add_argument("--bucket-days", default=str(DEFAULT_BUCKET_DAYS), type=_bucket)
+    p.add_argument("--bucket-days", default="auto", type=_bucket, help="bucket width in days, or auto (default)")
     p.add_argument("--hash", default="murmur3", choices=["murmur3", "hmac-sha256"])
     p.add_argument("--hash-key-env", help="environment variable holding the hashing key")
     p.add_argument("--key-env", help="environment variable holding the Fernet key (default: new key)")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.analysis import exposure_report, exposure_stats
 from ..operators.flatten import flatten_conditions, flatten_messages, flatten_patients, patient_conditions
-from ..operators.link import DEFAULT_BUCKET_DAYS, link_by_interval
+from ..operators.link import link_by_interval
 from ..operators.privacy import encrypt_columns, hash_columns, key_record, new_key
 from ..schemas import CONDITIONS, LINKED, MESSAGES, PERSONAL_COLUMNS, protected
 from ..sources.files import (
@@ -102,7 +102,7 @@ def run_jobs_on(
     hash_key: bytes | None = None,
     write_key: bool = False,
     positions: bool = True,
-    bucket_days: int | str = DEFAULT_BUCKET_DAYS,
+    bucket_days: int | str = "auto",
 ) -> JobsResult:
     """The jobs over bundle and message-document frames (``path`` column).
 
@@ -141,7 +141,7 @@ def job_messages(hop: Hop, message_docs: DataFrame, positions: bool = True) -> d
     return {"messages": hop.write(flatten_messages(message_docs, with_position=keep_ids), SOCIAL)}
 
 
-def job_link(hop: Hop, bucket_days: int | str = DEFAULT_BUCKET_DAYS) -> dict:
+def job_link(hop: Hop, bucket_days: int | str = "auto") -> dict:
     """2: messages + conditions -> linked table."""
     linked = link_by_interval(hop.read(SOCIAL, MESSAGES), hop.read(PATIENTS, CONDITIONS), bucket_days=bucket_days)
     return {"joined": hop.write(linked, JOINED)}
