@@ -24,8 +24,8 @@ def _process(name, inputs, outputs):
 def test_lineage_tables(spark, workdir):
     docs = [
         _dataset("patientsDFData"), _dataset("social-media-usersDFData"), _dataset("joinedDFData"),
-        _process("join-job", ["social-media-usersDFData", "patientsDFData"], ["joinedDFData"]),
-        _process("privacy-job", ["joinedDFData"], ["hashedDFData"]),  # hashedDFData not declared
+        _process("link-step", ["social-media-usersDFData", "patientsDFData"], ["joinedDFData"]),
+        _process("protect-step", ["joinedDFData"], ["hashedDFData"]),  # hashedDFData not declared
     ]
     for i, d in enumerate(docs):
         with open(os.path.join(workdir, f"doc{i}.json"), "w") as f:
@@ -35,8 +35,8 @@ def test_lineage_tables(spark, workdir):
     assert ds.count() == 3 and str(ds.first()["created"]).startswith("2021-04-24")
     e = lineage_edges(d)
     assert sorted((r["process"], r["direction"]) for r in e.collect()) == [
-        ("join-job@cluster", "input"), ("join-job@cluster", "input"), ("join-job@cluster", "output"),
-        ("privacy-job@cluster", "input"), ("privacy-job@cluster", "output"),
+        ("link-step@cluster", "input"), ("link-step@cluster", "input"), ("link-step@cluster", "output"),
+        ("protect-step@cluster", "input"), ("protect-step@cluster", "output"),
     ]
     bad = dangling_edges(e, ds).collect()
     assert [r["dataset"] for r in bad] == ["DataSet1_hashedDFData@cluster"]
