@@ -63,6 +63,7 @@ def encrypt_columns(
     at: int | None = None,
     suffix: str = "_encrypted",
     drop_row_id: bool = False,
+    deterministic: bool = False,
 ) -> DataFrame:
     """Replace each column by a Fernet token under ``key``; NULL stays NULL.
 
@@ -72,10 +73,15 @@ def encrypt_columns(
     task reproduces the same tokens. ``row_id_cols`` must identify a row
     (e.g. message id plus condition id); without them the whole row is used,
     and fully identical rows then share tokens.
+
+    ``deterministic=True`` leaves the row out of the IV: within one run (one
+    salt and time) equal values get equal tokens, so counts of distinct
+    users and records on the encrypted copy equal those on the clear table.
+    Equality of values is then visible in the copy; their content is not.
     """
     split_key(key)  # validate early, on the driver
     s = new_salt() if salt is None else salt
-    rid = _row_id(df, row_id_cols)
+    rid = F.lit("") if deterministic else _row_id(df, row_id_cols)
     out = _protect(
         df,
         list(cols),

@@ -225,6 +225,23 @@ def _stats_encrypted(spark, sf_dir):
     )
 
 
+# deterministic tokens: equal values share a token, so the report equals the
+# clear one
+@register("exposure_report_encrypted_deterministic", _report_sql(_GROUP_USERS))
+def _report_encrypted_det(spark, sf_dir):
+    e = encrypt_columns(linked(spark, sf_dir), new_key(), row_id_cols=td.LINKED_ROW_ID, deterministic=True)
+    return exposure_report(e, uid="SynSocial_UID_encrypted")
+
+
+@register(
+    "exposure_stats_encrypted_deterministic",
+    _stats_sql("count(DISTINCT SynSocial_UID)", "count(DISTINCT Synthea_UID)"),
+)
+def _stats_encrypted_det(spark, sf_dir):
+    e = encrypt_columns(linked(spark, sf_dir), new_key(), row_id_cols=td.LINKED_ROW_ID, deterministic=True)
+    return exposure_stats(e, uid="SynSocial_UID_encrypted", record="Synthea_UID_encrypted")
+
+
 @register(
     "encrypt_decrypt_roundtrip",
     _with_linked("SELECT *, true AS tokens_valid FROM linked"),
