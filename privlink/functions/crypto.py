@@ -30,6 +30,7 @@ HMAC_IPAD = 0x36
 HMAC_OPAD = 0x5C
 _MAC_LEN = 32
 _HEADER_LEN = 9  # version byte + 8-byte time
+_MAX_CLOCK_SKEW = 60  # seconds a token may be stamped in the future
 
 
 def new_key() -> str:
@@ -97,9 +98,11 @@ def fernet_encrypt(value: Column, key: str | bytes, iv: Column, at: int | None =
     return base64url(F.concat(body, hmac_sha256(sign_key, body)))
 
 
-def fernet_decrypt(token: Column, key: str | bytes) -> Column:
+def fernet_decrypt(token: Column, key: str | bytes, ttl: int | None = None, now: int | None = None) -> Column:
     """Plain text of a Fernet token; NULL when the token is absent, malformed
-    or its MAC does not verify."""
+    or its MAC does not verify. With ``ttl`` (seconds), tokens older than
+    that, or stamped more than 60 s after ``now`` (default: this moment on
+    the driver), are rejected as well."""
     sign_key, enc_key = split_key(key)
     raw = F.try_to_binary(F.translate(token, "-_", "+/"), F.lit("base64"))
     n = F.octet_length(raw)
@@ -111,6 +114,10 @@ def fernet_decrypt(token: Column, key: str | bytes) -> Column:
         & (F.substr(raw, F.lit(1), F.lit(1)) == _bin(FERNET_VERSION))
         & (hmac_sha256(sign_key, signed) == mac)
     )
+    if ttl is not None:
+        t = int(time.time()) if now is None else int(now)
+        stamped = F.conv(F.hex(F.substr(raw, F.lit(2), F.lit(8))), 16, 10).cast("long")
+        ok = ok & (stamped + F.lit(int(ttl)) >= F.lit(t)) & (stamped <= F.lit(t + _MAX_CLOCK_SKEW))
     plain = F.try_aes_decrypt(payload, _bin(enc_key), F.lit("CBC"), F.lit("PKCS"))
     return F.when(ok, plain.cast("string"))
 

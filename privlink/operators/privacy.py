@@ -99,13 +99,15 @@ def decrypt_columns(
     cols=tuple(PERSONAL_COLUMNS),
     suffix: str = "_encrypted",
     check_column: str | None = None,
+    ttl: int | None = None,
 ) -> DataFrame:
     """Inverse of ``encrypt_columns``: ``c_encrypted`` back to ``c``.
-    Tokens whose MAC fails decrypt to NULL; ``check_column`` (if given)
-    holds True when every non-NULL token of the row verified."""
+    Tokens whose MAC fails (or older than ``ttl`` seconds) decrypt to NULL;
+    ``check_column`` (if given) holds True when every non-NULL token of the
+    row verified."""
     tokens = [f"{c}{suffix}" for c in cols]
     keep = [F.col(c) for c in df.columns if c not in tokens]
-    dec = [fernet_decrypt(F.col(t), key).alias(c) for c, t in zip(cols, tokens)]
+    dec = [fernet_decrypt(F.col(t), key, ttl=ttl).alias(c) for c, t in zip(cols, tokens)]
     extra = []
     if check_column:
         ok = F.lit(True)

@@ -92,3 +92,15 @@ def test_deterministic_tokens_share_equal_values(spark):
     assert e.select("v_encrypted").distinct().count() == 4
     back = decrypt_columns(e, key, cols=["v"], check_column="ok")
     assert sorted(r["v"] for r in back.collect()) == sorted(["same"] * 5 + [f"v{i}" for i in range(5, 8)])
+
+
+def test_ttl(spark):
+    df = spark.createDataFrame([(VECTOR_TOKEN,)], "t string")
+
+    def dec(**kw):
+        return df.select(fernet_decrypt(F.col("t"), VECTOR_KEY, **kw).alias("p")).first()["p"]
+
+    assert dec(ttl=60, now=VECTOR_TIME + 10) == "hello"
+    assert dec(ttl=60, now=VECTOR_TIME + 100) is None  # expired
+    assert dec(ttl=60, now=VECTOR_TIME - 100) is None  # stamped in the future
+    assert dec() == "hello"
