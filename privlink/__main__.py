@@ -24,7 +24,7 @@ from pyspark.sql import SparkSession
 from .operators.privacy import new_key
 from .plans.jobs import Hop, job_analysis, job_conditions, job_link, job_messages, job_privacy, run_jobs
 from .session import configure
-from .sources.files import read_bundles, read_message_docs, read_message_lines
+from .sources.files import read_bundles, read_message_docs, read_message_lines, read_resources
 
 
 def _bucket(v: str):
@@ -38,6 +38,7 @@ def main(argv: list[str] | None = None) -> dict:
     p.add_argument("--bundles", help="folder of clinical bundle documents")
     p.add_argument("--messages", help="folder of message documents")
     p.add_argument("--lines", action="store_true", help="message files are JSON lines")
+    p.add_argument("--resources", action="store_true", help="clinical files hold one resource per line (NDJSON)")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     p.add_argument("--bucket-days", default="auto", type=_bucket, help="bucket width in days, or auto (default)")
     p.add_argument("--hash", default="murmur3", choices=["murmur3", "hmac-sha256"])
@@ -56,7 +57,8 @@ def main(argv: list[str] | None = None) -> dict:
         return read_message_lines(spark, a.messages) if a.lines else read_message_docs(spark, a.messages)
 
     if a.step == "conditions":
-        return job_conditions(hop, read_bundles(spark, a.bundles))
+        src = read_resources(spark, a.bundles) if a.resources else read_bundles(spark, a.bundles)
+        return job_conditions(hop, src, resources=a.resources)
     if a.step == "messages":
         return job_messages(hop, docs(), positions=not a.lines)
     if a.step == "link":
@@ -68,7 +70,8 @@ def main(argv: list[str] | None = None) -> dict:
             p.error("analysis needs --kind")
         return job_analysis(hop, a.kind)
     res = run_jobs(
-        spark, a.bundles, a.messages, a.base, messages_as_lines=a.lines, key=key, hop_format=a.format,
+        spark, a.bundles, a.messages, a.base, messages_as_lines=a.lines, resources_per_line=a.resources,
+        key=key, hop_format=a.format,
         hash_algo=a.hash, hash_key=hash_key, write_key=a.write_key, bucket_days=a.bucket_days,
     )
     return res.paths

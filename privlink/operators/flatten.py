@@ -30,7 +30,13 @@ def flatten_conditions(bundles: DataFrame, with_id: bool = False) -> DataFrame:
     A condition without codings gives no row. The end date is read from
     ``abatementDateTime`` (raw FHIR) or ``abatement.dateTime``.
     """
-    c = extract_resources(bundles, "Condition")
+    return conditions_from_resources(extract_resources(bundles, "Condition"), with_id)
+
+
+def conditions_from_resources(resources: DataFrame, with_id: bool = False) -> DataFrame:
+    """``flatten_conditions`` over resource rows (e.g. one resource per line);
+    rows of other resource types are ignored."""
+    c = resources.filter(F.col("resourceType") == "Condition")
     cols = [
         F.col("c.display").alias("display"),
         F.col("c.code").alias("code"),
@@ -50,7 +56,12 @@ def flatten_patients(bundles: DataFrame) -> DataFrame:
     the first name. Patients without an identifier, a name, or a given name
     on their first name give no row; a NULL first element is kept.
     """
-    p = extract_resources(bundles, "Patient")
+    return patients_from_resources(extract_resources(bundles, "Patient"))
+
+
+def patients_from_resources(resources: DataFrame) -> DataFrame:
+    """``flatten_patients`` over resource rows; other types are ignored."""
+    p = resources.filter(F.col("resourceType") == "Patient")
     first_name = F.get(F.col("name"), 0)
     return p.filter(
         (F.size("identifier") > 0) & (F.size("name") > 0) & (F.size(first_name["given"]) > 0)

@@ -16,12 +16,20 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.analysis import exposure_report, exposure_stats
-from ..operators.flatten import flatten_conditions, flatten_messages, flatten_patients, patient_conditions
+from ..operators.flatten import (
+    conditions_from_resources,
+    flatten_conditions,
+    flatten_messages,
+    flatten_patients,
+    patient_conditions,
+    patients_from_resources,
+)
 from ..operators.link import link_by_interval
 from ..operators.privacy import encrypt_columns, hash_columns, key_record, new_key
 from ..schemas import CONDITIONS, LINKED, MESSAGES, PERSONAL_COLUMNS, protected
 from ..sources.files import (
     read_bundles,
+    read_resources,
     read_csv,
     read_message_docs,
     read_message_lines,
@@ -81,13 +89,16 @@ def run_jobs(
     out_dir: str,
     *,
     messages_as_lines: bool = False,
+    resources_per_line: bool = False,
     **kw,
 ) -> JobsResult:
     """Flatten -> link -> hashed and encrypted copies -> analysis of each,
-    from the bundle and message folders. See ``run_jobs_on`` for options."""
-    b = read_bundles(spark, bundles_path)
+    from the clinical and message folders. ``resources_per_line`` reads the
+    clinical folder as one resource per line (bulk-export NDJSON) instead of
+    bundle documents. See ``run_jobs_on`` for the other options."""
+    b = read_resources(spark, bundles_path) if resources_per_line else read_bundles(spark, bundles_path)
     docs = read_message_lines(spark, messages_path) if messages_as_lines else read_message_docs(spark, messages_path)
-    return run_jobs_on(spark, b, docs, out_dir, positions=not messages_as_lines, **kw)
+    return run_jobs_on(spark, b, docs, out_dir, positions=not messages_as_lines, resources=resources_per_line, **kw)
 
 
 def run_jobs_on(
@@ -102,6 +113,7 @@ def run_jobs_on(
     hash_key: bytes | None = None,
     write_key: bool = False,
     positions: bool = True,
+    resources: bool = False,
     bucket_days: int | str = "auto",
 ) -> JobsResult:
     """The jobs over bundle and message-document frames (``path`` column).
@@ -114,7 +126,7 @@ def run_jobs_on(
     """
     hop = Hop(spark, out_dir, hop_format)
     res = JobsResult(out_dir=out_dir)
-    res.paths.update(job_conditions(hop, bundles))
+    res.paths.update(job_conditions(hop, bundles, resources=resources))
     res.paths.update(job_messages(hop, message_docs, positions=positions))
     res.paths.update(job_link(hop, bucket_days=bucket_days))
     res.key = key or new_key()
@@ -127,10 +139,13 @@ def run_jobs_on(
 # -- the jobs, one per original program; each reads and writes under one base folder
 
 
-def job_conditions(hop: Hop, bundles: DataFrame) -> dict:
-    """1A: clinical bundles -> patient-condition table."""
+def job_conditions(hop: Hop, bundles: DataFrame, resources: bool = False) -> dict:
+    """1A: clinical bundles (or resource rows) -> patient-condition table."""
     keep_ids = hop.fmt == "parquet"
-    pc = patient_conditions(flatten_conditions(bundles, with_id=keep_ids), flatten_patients(bundles))
+    if resources:
+        pc = patient_conditions(conditions_from_resources(bundles, with_id=keep_ids), patients_from_resources(bundles))
+    else:
+        pc = patient_conditions(flatten_conditions(bundles, with_id=keep_ids), flatten_patients(bundles))
     pc = pc.withColumn("code", F.col("code").try_cast("long"))
     return {"patients": hop.write(pc, PATIENTS)}
 

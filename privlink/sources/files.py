@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..schemas import BUNDLE, LINEAGE_DOC, MESSAGE, MESSAGE_DOC
+from ..schemas import BUNDLE, LINEAGE_DOC, MESSAGE, MESSAGE_DOC, RESOURCE
 
 # CSV options for the hand-off tables. Reading with multiLine keeps quoted
 # newlines inside one value; writing without trimming keeps outer blanks.
@@ -31,6 +31,13 @@ def read_bundles(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BUNDLE).option("multiLine", "true").option("mode", "PERMISSIVE").json(path)
 
 
+def read_resources(spark: SparkSession, path: str) -> DataFrame:
+    """Folder of clinical resources, one JSON resource per line (bulk-export
+    NDJSON). Splittable, unlike multi-line bundles; feeds
+    ``conditions_from_resources`` / ``patients_from_resources``."""
+    return spark.read.schema(RESOURCE).option("mode", "PERMISSIVE").json(path)
+
+
 def read_message_docs(spark: SparkSession, path: str) -> DataFrame:
     """Folder of message documents; adds ``path``, the source file URI.
     A broken file gives a row with NULL ``messages`` (no messages)."""

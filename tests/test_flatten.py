@@ -63,3 +63,25 @@ def test_message_lines(spark, workdir):
     m = flatten_messages(read_message_lines(spark, workdir))
     assert sorted(r["text"] for r in m.collect()) == ["m0", "m1", "m2"]
     assert {r["filename"] for r in m.collect()} == {"Ann_Lee_100TwitterData.json"}
+
+
+def test_resources_per_line_match_bundles(spark, workdir):
+    """One resource per line (bulk export) gives the same tables as bundles."""
+    import json
+
+    from privlink.operators.flatten import conditions_from_resources, patients_from_resources
+    from privlink.sources.files import read_resources
+
+    bdir, rdir = os.path.join(workdir, "b"), os.path.join(workdir, "r")
+    write_bundles(bdir)
+    os.makedirs(rdir)
+    for name in sorted(os.listdir(bdir)):
+        with open(os.path.join(bdir, name)) as f, open(os.path.join(rdir, name + ".ndjson"), "w") as out:
+            for e in json.load(f)["entry"]:
+                out.write(json.dumps(e["resource"]) + "\n")
+    b = read_bundles(spark, bdir)
+    r = read_resources(spark, rdir)
+    by_b = patient_conditions(flatten_conditions(b, with_id=True), flatten_patients(b))
+    by_r = patient_conditions(conditions_from_resources(r, with_id=True), patients_from_resources(r))
+    assert sorted(map(tuple, by_b.collect())) == sorted(map(tuple, by_r.collect()))
+    assert by_r.count() == 5

@@ -54,3 +54,20 @@ def test_command_line_steps(spark, workdir):
     rep = spark.read.options(header=True, inferSchema=True).csv(out["analysis-hash"])
     assert {r["Medical_Codes"]: r["Message_Count"] for r in rep.collect()}[444814009] == 4.0
     assert os.path.isdir(os.path.join(base, "KEY"))
+
+
+def test_run_jobs_from_resources_per_line(spark, workdir):
+    import json
+
+    b, r, m = (os.path.join(workdir, x) for x in ("bundles", "resources", "messages"))
+    write_bundles(b)
+    write_messages(m)
+    os.makedirs(r)
+    for name in sorted(os.listdir(b)):
+        with open(os.path.join(b, name)) as f, open(os.path.join(r, name + ".ndjson"), "w") as out:
+            for e in json.load(f)["entry"]:
+                out.write(json.dumps(e["resource"]) + "\n")
+    x = run_jobs(spark, b, m, os.path.join(workdir, "o1"))
+    y = run_jobs(spark, r, m, os.path.join(workdir, "o2"), resources_per_line=True)
+    rows = lambda res: sorted(map(tuple, spark.read.parquet(res.paths["analysis-hash"]).collect()))
+    assert rows(x) == rows(y)
