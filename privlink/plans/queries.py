@@ -23,6 +23,7 @@ from ..sources import testdata as td
 from ..sources.files import read_csv, write_csv
 from .jobs import run_jobs_on
 from .murmur_sql import hashed_select
+from ..streaming.incremental import link_stream
 
 # Fixed demonstration key of the keyed-hash queries (the oracle needs it).
 DEMO_HASH_KEY = b"privlink-demo-hash-key"
@@ -486,3 +487,24 @@ FROM nested""",
 )
 def _jobs_stats_encrypt(spark, sf_dir):
     return _read_result(spark, _run_jobs(spark, sf_dir, "parquet"), "analysis-encrypt-stats", "parquet", STATS)
+
+
+# -- the link as a Structured Streaming job ------------------------------------------
+
+
+@register("stream_link_report_murmur3", _report_sql(_GROUP_USERS))
+def _stream_link_report(spark, sf_dir):
+    """Messages (derived from the tables, written by Spark) arrive as a
+    parquet stream; the stream-static link writes hashed rows; the report
+    runs over what the stream wrote."""
+    src = scratch_path(spark, "stream-src")
+    msgs = td.messages(spark, sf_dir)
+    msgs.write.parquet(src)
+    out = scratch_path(spark, "stream-out")
+    stream = spark.readStream.schema(msgs.schema).parquet(src)
+    q = link_stream(stream, td.conditions(spark, sf_dir), out, protect="hash",
+                    checkpoint=scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return exposure_report(spark.read.parquet(out), uid="SynSocial_UID_hashed")

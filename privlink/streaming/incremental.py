@@ -48,23 +48,36 @@ def link_messages_stream(
     conditions: DataFrame,
     out_path: str,
     *,
+    as_lines: bool = False,
+    **kw,
+) -> StreamingQuery:
+    """Start the incremental link over a folder of message files; returns
+    the running query. Options as for ``link_stream``."""
+    docs = message_stream(spark, messages_path, as_lines=as_lines)
+    return link_stream(flatten_messages(docs, with_position=not as_lines), conditions, out_path, **kw)
+
+
+def link_stream(
+    messages: DataFrame,
+    conditions: DataFrame,
+    out_path: str,
+    *,
     checkpoint: str | None = None,
     protect: str | None = None,
     key: str | bytes | None = None,
     hash_algo: str = "murmur3",
-    as_lines: bool = False,
     bucket_days: int = DEFAULT_BUCKET_DAYS,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Start the incremental link; returns the running query.
+    """Link a streaming message frame to the static condition table and
+    append the (optionally protected) rows to a parquet folder.
 
     ``protect``: None (clear linked rows), ``"hash"`` or ``"encrypt"``
     (``key`` required for encryption and for keyed hashing).
     ``checkpoint`` defaults to a folder under the session's shared folder.
     """
-    docs = message_stream(spark, messages_path, as_lines=as_lines)
-    msgs = flatten_messages(docs, with_position=not as_lines)
-    linked = link_by_interval(msgs, conditions, bucket_days=bucket_days)
+    spark = messages.sparkSession
+    linked = link_by_interval(messages, conditions, bucket_days=bucket_days)
     ids = [c for c in ("source_path", "message_pos", "condition_id") if c in linked.columns]
     if protect == "hash":
         k = key.encode("utf-8") if isinstance(key, str) else key
