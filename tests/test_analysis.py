@@ -79,3 +79,15 @@ def test_encrypted_copy_every_row_its_own_user(spark):
     assert rep[2]["User_Count"] == rep[2]["Message_Count"] == 4.0 and rep[2]["Avg_Msg_per_User"] == 1.0
     s = exposure_stats(e, uid="SynSocial_UID_encrypted", record="Synthea_UID_encrypted").first()
     assert (s["Social-Media-Users"], s["Medical-Records"], s["Medical-Codes"]) == (8, 8, 2)
+
+
+def test_murmur3_collision_undercounts_hmac_does_not(spark):
+    """T8: the parity hash is 32-bit and unkeyed; two real user ids that
+    collide count as one user on the murmur3 copy, not on the keyed copy."""
+    rows = [("user-116855", 1, "r1", 1), ("user-128013", 1, "r2", 2)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    m = hash_columns(df, ["SynSocial_UID", "Synthea_UID"])
+    assert m.select("SynSocial_UID_hashed").distinct().count() == 1
+    assert exposure_stats(m, uid="SynSocial_UID_hashed", record="Synthea_UID_hashed").first()["Social-Media-Users"] == 1
+    h = hash_columns(df, ["SynSocial_UID", "Synthea_UID"], algo="hmac-sha256", key=b"k")
+    assert exposure_stats(h, uid="SynSocial_UID_hashed", record="Synthea_UID_hashed").first()["Social-Media-Users"] == 2
