@@ -23,6 +23,14 @@ def extract_resources(bundles: DataFrame, kind: str) -> DataFrame:
     return bundles.select(F.explode(wanted).alias("e")).select("e.resource.*")
 
 
+def resources_of(bundles: DataFrame, kinds=("Condition", "Patient")) -> DataFrame:
+    """All entries of the given kinds as resource rows (one explode). Write
+    this once and read it twice to parse the bundles a single time for the
+    patient-condition join."""
+    wanted = F.filter(F.col("entry"), lambda e: e["resource"]["resourceType"].isin(*kinds))
+    return bundles.select(F.explode(wanted).alias("e")).select("e.resource.*")
+
+
 def flatten_conditions(bundles: DataFrame, with_id: bool = False) -> DataFrame:
     """Columns: display, code, assertedDate, abatementDate, reference.
 

@@ -23,6 +23,7 @@ from ..operators.flatten import (
     flatten_patients,
     patient_conditions,
     patients_from_resources,
+    resources_of,
 )
 from ..operators.link import link_by_interval
 from ..operators.privacy import encrypt_columns, hash_columns, key_record, new_key
@@ -44,6 +45,7 @@ JOINED = "joinedDFData"
 HASHED = "hashedDFData"
 ENCRYPTED = "encryptedDFData"
 KEY = "KEY"
+RESOURCES_STAGE = "_resources"  # parsed clinical resources, always parquet
 ANALYSIS = "analysis-{kind}"
 ANALYSIS_STATS = "analysis-{kind}-stats"
 
@@ -139,15 +141,28 @@ def run_jobs_on(
 # -- the jobs, one per original program; each reads and writes under one base folder
 
 
-def job_conditions(hop: Hop, bundles: DataFrame, resources: bool = False) -> dict:
-    """1A: clinical bundles (or resource rows) -> patient-condition table."""
+def job_conditions(hop: Hop, bundles: DataFrame, resources: bool = False, stage: bool = True) -> dict:
+    """1A: clinical bundles (or resource rows) -> patient-condition table.
+
+    Both sides of the patient-condition join come from the same documents.
+    With ``stage`` the Condition and Patient resources are parsed once and
+    written as a columnar staging table, which the two sides then read with
+    column pruning, instead of parsing the JSON twice.
+    """
     keep_ids = hop.fmt == "parquet"
+    out = {}
+    if stage:
+        rows = bundles.filter(F.col("resourceType").isin("Condition", "Patient")) if resources else resources_of(bundles)
+        out["resources"] = p = hop.path(RESOURCES_STAGE)
+        write_parquet(rows, p)
+        bundles, resources = hop.spark.read.parquet(p), True
     if resources:
         pc = patient_conditions(conditions_from_resources(bundles, with_id=keep_ids), patients_from_resources(bundles))
     else:
         pc = patient_conditions(flatten_conditions(bundles, with_id=keep_ids), flatten_patients(bundles))
     pc = pc.withColumn("code", F.col("code").try_cast("long"))
-    return {"patients": hop.write(pc, PATIENTS)}
+    out["patients"] = hop.write(pc, PATIENTS)
+    return out
 
 
 def job_messages(hop: Hop, message_docs: DataFrame, positions: bool = True) -> dict:
