@@ -61,3 +61,35 @@ def test_murmur3_sql_matches_spark_hash(spark, values):
     con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(values)))
     dk = [r[1] for r in con.execute(hashed_select("t", ["id"], ["v"]) + " ORDER BY id").fetchall()]
     assert sp == dk
+
+
+stamp = st.datetimes(min_value=dt.datetime(1971, 1, 1), max_value=dt.datetime(2037, 12, 31))
+offset_min = st.integers(min_value=-12 * 60, max_value=14 * 60).map(lambda m: m - m % 15)
+
+
+@SETTINGS
+@given(values=st.lists(st.tuples(stamp, offset_min), min_size=1, max_size=60))
+def test_message_day_is_the_utc_day(spark, values):
+    from privlink.functions.dates import message_day
+
+    def text(local, off):
+        sign = "+" if off >= 0 else "-"
+        return local.strftime("%a %b %d %H:%M:%S ") + f"{sign}{abs(off) // 60:02d}{abs(off) % 60:02d}" + local.strftime(" %Y")
+
+    rows = [(i, text(t, o)) for i, (t, o) in enumerate(values)]
+    df = spark.createDataFrame(rows, "i int, s string")
+    got = {r["i"]: r["d"] for r in df.select("i", message_day("s").alias("d")).collect()}
+    exp = {i: (t - dt.timedelta(minutes=o)).date() for i, (t, o) in enumerate(values)}
+    assert got == exp
+
+
+@SETTINGS
+@given(values=st.lists(st.tuples(st.dates(min_value=dt.date(1900, 1, 1), max_value=dt.date(2099, 12, 31)),
+                                 st.sampled_from(["", "T00:00:00", "T23:30:00-04:00", "T01:00:00+14:00", "T12:00:00Z"])),
+                       min_size=1, max_size=60))
+def test_clinical_day_keeps_the_written_day(spark, values):
+    from privlink.functions.dates import clinical_day
+
+    df = spark.createDataFrame([(i, d.isoformat() + suffix) for i, (d, suffix) in enumerate(values)], "i int, s string")
+    got = {r["i"]: r["d"] for r in df.select("i", clinical_day("s").alias("d")).collect()}
+    assert got == {i: d for i, (d, _) in enumerate(values)}
