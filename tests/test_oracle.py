@@ -12,6 +12,12 @@ SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
+# Spark type -> DuckDB type of the same values
+SAME_TYPE = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE", "float": "FLOAT", "boolean": "BOOLEAN",
+}
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 
 
@@ -53,6 +59,9 @@ def test_query_matches_oracle(spark, duck, name):
     cur = duck.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
+    dtypes = {d[0]: str(d[1]).upper() for d in cur.description}
+    for f in df.schema.fields:
+        assert SAME_TYPE[f.dataType.simpleString()] == dtypes[f.name], (f.name, f.dataType, dtypes[f.name])
     assert _rows(df.columns, df.collect()) == _rows(dcols, cur.fetchall())
 
 
