@@ -11,8 +11,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, langid, line_dedup, simhash
-from .common import materialise, prepare
+from ..session import scratch_path
+from . import bpe, decontaminate, imatch, langid, line_dedup, sharding, simhash, url_rules, warc
+from .common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,6 +53,24 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_WARC_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest AS d, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON payload_digest = d
+"""
+
+
+@register("op2_warc_normalise", _WARC_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as monolithic gzip WARC files, normalised, and read back."""
+    raw, out = scratch_path(spark, "warc-raw"), scratch_path(spark, "warc")
+    warc.write_monolithic(warc.page_records(_read(spark, sf_dir, "pages")), raw)
+    warc.normalise(spark, raw, out)
+    return warc.read_archives(spark, out).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def in_fold() -> F.Column:
     """Documents that are held out from training."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
@@ -68,6 +87,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_language(docs.select("doc_id", "text"), language_sample(docs)).select("doc_id", in_fold().alias("held_out"), "lang_pred", "score")
 
 
+@register("op5_sharding")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of nearly equal bytes."""
+    done = sharding.shard_by_bytes(_read(spark, sf_dir, "documents"), 16)
+    return done.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 _LINES_SQL = r"""
 WITH lines AS (
   SELECT doc_id, i, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
@@ -88,12 +114,28 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@register("op7_imatch")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-Match fingerprints of every text and of its edited text, and their likeness."""
+    return imatch.edit_resilience(_read(spark, sf_dir, "documents"))
+
+
 @register("op8_decontaminate")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, a row for each document and item."""
     return decontaminate.benchmark_matches(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+#: Host, path and verdict of the explicit rules.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@register("op9_url_rules")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on every url: the explicit rule's, else that of the mined rules."""
+    return url_rules.judge_urls(_read(spark, sf_dir, "pages"), URL_RULES)
+
+
 @register("op10_simhash_groups")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate group of every document."""
