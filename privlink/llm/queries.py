@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import bpe, decontaminate, imatch, langid, line_dedup, sharding, simhash, url_rules, warc
+from . import bpe, decontaminate, imatch, langid, line_dedup, sharding, simhash, suffix_dedup, url_rules, warc
 from .common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_language(docs.select("doc_id", "text"), language_sample(docs)).select("doc_id", in_fold().alias("held_out"), "lang_pred", "score")
 
 
+@register("op4_suffix_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the bytes of 100-byte strings that start earlier."""
+    done = suffix_dedup.dedup_substrings(_read(spark, sf_dir, "documents"), 100)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op5_sharding")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of nearly equal bytes."""
