@@ -42,7 +42,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = simhash.simhash_groups(docs, shingle=4, max_bits=4)
     heads = materialise(groups.where("doc_id = component").select("doc_id").distinct(), "simhash-heads")
     others = [F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]
-    first = docs.join(heads, "doc_id", "left_semi").withColumn("_k", F.row_number().over(Window.partitionBy("doc_id").orderBy(*others))).where("_k = 1")
+    first = docs.join(heads.hint("merge"), "doc_id", "left_semi").withColumn("_k", F.row_number().over(Window.partitionBy("doc_id").orderBy(*others))).where("_k = 1")
     return first.select(*docs.columns).union(docs.where("doc_id IS NULL"))
 
 

@@ -289,7 +289,7 @@ def repeated_windows(docs: DataFrame, length: int = 100) -> DataFrame:
     met = materialise(met, "repeat-segments")
     _free(spark)
     spots = met.where("kind = 1").groupBy("id").agg(F.collect_list(F.struct("key", "pos", "n")).alias("spots"))
-    pieces = map_batches(docs.join(spots, "id").select("id", "data", "spots"), lambda b: _piece_rows(b, length), "core long, hash long, id long, pos long, text binary")
+    pieces = map_batches(docs.join(spots.hint("merge"), "id").select("id", "data", "spots"), lambda b: _piece_rows(b, length), "core long, hash long, id long, pos long, text binary")
     near = pieces.repartition("core").sortWithinPartitions("core", "hash", "id", "pos").mapInArrow(lambda it: _meet_pieces(it, length), "kind int, key long, id long, pos long, n int")
     near = materialise(near, "repeat-pieces")
     _free(spark)
@@ -331,5 +331,5 @@ def dedup_substrings(docs: DataFrame, length: int = 100, id_col: str = "doc_id",
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())], names=[id_col, "n_bytes", "spans", "kept"])
 
-    joined = slim.join(runs, "id", "left").select("own", "data", "runs")
+    joined = slim.join(runs.hint("merge"), "id", "left").select("own", "data", "runs")
     return map_batches(joined, run, f"`{id_col}` long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary")

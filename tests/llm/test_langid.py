@@ -1,0 +1,87 @@
+import random
+
+import pytest
+
+from privlink.llm import langid, queries
+
+from .conftest import ODD, SF
+
+
+@pytest.fixture(scope="module")
+def sample(documents):
+    return queries.language_sample(documents)
+
+
+def brute_phrases(parser, sample, text):
+    """Greedy longest matches found with substring search."""
+    data = "".join(map(chr, parser.symbols([text])[0]))
+    out = []
+    for lang in parser.langs:
+        known = "".join(map(chr, parser.symbols(sample[lang])[0][: langid.SAMPLE_CHARS]))
+        n = 0
+        for at in range(0, len(data), langid.BLOCK):
+            block, i = data[at : at + langid.BLOCK], 0
+            while i < len(block):
+                size = 0
+                while i + size < len(block) and block[i : i + size + 1] in known:
+                    size += 1
+                i += max(size, 1)
+                n += 1
+        out.append(n)
+    return out
+
+
+def test_phrases_equal_brute_force(documents, sample):
+    parser = langid.parser_of(sample)
+    texts = [r.text[:6000] for r in documents.limit(25).collect()] + ["", "Ж日x", "a", ". . b", "aaa" * 900]
+    random.Random(3).shuffle(texts)
+    assert parser.phrases(texts)[0].tolist() == [brute_phrases(parser, sample, t) for t in texts]
+
+
+def test_held_out_accuracy(spark, documents):
+    got = queries.QUERIES["op3_language_id"](spark, SF)
+    lang = documents.select("doc_id", "lang")
+    held = got.where("held_out").join(lang, "doc_id").collect()
+    assert got.count() == documents.count() and len(held) > 30
+    assert sum(r.lang == r.lang_pred for r in held) / len(held) >= 0.95
+    assert all(0 <= r.score <= 1 for r in held)
+
+
+def test_held_out_fold_is_not_learned(spark, documents):
+    from pyspark.sql import functions as F
+
+    spoiled = documents.withColumn("lang", F.when(queries.in_fold(), F.lit("xx")).otherwise(F.col("lang")))
+    assert "xx" not in queries.language_sample(spoiled)
+
+
+def test_sample_is_bounded(spark, documents):
+    small = langid.labelled_sample(documents, rows=3, row_chars=50)
+    assert all(len(t) <= 3 and max(map(len, t)) <= 50 for t in small.values())
+
+
+def test_odd_rows(spark, docs_of, sample, tiny_batches):
+    rows = langid.predict_language(docs_of(ODD), sample)
+    got = rows.collect()
+    assert len(got) == len(ODD)
+    for r in got:
+        has_letter = any(c.isalpha() for c in r.text or "")
+        assert (r.lang_pred == "und") == (not has_letter) and 0 <= r.score <= 1
+        assert r.fp == "fp" and r.id == "id"  # clashing columns stay; score is replaced
+    assert rows.columns.count("score") == 1
+
+
+def test_nothing_learned_and_empty_table(spark, docs_of):
+    none = langid.predict_language(docs_of([(1, "words")]), {}).collect()
+    assert [(r.lang_pred, r.score) for r in none] == [("und", 0.0)]
+    assert langid.predict_language(docs_of([]), {"en": ["a"]}).collect() == []
+    assert langid.labelled_sample(docs_of([])) == {}
+
+
+def test_ties_go_to_the_first_language():
+    parser = langid.CrossParser({"a": ["same text"], "b": ["same text"]})
+    assert parser.predict(["same"])[0] == ["a"]
+
+
+def test_one_language_still_scores():
+    langs, scores = langid.CrossParser({"a": ["some text here"]}).predict(["some text", "zzz", ""])
+    assert langs == ["a", "a", "und"] and scores[0] > scores[1] >= 0
