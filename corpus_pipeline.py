@@ -15,22 +15,32 @@ from privlink.llm.common import materialise, prepare
 from privlink.llm.queries import TOKENIZER, language_sample
 
 
+def _shielded(docs: DataFrame) -> DataFrame:
+    """``docs`` with the columns that no operator reads under neutral names, so
+    that they cannot clash with what operators add."""
+    return docs.toDF(*(c if c in ("doc_id", "text", "lang") else f"column_{k}" for k, c in enumerate(docs.columns)))
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that have a language: those judged ``und`` (null text, no letter) go.
 
     Learns from the labelled documents of its own input, the held-out third left out.
     """
-    known = langid.predict_language(docs.withColumn("_text", F.col("text")), language_sample(docs), "_text")
-    return known.where("lang_pred <> 'und'").select(*docs.columns)
+    own = _shielded(docs)
+    known = langid.predict_language(own, language_sample(docs))
+    return known.where("lang_pred <> 'und'").select(*own.columns).toDF(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that ten or more documents share leave every text; ``n_chars`` follows
     the new text. Documents without a line left stay, with an empty text."""
-    done = line_dedup.drop_frequent_lines(docs, min_docs=10, min_chars=1)
-    if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return done.select(*docs.columns)
+    own = _shielded(docs)
+    done = line_dedup.drop_frequent_lines(own, min_docs=10, min_chars=1)
+    for k, f in enumerate(docs.schema):
+        if f.name == "n_chars":
+            name = own.columns[k]
+            done = done.withColumn(name, F.when(F.col("n_dropped") > 0, F.length("text").cast(f.dataType)).otherwise(F.col(name)))
+    return done.select(*own.columns).toDF(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,11 +49,12 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Of rows with equal doc_id the one with the smallest other values stays. Rows
     without a doc_id are in no position to stand for a group; all of them stay.
     """
-    groups = simhash.simhash_groups(docs, shingle=4, max_bits=4)
+    own = _shielded(docs)
+    groups = simhash.simhash_groups(own, shingle=4, max_bits=4)
     heads = materialise(groups.where("doc_id = component").select("doc_id").distinct(), "simhash-heads")
-    others = [F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]
-    first = docs.join(heads.hint("merge"), "doc_id", "left_semi").withColumn("_k", F.row_number().over(Window.partitionBy("doc_id").orderBy(*others))).where("_k = 1")
-    return first.select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    order = Window.partitionBy("doc_id").orderBy(*(c for c in own.columns if c != "doc_id"))
+    first = own.join(heads.hint("merge"), "doc_id", "left_semi").withColumn("place", F.row_number().over(order)).where("place = 1")
+    return first.select(*own.columns).union(own.where("doc_id IS NULL")).toDF(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
