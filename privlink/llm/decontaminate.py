@@ -35,17 +35,19 @@ def normalise(text: str) -> str:
     return low
 
 
-def myers(pattern: str, text: str) -> tuple[int, int]:
-    """Smallest edit distance of ``pattern`` to any part of ``text``, and the
-    first end of such a part."""
-    m = len(pattern)
+def _masks(pattern: str) -> dict[str, int]:
     masks: dict[str, int] = {}
     for i, c in enumerate(pattern):
         masks[c] = masks.get(c, 0) | 1 << i
+    return masks
+
+
+def _search(masks: dict[str, int], m: int, text: str) -> tuple[int, int]:
     full, top = (1 << m) - 1, 1 << (m - 1)
     plus, minus, now, best, end = full, 0, m, m, 0
+    of = masks.get
     for j, c in enumerate(text, 1):
-        eq = masks.get(c, 0)
+        eq = of(c, 0)
         x = eq | minus
         d0 = (((x & plus) + plus) ^ plus) | x
         up, down = minus | ~(d0 | plus) & full, plus & d0
@@ -53,27 +55,64 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
             now += 1
         elif down & top:
             now -= 1
+            if now < best:
+                best, end = now, j
         up, down = up << 1 & full, down << 1 & full
         plus, minus = down | ~(d0 | up) & full, up & d0
-        if now < best:
-            best, end = now, j
     return best, end
 
 
+def myers(pattern: str, text: str) -> tuple[int, int]:
+    """Smallest edit distance of ``pattern`` to any part of ``text``, and the
+    first end of such a part."""
+    return _search(_masks(pattern), len(pattern), text)
+
+
+class _Node:
+    """A part of an item, ``start`` to ``stop``, with its own error budget."""
+
+    def __init__(self, item: str, start: int, stop: int, budget: int):
+        self.start, self.stop, self.budget = start, stop, budget
+        self.masks, self.size = _masks(item[start:stop]), stop - start
+
+    def near(self, text: str, begin: int) -> bool:
+        """Within budget where the item, laid over the text from ``begin`` on, has this part."""
+        part = text[max(0, begin + self.start - self.budget) : max(0, begin + self.stop + self.budget)]
+        return _search(self.masks, self.size, part)[0] <= self.budget
+
+
 class Pieces:
-    """Pieces of a block of items: ``matches`` finds the items in a text."""
+    """Pieces of a block of items: ``matches`` finds the items in a text.
+
+    The pieces of an item are the leaves of a binary tree. A part of p pieces
+    has a budget of p - 1 edits, so if a part is within its budget, one of its
+    halves is within its own. A find is therefore followed from the piece up,
+    part by part, and dropped at the first part over budget; chance finds end
+    after a few characters.
+    """
 
     def __init__(self, items: list[tuple[int, str]], rate: float):
         self.items, self.budget = [], []
-        where: dict[str, list[tuple[int, int]]] = {}
+        self.leaves: list[tuple[int, int, list[_Node]]] = []
+        where: dict[str, list[int]] = {}
         for _, text in items:
             k, n = int(rate * len(text)), len(self.items)
             cuts = [len(text) * i // (k + 1) for i in range(k + 2)]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                where.setdefault(text[a:b], []).append((n, a))
+            parts: list[tuple[int, int, list[_Node]]] = [(0, k + 1, [])]
+            while parts:
+                lo, hi, above = parts.pop()
+                if hi - lo == 1:
+                    where.setdefault(text[cuts[lo] : cuts[hi]], []).append(len(self.leaves))
+                    self.leaves.append((n, cuts[lo], above))
+                    continue
+                # the whole item is searched in the end anyway
+                own = above if (lo, hi) == (0, k + 1) else [_Node(text, cuts[lo], cuts[hi], hi - lo - 1), *above]
+                mid = (lo + hi + 1) // 2
+                parts += [(lo, mid, own), (mid, hi, own)]
             self.items.append(text)
             self.budget.append(k)
         self.ids = [i for i, _ in items]
+        self.whole = [(_masks(t), _masks(t[::-1])) for t in self.items]
         self.automaton = ahocorasick.Automaton()
         for piece, at in where.items():
             self.automaton.add_word(piece, (len(piece), at))
@@ -85,28 +124,27 @@ class Pieces:
         error budget; the closest, first occurrence gives the span."""
         if not self.items or not text:
             return []
-        finds: dict[int, list[int]] = {}
+        begins: dict[int, set[int]] = {}
         for end, (size, at) in self.automaton.iter(text):
-            for n, offset in at:
-                finds.setdefault(n, []).append(end + 1 - size - offset)
+            for leaf in at:
+                n, offset, above = self.leaves[leaf]
+                begin = end + 1 - size - offset
+                if all(node.near(text, begin) for node in above):
+                    begins.setdefault(n, set()).add(begin)
         out = []
-        for n, begins in finds.items():
-            item, k = self.items[n], self.budget[n]
-            m, found, seen = len(item), [], None
-            for b in sorted(set(begins)):
-                # a find whose window lies within one that was searched says nothing new
-                if seen is not None and b <= seen:
-                    continue
-                lo, hi = max(0, b - k), min(len(text), b + m + k)
-                if text.startswith(item, b) and b >= 0:
-                    found.append((0, b, b + m))
+        for n, spots in begins.items():
+            item, k, (forward, back), found = self.items[n], self.budget[n], self.whole[n], set()
+            m = len(item)
+            for b in sorted(spots):
+                if b >= 0 and text.startswith(item, b):
+                    found.add((0, b, b + m))
                     continue
-                distance, end = myers(item, text[lo:hi])
+                lo = max(0, b - k)
+                distance, end = _search(forward, m, text[lo : max(0, b + m + k)])
                 if distance <= k:
                     # the part's start: the same search backwards from its end
-                    _, back = myers(item[::-1], text[max(0, lo + end - m - k) : lo + end][::-1])
-                    found.append((distance, lo + end - back, lo + end))
-                seen = b
+                    size = _search(back, m, text[max(0, lo + end - m - k) : lo + end][::-1])[1]
+                    found.add((distance, lo + end - size, lo + end))
             if found:
                 d, s, e = min(found)
                 out.append((self.ids[n], s, e, d, len({x[2] for x in found})))
