@@ -10,20 +10,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.crypto import HMAC_BLOCK, HMAC_IPAD, HMAC_OPAD, new_key
-from ..functions.dates import clinical_day, message_day
-from ..operators.analysis import exposure_report, exposure_stats, user_code_counts
-from ..operators.flatten import flatten_conditions, flatten_messages, flatten_patients, patient_conditions
-from ..operators.lineage import dangling_edges, lineage_datasets, lineage_edges
-from ..operators.link import link_by_interval
-from ..operators.privacy import decrypt_columns, encrypt_columns, hash_columns
-from ..schemas import PERSONAL_COLUMNS, REPORT, STATS
-from ..session import scratch_path
-from ..sources import testdata as td
-from ..sources.files import read_csv, write_csv
-from .jobs import run_jobs_on
+from privlink.functions.crypto import HMAC_BLOCK, HMAC_IPAD, HMAC_OPAD, new_key
+from privlink.functions.dates import clinical_day, message_day
+from privlink.operators.analysis import exposure_report, exposure_stats, user_code_counts
+from privlink.operators.flatten import (
+    conditions_from_resources,
+    flatten_conditions,
+    flatten_messages,
+    flatten_patients,
+    patient_conditions,
+    patients_from_resources,
+    resources_of,
+)
+from privlink.operators.lineage import dangling_edges, lineage_datasets, lineage_edges
+from privlink.operators.link import link_by_interval
+from privlink.operators.privacy import decrypt_columns, encrypt_columns, hash_columns
+from privlink.plans.jobs import run_jobs_on
+from privlink.schemas import PERSONAL_COLUMNS, REPORT, STATS
+from privlink.session import scratch_path
+from privlink.sources.files import read_csv, read_message_lines, read_resources, write_csv
+from privlink.streaming.incremental import link_stream
+
+from . import testdata as td
 from .murmur_sql import hashed_select
-from ..streaming.incremental import link_stream
 
 # Fixed demonstration key of the keyed-hash queries (the oracle needs it).
 DEMO_HASH_KEY = b"privlink-demo-hash-key"
@@ -314,6 +323,14 @@ SELECT CAST(o_custkey AS VARCHAR) AS SynSocial_UID, c_name AS name, lower(c_name
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 """
 
+# a document per order: a message's place is that of its line item
+PLACED_MESSAGES_SQL = FLAT_MESSAGES_SQL.replace(
+    "AS filename",
+    f"""AS filename, '{td.MESSAGE_FOLDER}' || CAST(o_orderkey AS VARCHAR) || '/'
+         || replace(replace(replace(replace({_FILE_NAME_SQL}, '%', '%25'), ' ', '%20'), '#', '%23'), '?', '%3F') AS source_path,
+       row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate) - 1 AS message_pos""",
+)
+
 NESTED_LINKED_SQL = f"""
 SELECT m.SynSocial_UID, m.name, m.screen_name, CAST(l_shipdate AS DATE) AS created_at, m.text, m.filename,
        c.display, TRY_CAST(c.code AS BIGINT) AS code,
@@ -349,7 +366,9 @@ register("flatten_conditions", FLAT_CONDITIONS_SQL)(
 )
 register("flatten_patients", FLAT_PATIENTS_SQL)(lambda spark, sf_dir: flatten_patients(td.bundles(spark, sf_dir)))
 register("patient_conditions", PATIENT_CONDITIONS_SQL)(_nested_conditions)
-register("flatten_messages", FLAT_MESSAGES_SQL)(_nested_messages)
+register("flatten_messages", PLACED_MESSAGES_SQL)(
+    lambda spark, sf_dir: flatten_messages(td.message_docs(spark, sf_dir), with_position=True)
+)
 
 
 @register(
@@ -381,6 +400,40 @@ def _clinical_days(spark, sf_dir):
 register("link_from_nested", NESTED_LINKED_SQL)(nested_linked)
 
 
+# JSON lines written by Spark and read back through the library's readers
+
+
+@register("json_roundtrip_messages", f"SELECT * EXCLUDE (filename) FROM ({FLAT_MESSAGES_SQL})")
+def _json_messages(spark, sf_dir):
+    path = scratch_path(spark, "json-messages")
+    td.message_docs(spark, sf_dir).select(F.inline("messages")).write.json(path)
+    return flatten_messages(read_message_lines(spark, path)).drop("filename")
+
+
+@register("json_roundtrip_resources", PATIENT_CONDITIONS_SQL)
+def _json_resources(spark, sf_dir):
+    path = scratch_path(spark, "json-resources")
+    resources_of(td.bundles(spark, sf_dir), kinds=("Condition", "Patient", "Observation")).write.json(path)
+    r = read_resources(spark, path)
+    return patient_conditions(conditions_from_resources(r, with_id=True), patients_from_resources(r))
+
+
+# spells of a day, of 30 years and up to the year 9999, overlapping per person
+
+
+@register("link_mixed_spans", f"""
+SELECT m.*, c.condition_id, c.first_day, c.last_day
+FROM (SELECT SynSocial_UID, filename, created_at, {', '.join(td.MESSAGE_ID)} FROM ({td.MESSAGES_SQL})) m
+LEFT JOIN ({td.MIXED_SPANS_SQL}) c
+  ON m.filename = c.person AND c.first_day <= m.created_at AND m.created_at <= c.last_day
+""")
+def _mixed_spans(spark, sf_dir):
+    m = td.messages(spark, sf_dir).select("SynSocial_UID", "filename", "created_at", *td.MESSAGE_ID)
+    c = td.mixed_spans(spark, sf_dir)
+    linked = link_by_interval(m, c, condition_key=F.col("person"), start="first_day", end="last_day")
+    return linked.drop("person")
+
+
 @register(
     "exposure_report_from_nested",
     _report_sql(_GROUP_USERS, source="nested").replace("WITH linked AS (", f"WITH nested AS ({NESTED_LINKED_SQL}), linked AS (", 1),
@@ -399,7 +452,7 @@ FROM customer
 UNION ALL
 SELECT 'order_' || CAST(o_orderkey AS VARCHAR) || '@sf', 'order ' || CAST(o_orderkey AS VARCHAR),
        NULL, o_orderpriority, 'hdfs', epoch_ms(o_orderdate), o_orderdate
-FROM orders WHERE o_orderstatus = 'F'
+FROM orders
 """
 
 LINEAGE_EDGES_SQL = """
@@ -409,7 +462,7 @@ SELECT 'job_' || CAST(o_orderkey AS VARCHAR) || '@sf' AS process, 'job-' || CAST
 FROM orders
 UNION ALL
 SELECT 'job_' || CAST(o_orderkey AS VARCHAR) || '@sf', 'job-' || CAST(o_orderkey AS VARCHAR) || '.py',
-       'output', 'order_' || CAST(o_orderkey AS VARCHAR) || '@sf', 'g-o-' || CAST(o_orderkey AS VARCHAR), 'hdfs_folder'
+       'output', 'order_' || CAST(o_orderkey AS VARCHAR) || CASE WHEN o_orderstatus = 'F' THEN '@sf' ELSE '@elsewhere' END, 'g-o-' || CAST(o_orderkey AS VARCHAR), 'hdfs_folder'
 FROM orders
 """
 
@@ -440,10 +493,15 @@ register("csv_roundtrip_linked", f"SELECT * FROM ({td.LINKED_SQL})")(
     lambda spark, sf_dir: _csv_roundtrip(spark, linked(spark, sf_dir), "csv-linked")
 )
 
-# message-like text with newlines, quotes and outer blanks in most rows
-register("csv_roundtrip_documents", "SELECT * FROM documents")(
-    lambda spark, sf_dir: _csv_roundtrip(spark, td.table(spark, sf_dir, "documents"), "csv-documents")
+# message-like text with newlines, quotes and outer blanks in most rows; some
+# texts made empty or NULL by a rule on the key
+@register(
+    "csv_roundtrip_documents",
+    f"SELECT * REPLACE (CASE WHEN doc_id % {td.NULL_TEXT_MOD} = 0 THEN NULL WHEN doc_id % {td.EMPTY_TEXT_MOD} = 0 THEN '' ELSE text END AS text) FROM documents",
 )
+def _csv_documents(spark, sf_dir):
+    text = F.when(F.col("doc_id") % td.NULL_TEXT_MOD == 0, F.lit(None)).when(F.col("doc_id") % td.EMPTY_TEXT_MOD == 0, F.lit("")).otherwise(F.col("text"))
+    return _csv_roundtrip(spark, td.table(spark, sf_dir, "documents").withColumn("text", text), "csv-documents")
 
 
 # -- the six jobs end to end, with written hand-offs ---------------------------------
@@ -475,20 +533,24 @@ def _jobs_report_csv(spark, sf_dir):
     return _read_result(spark, _run_jobs(spark, sf_dir, "csv"), "analysis-hash", "csv", REPORT)
 
 
-# encrypted copy: one token per linked row (row identity carried by parquet hops)
-@register(
-    "jobs_stats_encrypt_parquet",
-    _NESTED_WITH.replace(", linked AS (", "")
-    + """
+# encrypted copy: one token per linked row on either hand-off
+_JOBS_STATS_SQL = _NESTED_WITH.replace(", linked AS (", "") + """
 SELECT CAST(count(SynSocial_UID) AS BIGINT) AS "Social-Media-Users",
        CAST(count(Synthea_UID) AS BIGINT) AS "Medical-Records",
        CAST(count(DISTINCT code) AS BIGINT) AS "Medical-Codes"
-FROM nested""",
-)
+FROM nested"""
+
+
+@register("jobs_stats_encrypt_parquet", _JOBS_STATS_SQL)
 def _jobs_stats_encrypt(spark, sf_dir):
     return _read_result(spark, _run_jobs(spark, sf_dir, "parquet"), "analysis-encrypt-stats", "parquet", STATS)
 
 
+@register("jobs_stats_encrypt_csv", _JOBS_STATS_SQL)
+def _jobs_stats_encrypt_csv(spark, sf_dir):
+    return _read_result(spark, _run_jobs(spark, sf_dir, "csv"), "analysis-encrypt-stats", "csv", STATS)
+
+
 # -- the link as a Structured Streaming job ------------------------------------------
 
 

@@ -15,7 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.keys import MESSAGE_FILE_SUFFIX
+from privlink.functions.keys import MESSAGE_FILE_SUFFIX, encode_file_name
+from privlink.schemas import LINEAGE_DOC, RESOURCE
 
 # Column set that identifies one message row (line numbers repeat in the
 # test data, so the parts and suppliers are part of the identity).
@@ -28,18 +29,8 @@ CODE_MODULUS = 40
 SPELL_MODULUS = 90
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table; its schema is read once per path, later reads pass it
-    (no footer-reading job per read)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if path not in _SCHEMAS:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,11 +109,35 @@ LEFT JOIN ({CONDITIONS_SQL}) c
 """
 
 
+# Spells of mixed length, one per order and person: a day, about 30 years, or to the end of time.
+MIXED_SPANS_SQL = f"""
+SELECT c_name || '_' || c_mktsegment || '_' || CAST(c_custkey AS VARCHAR) || '{MESSAGE_FILE_SUFFIX}' AS person,
+       o_orderkey AS condition_id,
+       CAST(CASE WHEN o_orderkey % 3 = 1 THEN CAST(o_orderdate AS DATE) - 5000 ELSE CAST(o_orderdate AS DATE) END AS DATE) AS first_day,
+       CAST(CASE o_orderkey % 3 WHEN 0 THEN CAST(o_orderdate AS DATE) WHEN 1 THEN CAST(o_orderdate AS DATE) + 5957
+            ELSE DATE '9999-12-31' END AS DATE) AS last_day
+FROM orders JOIN customer ON o_custkey = c_custkey
+"""
+
+
+def mixed_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    day, kind = F.to_date("o_orderdate"), F.col("o_orderkey") % 3
+    return o.join(c, o.o_custkey == c.c_custkey).select(
+        message_file_name(F.col("c_name"), F.col("c_mktsegment"), F.col("c_custkey")).alias("person"),
+        F.col("o_orderkey").alias("condition_id"),
+        F.when(kind == 1, F.date_sub(day, 5000)).otherwise(day).alias("first_day"),
+        F.when(kind == 0, day).when(kind == 1, F.date_add(day, 5957)).otherwise(F.lit("9999-12-31").cast("date")).alias("last_day"),
+    )
+
+
 # -- nested inputs derived from the same tables --------------------------------
 #
-# One bundle per customer (its Patient) and one per order (its Condition), one
-# message document per line item: no grouping, so no document grows with a
-# person's history. Edge cases are spread by fixed rules on the keys.
+# One bundle per order (its Condition, an Observation and, in a customer's
+# first order, the Patient), one per customer without orders; one message
+# document per order with its line items. An order bounds each document, so
+# none grows with a person's history. Edge cases are spread by fixed rules on
+# the keys.
 
 # Fixed rules of the nested mapping.
 NO_CODING_MOD = 11      # order key % 11 == 0: condition without codings
@@ -133,7 +148,9 @@ NULL_GIVEN_MOD = 17     # customer key % 17 == 0: first given name is NULL
 CLINICAL_ZONE = "-04:00"
 ABATEMENT_TIME = "T08:00:00-04:00"
 MESSAGE_TIME_PATTERN = "EEE MMM dd HH:mm:ss +0000 yyyy"
-MESSAGE_FOLDER = "hdfs:///DataSet1/social-media-users/"
+MESSAGE_FOLDER = "hdfs:///linkage/messages/"
+# Fixed rules of the CSV round trip.
+NULL_TEXT_MOD, EMPTY_TEXT_MOD = 7, 5
 
 
 def _null(t: str):
@@ -141,20 +158,17 @@ def _null(t: str):
 
 
 def _resource(**given):
-    from ..schemas import RESOURCE
-
     return F.struct(
         *[(given[f.name] if f.name in given else _null(f.dataType.simpleString())).alias(f.name) for f in RESOURCE.fields]
     )
 
 
-def _bundle(resource, full_url):
-    return F.array(F.struct(full_url.alias("fullUrl"), resource.alias("resource"))).alias("entry")
+def _entry(resource, full_url):
+    return F.struct(full_url.alias("fullUrl"), resource.alias("resource"))
 
 
 def bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clinical bundles: Patient bundles from customer, Condition bundles
-    from orders."""
+    """Clinical bundles from customer and orders."""
     c = table(spark, sf_dir, "customer")
     ck = F.col("c_custkey")
     cid = ck.cast("string")
@@ -167,22 +181,21 @@ def bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.lit("Alias").alias("family"), F.array(F.lit("Other")).alias("given")),
         )
     )
-    patients = c.select(
-        F.lit("Bundle").alias("resourceType"),
-        _bundle(
-            _resource(
-                resourceType=F.lit("Patient"),
-                id=cid,
-                identifier=F.array(
-                    F.struct(cid.alias("value")), F.struct(F.concat(F.lit("mrn-"), cid).alias("value"))
-                ),
-                name=names,
+    patient = _entry(
+        _resource(
+            resourceType=F.lit("Patient"),
+            id=cid,
+            identifier=F.array(
+                F.struct(cid.alias("value")), F.struct(F.concat(F.lit("mrn-"), cid).alias("value"))
             ),
-            F.concat(F.lit("urn:uuid:"), cid),
+            name=names,
         ),
+        F.concat(F.lit("urn:uuid:"), cid),
     )
 
     o = table(spark, sf_dir, "orders")
+    firsts = o.groupBy("o_custkey").agg(F.min("o_orderkey").alias("first_order"))
+    patients = c.join(firsts, F.col("c_custkey") == F.col("o_custkey"), "left").select("first_order", patient.alias("patient"))
     ok = F.col("o_orderkey")
     coding = "array<struct<code:string,display:string>>"
     first = F.struct((ok % CODE_MODULUS).cast("string").alias("code"), F.col("o_orderpriority").alias("display"))
@@ -205,29 +218,33 @@ def bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref = F.when(even, F.concat(F.lit("urn:uuid:"), F.col("o_custkey").cast("string"))).otherwise(
         F.concat(F.lit("Patient/"), F.col("o_custkey").cast("string"))
     )
-    conds = o.select(
-        F.lit("Bundle").alias("resourceType"),
-        _bundle(
-            _resource(
-                resourceType=F.lit("Condition"),
-                id=ok.cast("string"),
-                code=F.struct(codings.alias("coding")),
-                assertedDate=F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(CLINICAL_ZONE)),
-                abatementDateTime=F.when(~even, end_text),
-                abatement=F.when(even, F.struct(end_text.alias("dateTime"))),
-                subject=F.struct(ref.alias("reference")),
-            ),
-            F.concat(F.lit("urn:uuid:cond-"), ok.cast("string")),
+    condition = _entry(
+        _resource(
+            resourceType=F.lit("Condition"),
+            id=ok.cast("string"),
+            code=F.struct(codings.alias("coding")),
+            assertedDate=F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(CLINICAL_ZONE)),
+            abatementDateTime=F.when(~even, end_text),
+            abatement=F.when(even, F.struct(end_text.alias("dateTime"))),
+            subject=F.struct(ref.alias("reference")),
         ),
+        F.concat(F.lit("urn:uuid:cond-"), ok.cast("string")),
+    )
+    observation = _entry(
+        _resource(resourceType=F.lit("Observation"), id=F.concat(F.lit("obs-"), ok.cast("string"))),
+        F.concat(F.lit("urn:uuid:obs-"), ok.cast("string")),
     )
-    return patients.unionByName(conds)
+    by_order = o.join(patients, ok == F.col("first_order"), "left").select(
+        F.lit("Bundle").alias("resourceType"),
+        F.array_compact(F.array(observation, F.col("patient"), condition)).alias("entry"),
+    )
+    alone = patients.filter(F.col("first_order").isNull()).select(F.lit("Bundle").alias("resourceType"), F.array("patient").alias("entry"))
+    return by_order.unionByName(alone)
 
 
 def message_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Message documents (``messages``, ``path``): one per line item, plus an
-    empty document per order in status 'P'."""
-    from ..functions.keys import encode_file_name
-
+    """Message documents (``messages``, ``path``): one per order, with a message
+    per line item, plus an empty document per order in status 'P'."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
@@ -244,13 +261,11 @@ def message_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         created.alias("created_at"),
         F.concat("l_returnflag", "l_linestatus").alias("text"),
     )
-    # one folder per line item: the path identifies the document, its last
-    # segment (the person's file name) links it
-    folder = F.concat_ws("/", *[F.col(c).cast("string") for c in MESSAGE_ID[:4]], F.date_format("l_shipdate", "yyyyMMdd"))
-    docs = j.select(
-        F.array(msg).alias("messages"),
-        F.concat(F.lit(MESSAGE_FOLDER), folder, F.lit("/"), encode_file_name(name)).alias("path"),
-    )
+    # one folder per order; the path's last segment (the person's file name) links it
+    path = F.concat(F.lit(MESSAGE_FOLDER), F.col("o_orderkey").cast("string"), F.lit("/"), encode_file_name(name))
+    placed = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", msg.alias("message"))
+    docs = j.groupBy(path.alias("path")).agg(F.sort_array(F.collect_list(placed)).alias("m"))
+    docs = docs.select(F.transform("m", lambda x: x["message"]).alias("messages"), "path")
     empty = (
         table(spark, sf_dir, "orders")
         .filter(F.col("o_orderstatus") == "P")
@@ -263,10 +278,9 @@ def message_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineage_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalogue documents: a dataset per customer and per finished order, a
-    process per order reading its customer and writing the order."""
-    from ..schemas import LINEAGE_DOC
-
+    """Catalogue documents: a dataset per customer and per order, a process per
+    order reading its customer and writing the order. Orders that are not
+    finished are written to a place of another name, which no dataset has."""
     attrs_t = LINEAGE_DOC["entity"].dataType["attributes"].dataType
 
     def doc(type_name, **given):
@@ -293,7 +307,7 @@ def lineage_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
             description=F.col("c_mktsegment"),
         )
     )
-    done = o.filter(F.col("o_orderstatus") == "F").select(
+    done = o.select(
         doc(
             "hdfs_folder",
             owner=F.lit("hdfs"),
@@ -316,7 +330,14 @@ def lineage_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
             endTime=start + 10000,
             processId=F.col("o_orderkey").cast("string"),
             inputs=F.array(ref(F.concat(F.lit("g-c-"), F.col("o_custkey").cast("string")), cq(F.col("o_custkey")))),
-            outputs=F.array(ref(F.concat(F.lit("g-o-"), F.col("o_orderkey").cast("string")), oq(F.col("o_orderkey")))),
+            outputs=F.array(
+                ref(
+                    F.concat(F.lit("g-o-"), F.col("o_orderkey").cast("string")),
+                    F.when(F.col("o_orderstatus") == "F", oq(F.col("o_orderkey"))).otherwise(
+                        F.concat(F.lit("order_"), F.col("o_orderkey").cast("string"), F.lit("@elsewhere"))
+                    ),
+                )
+            ),
         )
     )
     return cust.unionByName(done).unionByName(jobs)

@@ -1,7 +1,7 @@
 """privlink: privacy-aware record linkage on Spark DataFrames."""
 
 from .operators.analysis import exposure_report, exposure_stats, user_code_counts
-from .operators.link import link_by_interval, link_by_interval_flat
+from .operators.link import link_by_interval
 from .operators.privacy import decrypt_columns, encrypt_columns, hash_columns, key_record, new_key
 
 __all__ = [
@@ -12,7 +12,6 @@ __all__ = [
     "hash_columns",
     "key_record",
     "link_by_interval",
-    "link_by_interval_flat",
     "new_key",
     "user_code_counts",
 ]

@@ -5,8 +5,11 @@ ciphertext | HMAC-SHA256(sign_key, everything before))``; the 32-byte key is
 ``sign_key(16) | enc_key(16)`` (public Fernet specification). Spark's
 ``aes_encrypt(..., 'CBC', 'PKCS', iv)`` already returns ``iv | ciphertext``,
 and HMAC is two ``sha2`` calls over precomputed key pads, so every value is
-encrypted inside whole-stage codegen, with no Python worker and the key
-shipped once in the plan.
+encrypted inside whole-stage codegen, with no Python worker.
+
+Keys never stand in a plan: a literal would be printed by ``explain()`` and
+written to Spark's event log. They enter as scalar subqueries over a one-row
+in-memory frame (``secret``), which plans show as a subquery number only.
 
 The IV is never left to ``aes_encrypt``: an IV-less call counts as
 deterministic, so the optimizer may duplicate it and the copies would
@@ -21,7 +24,7 @@ import hashlib
 import os
 import time
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 # Fixed values of the Fernet format and of HMAC (RFC 2104).
 FERNET_VERSION = b"\x80"
@@ -50,28 +53,56 @@ def split_key(key: str | bytes) -> tuple[bytes, bytes]:
 
 
 def _bin(b: bytes) -> Column:
+    """A literal; for public bytes only (see ``secret``)."""
     return F.lit(bytearray(b))
 
 
-def hmac_sha256_hex(key: bytes, msg: Column) -> Column:
+def secret(*values: bytes) -> list[Column]:
+    """Binary columns whose values no plan text and no event log shows."""
+    spark = SparkSession.active()
+    names = [f"part_{i}" for i in range(len(values))]
+    frame = spark.createDataFrame([tuple(bytearray(v) for v in values)], ", ".join(f"{n} binary" for n in names))
+    return [frame.select(n).scalar() for n in names]
+
+
+class HmacKey:
+    """Padded key of HMAC-SHA256, ready for use in any number of columns."""
+
+    def __init__(self, key: bytes):
+        k = key if len(key) <= HMAC_BLOCK else hashlib.sha256(key).digest()
+        k = k.ljust(HMAC_BLOCK, b"\0")
+        self.ipad, self.opad = secret(bytes(b ^ HMAC_IPAD for b in k), bytes(b ^ HMAC_OPAD for b in k))
+
+
+class FernetKey:
+    """A Fernet key's two halves as secret columns; raises on a malformed key."""
+
+    def __init__(self, key: str | bytes):
+        sign_key, enc_key = split_key(key)
+        self.sign = HmacKey(sign_key)
+        (self.enc,) = secret(enc_key)
+
+
+def _fernet_key(key: str | bytes | FernetKey) -> FernetKey:
+    return key if isinstance(key, FernetKey) else FernetKey(key)
+
+
+def hmac_sha256_hex(key: bytes | HmacKey, msg: Column) -> Column:
     """HMAC-SHA256 of a binary column under a driver-side key (lower-case hex)."""
-    k = key if len(key) <= HMAC_BLOCK else hashlib.sha256(key).digest()
-    k = k.ljust(HMAC_BLOCK, b"\0")
-    ipad = bytes(b ^ HMAC_IPAD for b in k)
-    opad = bytes(b ^ HMAC_OPAD for b in k)
-    inner = F.unhex(F.sha2(F.concat(_bin(ipad), msg), 256))
-    return F.sha2(F.concat(_bin(opad), inner), 256)
+    k = key if isinstance(key, HmacKey) else HmacKey(key)
+    inner = F.unhex(F.sha2(F.concat(k.ipad, msg), 256))
+    return F.sha2(F.concat(k.opad, inner), 256)
 
 
-def hmac_sha256(key: bytes, msg: Column) -> Column:
+def hmac_sha256(key: bytes | HmacKey, msg: Column) -> Column:
     """HMAC-SHA256 of a binary column under a driver-side key (binary result)."""
     return F.unhex(hmac_sha256_hex(key, msg))
 
 
-def row_iv(salt: bytes, column_name: str, row_id: Column, value: Column) -> Column:
+def row_iv(salt: bytes | Column, column_name: str, row_id: Column, value: Column) -> Column:
     """16-byte IV = first half of SHA-256(salt | column | row id | value)."""
     material = F.concat(
-        _bin(salt),
+        salt if isinstance(salt, Column) else secret(salt)[0],
         F.lit(column_name).cast("binary"),
         _bin(b"\0"),
         F.coalesce(row_id.cast("binary"), _bin(b"")),
@@ -86,48 +117,57 @@ def base64url(b: Column) -> Column:
     return F.translate(F.base64(b), "+/\r\n", "-_")
 
 
-def fernet_encrypt(value: Column, key: str | bytes, iv: Column, at: int | None = None) -> Column:
+def fernet_body(value: Column, key: FernetKey, iv: Column, at: int) -> Column:
+    """What a token signs: version, time, IV and ciphertext; NULL stays NULL."""
+    header = FERNET_VERSION + at.to_bytes(8, "big")
+    return F.concat(_bin(header), F.aes_encrypt(value.cast("binary"), key.enc, F.lit("CBC"), F.lit("PKCS"), iv))
+
+
+def fernet_sign(body: Column, key: FernetKey) -> Column:
+    return base64url(F.concat(body, hmac_sha256(key.sign, body)))
+
+
+def fernet_encrypt(value: Column, key: str | bytes | FernetKey, iv: Column, at: int | None = None) -> Column:
     """Fernet token of a string column; NULL stays NULL."""
-    sign_key, enc_key = split_key(key)
-    ts = int(time.time()) if at is None else int(at)
-    header = FERNET_VERSION + ts.to_bytes(8, "big")
-    body = F.concat(
-        _bin(header),
-        F.aes_encrypt(value.cast("binary"), _bin(enc_key), F.lit("CBC"), F.lit("PKCS"), iv),
-    )
-    return base64url(F.concat(body, hmac_sha256(sign_key, body)))
+    k = _fernet_key(key)
+    return fernet_sign(fernet_body(value, k, iv, int(time.time()) if at is None else int(at)), k)
+
+
+def fernet_raw(token: Column) -> Column:
+    """The bytes of a token; NULL if it is absent or no base64url."""
+    return F.try_to_binary(F.translate(token, "-_", "+/"), F.lit("base64"))
 
 
-def fernet_decrypt(token: Column, key: str | bytes, ttl: int | None = None, now: int | None = None) -> Column:
-    """Plain text of a Fernet token; NULL when the token is absent, malformed
-    or its MAC does not verify. With ``ttl`` (seconds), tokens older than
-    that, or stamped more than 60 s after ``now`` (default: this moment on
-    the driver), are rejected as well."""
-    sign_key, enc_key = split_key(key)
-    raw = F.try_to_binary(F.translate(token, "-_", "+/"), F.lit("base64"))
+def fernet_raw_ok(raw: Column, key: FernetKey, ttl: int | None = None, now: int | None = None) -> Column:
+    """Whether the bytes of a token are well formed, authentic and, with
+    ``ttl`` (seconds), not older than that nor stamped more than 60 s after
+    ``now`` (default: this moment on the driver)."""
     n = F.octet_length(raw)
-    signed = F.substr(raw, F.lit(1), n - _MAC_LEN)
-    mac = F.substr(raw, n - (_MAC_LEN - 1), F.lit(_MAC_LEN))
-    payload = F.substr(raw, F.lit(_HEADER_LEN + 1), n - (_HEADER_LEN + _MAC_LEN))
     ok = (
         (n >= _HEADER_LEN + 16 + 16 + _MAC_LEN)
         & (F.substr(raw, F.lit(1), F.lit(1)) == _bin(FERNET_VERSION))
-        & (hmac_sha256(sign_key, signed) == mac)
+        & (hmac_sha256(key.sign, F.substr(raw, F.lit(1), n - _MAC_LEN)) == F.substr(raw, n - (_MAC_LEN - 1), F.lit(_MAC_LEN)))
     )
     if ttl is not None:
         t = int(time.time()) if now is None else int(now)
         stamped = F.conv(F.hex(F.substr(raw, F.lit(2), F.lit(8))), 16, 10).cast("long")
         ok = ok & (stamped + F.lit(int(ttl)) >= F.lit(t)) & (stamped <= F.lit(t + _MAX_CLOCK_SKEW))
-    plain = F.try_aes_decrypt(payload, _bin(enc_key), F.lit("CBC"), F.lit("PKCS"))
-    return F.when(ok, plain.cast("string"))
+    return F.coalesce(ok, F.lit(False))
 
 
-def fernet_mac_ok(token: Column, key: str | bytes) -> Column:
-    """True when the token is well formed and authentic."""
-    sign_key, _ = split_key(key)
-    raw = F.try_to_binary(F.translate(token, "-_", "+/"), F.lit("base64"))
-    n = F.octet_length(raw)
-    return (n >= _HEADER_LEN + 16 + 16 + _MAC_LEN) & (
-        hmac_sha256(sign_key, F.substr(raw, F.lit(1), n - _MAC_LEN))
-        == F.substr(raw, n - (_MAC_LEN - 1), F.lit(_MAC_LEN))
-    )
+def fernet_raw_text(raw: Column, key: FernetKey) -> Column:
+    """The text in the bytes of a token, without any check."""
+    payload = F.substr(raw, F.lit(_HEADER_LEN + 1), F.octet_length(raw) - (_HEADER_LEN + _MAC_LEN))
+    return F.try_aes_decrypt(payload, key.enc, F.lit("CBC"), F.lit("PKCS")).cast("string")
+
+
+def fernet_decrypt(token: Column, key: str | bytes | FernetKey, ttl: int | None = None, now: int | None = None) -> Column:
+    """Plain text of a Fernet token; NULL when the token is absent, malformed,
+    not authentic or out of time (see ``fernet_raw_ok``)."""
+    k, raw = _fernet_key(key), fernet_raw(token)
+    return F.when(fernet_raw_ok(raw, k, ttl, now), fernet_raw_text(raw, k))
+
+
+def fernet_mac_ok(token: Column, key: str | bytes | FernetKey) -> Column:
+    """True when the token is well formed and authentic; NULL for NULL."""
+    return F.when(token.isNotNull(), fernet_raw_ok(fernet_raw(token), _fernet_key(key)))

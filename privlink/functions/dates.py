@@ -55,7 +55,9 @@ def as_day(c: str, dtype: DataType, parser, strict: bool = False) -> Column:
     """Bring a column of any supported type to ``DATE``."""
     if isinstance(dtype, DateType):
         return F.col(c)
-    if isinstance(dtype, (TimestampType, TimestampNTZType)):
+    if isinstance(dtype, TimestampType):  # the UTC day of the instant, whatever the session zone
+        return F.date_from_unix_date(F.floor(F.unix_seconds(F.col(c)) / _SECONDS_PER_DAY).cast("int"))
+    if isinstance(dtype, TimestampNTZType):
         return F.to_date(F.col(c))
     if isinstance(dtype, StringType):
         return parser(c, strict)

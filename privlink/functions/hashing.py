@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .crypto import hmac_sha256_hex
+from .crypto import HmacKey, hmac_sha256_hex
 
 ALGORITHMS = ("murmur3", "hmac-sha256")
 
 
-def pseudonym(c: Column | str, algo: str = "murmur3", key: bytes | None = None) -> Column:
+def pseudonym(c: Column | str, algo: str = "murmur3", key: bytes | HmacKey | None = None) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     if algo == "murmur3":
         return F.hash(col).cast("string")

@@ -91,6 +91,10 @@ def patient_conditions(conditions: DataFrame, patients: DataFrame) -> DataFrame:
     Columns: display, code, assertedDate, abatementDate, Given_Name,
     Identifier, Synthea_UID, Family_Name (+ condition_id when present).
     References and ids are compared without ``urn:uuid:`` / ``Patient/``.
+
+    Both sides usually come from the same documents, which are then parsed
+    once for each side; write the resources to a table first (``resources_of``,
+    as the conditions job does) to parse them once.
     """
     c = conditions.withColumn("__ref", _bare_ref(F.col("reference"))).alias("c")
     p = patients.withColumn("__ref", _bare_ref(F.col("id"))).alias("p")
@@ -113,10 +117,13 @@ def flatten_messages(docs: DataFrame, path_col: str = "path", with_position: boo
     (+ source_path and message_pos, the message's identity, when asked).
 
     ``path_col`` holds the source file path (URI); the file name is its last
-    segment, decoded. Documents without messages give no row.
+    segment, decoded. Documents without messages give no row. The position is
+    the message's place in its document, or the document's ``line`` if it has one.
     """
-    gen = F.posexplode("messages").alias("message_pos", "m") if with_position else F.explode("messages").alias("m")
-    x = docs.select(gen, file_name_from_path(F.col(path_col)).alias("filename"), F.col(path_col).alias("source_path"))
+    pos = F.col("line") if "line" in docs.columns else F.col("pos").cast("long")
+    x = docs.select("*", F.posexplode("messages").alias("pos", "m")).select(
+        "m", pos.alias("message_pos"), file_name_from_path(F.col(path_col)).alias("filename"), F.col(path_col).alias("source_path")
+    )
     extra = ["source_path", "message_pos"] if with_position else []
     return x.select(
         F.col("m.user.id").alias("SynSocial_UID"),

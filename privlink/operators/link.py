@@ -7,15 +7,19 @@ gives k rows, and a condition without an end date never matches.
 Plan: a plain equi-join on the person key would compare every message of a
 person with every condition of that person inside one task, which breaks
 down when one person holds a large share of the rows. The join key is
-therefore ``(person, day bucket)``: a message falls in exactly one bucket;
-a condition is copied once into each bucket its interval touches. Each
-matching pair is produced exactly once (in the message's bucket), so no
-de-duplication is needed, work per key is bounded by the bucket width, and a
-hot person's rows spread over many join keys. Rows that can never match
-(no key, no start or end, end before start) are dropped from the condition
-side only, which cannot change a left outer join. Catalyst/AQE then choose
-sort-merge or broadcast from measured sizes; AQE splits a skewed message
-partition (left side of a left outer join) at run time.
+therefore ``(person, level, day bucket)`` over a few fixed bucket widths
+(levels). A spell belongs to the narrowest level at least as wide as itself,
+where it touches at most two buckets, so it is copied at most twice; only
+spells wider than the widest level are copied into each of its buckets they
+touch (a century each). Matches are one inner join for which a message is
+looked up once per level, in its one bucket there, so each matching pair is
+produced exactly once. Messages without a match are what is left after an
+anti join per level. An analysis of matched rows drops that part of the plan.
+
+Rows that can never match (no key, no start or end, end before start) are
+dropped from the condition side only, which cannot change a left outer join.
+Catalyst/AQE choose sort-merge or broadcast from measured sizes; AQE splits a
+skewed message partition (left side) at run time.
 """
 
 from __future__ import annotations
@@ -25,30 +29,23 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.dates import as_day, clinical_day, message_day
 from ..functions.keys import person_file_key
 
-DEFAULT_BUCKET_DAYS = 30
-# bounds of an automatically chosen bucket width, in days
-AUTO_MIN_DAYS, AUTO_MAX_DAYS = 1, 3650
+#: Bucket widths in days: a month, three years, a century.
+LEVEL_DAYS = (30, 1_095, 36_525)
 
-_K, _B = "__pl_key", "__pl_bucket"
+_K, _L, _B = "__pl_key", "__pl_level", "__pl_bucket"
 
 
-def _bucket(day, width: int):
-    return F.floor(F.unix_date(day) / F.lit(width))
+def _bucket(day, width):
+    return F.floor(F.unix_date(day) / width)
 
 
-def choose_bucket_days(conditions: DataFrame, start: str, end: str) -> int:
-    """Median span of the matchable conditions (one approximate-percentile
-    aggregate over the condition side), clamped to [1, 3650] days. With the
-    width near the typical span, a condition is copied into about two
-    buckets and a bucket holds about one spell per person."""
-    span = F.datediff(F.col(end), F.col(start)) + 1
-    row = (
-        conditions.filter(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(start) <= F.col(end)))
-        .agg(F.percentile_approx(span, 0.5).alias("m"))
-        .first()
-    )
-    m = row["m"] if row and row["m"] is not None else DEFAULT_BUCKET_DAYS
-    return int(min(max(m, AUTO_MIN_DAYS), AUTO_MAX_DAYS))
+def spell_buckets(start, end, levels=LEVEL_DAYS):
+    """Array of (level, bucket) that a spell is copied to."""
+    days = F.datediff(end, start) + 1
+    level, width = F.lit(len(levels) - 1), F.lit(levels[-1])
+    for i in reversed(range(len(levels) - 1)):
+        level, width = F.when(days <= levels[i], F.lit(i)).otherwise(level), F.when(days <= levels[i], F.lit(levels[i])).otherwise(width)
+    return F.transform(F.sequence(_bucket(start, width), _bucket(end, width)), lambda b: F.struct(level.alias(_L), b.alias(_B)))
 
 
 def link_by_interval(
@@ -60,7 +57,7 @@ def link_by_interval(
     at: str = "created_at",
     start: str = "assertedDate",
     end: str = "abatementDate",
-    bucket_days: int | str = DEFAULT_BUCKET_DAYS,
+    level_days: tuple[int, ...] = LEVEL_DAYS,
     strict_dates: bool = False,
 ) -> DataFrame:
     """Left outer interval join; columns: all message columns, then all
@@ -68,12 +65,12 @@ def link_by_interval(
     timestamp; clinical: the day written before ``T``).
 
     ``condition_key`` is a Column; by default it is the person file name
-    built from Given_Name, Family_Name and Identifier. ``bucket_days`` is the
-    bucket width; ``"auto"`` measures it from the conditions (one small
-    job over the condition side when the plan is built).
+    built from Given_Name, Family_Name and Identifier. ``level_days`` are the
+    bucket widths, ascending; they change the work, never the rows.
     """
-    if bucket_days != "auto" and (not isinstance(bucket_days, int) or bucket_days < 1):
-        raise ValueError("bucket_days must be an int >= 1 or 'auto'")
+    levels = tuple(level_days)
+    if not levels or any(w < 1 for w in levels) or list(levels) != sorted(set(levels)):
+        raise ValueError("level_days must be ascending widths of at least a day")
     clash = set(messages.columns) & set(conditions.columns)
     if clash:
         raise ValueError(f"message and condition columns overlap: {sorted(clash)}")
@@ -81,14 +78,8 @@ def link_by_interval(
     mtypes = dict((f.name, f.dataType) for f in messages.schema.fields)
     ctypes = dict((f.name, f.dataType) for f in conditions.schema.fields)
 
-    if bucket_days == "auto":
-        spans = conditions.select(
-            as_day(start, ctypes[start], clinical_day).alias(start), as_day(end, ctypes[end], clinical_day).alias(end)
-        )
-        bucket_days = choose_bucket_days(spans, start, end)
-
     m = messages.withColumn(at, as_day(at, mtypes[at], message_day, strict_dates))
-    m = m.withColumns({_K: F.col(message_key), _B: _bucket(F.col(at), bucket_days)})
+    m = m.withColumn(_K, F.col(message_key))
 
     key = person_file_key() if condition_key is None else condition_key
     c = conditions.withColumns(
@@ -103,24 +94,25 @@ def link_by_interval(
         & F.col(end).isNotNull()
         & (F.col(start) <= F.col(end))
     )
-    c = c.withColumn(
-        _B, F.explode(F.sequence(_bucket(F.col(start), bucket_days), _bucket(F.col(end), bucket_days)))
-    )
+    c = c.select("*", F.inline(spell_buckets(F.col(start), F.col(end), levels)))
 
-    ma, ca = m.alias("m"), c.alias("c")
-    cond = (
-        (F.col(f"m.{_K}") == F.col(f"c.{_K}"))
-        & (F.col(f"m.{_B}") == F.col(f"c.{_B}"))
-        & (F.col(f"c.{start}") <= F.col(f"m.{at}"))
-        & (F.col(f"m.{at}") <= F.col(f"c.{end}"))
-    )
-    out = [F.col(f"m.{x}") for x in messages.columns] + [F.col(f"c.{x}") for x in conditions.columns]
-    return ma.join(ca, cond, "left_outer").select(*out)
+    def on(*more):
+        same = F.col(f"m.{_K}") == F.col(f"c.{_K}")
+        inside = (F.col(f"c.{start}") <= F.col(f"m.{at}")) & (F.col(f"m.{at}") <= F.col(f"c.{end}"))
+        for x in more:
+            same = same & x
+        return same & inside
 
-
-def link_by_interval_flat(messages: DataFrame, conditions: DataFrame, **kw) -> DataFrame:
-    """Same join over the flat hand-off tables, returning the 14-column
-    linked layout with ``code`` as a long (non-numeric codes become NULL,
-    as a typed CSV read would)."""
-    c = conditions.withColumn("code", F.col("code").try_cast("long"))
-    return link_by_interval(messages, c, **kw)
+    looked_up = m.filter(F.col(_K).isNotNull() & F.col(at).isNotNull()).select(
+        "*", F.inline(F.array(*[F.struct(F.lit(i).alias(_L), _bucket(F.col(at), w).alias(_B)) for i, w in enumerate(levels)]))
+    )
+    hit = on(F.col(f"m.{_L}") == F.col(f"c.{_L}"), F.col(f"m.{_B}") == F.col(f"c.{_B}"))
+    matched = looked_up.alias("m").join(c.alias("c"), hit, "inner").select(
+        *[F.col(f"m.{x}") for x in messages.columns], *[F.col(f"c.{x}") for x in conditions.columns]
+    )
+    rest = m
+    for i, w in enumerate(levels):
+        at_level = c.filter(F.col(_L) == i).alias("c")
+        rest = rest.alias("m").join(at_level, on(_bucket(F.col(f"m.{at}"), w) == F.col(f"c.{_B}")), "left_anti")
+    nothing = [F.lit(None).cast(c.schema[x].dataType).alias(x) for x in conditions.columns]
+    return matched.union(rest.select(*messages.columns, *nothing))

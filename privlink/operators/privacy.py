@@ -2,24 +2,30 @@
 
 Both copies keep the non-personal columns in their order and append one
 protected column per personal column, in list order, as the original copies
-did. Each is one ``select``, so the whole copy is a single projection inside
-whole-stage codegen.
+did. Each is a chain of projections without a shuffle; what several columns
+need (row identity, signed bytes, decoded token) is its own column first, so
+it is computed once per row.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.crypto import (
-    fernet_decrypt,
-    fernet_encrypt,
-    fernet_mac_ok,
+    FernetKey,
+    HmacKey,
+    fernet_body,
+    fernet_raw,
+    fernet_raw_ok,
+    fernet_raw_text,
+    fernet_sign,
     new_key,
     new_salt,
     row_iv,
-    split_key,
+    secret,
 )
 from ..functions.hashing import pseudonym
 from ..schemas import KEY_RECORD, PERSONAL_COLUMNS
@@ -28,12 +34,11 @@ from ..schemas import KEY_RECORD, PERSONAL_COLUMNS
 KEY_NOTE = "binary symetric encryption/decryption key"
 
 
-def _protect(df: DataFrame, cols, suffix: str, make) -> DataFrame:
+def _check(df: DataFrame, cols) -> list[str]:
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ValueError(f"columns not in frame: {missing}")
-    keep = [F.col(c) for c in df.columns if c not in cols]
-    return df.select(*keep, *[make(c).alias(f"{c}{suffix}") for c in cols])
+    return [c for c in df.columns if c not in cols]
 
 
 def hash_columns(
@@ -44,13 +49,21 @@ def hash_columns(
     suffix: str = "_hashed",
 ) -> DataFrame:
     """Replace each column by its pseudonym (see ``functions.hashing``)."""
+    keep = _check(df, cols)
     k = key.encode("utf-8") if isinstance(key, str) else key
-    return _protect(df, list(cols), suffix, lambda c: pseudonym(c, algo, k))
+    if k and algo != "murmur3":
+        k = HmacKey(k)
+    return df.select(*keep, *[pseudonym(c, algo, k).alias(f"{c}{suffix}") for c in cols])
 
 
-def _row_id(df: DataFrame, row_id_cols) -> F.Column:
-    cols = list(row_id_cols) if row_id_cols else list(df.columns)
-    return F.to_json(F.struct(*[F.col(c) for c in cols]))
+_ROW, _BODY, _RAW, _OK = "__pl_row", "__pl_body_{}", "__pl_raw_{}", "__pl_ok_{}"
+
+
+def _row_id(df: DataFrame, row_id_cols):
+    if row_id_cols:
+        return F.to_json(F.struct(*[F.col(c) for c in row_id_cols]))
+    # no identity given: a stream has no row numbers, so its rows get random ones
+    return F.uuid() if df.isStreaming else F.monotonically_increasing_id().cast("string")
 
 
 def encrypt_columns(
@@ -62,35 +75,32 @@ def encrypt_columns(
     salt: bytes | None = None,
     at: int | None = None,
     suffix: str = "_encrypted",
-    drop_row_id: bool = False,
     deterministic: bool = False,
 ) -> DataFrame:
     """Replace each column by a Fernet token under ``key``; NULL stays NULL.
 
     Every value gets its own IV derived from a secret per-run salt, the
     column name, the row identity and the value, so equal values in
-    different rows get unrelated tokens (as with random IVs) while a retried
-    task reproduces the same tokens. ``row_id_cols`` must identify a row
-    (e.g. message id plus condition id); without them the whole row is used,
-    and fully identical rows then share tokens.
+    different rows get unrelated tokens, as with random IVs. ``row_id_cols``
+    must identify a row (e.g. message id plus condition id); a retried task
+    then reproduces the same tokens wherever its rows come from. Without
+    them a row is known by its place in the input (stable for a table that is
+    read from storage; random in a stream), so that identical rows get
+    different tokens as well.
 
     ``deterministic=True`` leaves the row out of the IV: within one run (one
     salt and time) equal values get equal tokens, so counts of distinct
     users and records on the encrypted copy equal those on the clear table.
     Equality of values is then visible in the copy; their content is not.
     """
-    split_key(key)  # validate early, on the driver
-    s = new_salt() if salt is None else salt
-    rid = F.lit("") if deterministic else _row_id(df, row_id_cols)
-    out = _protect(
-        df,
-        list(cols),
-        suffix,
-        lambda c: fernet_encrypt(F.col(c), key, row_iv(s, c, rid, F.col(c)), at),
-    )
-    if drop_row_id and row_id_cols:
-        out = out.drop(*[c for c in row_id_cols if c in out.columns])
-    return out
+    keep = _check(df, cols)
+    k = FernetKey(key)  # validates the key early, on the driver
+    (s,) = secret(new_salt() if salt is None else salt)
+    t = int(time.time()) if at is None else int(at)
+    rows = df.withColumn(_ROW, F.lit("") if deterministic else _row_id(df, row_id_cols))
+    body = [_BODY.format(i) for i in range(len(cols))]
+    rows = rows.select(*keep, *[fernet_body(F.col(c), k, row_iv(s, c, F.col(_ROW), F.col(c)), t).alias(b) for c, b in zip(cols, body)])
+    return rows.select(*keep, *[fernet_sign(F.col(b), k).alias(f"{c}{suffix}") for c, b in zip(cols, body)])
 
 
 def decrypt_columns(
@@ -104,17 +114,20 @@ def decrypt_columns(
     """Inverse of ``encrypt_columns``: ``c_encrypted`` back to ``c``.
     Tokens whose MAC fails (or older than ``ttl`` seconds) decrypt to NULL;
     ``check_column`` (if given) holds True when every non-NULL token of the
-    row verified."""
+    row verified. Each token is decoded and checked once."""
     tokens = [f"{c}{suffix}" for c in cols]
-    keep = [F.col(c) for c in df.columns if c not in tokens]
-    dec = [fernet_decrypt(F.col(t), key, ttl=ttl).alias(c) for c, t in zip(cols, tokens)]
-    extra = []
+    keep = _check(df, tokens)
+    k = FernetKey(key)
+    raw, ok = [_RAW.format(i) for i in range(len(tokens))], [_OK.format(i) for i in range(len(tokens))]
+    rows = df.select(*keep, *tokens, *[fernet_raw(F.col(t)).alias(r) for t, r in zip(tokens, raw)])
+    rows = rows.select(*keep, *tokens, *raw, *[fernet_raw_ok(F.col(r), k, ttl).alias(o) for r, o in zip(raw, ok)])
+    out = [F.when(F.col(o), fernet_raw_text(F.col(r), k)).alias(c) for c, r, o in zip(cols, raw, ok)]
     if check_column:
-        ok = F.lit(True)
-        for t in tokens:
-            ok = ok & (F.col(t).isNull() | fernet_mac_ok(F.col(t), key))
-        extra = [ok.alias(check_column)]
-    return df.select(*keep, *dec, *extra)
+        every = F.lit(True)
+        for t, o in zip(tokens, ok):
+            every = every & (F.col(t).isNull() | F.col(o))
+        out.append(every.alias(check_column))
+    return rows.select(*keep, *out)
 
 
 def key_record(spark: SparkSession, key: str, when: _dt.date | None = None, note: str = KEY_NOTE) -> DataFrame:

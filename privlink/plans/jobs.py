@@ -3,9 +3,10 @@
 Each job reads the previous job's written table, so every hand-off cuts
 lineage: a lost executor re-runs one job's tasks from a written table, never
 the whole chain from the raw documents. Hand-offs are parquet by default
-(columnar, typed, column pruning in later jobs); ``hop_format="csv"`` writes
-the original CSV layouts with options that survive newlines and outer
-blanks. Only per-code reports and one-row tables are written as single files.
+(columnar, typed, column pruning in later jobs; small row groups, so that the
+next scan splits); ``hop_format="csv"`` writes the original CSV layouts, in a
+dialect that keeps every text or in the original one. Only per-code reports
+and one-row tables are written as single files.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from ..operators.link import link_by_interval
 from ..operators.privacy import encrypt_columns, hash_columns, key_record, new_key
 from ..schemas import CONDITIONS, LINKED, MESSAGES, PERSONAL_COLUMNS, protected
 from ..sources.files import (
+    DIALECTS,
     read_bundles,
     read_resources,
     read_csv,
@@ -49,10 +51,6 @@ RESOURCES_STAGE = "_resources"  # parsed clinical resources, always parquet
 ANALYSIS = "analysis-{kind}"
 ANALYSIS_STATS = "analysis-{kind}-stats"
 
-# Row identity carried through parquet hand-offs (dropped from the copies).
-_ID_COLS = ["source_path", "message_pos", "condition_id"]
-
-
 @dataclass
 class JobsResult:
     out_dir: str
@@ -61,10 +59,15 @@ class JobsResult:
 
 
 class Hop:
-    def __init__(self, spark: SparkSession, out_dir: str, fmt: str):
+    """The hand-off tables under one base folder. ``dialect`` is that of CSV
+    hand-offs; "original" reads what the original jobs left, and is read by them."""
+
+    def __init__(self, spark: SparkSession, out_dir: str, fmt: str, dialect: str = "safe"):
         if fmt not in ("parquet", "csv"):
             raise ValueError("hop_format must be 'parquet' or 'csv'")
-        self.spark, self.out, self.fmt = spark, out_dir.rstrip("/"), fmt
+        if dialect not in DIALECTS:
+            raise ValueError(f"csv dialect must be one of {sorted(DIALECTS)}")
+        self.spark, self.out, self.fmt, self.dialect = spark, out_dir.rstrip("/"), fmt, dialect
 
     def path(self, name: str) -> str:
         return f"{self.out}/{name}"
@@ -72,16 +75,22 @@ class Hop:
     def write(self, df: DataFrame, name: str, small: bool = False) -> str:
         p = self.path(name)
         if self.fmt == "csv":
-            write_csv(df, p, single_file=small)
+            write_csv(df, p, single_file=small, dialect=self.dialect)
         else:
-            write_parquet(df.coalesce(1) if small else df, p)
+            write_parquet(df, p, single_file=small)
         return p
 
     def read(self, name: str, schema) -> DataFrame:
         p = self.path(name)
         if self.fmt == "csv":
-            return read_csv(self.spark, p, schema)
-        return self.spark.read.parquet(p)
+            return read_csv(self.spark, p, schema, self.dialect)
+        return self.spark.read.schema(schema).parquet(p)
+
+    def drop(self, name: str) -> None:
+        """Delete a hand-off folder, through Spark's own file systems."""
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def run_jobs(
@@ -100,7 +109,7 @@ def run_jobs(
     bundle documents. See ``run_jobs_on`` for the other options."""
     b = read_resources(spark, bundles_path) if resources_per_line else read_bundles(spark, bundles_path)
     docs = read_message_lines(spark, messages_path) if messages_as_lines else read_message_docs(spark, messages_path)
-    return run_jobs_on(spark, b, docs, out_dir, positions=not messages_as_lines, resources=resources_per_line, **kw)
+    return run_jobs_on(spark, b, docs, out_dir, resources=resources_per_line, **kw)
 
 
 def run_jobs_on(
@@ -114,23 +123,23 @@ def run_jobs_on(
     hash_algo: str = "murmur3",
     hash_key: bytes | None = None,
     write_key: bool = False,
-    positions: bool = True,
     resources: bool = False,
-    bucket_days: int | str = "auto",
+    csv_dialect: str = "safe",
+    strict_dates: bool = False,
+    keep_stage: bool = False,
 ) -> JobsResult:
     """The jobs over bundle and message-document frames (``path`` column).
 
     The key is generated when not given and returned to the caller; it is
-    written next to the data only with ``write_key=True``. Parquet hand-offs
-    carry the row identity (document path, message position, condition id),
-    so encryption IVs are unique per linked row; CSV hand-offs keep the
-    original layouts and use the whole row as identity.
+    written next to the data only with ``write_key=True``. Every hand-off has
+    the original layout. ``strict_dates`` stops on date text that is no date,
+    as the original jobs did; else such a message stays unmatched.
     """
-    hop = Hop(spark, out_dir, hop_format)
+    hop = Hop(spark, out_dir, hop_format, csv_dialect)
     res = JobsResult(out_dir=out_dir)
-    res.paths.update(job_conditions(hop, bundles, resources=resources))
-    res.paths.update(job_messages(hop, message_docs, positions=positions))
-    res.paths.update(job_link(hop, bucket_days=bucket_days))
+    res.paths.update(job_conditions(hop, bundles, resources=resources, keep_stage=keep_stage))
+    res.paths.update(job_messages(hop, message_docs))
+    res.paths.update(job_link(hop, strict_dates=strict_dates))
     res.key = key or new_key()
     res.paths.update(job_privacy(hop, res.key, hash_algo=hash_algo, hash_key=hash_key, write_key=write_key))
     for kind in ("hash", "encrypt"):
@@ -141,39 +150,42 @@ def run_jobs_on(
 # -- the jobs, one per original program; each reads and writes under one base folder
 
 
-def job_conditions(hop: Hop, bundles: DataFrame, resources: bool = False, stage: bool = True) -> dict:
+def job_conditions(hop: Hop, bundles: DataFrame, resources: bool = False, stage: bool = True, keep_stage: bool = False) -> dict:
     """1A: clinical bundles (or resource rows) -> patient-condition table.
 
     Both sides of the patient-condition join come from the same documents.
     With ``stage`` the Condition and Patient resources are parsed once and
     written as a columnar staging table, which the two sides then read with
-    column pruning, instead of parsing the JSON twice.
+    column pruning, instead of parsing the JSON twice. The staging table holds
+    clear clinical data; it is deleted after the join unless ``keep_stage``.
     """
-    keep_ids = hop.fmt == "parquet"
     out = {}
     if stage:
         rows = bundles.filter(F.col("resourceType").isin("Condition", "Patient")) if resources else resources_of(bundles)
-        out["resources"] = p = hop.path(RESOURCES_STAGE)
+        p = hop.path(RESOURCES_STAGE)
         write_parquet(rows, p)
-        bundles, resources = hop.spark.read.parquet(p), True
+        bundles, resources = hop.spark.read.schema(rows.schema).parquet(p), True
     if resources:
-        pc = patient_conditions(conditions_from_resources(bundles, with_id=keep_ids), patients_from_resources(bundles))
+        pc = patient_conditions(conditions_from_resources(bundles), patients_from_resources(bundles))
     else:
-        pc = patient_conditions(flatten_conditions(bundles, with_id=keep_ids), flatten_patients(bundles))
+        pc = patient_conditions(flatten_conditions(bundles), flatten_patients(bundles))
     pc = pc.withColumn("code", F.col("code").try_cast("long"))
     out["patients"] = hop.write(pc, PATIENTS)
+    if stage and keep_stage:
+        out["resources"] = hop.path(RESOURCES_STAGE)
+    elif stage:
+        hop.drop(RESOURCES_STAGE)
     return out
 
 
-def job_messages(hop: Hop, message_docs: DataFrame, positions: bool = True) -> dict:
+def job_messages(hop: Hop, message_docs: DataFrame) -> dict:
     """1B: message documents -> message table."""
-    keep_ids = hop.fmt == "parquet" and positions
-    return {"messages": hop.write(flatten_messages(message_docs, with_position=keep_ids), SOCIAL)}
+    return {"messages": hop.write(flatten_messages(message_docs), SOCIAL)}
 
 
-def job_link(hop: Hop, bucket_days: int | str = "auto") -> dict:
+def job_link(hop: Hop, strict_dates: bool = False) -> dict:
     """2: messages + conditions -> linked table."""
-    linked = link_by_interval(hop.read(SOCIAL, MESSAGES), hop.read(PATIENTS, CONDITIONS), bucket_days=bucket_days)
+    linked = link_by_interval(hop.read(SOCIAL, MESSAGES), hop.read(PATIENTS, CONDITIONS), strict_dates=strict_dates)
     return {"joined": hop.write(linked, JOINED)}
 
 
@@ -185,18 +197,14 @@ def job_privacy(
     hash_key: bytes | None = None,
     write_key: bool = False,
 ) -> dict:
-    """3: linked table -> hashed copy, encrypted copy (and key record)."""
-    joined = hop.read(JOINED, _linked_schema(hop.fmt == "parquet"))
-    ids = [c for c in _ID_COLS if c in joined.columns]
-    # (file, position) + condition + coding identifies a linked row; without
-    # the position (JSON lines, CSV hops) the whole row is the identity
-    row_id = [*ids, "code", "display"] if "message_pos" in ids else None
-    joined = spread(joined, row_id or joined.columns)
-    out = {}
-    hashed = hash_columns(joined, PERSONAL_COLUMNS, algo=hash_algo, key=hash_key).drop(*ids)
-    out["hashed"] = hop.write(hashed, HASHED)
-    enc = encrypt_columns(joined, key, PERSONAL_COLUMNS, row_id).drop(*ids)
-    out["encrypted"] = hop.write(enc, ENCRYPTED)
+    """3: linked table -> hashed copy, encrypted copy (and key record).
+
+    A row of the written linked table is known by its place there, so equal
+    rows get tokens of their own on every hand-off format.
+    """
+    joined = hop.read(JOINED, LINKED)
+    out = {"hashed": hop.write(hash_columns(joined, PERSONAL_COLUMNS, algo=hash_algo, key=hash_key), HASHED)}
+    out["encrypted"] = hop.write(encrypt_columns(joined, key, PERSONAL_COLUMNS), ENCRYPTED)
     if write_key:
         out["key"] = hop.write(key_record(hop.spark, key, _dt.date.today()), KEY, small=True)
     return out
@@ -213,22 +221,3 @@ def job_analysis(hop: Hop, kind: str) -> dict:
             exposure_stats(copy, uid=uid, record=rec), ANALYSIS_STATS.format(kind=kind), small=True
         ),
     }
-
-
-def spread(df: DataFrame, keys) -> DataFrame:
-    """Give a CPU-heavy map stage enough tasks.
-
-    A written table with fewer files than the cluster has task slots (a small
-    input, or a join that ran broadcast inside a few scan tasks) would run
-    encryption on a few cores. Such input is hash-partitioned on the row
-    identity (deterministic under retry); a large table, with at least as
-    many files as slots, is left as it is, so at scale this adds no shuffle.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= slots:
-        return df
-    return df.repartition(slots, *[F.col(c) for c in keys])
-
-
-def _linked_schema(with_ids: bool):
-    return LINKED if not with_ids else None  # parquet carries its own schema

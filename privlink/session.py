@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,8 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
     Read from the session. Only a local-mode session without one gets a
-    fresh private folder (tests); on a cluster a missing setting is an error,
-    never a machine-local fallback.
+    fresh private folder, removed when the process ends; on a cluster a missing
+    setting is an error, never a machine-local fallback.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -59,6 +61,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
     d = tempfile.mkdtemp(prefix="privlink-ckpt-")
+    atexit.register(shutil.rmtree, d, ignore_errors=True)
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 

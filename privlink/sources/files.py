@@ -4,26 +4,36 @@ JSON inputs are read with a fixed schema (no inference pass over the data,
 and a folder in which no file has a field still resolves). Multi-line JSON
 documents are not splittable: one document is one task. Where message files
 can be large, store them as JSON lines (one message per line) and use
-``read_message_lines``, which Spark splits freely.
+``read_message_lines``, which Spark splits freely. Records that are no JSON
+give no row; ``rejected_lines`` and ``rejected_docs`` have them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import BUNDLE, LINEAGE_DOC, MESSAGE, MESSAGE_DOC, RESOURCE
 
-# CSV options for the hand-off tables. Reading with multiLine keeps quoted
-# newlines inside one value; writing without trimming keeps outer blanks.
-CSV_WRITE = {
-    "header": "true",
-    "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
-    "escape": '"',
-}
-CSV_READ = {"header": "true", "multiLine": "true", "escape": '"', "mode": "PERMISSIVE"}
-# Options of a plain CSV read as the original jobs did it (lossy on newlines).
-CSV_READ_PLAIN = {"header": "true"}
+# The two dialects of the hand-off CSV. "safe" keeps every text: NULL has a
+# mark of its own, and line ends within a text are escaped before writing, so
+# a file has a line for each row and Spark can split it. "original" is a plain
+# header CSV as the original jobs wrote and read it (backslash escapes, outer
+# blanks trimmed, a raw line end breaks a row, empty text reads as NULL).
+NULL_MARK = "\\N"
+CSV_SAFE = {"header": "true", "escape": '"', "nullValue": NULL_MARK, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_ORIGINAL = {"header": "true"}
+DIALECTS = {"safe": CSV_SAFE, "original": CSV_ORIGINAL}
+
+# Escapes of the safe dialect, in the order they are applied. A backslash in a
+# written text always begins one of these.
+_ESCAPES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
+
+#: Bytes of a row group of the parquet hand-offs. The next job's scan splits at
+#: row groups, so small ones give its CPU-heavy projections enough tasks.
+ROW_GROUP_BYTES = 8 << 20
+
+_CORRUPT = "_corrupt_record"
 
 
 def read_bundles(spark: SparkSession, path: str) -> DataFrame:
@@ -34,7 +44,8 @@ def read_bundles(spark: SparkSession, path: str) -> DataFrame:
 def read_resources(spark: SparkSession, path: str) -> DataFrame:
     """Folder of clinical resources, one JSON resource per line (bulk-export
     NDJSON). Splittable, unlike multi-line bundles; feeds
-    ``conditions_from_resources`` / ``patients_from_resources``."""
+    ``conditions_from_resources`` / ``patients_from_resources``, which pass
+    over lines that are no resource."""
     return spark.read.schema(RESOURCE).option("mode", "PERMISSIVE").json(path)
 
 
@@ -50,18 +61,41 @@ def read_message_docs(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def parsed_lines(lines: DataFrame) -> DataFrame:
+    """(value, path, rec) of text lines that are not blank; ``rec`` has the
+    message and ``_corrupt_record``, the line itself where it is no JSON object."""
+    schema = StructType([*MESSAGE.fields, StructField(_CORRUPT, StringType())])
+    rec = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    return lines.where(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias("path"), rec.alias("rec"))
+
+
+def messages_of_lines(lines: DataFrame) -> DataFrame:
+    """Parsed lines shaped like ``read_message_docs``, with ``line``, a number
+    that tells the lines of one run apart."""
+    # a stream has no row numbers; random ones serve as well
+    line = F.xxhash64(F.uuid()) if lines.isStreaming else F.monotonically_increasing_id()
+    good = parsed_lines(lines).where(F.col(f"rec.{_CORRUPT}").isNull())
+    return good.select(F.array(F.struct(*[F.col(f"rec.{f.name}") for f in MESSAGE.fields])).alias("messages"), "path", line.alias("line"))
+
+
 def read_message_lines(spark: SparkSession, path: str) -> DataFrame:
     """Folder of JSON-lines message files (one message object per line),
-    shaped like ``read_message_docs`` output so the same flatten applies."""
-    return (
-        spark.read.schema(MESSAGE)
-        .option("mode", "PERMISSIVE")
-        .json(path)
-        .select(
-            F.array(F.struct(*[F.col(f.name) for f in MESSAGE.fields])).alias("messages"),
-            F.col("_metadata.file_path").alias("path"),
-        )
-    )
+    shaped like ``read_message_docs`` output so the same flatten applies.
+    A line that is no JSON object gives no row (see ``rejected_lines``)."""
+    return messages_of_lines(spark.read.text(path))
+
+
+def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(path, line): the lines that ``read_message_lines`` leaves out."""
+    bad = parsed_lines(spark.read.text(path)).where(F.col(f"rec.{_CORRUPT}").isNotNull())
+    return bad.select("path", F.col("value").alias("line"))
+
+
+def rejected_docs(spark: SparkSession, path: str) -> DataFrame:
+    """(path, document): the files of a folder of documents that are no JSON."""
+    whole = spark.read.option("wholetext", "true").text(path).select("value", F.col("_metadata.file_path").alias("path"))
+    rec = F.from_json("value", StructType([*MESSAGE_DOC.fields, StructField(_CORRUPT, StringType())]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    return whole.where(rec[_CORRUPT].isNotNull()).select("path", F.col("value").alias("document"))
 
 
 def read_lineage_docs(spark: SparkSession, path: str) -> DataFrame:
@@ -69,19 +103,30 @@ def read_lineage_docs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LINEAGE_DOC).option("multiLine", "true").option("mode", "PERMISSIVE").json(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema, safe: bool = True) -> DataFrame:
+def _replaced(c: Column, pairs) -> Column:
+    for old, new in pairs:
+        c = F.replace(c, F.lit(old), F.lit(new))
+    return c
+
+
+def _on_texts(df: DataFrame, pairs) -> DataFrame:
+    return df.select(*[_replaced(F.col(f"`{f.name}`"), pairs).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f"`{f.name}`") for f in df.schema])
+
+
+def read_csv(spark: SparkSession, path: str, schema, dialect: str = "safe") -> DataFrame:
     """Hand-off CSV with header and a fixed schema (binds by position)."""
-    return spark.read.options(**(CSV_READ if safe else CSV_READ_PLAIN)).schema(schema).csv(path)
+    df = spark.read.options(**DIALECTS[dialect]).schema(schema).csv(path)
+    return _on_texts(df, [(new, old) for old, new in reversed(_ESCAPES)]) if dialect == "safe" else df
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False, safe: bool = True) -> None:
+def write_csv(df: DataFrame, path: str, single_file: bool = False, dialect: str = "safe") -> None:
     """Overwrite ``path`` with a header CSV. ``single_file`` is for small
-    results only (a per-code report, a one-row table)."""
-    out = df.coalesce(1) if single_file else df
-    w = out.write.mode("overwrite")
-    w = w.options(**CSV_WRITE) if safe else w.option("header", "true")
-    w.csv(path)
+    results (a per-code report, a one-row table): their rows are computed in
+    parallel and only the finished ones go to the one writer."""
+    out = _on_texts(df, _ESCAPES) if dialect == "safe" else df
+    (out.repartition(1) if single_file else out).write.mode("overwrite").options(**DIALECTS[dialect]).csv(path)
 
 
-def write_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def write_parquet(df: DataFrame, path: str, single_file: bool = False) -> None:
+    out = df.repartition(1) if single_file else df
+    out.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)

@@ -12,7 +12,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from privlink.plans.queries import QUERIES  # noqa: E402
+from linkqueries.queries import QUERIES  # noqa: E402
 from privlink.session import local_session  # noqa: E402
 
 _EAGER = {"csv_roundtrip_linked", "csv_roundtrip_documents"}  # write before planning

@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from privlink.plans.queries import QUERIES  # noqa: E402
+from linkqueries.queries import QUERIES  # noqa: E402
 from privlink.session import REQUIRED_CONF  # noqa: E402
 
 

@@ -9,6 +9,7 @@ ROWS = [
     ("3", "c", "c", "x", 'quote " and \\ backslash, comma', "f3"),
     ("4", "d", "d", "x", "", "f4"),
     ("5", "e", "e", "x", None, "f5"),
+    ("6", "\\N", "\\n", "\\s", "a\r\nb\rc\\\\nd\\", '"'),
 ]
 
 
@@ -17,19 +18,28 @@ def test_safe_round_trip(spark, workdir):
     write_csv(df, workdir + "/m")
     back = read_csv(spark, workdir + "/m", MESSAGES)
     got = sorted(map(tuple, back.collect()), key=lambda r: r[0])
-    # newlines, quotes, backslashes and outer blanks survive; CSV has no
-    # empty-vs-NULL distinction, so empty text comes back NULL (as in the
-    # original hops); parquet hand-offs keep it
-    exp = [r if r[4] != "" else r[:4] + (None,) + r[5:] for r in ROWS]
-    assert got == exp
+    # newlines, quotes, backslashes, outer blanks and empty text survive
+    assert got == sorted(ROWS, key=lambda r: r[0])
 
 
-def test_plain_reader_splits_newlines(spark, workdir):
-    """The original read (no multiLine) turns one message into broken rows."""
+def test_a_safe_file_has_a_line_for_each_row(spark, workdir):
     df = spark.createDataFrame(ROWS, MESSAGES)
-    write_csv(df, workdir + "/m")
-    plain = read_csv(spark, workdir + "/m", MESSAGES, safe=False)
-    assert plain.count() > len(ROWS)
+    write_csv(df, workdir + "/m", single_file=True)
+    assert spark.read.text(workdir + "/m").count() == len(ROWS) + 1  # and the header
+
+
+def test_original_dialect_splits_newlines(spark, workdir):
+    """The original jobs' options turn a message with a line end into broken rows."""
+    df = spark.createDataFrame(ROWS, MESSAGES)
+    write_csv(df, workdir + "/m", dialect="original")
+    assert read_csv(spark, workdir + "/m", MESSAGES, dialect="original").count() > len(ROWS)
+
+
+def test_original_dialect_reads_what_the_original_jobs_wrote(spark, workdir):
+    rows = [("1", "a", "a", "x", 'quote " and comma, end', "f1"), ("2", "b", "b", "x", "  blanks  ", "f2"), ("3", "c", "c", "x", "", "f3")]
+    spark.createDataFrame(rows, MESSAGES).write.csv(workdir + "/m", header=True)
+    got = sorted(map(tuple, read_csv(spark, workdir + "/m", MESSAGES, dialect="original").collect()))
+    assert [r[4] for r in got] == ['quote " and comma, end', "blanks", None]
 
 
 def test_single_file(spark, workdir):

@@ -48,7 +48,7 @@ def test_command_line_steps(spark, workdir):
     write_messages(m)
     main(["conditions", "--base", base, "--bundles", b, "--format", "csv"])
     main(["messages", "--base", base, "--messages", m, "--format", "csv"])
-    main(["link", "--base", base, "--format", "csv", "--bucket-days", "auto"])
+    main(["link", "--base", base, "--format", "csv"])
     main(["privacy", "--base", base, "--format", "csv", "--write-key"])
     out = main(["analysis", "--base", base, "--format", "csv", "--kind", "hash"])
     rep = spark.read.options(header=True, inferSchema=True).csv(out["analysis-hash"])
@@ -71,3 +71,79 @@ def test_run_jobs_from_resources_per_line(spark, workdir):
     y = run_jobs(spark, r, m, os.path.join(workdir, "o2"), resources_per_line=True)
     rows = lambda res: sorted(map(tuple, spark.read.parquet(res.paths["analysis-hash"]).collect()))
     assert rows(x) == rows(y)
+
+
+def test_command_line_refuses_to_lose_the_key(workdir):
+    from privlink.__main__ import main
+
+    for step in ("privacy", "all"):
+        with pytest.raises(SystemExit):
+            main([step, "--base", workdir, "--bundles", workdir, "--messages", workdir])
+
+
+@pytest.mark.parametrize("hop_format", ["parquet", "csv"])
+@pytest.mark.parametrize("lines", [False, True])
+def test_identical_messages_get_tokens_of_their_own(spark, workdir, hop_format, lines):
+    import json
+
+    from .fixtures import tweet
+
+    b, m, out = (os.path.join(workdir, x) for x in ("b", "m", "out"))
+    write_bundles(b)
+    os.makedirs(m)
+    same = [tweet(11, "Ann", "Thu May 06 12:00:00 +0000 2010", "again")] * 5
+    with open(os.path.join(m, "Ann_Lee_100TwitterData.json"), "w") as f:
+        f.write("\n".join(map(json.dumps, same)) if lines else json.dumps({"messages": same}))
+    res = run_jobs(spark, b, m, out, hop_format=hop_format, messages_as_lines=lines)
+    read = spark.read.parquet if hop_format == "parquet" else lambda p: spark.read.options(header=True).csv(p)
+    enc = read(res.paths["encrypted"])
+    assert enc.count() == 5 and enc.select("SynSocial_UID_encrypted").distinct().count() == 5
+    assert int(read(res.paths["analysis-encrypt-stats"]).first()["Social-Media-Users"]) == 5
+
+
+def test_resume_from_folders_the_original_jobs_wrote(spark, workdir):
+    """Default CSV options, no row identity: link, protect and analyse from there."""
+    from privlink.operators.flatten import flatten_conditions, flatten_messages, flatten_patients, patient_conditions
+    from privlink.plans.jobs import PATIENTS, SOCIAL, Hop, job_analysis, job_link, job_privacy
+    from privlink.functions.crypto import new_key
+    from privlink.sources.files import read_bundles, read_message_docs
+
+    b, m, base = (os.path.join(workdir, x) for x in ("b", "m", "base"))
+    write_bundles(b)
+    write_messages(m)
+    bundles = read_bundles(spark, b)
+    pc = patient_conditions(flatten_conditions(bundles), flatten_patients(bundles))
+    pc.write.csv(f"{base}/{PATIENTS}", header=True)
+    one_line = flatten_messages(read_message_docs(spark, m)).filter("text NOT LIKE '%second line%'")
+    one_line.write.csv(f"{base}/{SOCIAL}", header=True)
+    hop = Hop(spark, base, "csv", "original")
+    job_link(hop)
+    job_privacy(hop, new_key())
+    out = job_analysis(hop, "hash")
+    rep = spark.read.options(header=True, inferSchema=True).csv(out["analysis-hash"])
+    assert {r["Medical_Codes"]: r["Message_Count"] for r in rep.collect()}[444814009] == 3.0
+
+
+def test_strict_dates_stop_the_jobs(spark, workdir):
+    import json
+
+    from .fixtures import tweet
+
+    b, m = (os.path.join(workdir, x) for x in ("b", "m"))
+    write_bundles(b)
+    os.makedirs(m)
+    with open(os.path.join(m, "Ann_Lee_100TwitterData.json"), "w") as f:
+        json.dump({"messages": [tweet(11, "Ann", "not a date", "x")]}, f)
+    run_jobs(spark, b, m, os.path.join(workdir, "lenient"))
+    with pytest.raises(Exception, match="unparseable message time"):
+        run_jobs(spark, b, m, os.path.join(workdir, "strict"), strict_dates=True)
+
+
+def test_clear_staging_table_goes_unless_kept(spark, workdir):
+    b, m = (os.path.join(workdir, x) for x in ("b", "m"))
+    write_bundles(b)
+    write_messages(m)
+    gone = run_jobs(spark, b, m, os.path.join(workdir, "o1"))
+    assert not os.path.exists(os.path.join(workdir, "o1", "_resources")) and "resources" not in gone.paths
+    kept = run_jobs(spark, b, m, os.path.join(workdir, "o2"), keep_stage=True)
+    assert os.path.isdir(kept.paths["resources"])

@@ -57,9 +57,9 @@ def test_name_with_null_part_skips_it(spark):
     assert out.first()["code"] == 7
 
 
-@pytest.mark.parametrize("bucket_days", [1, 7, 30, 365, "auto"])
-def test_bucketed_join_equals_brute_force(spark, bucket_days):
-    rnd = random.Random(str(bucket_days))
+@pytest.mark.parametrize("level_days", [(1,), (7, 60), (30, 1095, 36525), (365,)])
+def test_bucketed_join_equals_brute_force(spark, level_days):
+    rnd = random.Random(str(level_days))
     base = dt.date(1999, 12, 1)
     people = [f"p{i}TwitterData.json" for i in range(4)]
     msgs = []
@@ -74,7 +74,7 @@ def test_bucketed_join_equals_brute_force(spark, bucket_days):
         conds.append(("d", c % 5, s.isoformat(), e.isoformat() if e else None, f"p{p}", None, "x", None, c))
     mdf, cdf = spark.createDataFrame(msgs, MSG), spark.createDataFrame(conds, COND)
     ck = F.concat(F.col("Given_Name"), F.lit("TwitterData.json"))
-    got = sorted((r["mid"], r["cid"]) for r in link_by_interval(mdf, cdf, condition_key=ck, bucket_days=bucket_days).collect())
+    got = sorted((r["mid"], r["cid"]) for r in link_by_interval(mdf, cdf, condition_key=ck, level_days=level_days).collect())
     # brute force in Python
     exp = []
     for m in msgs:
@@ -97,14 +97,36 @@ def test_column_clash_rejected(spark):
         link_by_interval(m, c, condition_key=F.lit("k"))
 
 
-def test_auto_bucket_width(spark):
-    from privlink.operators.link import choose_bucket_days
-
-    c = spark.createDataFrame(
-        [(dt.date(2000, 1, 1), dt.date(2000, 1, 1) + dt.timedelta(days=d)) for d in (9, 9, 9, 500)]
-        + [(dt.date(2000, 1, 1), None)],
-        "s date, e date",
-    )
-    assert choose_bucket_days(c, "s", "e") == 10
-    empty = spark.createDataFrame([], "s date, e date")
-    assert choose_bucket_days(empty, "s", "e") == 30
+@pytest.mark.parametrize("bad", [(), (0, 5), (30, 30), (30, 7)])
+def test_bad_levels_rejected(spark, bad):
+    m = spark.createDataFrame([("2010-01-01", "k")], "created_at string, filename string")
+    c = spark.createDataFrame([("2010-01-01", "2010-01-02")], "assertedDate string, abatementDate string")
+    with pytest.raises(ValueError):
+        link_by_interval(m, c, condition_key=F.lit("k"), level_days=bad)
+
+
+def test_a_spell_is_copied_at_most_twice(spark):
+    """Only spells wider than the widest level take more: a bucket a century."""
+    from privlink.operators.link import LEVEL_DAYS, spell_buckets
+
+    rnd = random.Random(8)
+    first = dt.date(1900, 1, 1)
+    spans = [1, 2, 29, 30, 31, 1094, 1095, 1096, 36524, 36525] + [rnd.randint(1, 36525) for _ in range(300)]
+    rows = [(s := first + dt.timedelta(days=rnd.randint(0, 50000)), s + dt.timedelta(days=n - 1)) for n in spans]
+    df = spark.createDataFrame(rows, "s date, e date")
+    sizes = [r[0] for r in df.select(F.size(spell_buckets(F.col("s"), F.col("e")))).collect()]
+    assert max(sizes) == 2
+    ever = spark.createDataFrame([(first, dt.date(9999, 12, 31))], "s date, e date")
+    assert ever.select(F.size(spell_buckets(F.col("s"), F.col("e")))).first()[0] <= (9999 - 1900) * 366 // LEVEL_DAYS[-1] + 2
+
+
+def test_timestamps_link_by_their_utc_day_in_any_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        m = spark.createDataFrame([(1, "k")], "mid int, filename string").withColumn("created_at", F.timestamp_seconds(F.lit(1273188600)))  # 2010-05-06 23:30 UTC
+        c = spark.createDataFrame([("2010-05-06", "2010-05-06", 5)], "assertedDate string, abatementDate string, cid int")
+        for z in ("UTC", "Asia/Tokyo", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            assert [r["cid"] for r in link_by_interval(m, c, condition_key=F.lit("k")).collect()] == [5]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -2,7 +2,7 @@
 
 import pytest
 
-from privlink.plans.queries import QUERIES
+from linkqueries.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,7 +23,7 @@ def test_link_join_keys_and_pruned_scans(spark):
     plan, df = _plan(spark, "link_by_interval")
     df.collect()  # final adaptive plan
     final = df._jdf.queryExecution().executedPlan().toString()
-    assert "LeftOuter" in final
+    assert "LeftAnti" in final and "Inner" in final
     # lineitem read with only the columns the link needs, filters pushed
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_linenumber:int," in plan
     assert "l_quantity" not in plan and "l_extendedprice" not in plan
@@ -41,7 +41,7 @@ def test_report_aggregates_before_each_shuffle(spark):
             checked += 1
     assert checked == 2, plan
     # the analysis keeps matched rows only, so the link under it is inner
-    assert "Inner" in plan and "LeftOuter" not in plan
+    assert "Inner" in plan and "LeftOuter" not in plan and "LeftAnti" not in plan
 
 
 def test_protection_stays_in_codegen(spark):
@@ -49,3 +49,27 @@ def test_protection_stays_in_codegen(spark):
         plan, df = _plan(spark, name)
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
         assert "PythonUDF" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_single_files_take_finished_rows(spark, workdir):
+    """The one writer of a report gets aggregated rows through an exchange."""
+    from privlink.sources.files import write_csv, write_parquet
+
+    seen = []
+    report = QUERIES["exposure_report_clear"](spark, SF)
+    for write in (write_csv, write_parquet):
+        write(report, f"{workdir}/{write.__name__}", single_file=True)
+    for folder in (f"{workdir}/write_csv", f"{workdir}/write_parquet"):
+        seen.append(spark.read.option("header", True).csv(folder).rdd.getNumPartitions() if "csv" in folder else spark.read.parquet(folder).rdd.getNumPartitions())
+    assert seen == [1, 1]
+    plan = report.repartition(1)._jdf.queryExecution().executedPlan().toString()
+    lines = [ln.strip(" :+-") for ln in plan.splitlines()]
+    at = next(i for i, ln in enumerate(lines) if ln.startswith("Exchange SinglePartition") or ln.startswith("Exchange RoundRobinPartitioning(1)"))
+    assert any("HashAggregate" in ln for ln in lines[at + 1 : at + 4])
+
+
+def test_each_token_is_decoded_and_checked_once(spark):
+    df = QUERIES["encrypt_decrypt_roundtrip"](spark, SF)
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    # eight columns: one decryption each
+    assert text.count("try_aes_decrypt") <= 8 or text.count("AES") <= 24

@@ -38,7 +38,7 @@ day = st.dates(min_value=dt.date(1990, 1, 1), max_value=dt.date(2030, 12, 31))
 def test_link_keeps_every_message_and_matches_brute_force(spark, msgs, conds, width):
     m = spark.createDataFrame([(k, d, i) for i, (k, d) in enumerate(msgs)], "filename string, created_at date, mid int")
     c = spark.createDataFrame([(k, s, e, j) for j, (k, s, e) in enumerate(conds)], "k string, assertedDate date, abatementDate date, cid int")
-    out = link_by_interval(m, c, condition_key=F.col("k"), bucket_days=width).select("mid", "cid").collect()
+    out = link_by_interval(m, c, condition_key=F.col("k"), level_days=(width, 10 * width)).select("mid", "cid").collect()
     exp = []
     for i, (k, d) in enumerate(msgs):
         hits = [j for j, (ck, s, e) in enumerate(conds) if k is not None and ck == k and None not in (d, s, e) and s <= d <= e]
@@ -52,7 +52,7 @@ def test_link_keeps_every_message_and_matches_brute_force(spark, msgs, conds, wi
 @given(values=st.lists(st.one_of(st.none(), st.text(max_size=50)), min_size=1, max_size=40))
 def test_murmur3_sql_matches_spark_hash(spark, values):
     duckdb = pytest.importorskip("duckdb")
-    from privlink.plans.murmur_sql import hashed_select
+    from linkqueries.murmur_sql import hashed_select
 
     sp = [r[0] for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v string")
           .orderBy("id").select(F.hash("v").cast("string")).collect()]

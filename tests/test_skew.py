@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from privlink.operators.analysis import exposure_report
 from privlink.operators.link import link_by_interval
-from privlink.plans.jobs import run_jobs, spread
+from privlink.plans.jobs import run_jobs
 
 from .fixtures import write_bundles, write_messages
 
@@ -38,7 +38,7 @@ def test_hot_person_split_and_exact(spark):
             spark.conf.set(k, v)
         m = spark.createDataFrame(msgs, MSG).repartition(8)
         c = spark.createDataFrame(conds, COND)
-        out = link_by_interval(m, c, condition_key=F.col("Given_Name"), bucket_days=30)
+        out = link_by_interval(m, c, condition_key=F.col("Given_Name"))
         got = sorted((r["mid"], -1 if r["cid"] is None else r["cid"]) for r in out.collect())
         plan = out._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -67,13 +67,3 @@ def test_key_written_only_when_asked(spark, workdir):
     write_messages(m)
     res = run_jobs(spark, b, m, out)
     assert res.key and "key" not in res.paths and not os.path.exists(os.path.join(out, "KEY"))
-
-
-def test_spread_only_small_inputs(spark, workdir):
-    p = os.path.join(workdir, "t")
-    spark.range(100).coalesce(1).write.parquet(p)
-    small = spark.read.parquet(p)
-    assert spread(small, ["id"]).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    spark.range(1000).repartition(16).write.mode("overwrite").parquet(p)
-    many = spark.read.parquet(p)
-    assert spread(many, ["id"]) is many

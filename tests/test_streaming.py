@@ -52,3 +52,61 @@ def test_stream_encrypted(spark, workdir):
     e = spark.read.parquet(out)
     assert "SynSocial_UID_encrypted" in e.columns and "message_pos" not in e.columns
     assert e.select("SynSocial_UID_encrypted").distinct().count() == e.count()
+
+
+def test_restart_in_another_process_finds_every_message_once(spark, workdir):
+    """Stop, add a file, start again from a new Python process."""
+    import subprocess
+    import sys
+
+    bdir, mdir, out, ckpt = (os.path.join(workdir, x) for x in ("b", "m", "out", "ckpt"))
+    write_bundles(bdir)
+    os.makedirs(mdir)
+    code = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from pyspark.sql import SparkSession, functions as F
+from privlink.operators.flatten import flatten_conditions, flatten_patients, patient_conditions
+from privlink.sources.files import read_bundles
+from privlink.streaming.incremental import link_messages_stream
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+b = read_bundles(spark, {bdir!r})
+pc = patient_conditions(flatten_conditions(b, with_id=True), flatten_patients(b)).withColumn("code", F.col("code").try_cast("long"))
+link_messages_stream(spark, {mdir!r}, pc, {out!r}, checkpoint={ckpt!r}).awaitTermination(120)
+"""
+    for k in range(2):
+        with open(os.path.join(mdir, f"Nobody_X_{k}TwitterData.json"), "w") as f:
+            json.dump({"messages": [tweet(33, "No", "Wed Feb 02 01:00:00 +0000 2011", f"message {k}")]}, f)
+        subprocess.run([sys.executable, "-c", code], check=True, capture_output=True, timeout=300)
+    assert sorted(r["text"] for r in spark.read.parquet(out).collect()) == ["message 0", "message 1"]
+
+
+def test_checkpoint_must_be_named(spark, workdir):
+    import pytest
+
+    with pytest.raises(TypeError):
+        link_messages_stream(spark, workdir, None, workdir + "/out")
+
+
+def test_broken_lines_are_no_messages(spark, workdir):
+    """Batch and stream leave them out, and the rejected lines can be had."""
+    from privlink.functions.crypto import new_key
+    from privlink.sources.files import read_message_lines, rejected_docs, rejected_lines
+
+    bdir, mdir, out = (os.path.join(workdir, x) for x in ("b", "m", "out"))
+    write_bundles(bdir)
+    os.makedirs(mdir)
+    good = json.dumps(tweet(11, "Ann", "Thu May 06 12:00:00 +0000 2010", "ok"))
+    with open(os.path.join(mdir, "Ann_Lee_100TwitterData.json"), "w") as f:
+        f.write("\n".join([good, '{"user": {"id": ', "", "  ", "123", good, "not json"]))
+    docs = read_message_lines(spark, mdir)
+    assert flatten_messages(docs).count() == 2
+    assert flatten_messages(docs, with_position=True).select("message_pos").distinct().count() == 2
+    assert sorted(r["line"] for r in rejected_lines(spark, mdir).collect()) == ["123", "not json", '{"user": {"id": ']
+    q = link_messages_stream(spark, mdir, _conditions(spark, bdir), out, as_lines=True, protect="encrypt", key=new_key(), checkpoint=os.path.join(workdir, "ckpt"))
+    q.awaitTermination(120)
+    e = spark.read.parquet(out)
+    assert e.count() == 2 and e.select("SynSocial_UID_encrypted").distinct().count() == 2
+    write_messages(os.path.join(workdir, "docs"))
+    bad = [os.path.basename(r["path"]) for r in rejected_docs(spark, os.path.join(workdir, "docs")).collect()]
+    assert "broken.json" in bad and not any("TwitterData" in x for x in bad)
