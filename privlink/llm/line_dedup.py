@@ -140,7 +140,7 @@ def build_index(counts: DataFrame, keys_per_shard: int = KEYS_PER_SHARD) -> tupl
         return pa.table({"shard": [key[0].as_py()], "data": pa.array([PerfectCounts.build(keys.view(np.uint64), n).to_bytes()], pa.binary())}, schema=pa.schema([("shard", pa.int32()), ("data", pa.binary())]))
 
     sharded = counts.select("hash", "n", F.pmod("hash", F.lit(shards)).cast("int").alias("shard"))
-    return materialise(sharded.groupBy("shard").applyInArrow(build, "shard int, data binary"), "line-index"), shards
+    return sharded.groupBy("shard").applyInArrow(build, "shard int, data binary"), shards
 
 
 def _probe(batches: Iterator[pa.RecordBatch], min_docs: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -195,10 +195,11 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     their own.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    drops = materialise(frequent_lines(docs, min_docs, min_chars, id_col, text_col, keys_per_shard), "line-hits")
+    drops = frequent_lines(docs, min_docs, min_chars, id_col, text_col, keys_per_shard)
     left = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)))
     at = kept.index(text_col)
-    joined = left.join(drops, left[f"c{kept.index(id_col)}"].eqNullSafe(drops["id"]), "left").drop("id")
+    # a merge join at every size: which side is small is no property of the corpus
+    joined = left.join(drops.hint("merge"), left[f"c{kept.index(id_col)}"].eqNullSafe(drops["id"]), "left").drop("id")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, n_lines, n_dropped = [], [], []
