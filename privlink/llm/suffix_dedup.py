@@ -109,7 +109,8 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return out
 
 
-def _positions(ids: np.ndarray, pos: np.ndarray, n: np.ndarray, kind: int, key: np.ndarray) -> pa.RecordBatch:
+def _positions(ids: np.ndarray, pos: np.ndarray, n: np.ndarray, kind: int, key: np.ndarray | None = None) -> pa.RecordBatch:
+    key = np.zeros(len(ids), np.int64) if key is None else key
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), kind, np.int32)), pa.array(key), pa.array(ids), pa.array(pos), pa.array(n.astype(np.int32))], names=["kind", "key", "id", "pos", "n"])
 
 
@@ -192,12 +193,12 @@ def _meet_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         cols = _columns(batch, 5)
         done = cols[4] < 0
-        yield _positions(cols[2][done], cols[3][done], -cols[4][done], 0, cols[0][done])
+        yield _positions(cols[2][done], cols[3][done], -cols[4][done], 0)
         cols = tuple(c[~done] for c in cols)
         if not len(cols[0]):
             continue
         again, released, several = meeting.split(cols)
-        yield _positions(cols[2][again], cols[3][again], cols[4][again], 0, cols[0][again])
+        yield _positions(cols[2][again], cols[3][again], cols[4][again], 0)
         yield _positions(cols[2][several], cols[3][several], cols[4][several], 1, cols[0][several])
         if released:
             held = [np.array(x) for x in zip(*released, strict=True)]
@@ -243,7 +244,7 @@ def _repeats_in(pieces: list[tuple[int, int, bytes]], length: int) -> pa.RecordB
     ids, pos = ids[string], pos[string] + offset
     order = np.lexsort((pos, ids, group))
     later = order[~_changes(group[order])]
-    return _positions(ids[later], pos[later], np.ones(len(later), np.int32), 0, np.zeros(len(later), np.int64))
+    return _positions(ids[later], pos[later], np.ones(len(later), np.int32), 0)
 
 
 def _meet_pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -255,7 +256,7 @@ def _meet_pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
         text = batch.column(4)
         again, released, several = meeting.split((core, hash_, ids, pos, _texts(text)))
         sizes = np.array([len(text[int(i)].as_py()) for i in again], np.int64)
-        yield _positions(ids[again], pos[again], sizes - length + 1, 0, core[again])
+        yield _positions(ids[again], pos[again], sizes - length + 1, 0)
         rows = [(r[0], (int(r[2]), int(r[3]), r[4])) for r in released]
         rows += [(core[i], (int(ids[i]), int(pos[i]), text[int(i)].as_py())) for i in several.tolist()]
         for c, piece in rows:
@@ -292,7 +293,6 @@ def repeated_windows(docs: DataFrame, length: int = 100) -> DataFrame:
     pieces = map_batches(docs.join(spots.hint("merge"), "id").select("id", "data", "spots"), lambda b: _piece_rows(b, length), "core long, hash long, id long, pos long, text binary")
     near = pieces.repartition("core").sortWithinPartitions("core", "hash", "id", "pos").mapInArrow(lambda it: _meet_pieces(it, length), "kind int, key long, id long, pos long, n int")
     near = materialise(near, "repeat-pieces")
-    _free(spark)
     return met.where("kind = 0").union(near).select("id", "pos", "n")
 
 
@@ -309,7 +309,9 @@ def dedup_substrings(docs: DataFrame, length: int = 100, id_col: str = "doc_id",
     if length < ANCHOR + 1 or length < STEP + ANCHOR:
         raise ValueError(f"length must be at least {ANCHOR + STEP}")
     slim = docs.select(F.col(id_col).cast("long").alias("own"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST_ID)).alias("id"), F.coalesce(text_col, F.lit("")).cast("binary").alias("data"))
-    runs = repeated_windows(slim.select("id", "data"), length).groupBy("id").agg(F.collect_list(F.struct("pos", "n")).alias("runs"))
+    found = repeated_windows(slim.select("id", "data"), length)
+    _free(docs.sparkSession)
+    runs = found.groupBy("id").agg(F.collect_list(F.struct("pos", "n")).alias("runs"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes, spans, kept = [], [], []
