@@ -26,7 +26,7 @@ RATES, SEEDS = (8, 32, 128, 512), 6
 #: The hash of a subset in which a document has no term.
 NONE = "-"
 #: Documents of a doc_id range that one task holds, and the most ranges.
-RANGE_ROWS, MOST_RANGES = 1_000, 4_096
+RANGE_ROWS, MOST_RANGES = 1_000, 65_536
 
 
 def terms(text: Column) -> Column:
@@ -95,12 +95,13 @@ def imatch_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def _ranged(ids: Column, docs: DataFrame, id_col: str, rows: int) -> Column:
     """The number of the range of ids that an id is in, by quantiles of the ids."""
     n = max(1, min(MOST_RANGES, -(-rows // RANGE_ROWS)))
-    cuts = docs.agg(F.percentile_approx(id_col, [i / n for i in range(1, n)], 100_000)).first()[0] if n > 1 else None
+    cuts = docs.agg(F.percentile_approx(id_col, [i / n for i in range(1, n)], 10 * MOST_RANGES)).first()[0] if n > 1 else None
     if not cuts:
         return F.lit(0)
     # the last cut at or below the id, found by halving
     cuts = sorted(set(cuts))
-    held = F.lit(cuts)
+    # one folded array literal, however many cuts there are
+    held = F.split(F.lit(" ".join(map(str, cuts))), " ").cast(f"array<{docs.schema[id_col].dataType.simpleString()}>")
     at = F.lit(0)
     step = 1 << (len(cuts).bit_length() - 1)
     while step:
