@@ -87,7 +87,24 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_language(docs.select("doc_id", "text"), language_sample(docs)).select("doc_id", in_fold().alias("held_out"), "lang_pred", "score")
 
 
-@register("op4_suffix_dedup")
+_SUFFIX_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, unnest(range(0, n - 99)) AS i, h FROM d),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY md5_number(substr(h, 2 * i + 1, 200)) ORDER BY doc_id, i) AS k FROM w),
+c AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 1 ELSE 0 END AS new FROM f WHERE k > 1),
+r AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM c),
+s AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM r GROUP BY doc_id, run),
+t AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS kept_from FROM s),
+k AS (SELECT t.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+             string_agg(substr(h, 2 * kept_from + 1, 2 * (a - kept_from)), '' ORDER BY a) AS kept, max(b) AS last
+      FROM t JOIN d ON t.doc_id = d.doc_id GROUP BY t.doc_id)
+SELECT d.doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+
+
+@register("op4_suffix_dedup", _SUFFIX_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text without the bytes of 100-byte strings that start earlier."""
     done = suffix_dedup.dedup_substrings(_read(spark, sf_dir, "documents"), 100)
@@ -138,7 +155,41 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
-@register("op9_url_rules")
+_URL_SQL = f"""
+WITH p AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+u AS (SELECT host, path, count(*) AS n, list_filter(string_split(host, '.'), lambda x: x <> '') AS labels FROM p GROUP BY host, path),
+rules(rule_host, rule_path, v) AS (VALUES {", ".join(map(str, URL_RULES))}),
+e AS (
+  SELECT host, path, rule_host || rule_path AS rule, v FROM u JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  QUALIFY row_number() OVER (PARTITION BY host, path ORDER BY length(rule_host || rule_path) DESC, rule_host || rule_path) = 1),
+t AS (
+  SELECT u.host, u.path, n, rule, v, list_sort(list_distinct(
+    list_transform(labels, lambda x: 'h:' || x)
+    || CASE WHEN len(labels) > 1 THEN ['s:' || array_to_string(labels[-2:], '.')] ELSE [] END
+    || list_transform(list_filter(string_split(u.path, '/'), lambda x: x <> ''), lambda x: 'p:' || x))) AS tokens
+  FROM u LEFT JOIN e ON u.host = e.host AND u.path = e.path),
+total AS (SELECT sum(n) AS n FROM t WHERE v IS NOT NULL AND len(tokens) > 0),
+part AS (SELECT v, n, tokens, unnest(range(1, 1 << len(tokens))) AS mask FROM t WHERE v IS NOT NULL AND len(tokens) > 0),
+item AS (SELECT v, n, list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS tokens FROM part),
+counted AS (SELECT tokens, v, sum(n) AS n_both, sum(sum(n)) OVER (PARTITION BY tokens) AS n_alone FROM item GROUP BY tokens, v),
+mined AS (
+  SELECT tokens, v, CAST(n_both AS DOUBLE) / CAST(n_alone AS DOUBLE) AS confidence, CAST(n_both AS DOUBLE) / CAST(total.n AS DOUBLE) AS support
+  FROM counted, total WHERE n_both >= ceil({url_rules.MIN_SUPPORT} * total.n) AND CAST(n_both AS DOUBLE) / CAST(n_alone AS DOUBLE) >= {url_rules.MIN_CONFIDENCE}),
+kept AS (
+  SELECT * FROM mined m WHERE NOT EXISTS (
+    SELECT 1 FROM mined o WHERE o.v = m.v AND len(o.tokens) < len(m.tokens) AND o.confidence >= m.confidence AND list_has_all(m.tokens, o.tokens))),
+fired AS (
+  SELECT host, path, k.v FROM t JOIN kept k ON list_has_all(t.tokens, k.tokens) WHERE t.v IS NULL
+  QUALIFY row_number() OVER (PARTITION BY host, path ORDER BY confidence DESC, support DESC, len(k.tokens) DESC, array_to_string(k.tokens, ' ') DESC, k.v DESC) = 1)
+SELECT page_id, p.host, p.path, rule, coalesce(t.v, fired.v, 'allow') AS verdict
+FROM p JOIN t ON p.host = t.host AND p.path = t.path LEFT JOIN fired ON p.host = fired.host AND p.path = fired.path
+"""
+
+
+@register("op9_url_rules", _URL_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A verdict on every url: the explicit rule's, else that of the mined rules."""
     return url_rules.judge_urls(_read(spark, sf_dir, "pages"), URL_RULES)

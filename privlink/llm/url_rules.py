@@ -11,7 +11,7 @@ token to rule: a rule fires if the URL has as many of its tokens as it has.
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import materialise
 
