@@ -89,8 +89,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _SUFFIX_SQL = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
-w AS (SELECT doc_id, unnest(range(0, n - 99)) AS i, h FROM d),
-f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY md5_number(substr(h, 2 * i + 1, 200)) ORDER BY doc_id, i) AS k FROM w),
+g AS (SELECT doc_id, n, c, substr(h, 1024 * c + 1, 1222) AS part FROM (SELECT doc_id, n, h, unnest(range(0, (n + 412) // 512)) AS c FROM d)),
+w AS (SELECT doc_id, 512 * c + j AS i, md5_number(substr(part, 2 * j + 1, 200)) AS bytes
+      FROM (SELECT doc_id, c, part, unnest(range(0, least(512, n - 99 - 512 * c))) AS j FROM g)),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY bytes ORDER BY doc_id, i) AS k FROM w),
 c AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 1 ELSE 0 END AS new FROM f WHERE k > 1),
 r AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM c),
 s AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM r GROUP BY doc_id, run),
