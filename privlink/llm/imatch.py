@@ -20,9 +20,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import materialise
 
 #: Shares of the documents that a lexicon term must be in: at least, at most.
-LOW, HIGH = 0.001, 0.2
+LOW, HIGH = 0.01, 0.2
 #: One term in so many is in a subset; SEEDS subsets for each rate.
-RATES, SEEDS = (8, 32, 128, 512), 6
+RATES, SEEDS = (16, 64, 256, 1_024), 10
 #: The hash of a subset in which a document has no term.
 NONE = "-"
 #: Documents of a doc_id range that one task holds, and the most ranges.
@@ -43,19 +43,27 @@ def lexicon(docs: DataFrame, text_col: str = "text", low: float = LOW, high: flo
     return materialise(counts.where((F.col("n") >= low * rows) & (F.col("n") <= max(2.0, high * rows))).select("term"), "lexicon")
 
 
+def lexicon_value(lex: DataFrame) -> Column:
+    """The lexicon as one value: a scalar subquery, computed once and of bounded size."""
+    return lex.agg(F.collect_list("term").alias("terms")).scalar()
+
+
+def lexicon_terms(found: Column, value: Column) -> Column:
+    """The sorted ones of a text's terms that are in the lexicon, found without moving the text."""
+    return F.sort_array(F.array_intersect(found, value))
+
+
 def signatures(held: Column) -> Column:
-    """Array of the subset hashes (16 hex digits, or NONE for a subset without
-    terms) of an array of lexicon terms."""
-    held = F.sort_array(held)
-    out = []
+    """The subset hashes (16 hex digits, or NONE for a subset without terms) of
+    sorted lexicon terms, with a blank between."""
+    nothing, out = F.xxhash64(F.array().cast("array<bigint>")), []
     for j, rate in enumerate(RATES):
         for s in range(SEEDS):
             bits = rate.bit_length() - 1
             at = (j * SEEDS + s) * 5 % (64 - bits)
             drawn = (lambda at, mask: lambda t: F.shiftrightunsigned(t, at).bitwiseAND(F.lit(mask).cast("long")) == s)(at, (1 << bits) - 1)
-            part = F.filter(held, drawn)
-            out.append(F.when(F.size(part) > 0, F.lpad(F.lower(F.hex(F.xxhash64(part))), 16, "0")).otherwise(F.lit(NONE)))
-    return F.array(*out)
+            out.append(F.nullif(F.xxhash64(F.filter(held, drawn)), nothing))
+    return F.array_join(F.transform(F.array(*out), lambda h: F.coalesce(F.lpad(F.lower(F.hex(h)), 16, "0"), F.lit(NONE))), " ")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -67,20 +75,6 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(some > 0, agree / some).otherwise(F.lit(1.0))
 
 
-def fingerprints(rows: DataFrame, lex: DataFrame, keys: list[str], sides: dict[str, str]) -> DataFrame:
-    """``rows`` with a fingerprint column for each of ``sides`` (name: column of
-    terms, which is dropped). ``keys`` are unique; if ``rows`` are partitioned by
-    the first key, nothing is shuffled: the terms are matched with the broadcast
-    lexicon and gathered again where they are."""
-    each = rows.withColumn("_t", F.explode_outer(F.concat(*(F.transform(c, (lambda k: lambda t: F.struct(F.lit(k).alias("side"), t.alias("term")))(k)) for k, c in enumerate(sides.values())))))
-    others = [c for c in rows.columns if c not in keys and c not in sides.values()]
-    each = each.select(*keys, *others, F.col("_t.side").alias("_side"), F.col("_t.term").alias("_term"))
-    known = each.join(F.broadcast(lex.select(F.col("term").alias("_term"), F.lit(True).alias("_in"))), "_term", "left")
-    sets = [F.collect_list(F.when(F.col("_in") & (F.col("_side") == k), F.col("_term"))).alias(name) for k, name in enumerate(sides)]
-    held = known.groupBy(*keys).agg(*(F.first(c).alias(c) for c in others), *sets)
-    return held.select(*keys, *others, *(F.array_join(signatures(F.col(name)), " ").alias(name) for name in sides))
-
-
 def imatch_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fingerprint): the I-Match fingerprint of every text.
 
@@ -88,8 +82,9 @@ def imatch_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     have texts without a lexicon term. Equal texts have equal fingerprints;
     repeated rows give repeated rows; an empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), terms(F.col(text_col)).alias("terms"))
-    return fingerprints(rows, lexicon(docs, text_col), ["row"], {"fingerprint": "terms"}).select(F.col("id").alias(id_col), "fingerprint")
+    known = lexicon_value(lexicon(docs, text_col))
+    held = docs.select(F.col(id_col).alias("id"), lexicon_terms(terms(F.col(text_col)), known).alias("held"))
+    return held.select(F.col("id").alias(id_col), signatures(F.col("held")).alias("fingerprint"))
 
 
 def _ranged(ids: Column, docs: DataFrame, id_col: str, rows: int) -> Column:
@@ -98,17 +93,16 @@ def _ranged(ids: Column, docs: DataFrame, id_col: str, rows: int) -> Column:
     cuts = docs.agg(F.percentile_approx(id_col, [i / n for i in range(1, n)], 10 * MOST_RANGES)).first()[0] if n > 1 else None
     if not cuts:
         return F.lit(0)
-    # the last cut at or below the id, found by halving
+    # the last cut at or below the id, found by halving; one folded array literal, however many cuts there are
     cuts = sorted(set(cuts))
-    # one folded array literal, however many cuts there are
     held = F.split(F.lit(" ".join(map(str, cuts))), " ").cast(f"array<{docs.schema[id_col].dataType.simpleString()}>")
-    at = F.lit(0)
-    step = 1 << (len(cuts).bit_length() - 1)
-    while step:
+    steps = F.lit([1 << k for k in reversed(range(len(cuts).bit_length()))])
+
+    def halve(at: Column, step: Column) -> Column:
         there = at + step
-        at = F.when((there <= len(cuts)) & (F.element_at(held, F.least(there, F.lit(len(cuts)))) <= ids), there).otherwise(at)
-        step >>= 1
-    return F.coalesce(F.when(ids.isNull(), F.lit(0)).otherwise(at), F.lit(0))
+        return F.when((there <= len(cuts)) & (F.element_at(held, F.least(there, F.lit(len(cuts)))) <= ids), there).otherwise(at)
+
+    return F.when(ids.isNull(), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), halve))
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -145,13 +139,17 @@ def edit_resilience(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     as many code points, or all, from the start of the next document (see
     :func:`with_next`). Null text is empty; a single document follows itself.
     """
-    lex = lexicon(docs, text_col)
+    known = lexicon_value(lexicon(docs, text_col))
     rows = with_next(docs, id_col, text_col).withColumn("n_chars", F.char_length("text").cast("long"))
     half = F.expr("int(n_chars div 2)")
     edited = F.concat(F.expr("substring(text, 1, int(n_chars - n_chars div 2))"), F.substr(F.coalesce("next_text", F.lit("")), F.lit(1), half))
-    rows = rows.select("part", "row", "spare", "id", "n_chars", "text", edited.alias("edited"))
-    rows = rows.select("part", "row", "spare", "id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), terms(F.col("text")).alias("own"), terms(F.col("edited")).alias("other"))
-    done = fingerprints(rows, lex, ["part", "row"], {"fingerprint": "own", "edited_fingerprint": "other"})
+    base = ["part", "row", "spare", "id", "n_chars"]
+    rows = rows.select(*base, "text", edited.alias("edited"))
+    rows = rows.select(*base, F.sha2("edited", 256).alias("edited_sha256"), terms(F.col("text")).alias("own"), terms(F.col("edited")).alias("other"))
+    # one look at the lexicon for both texts
+    rows = rows.withColumn("held", lexicon_terms(F.concat("own", "other"), known))
+    rows = rows.select(*base, "edited_sha256", *(F.sort_array(F.array_intersect(c, F.col("held"))).alias(c) for c in ("own", "other")))
+    done = rows.select(*base, "edited_sha256", signatures(F.col("own")).alias("fingerprint"), signatures(F.col("other")).alias("edited_fingerprint"))
     after = F.lead("fingerprint").over(Window.partitionBy("part").orderBy("row"))
     done = done.withColumn("after", after).where("NOT spare")
     return done.select(

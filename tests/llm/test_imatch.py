@@ -91,7 +91,7 @@ def test_plain_fingerprints(spark, docs_of):
     assert have == sorted((str(i), brute_fingerprint(t, lexicon)) for i, t in rows)
 
 
-def test_terms_are_gathered_without_a_shuffle_and_without_python(spark, documents, monkeypatch):
+def test_documents_move_once_and_without_python(spark, documents, monkeypatch):
     monkeypatch.setattr(imatch, "RANGE_ROWS", 50)
     frame = imatch.edit_resilience(documents)
     plan = frame._jdf.queryExecution().executedPlan().toString()
