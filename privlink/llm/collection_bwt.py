@@ -7,18 +7,29 @@ starts is the rank-th of those that begin with c. The common prefix of a new row
 with its neighbour is one more than the smallest common prefix between the rows
 they were extended from.
 
-Transform and prefix array are two files. A round reads the old ones and writes
-the new ones from front to end; memory holds one pass of them.
+Transform and prefix array are two files. A round reads both from front to end
+and writes the new ones over them; memory holds one pass of them.
 """
 
 from __future__ import annotations
 
-import os
-from tempfile import TemporaryDirectory
+from tempfile import TemporaryFile
 
 import numpy as np
 
 
+def _load(file, n: int, kind) -> np.ndarray:
+    out = np.empty(n, kind)
+    file.seek(0)
+    file.readinto(out)
+    return out
+
+
+def _store(file, values: np.ndarray) -> None:
+    file.seek(0)
+    file.write(values)
+
+
 def _range_minima(values: np.ndarray) -> np.ndarray:
     """Row k has the minima of all runs of 2**k values."""
     n = len(values)
@@ -50,18 +61,22 @@ def shared_prefixes(strings: list[bytes], least: int) -> tuple[np.ndarray, np.nd
     sizes = np.array([len(s) for s in strings], np.int64)
     longest = int(sizes.max(initial=0))
     kind = np.uint8 if longest < 255 else np.uint32
-    # symbols from the end; 0 is the end of a string
-    columns = np.zeros((longest + 1, m), np.uint16)
+    # symbols from the end, numbered in byte order; 0 is the end of a string
+    used = np.unique(np.frombuffer(b"".join(strings), np.uint8))
+    symbol = np.uint8 if len(used) < 256 else np.uint16
+    number = np.zeros(256, symbol)
+    number[used] = np.arange(1, len(used) + 1)
+    columns = np.zeros((m, longest + 1), symbol)
     for i, s in enumerate(strings):
-        columns[: len(s), i] = np.frombuffer(s, np.uint8)[::-1].astype(np.uint16) + 1
-    with TemporaryDirectory() as folder:
-        bwt_file, lcp_file = os.path.join(folder, "bwt"), os.path.join(folder, "lcp")
-        columns[0].tofile(bwt_file)
-        np.zeros(m, kind).tofile(lcp_file)
-        row = np.arange(m)
+        columns[i, : len(s)] = number[np.frombuffer(s, np.uint8)[::-1]]
+    columns = np.ascontiguousarray(columns.T)
+    with TemporaryFile() as bwt_file, TemporaryFile() as lcp_file:
+        _store(bwt_file, columns[0])
+        _store(lcp_file, np.zeros(m, kind))
+        n, row = m, np.arange(m)
         for j in range(1, longest + 1):
-            bwt, lcp = np.fromfile(bwt_file, np.uint16), np.fromfile(lcp_file, kind)
-            n, ended = len(bwt), int(np.count_nonzero(bwt == 0))
+            bwt, lcp = _load(bwt_file, n, symbol), _load(lcp_file, n, kind)
+            ended = int(np.count_nonzero(bwt == 0))
             order, place = _sorted_rows(bwt)
             table = _range_minima(lcp)
             live = np.flatnonzero(sizes >= j)
@@ -76,16 +91,16 @@ def shared_prefixes(strings: list[bytes], least: int) -> tuple[np.ndarray, np.nd
             down[has_after] = _minima(table, r[has_after] + 1, after[has_after]) + 1
             old = np.ones(n + len(r), bool)
             old[new] = False
-            next_bwt, next_lcp = np.empty(len(old), np.uint16), np.empty(len(old), kind)
+            next_bwt, next_lcp = np.empty(len(old), symbol), np.empty(len(old), kind)
             next_bwt[old], next_lcp[old] = bwt, lcp
             next_bwt[new] = columns[j, live]
             next_lcp[new] = up
             inner = new + 1 < len(old)
             next_lcp[new[inner] + 1] = down[inner]
-            next_bwt.tofile(bwt_file)
-            next_lcp.tofile(lcp_file)
-            row[live] = new
-        bwt, lcp = np.fromfile(bwt_file, np.uint16), np.fromfile(lcp_file, kind)
+            _store(bwt_file, next_bwt)
+            _store(lcp_file, next_lcp)
+            n, row[live] = len(old), new
+        bwt, lcp = _load(bwt_file, n, symbol), _load(lcp_file, n, kind)
     group = np.cumsum(lcp < least)
     # the row of each suffix: from the ends of the strings, step by step
     _, place = _sorted_rows(bwt)

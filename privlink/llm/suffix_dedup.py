@@ -25,6 +25,7 @@ this over tasks, strings that can share a window are brought together by content
 from __future__ import annotations
 
 import gc
+import time
 import zlib
 from collections.abc import Iterator
 
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .collection_bwt import shared_prefixes
 from .common import map_batches, materialise
 
-ANCHOR, STEP, COLLECTION = 24, 20, 8_192
+ANCHOR, STEP, COLLECTION = 24, 20, 1_024
 #: Bytes that are hashed in one go, and windows of one pass over them.
 _CHUNK = 1 << 20
 _LAST_ID = (1 << 63) - 1
@@ -276,9 +277,15 @@ def _texts(column: pa.Array) -> np.ndarray:
 
 
 def _free(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of steps whose results are written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark drop the shuffle files of steps whose results are written.
+
+    Spark does so once it sees that nothing refers to them. What the first
+    collection releases may have held others; the cleaner needs a moment.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
 
 
 def repeated_windows(docs: DataFrame, length: int = 100) -> DataFrame:
