@@ -93,7 +93,7 @@ def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def rejected_docs(spark: SparkSession, path: str) -> DataFrame:
     """(path, document): the files of a folder of documents that are no JSON."""
-    whole = spark.read.option("wholetext", "true").text(path).select("value", F.col("_metadata.file_path").alias("path"))
+    whole = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
     rec = F.from_json("value", StructType([*MESSAGE_DOC.fields, StructField(_CORRUPT, StringType())]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     return whole.where(rec[_CORRUPT].isNotNull()).select("path", F.col("value").alias("document"))
 
