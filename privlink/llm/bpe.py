@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 from array import array
+from functools import cached_property
 from itertools import chain
 
 import ahocorasick
@@ -31,7 +32,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import map_batches, texts_of
+from .common import kept, map_batches, texts_of
 
 #: Fixed value: the word pattern of byte-level BPE vocabularies.
 WORD_PATTERN = (
@@ -39,7 +40,9 @@ WORD_PATTERN = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 #: Words kept with their ids by each Python worker, and the longest word kept.
-CACHE_WORDS, CACHE_CHARS = 400_000, 64
+CACHE_WORDS, CACHE_CHARS = 300_000, 64
+#: Pairs of the compatibility table kept by each Python worker.
+CACHE_PAIRS = 300_000
 _NEVER = 1 << 60
 
 
@@ -52,21 +55,75 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class BytePairModel:
-    """Encoder and decoder of one tokenizer file (``tokenizers`` JSON, byte-level BPE).
+    """One tokenizer file (``tokenizers`` JSON, byte-level BPE): an encoder and a
+    decoder, each built when first used.
 
-    Raises ValueError for a file with parts this model does not have
+    Raises ValueError for a file with parts that these do not have
     (normaliser, prefix space, added tokens that strip blanks, ...).
     """
 
     def __init__(self, spec: bytes):
-        conf = json.loads(spec)
+        self.spec = spec
+
+    @cached_property
+    def encoder(self) -> Encoder:
+        return Encoder(json.loads(self.spec))
+
+    @cached_property
+    def decoder(self) -> Decoder:
+        return Decoder(json.loads(self.spec))
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of the text; strings of added tokens get the ids of these."""
+        return self.encoder.encode(text)
+
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of ids; bytes that are no UTF-8 become U+FFFD."""
+        return self.decoder.decode(ids)
+
+
+def _token_bytes(conf: dict) -> dict[int, bytes]:
+    alphabet = byte_alphabet()
+    return {i: bytes(alphabet[c] for c in t) for t, i in conf["model"]["vocab"].items()}
+
+
+def _added_tokens(conf: dict) -> dict[str, int]:
+    tokens = conf.get("added_tokens") or []
+    if any(t.get(k) for t in tokens for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens that look at their neighbours are not supported")
+    return {t["content"]: t["id"] for t in tokens}
+
+
+class Decoder:
+    """All token bytes in one blob; token i at offsets[i]:offsets[i + 1]."""
+
+    def __init__(self, conf: dict):
+        every = _token_bytes(conf) | {i: t.encode() for t, i in _added_tokens(conf).items()}
+        top = max(every) + 1
+        self.offsets = np.zeros(top + 1, np.int64)
+        self.offsets[1:] = np.cumsum([len(every.get(i, b"")) for i in range(top)])
+        self.blob = np.frombuffer(b"".join(every.get(i, b"") for i in range(top)), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> str:
+        if not len(ids):
+            return ""
+        starts = self.offsets[ids]
+        widths = self.offsets[np.asarray(ids) + 1] - starts
+        ends = np.cumsum(widths)
+        at = np.arange(ends[-1]) + np.repeat(starts - (ends - widths), widths)
+        return self.blob[at].tobytes().decode("utf-8", "replace")
+
+
+class Encoder:
+    """Words to ids by longest matches, compatibility and backtracking."""
+
+    def __init__(self, conf: dict):
         model, pre = conf["model"], conf.get("pre_tokenizer") or {}
         if model.get("type") != "BPE" or pre.get("type") != "ByteLevel" or not pre.get("use_regex", True):
             raise ValueError("only byte-level BPE tokenizers with the word pattern are supported")
         if conf.get("normalizer") or pre.get("add_prefix_space") or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
             raise ValueError("this tokenizer has parts that are not supported")
-        alphabet = byte_alphabet()
-        self.bytes_of: dict[int, bytes] = {i: bytes(alphabet[c] for c in t) for t, i in model["vocab"].items()}
+        self.bytes_of = _token_bytes(conf)
         vocab = model["vocab"]
         self.parts: dict[int, tuple[int, int]] = {}
         self.rank: dict[int, int] = {}
@@ -95,22 +152,10 @@ class BytePairModel:
         # the longest usable token that is a proper prefix of each token
         self.shorter = {i: next((ids[b[:n]] for n in range(len(b) - 1, 0, -1) if b[:n] in ids), None) for b, i in ids.items()}
         self.width = {i: len(b) for b, i in ids.items()}
-        self.added = self._added_tokens(conf.get("added_tokens") or [])
+        self.added = _added_tokens(conf)
         self.added_pattern = regex.compile("|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True))) if self.added else None
         self.words = regex.compile(WORD_PATTERN)
         self.cache = _WordCache(self.encode_word)
-        # decoding: all token bytes in one blob, token i at offsets[i]:offsets[i + 1]
-        every = self.bytes_of | {i: t.encode() for t, i in self.added.items()}
-        top = max(every) + 1
-        self.offsets = np.zeros(top + 1, np.int64)
-        self.offsets[1:] = np.cumsum([len(every.get(i, b"")) for i in range(top)])
-        self.blob = np.frombuffer(b"".join(every.get(i, b"") for i in range(top)), np.uint8)
-
-    @staticmethod
-    def _added_tokens(tokens: list[dict]) -> dict[str, int]:
-        if any(t.get(k) for t in tokens for k in ("single_word", "lstrip", "rstrip")):
-            raise ValueError("added tokens that look at their neighbours are not supported")
-        return {t["content"]: t["id"] for t in tokens}
 
     def _spine(self, token: int, side: int) -> list[int]:
         """The tokens at one edge of ``token`` while it is built: from the byte up to itself."""
@@ -149,7 +194,7 @@ class BytePairModel:
         """The pair-compatibility table, filled as pairs are met."""
         known = self._fits.get((a, b))
         if known is None:
-            if len(self._fits) > 2_000_000:
+            if len(self._fits) >= CACHE_PAIRS:
                 self._fits.clear()
             known = self._fits[a, b] = self._compatible(a, b)
         return known
@@ -191,15 +236,6 @@ class BytePairModel:
         self.cache.trim()
         return out
 
-    def decode(self, ids: np.ndarray) -> str:
-        if not len(ids):
-            return ""
-        starts = self.offsets[ids]
-        widths = self.offsets[np.asarray(ids) + 1] - starts
-        ends = np.cumsum(widths)
-        at = np.arange(ends[-1]) + np.repeat(starts - (ends - widths), widths)
-        return self.blob[at].tobytes().decode("utf-8", "replace")
-
 
 class _WordCache(dict):
     """Ids of words, found when first asked for."""
@@ -219,15 +255,9 @@ class _WordCache(dict):
             self.clear()
 
 
-_MODELS: dict[bytes, BytePairModel] = {}
-
-
 def model_of(spec: bytes) -> BytePairModel:
     """The model of a tokenizer file, built once in each Python worker."""
-    if spec not in _MODELS:
-        _MODELS.clear()
-        _MODELS[spec] = BytePairModel(spec)
-    return _MODELS[spec]
+    return kept(("bpe", spec), lambda: BytePairModel(spec))
 
 
 def _lists(flat: np.ndarray, sizes: list[int]) -> pa.Array:

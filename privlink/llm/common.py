@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import gc
+from collections.abc import Callable, Hashable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import scratch_path
 
 #: Rows of one Arrow batch. Texts can be long, so batches stay short.
-BATCH_ROWS = 1024
+BATCH_ROWS = 512
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -45,3 +47,20 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
 def texts_of(column: pa.Array) -> list[str]:
     """A text column as Python strings, null as the empty text."""
     return ["" if t is None else t for t in column.to_pylist()]
+
+
+T = TypeVar("T")
+_KEPT: list[tuple[Hashable, object]] = []
+
+
+def kept(key: Hashable, build: Callable[[], T]) -> T:
+    """What ``build`` makes, once in each Python worker for the same key.
+
+    A worker serves task after task of different operators and keeps only the
+    last one's model.
+    """
+    if not _KEPT or _KEPT[0][0] != key:
+        _KEPT.clear()
+        gc.collect()  # a model may hold itself in a cycle
+        _KEPT.append((key, build()))
+    return _KEPT[0][1]

@@ -20,7 +20,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import map_batches, texts_of
+from .common import kept, map_batches, texts_of
 
 ERROR_RATE, BLOCK_CHARS = 0.1, 4_000_000
 
@@ -151,15 +151,10 @@ class Pieces:
         return out
 
 
-_PIECES: dict[str, Pieces] = {}
-
-
 def _pieces_of(items: list[tuple[int, str]], rate: float) -> Pieces:
+    """The pieces of a block, built once in each Python worker."""
     key = hashlib.sha256(repr((items, rate)).encode()).hexdigest()
-    if key not in _PIECES:
-        _PIECES.clear()
-        _PIECES[key] = Pieces(items, rate)
-    return _PIECES[key]
+    return kept(("pieces", key), lambda: Pieces(items, rate))
 
 
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:

@@ -11,7 +11,8 @@ from privlink.llm import bpe, queries
 from .conftest import ODD, SF
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
-MODEL = bpe.model_of(open(PATH, "rb").read())
+MODEL = bpe.BytePairModel(open(PATH, "rb").read())
+ENCODER = MODEL.encoder
 OTHER = Tokenizer.from_file(PATH)
 
 
@@ -53,14 +54,14 @@ def test_merge_loop_agrees_with_backtracking():
         word = "".join(rng.choices("theandig ", k=rng.randint(1, 20))).replace(" ", "")
         if not word:
             continue
-        ids = [i for b in word.encode() for i, x in MODEL.bytes_of.items() if x == bytes([b]) and i in MODEL.usable][: len(word)]
+        ids = [i for b in word.encode() for i, x in ENCODER.bytes_of.items() if x == bytes([b]) and i in ENCODER.usable][: len(word)]
         while True:
-            ranks = [(MODEL.merge[p], k) for k, p in enumerate(zip(ids, ids[1:], strict=False)) if p in MODEL.merge]
+            ranks = [(ENCODER.merge[p], k) for k, p in enumerate(zip(ids, ids[1:], strict=False)) if p in ENCODER.merge]
             if not ranks:
                 break
             _, k = min(ranks)
-            ids[k : k + 2] = [next(w for w, p in MODEL.parts.items() if p == (ids[k], ids[k + 1]))]
-        assert tuple(ids) == MODEL.encode_word(word)
+            ids[k : k + 2] = [next(w for w, p in ENCODER.parts.items() if p == (ids[k], ids[k + 1]))]
+        assert tuple(ids) == ENCODER.encode_word(word)
 
 
 def test_operator_on_odd_rows(spark, docs_of, tiny_batches):
