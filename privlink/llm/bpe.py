@@ -255,9 +255,14 @@ class _WordCache(dict):
             self.clear()
 
 
-def model_of(spec: bytes) -> BytePairModel:
-    """The model of a tokenizer file, built once in each Python worker."""
-    return kept(("bpe", spec), lambda: BytePairModel(spec))
+def encoder_of(spec: bytes) -> Encoder:
+    """The encoder of a tokenizer file, built once in each Python worker."""
+    return kept(("bpe-encoder", spec), lambda: Encoder(json.loads(spec)))
+
+
+def decoder_of(spec: bytes) -> Decoder:
+    """The decoder of a tokenizer file, a small part of what the encoder needs."""
+    return kept(("bpe-decoder", spec), lambda: Decoder(json.loads(spec)))
 
 
 def _lists(flat: np.ndarray, sizes: list[int]) -> pa.Array:
@@ -278,7 +283,7 @@ def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        model, flat, sizes = model_of(spec.value), array("i"), []
+        model, flat, sizes = encoder_of(spec.value), array("i"), []
         for text in texts_of(batch.column(1)):
             before = len(flat)
             flat.extend(model.encode(text))
@@ -299,7 +304,7 @@ def bpe_decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id") -> Da
         spec = encoded.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        model, lists = model_of(spec.value), batch.column(1)
+        model, lists = decoder_of(spec.value), batch.column(1)
         flat, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
         texts = [model.decode(flat[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         return pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(texts, pa.string())], names=[id_col, "ids", "decoded"])

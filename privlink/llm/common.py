@@ -62,5 +62,6 @@ def kept(key: Hashable, build: Callable[[], T]) -> T:
     if not _KEPT or _KEPT[0][0] != key:
         _KEPT.clear()
         gc.collect()  # a model may hold itself in a cycle
+        pa.default_memory_pool().release_unused()
         _KEPT.append((key, build()))
     return _KEPT[0][1]
