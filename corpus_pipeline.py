@@ -67,7 +67,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded) of every document left. The ids are written
     before they are decoded, so that a task has one Python worker at a time."""
-    both = bpe.bpe_decode(materialise(bpe.bpe_encode(docs, TOKENIZER), "pipeline-ids"), TOKENIZER)
+    both = bpe.bpe_decode(materialise(bpe.bpe_encode(docs, TOKENIZER), "pipeline-ids"), TOKENIZER, alone=True)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import json
 from array import array
-from functools import cached_property
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import ahocorasick
@@ -260,9 +260,15 @@ def encoder_of(spec: bytes) -> Encoder:
     return kept(("bpe-encoder", spec), lambda: Encoder(json.loads(spec)))
 
 
-def decoder_of(spec: bytes) -> Decoder:
-    """The decoder of a tokenizer file, a small part of what the encoder needs."""
-    return kept(("bpe-decoder", spec), lambda: Decoder(json.loads(spec)))
+@lru_cache(maxsize=1)
+def _small_decoder(spec: bytes) -> Decoder:
+    return Decoder(json.loads(spec))
+
+
+def decoder_of(spec: bytes, alone: bool) -> Decoder:
+    """The decoder of a tokenizer file, a small part of what the encoder needs;
+    ``alone``: the worker lets go of the encoder it may hold."""
+    return kept(("bpe-decoder", spec), lambda: Decoder(json.loads(spec))) if alone else _small_decoder(spec)
 
 
 def _lists(flat: np.ndarray, sizes: list[int]) -> pa.Array:
@@ -294,17 +300,18 @@ def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
     return map_batches(docs.select(id_col, text_col), run, f"`{id_col}` {kind}, ids array<int>")
 
 
-def bpe_decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id") -> DataFrame:
+def bpe_decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id", alone: bool = False) -> DataFrame:
     """(id, ids, decoded string): the texts of ids that :func:`bpe_encode` made.
 
     Special tokens are written out; bytes that are no UTF-8 become U+FFFD; null
-    ids give the empty text.
+    ids give the empty text. ``alone`` says that ``encoded`` is a written table, so
+    no task encodes beside this.
     """
     with open(tokenizer, "rb") as f:
         spec = encoded.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        model, lists = decoder_of(spec.value), batch.column(1)
+        model, lists = decoder_of(spec.value, alone), batch.column(1)
         flat, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
         texts = [model.decode(flat[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         return pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(texts, pa.string())], names=[id_col, "ids", "decoded"])
