@@ -18,7 +18,10 @@ this over tasks, strings that can share a window are brought together by content
 4. The distinct pieces left are the documents of collections of about COLLECTION
    strings. Column-wise insertion gives their suffix order and common prefixes:
    runs of common prefixes of at least ``length`` bytes are equal windows, of
-   which all but the earliest are repeats.
+   which all but the earliest are repeats. A core with more than COLLECTION
+   distinct pieces (a hot passage in ever different contexts) gives its windows
+   instead, by 128 bits of hash and reduced to the earliest of what a task sees
+   at a time; these meet by hash in a round of their own.
 5. Repeats meet their documents and are cut out.
 """
 
@@ -32,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .collection_bwt import shared_prefixes
 from .common import map_batches, materialise
@@ -110,9 +113,12 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return out
 
 
-def _positions(ids: np.ndarray, pos: np.ndarray, n: np.ndarray, kind: int, key: np.ndarray | None = None) -> pa.RecordBatch:
-    key = np.zeros(len(ids), np.int64) if key is None else key
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), kind, np.int32)), pa.array(key), pa.array(ids), pa.array(pos), pa.array(n.astype(np.int32))], names=["kind", "key", "id", "pos", "n"])
+_POSITIONS = "kind int, key long, hash long, id long, pos long, n int"
+
+
+def _positions(ids: np.ndarray, pos: np.ndarray, n: np.ndarray, kind: int, key: np.ndarray | None = None, hash_: np.ndarray | None = None) -> pa.RecordBatch:
+    key, hash_ = (np.zeros(len(ids), np.int64) if x is None else x for x in (key, hash_))
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), kind, np.int32)), pa.array(key), pa.array(hash_), pa.array(ids), pa.array(pos), pa.array(n.astype(np.int32))], names=["kind", "key", "hash", "id", "pos", "n"])
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -189,7 +195,7 @@ def _columns(batch: pa.RecordBatch, n: int) -> tuple:
 
 
 def _meet_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, key, id, pos, n): kind 0 is a repeat, kind 1 a candidate."""
+    """Positions: kind 0 is a repeat, kind 1 a candidate."""
     meeting = _Meeting()
     for batch in batches:
         cols = _columns(batch, 5)
@@ -248,8 +254,23 @@ def _repeats_in(pieces: list[tuple[int, int, bytes]], length: int) -> pa.RecordB
     return _positions(ids[later], pos[later], np.ones(len(later), np.int32), 0)
 
 
+def _windows_in(pieces: list[tuple[int, int, bytes]], length: int) -> Iterator[pa.RecordBatch]:
+    """Windows of pieces (id, pos, text): kind 0 starts earlier in one of them, kind 2
+    is the earliest of its key and hash here."""
+    digest, sizes = xxhash.xxh3_128_digest, np.array([len(t) - length + 1 for *_, t in pieces])
+    own = np.frombuffer(b"".join(digest(t[j : j + length]) for *_, t in pieces for j in range(len(t) - length + 1)), np.int64).reshape(-1, 2)
+    ids, pos = (np.repeat(np.array(x, np.int64), sizes) for x in list(zip(*pieces, strict=True))[:2])
+    pos = pos + np.arange(len(pos)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    order = np.lexsort((pos, ids, own[:, 1], own[:, 0]))
+    new = _changes(own[order, 0], own[order, 1])
+    for rows, kind in ((order[~new], 0), (order[new], 2)):
+        yield _positions(ids[rows], pos[rows], np.ones(len(rows), np.int32), kind, own[rows, 0], own[rows, 1])
+
+
 def _meet_pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    meeting, held, last_core = _Meeting(), [], None
+    """Positions: kind 0 is a repeat, kind 2 a window of a core with more than
+    COLLECTION distinct pieces. Holds at most twice as many pieces and a batch."""
+    meeting, held, last_core, first, wide = _Meeting(), [], None, 0, False
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -260,12 +281,20 @@ def _meet_pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
         yield _positions(ids[again], pos[again], sizes - length + 1, 0)
         rows = [(r[0], (int(r[2]), int(r[3]), r[4])) for r in released]
         rows += [(core[i], (int(ids[i]), int(pos[i]), text[int(i)].as_py())) for i in several.tolist()]
+        spread = []
         for c, piece in rows:
-            if c != last_core and len(held) >= COLLECTION:
-                yield _repeats_in(held, length)
-                held = []
-            held.append(piece)
-            last_core = c
+            if c != last_core:
+                if len(held) >= COLLECTION:
+                    yield _repeats_in(held, length)
+                    held = []
+                last_core, first, wide = c, len(held), False
+            (spread if wide else held).append(piece)
+            if not wide and len(held) - first > COLLECTION:
+                spread += held[first:]
+                del held[first:]
+                wide = True
+        if spread:
+            yield from _windows_in(spread, length)
     if held:
         yield _repeats_in(held, length)
 
@@ -293,14 +322,16 @@ def repeated_windows(docs: DataFrame, length: int = 100) -> DataFrame:
     start earlier elsewhere in ``docs`` (id long, data binary)."""
     spark = docs.sparkSession
     rows = docs.mapInArrow(lambda it: _anchor_rows(it, length), "key long, hash long, id long, pos long, n int")
-    met = rows.repartition("key").sortWithinPartitions("key", "hash", "id", "pos").mapInArrow(_meet_segments, "kind int, key long, id long, pos long, n int")
+    met = rows.repartition("key").sortWithinPartitions("key", "hash", "id", "pos").mapInArrow(_meet_segments, _POSITIONS)
     met = materialise(met, "repeat-segments")
     _free(spark)
     spots = met.where("kind = 1").groupBy("id").agg(F.collect_list(F.struct("key", "pos", "n")).alias("spots"))
     pieces = map_batches(docs.join(spots.hint("merge"), "id").select("id", "data", "spots"), lambda b: _piece_rows(b, length), "core long, hash long, id long, pos long, text binary")
-    near = pieces.repartition("core").sortWithinPartitions("core", "hash", "id", "pos").mapInArrow(lambda it: _meet_pieces(it, length), "kind int, key long, id long, pos long, n int")
+    near = pieces.repartition("core").sortWithinPartitions("core", "hash", "id", "pos").mapInArrow(lambda it: _meet_pieces(it, length), _POSITIONS)
     near = materialise(near, "repeat-pieces")
-    return met.where("kind = 0").union(near).select("id", "pos", "n")
+    order = Window.partitionBy("key", "hash").orderBy("id", "pos")
+    wide = near.where("kind = 2").withColumn("place", F.row_number().over(order)).where("place > 1")
+    return met.union(near).where("kind = 0").select("id", "pos", "n").union(wide.select("id", "pos", "n"))
 
 
 def dedup_substrings(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

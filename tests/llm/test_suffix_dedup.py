@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
 from privlink.llm import queries, suffix_dedup
@@ -93,6 +94,40 @@ def test_very_long_text_is_hashed_in_chunks(spark, docs_of, monkeypatch):
     assert got(suffix_dedup.dedup_substrings(docs_of(rows))) == brute(rows)
 
 
+def hot_line_texts(n):
+    """One line of 96 bytes in ``n`` documents, with other neighbours in each; some have a neighbour in common."""
+    rng = random.Random(4)
+    line = "".join(rng.choices("abcdefghijklmnop ", k=96))
+    return [(i, "".join(rng.choices("qrstu", k=30)) + ("#" if i % 3 else "##same") + line + ("!" if i % 2 else "!!same") + "".join(rng.choices("vwxyz", k=30))) for i in range(n)]
+
+
+def test_hot_line_in_thousands_of_contexts(spark, docs_of):
+    rows = hot_line_texts(3000)
+    assert got(suffix_dedup.dedup_substrings(docs_of(rows))) == brute(rows)
+
+
+def test_collections_of_a_hot_core_are_bounded(monkeypatch):
+    sizes, whole = [], suffix_dedup.shared_prefixes
+    monkeypatch.setattr(suffix_dedup, "COLLECTION", 16)
+    monkeypatch.setattr(suffix_dedup, "shared_prefixes", lambda strings, least: sizes.append(len(strings)) or whole(strings, least))
+    rng = random.Random(5)
+    # cores 0 and 2 are small, core 1 has 300 distinct pieces; a piece's first window is one of a few
+    pieces = sorted({(core, i, 7, bytes(rng.choices(b"ab", k=2)) + b"core %d" % core * 15 + bytes([i % 256, i // 256])[: rng.randint(0, 2)]) for core, n in ((0, 5), (1, 300), (2, 5)) for i in range(n)})
+    table = pa.table({"core": [p[0] for p in pieces], "hash": [hash(p[3]) for p in pieces], "id": [p[1] for p in pieces], "pos": [p[2] for p in pieces], "text": [p[3] for p in pieces]}).sort_by([(c, "ascending") for c in ("core", "hash", "id", "pos")])
+    out = [r for b in suffix_dedup._meet_pieces(iter(table.to_batches(max_chunksize=8)), 90) for r in b.to_pylist()]
+    assert sizes and max(sizes) <= 32
+    first, found = {}, {(r["id"], r["pos"] + k) for r in out if r["kind"] == 0 for k in range(r["n"])}
+    for r in sorted((r for r in out if r["kind"] == 2), key=lambda r: (r["id"], r["pos"])):
+        if first.setdefault((r["key"], r["hash"]), r) is not r:
+            found.add((r["id"], r["pos"]))
+    seen, want = {}, set()
+    for core, i, pos, text in sorted(pieces, key=lambda p: (p[1], p[2])):
+        for k in range(len(text) - 89):
+            if seen.setdefault((core, text[k : k + 90]), (i, pos + k)) != (i, pos + k):
+                want.add((core, i, pos + k))
+    assert found == {(i, p) for _, i, p in want}
+
+
 def test_empty_table_and_short_length(spark, docs_of):
     assert suffix_dedup.dedup_substrings(docs_of([])).collect() == []
     with pytest.raises(ValueError):
