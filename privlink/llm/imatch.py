@@ -10,7 +10,8 @@ the corpus, which bounds its broadcast.
 A subset of the lexicon is drawn by a hash of the term and keeps one term in
 RATES[j]; the document's terms in it are sorted and hashed. The fingerprint is
 the list of the subset hashes: an edit changes only the subsets that draw one of
-the edited terms. Several rates serve short and long documents alike.
+the edited terms. Several rates serve short and long documents alike. One subset
+(rate 1) is the whole lexicon, so that every lexicon term has a say.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from .common import materialise
 
 #: Shares of the documents that a lexicon term must be in: at least, at most.
 LOW, HIGH = 0.01, 0.2
-#: One term in so many is in a subset; SEEDS subsets for each rate.
-RATES, SEEDS = (16, 64, 256, 1_024), 10
+#: One term in so many is in a subset; SEEDS subsets for each rate. At rate 1 the first has all terms, the others none.
+RATES, SEEDS = (16, 64, 256, 1_024, 1), 10
 #: The hash of a subset in which a document has no term.
 NONE = "-"
 #: Documents of a doc_id range that one task holds, and the most ranges.
@@ -59,6 +60,9 @@ def signatures(held: Column) -> Column:
     nothing, out = F.xxhash64(F.array().cast("array<bigint>")), []
     for j, rate in enumerate(RATES):
         for s in range(SEEDS):
+            if s >= rate:
+                out.append(F.lit(None).cast("long"))
+                continue
             bits = rate.bit_length() - 1
             at = (j * SEEDS + s) * 5 % (64 - bits)
             drawn = (lambda at, mask: lambda t: F.shiftrightunsigned(t, at).bitwiseAND(F.lit(mask).cast("long")) == s)(at, (1 << bits) - 1)

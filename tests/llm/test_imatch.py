@@ -91,6 +91,15 @@ def test_plain_fingerprints(spark, docs_of):
     assert have == sorted((str(i), brute_fingerprint(t, lexicon)) for i, t in rows)
 
 
+def test_every_lexicon_term_counts(spark, docs_of):
+    rows = [(i, f"word{i}") for i in range(40)] + [(40, ""), (41, "...")]
+    found = {r.doc_id: r.fingerprint for r in imatch.imatch_fingerprints(docs_of(rows)).collect()}
+    assert len({found[i] for i in range(40)}) == 40
+    assert [i for i, f in found.items() if set(f.split()) == {imatch.NONE}] == [40, 41]
+    near = {r.doc_id: r.near_next for r in imatch.edit_resilience(docs_of(rows)).collect()}
+    assert all(near[i] == 0 for i in range(1, 40))
+
+
 def test_documents_move_once_and_without_python(spark, documents, monkeypatch):
     monkeypatch.setattr(imatch, "RANGE_ROWS", 50)
     frame = imatch.edit_resilience(documents)
