@@ -4,7 +4,9 @@ The model holds, per language, the suffix automaton of a bounded sample of
 labelled text. A text is cross-parsed against each: phrase after phrase, the
 longest string that occurs in that language's sample. Few, long phrases mean a
 low cross entropy, estimated as ``phrases * log2(sample length) / text length``;
-the language with the smallest value wins.
+the language with the smallest value wins. The sample length is that of the
+longest sample for all languages: a phrase, or a symbol that a sample lacks,
+costs the same everywhere, so a short sample is never the cheaper one.
 
 All texts and languages of an Arrow batch are parsed in step: one transition
 of many automata positions per numpy operation. To bound the steps, a text is
@@ -96,7 +98,7 @@ class CrossParser:
         for i in np.flatnonzero(self.symbol == _NEW).tolist():
             self.symbol[i] = index.get(chr(i).lower(), _NEW)
         width = 3 + len(letters)
-        self.langs, tables, self.norm = [], [], []
+        self.langs, tables, longest = [], [], 0
         for lang, texts in sample.items():
             data = self.symbols(texts)[0]
             data = data[(data != _END)][:sample_chars]
@@ -105,7 +107,8 @@ class CrossParser:
             # own numbers for symbols the sample lacks stay without transitions
             tables.append(_automaton(data.tolist(), width))
             self.langs.append(lang)
-            self.norm.append(np.log2(len(data) + 1))
+            longest = max(longest, len(data))
+        self.norm = np.log2(longest + 1)
         # one table for all: an entry is the next row's offset, doubled, plus 1 if a new phrase begins
         rows = sum(map(len, tables))
         self.start = np.zeros(len(tables), np.int64)
@@ -187,10 +190,10 @@ class CrossParser:
         if not self.langs:
             return ["und"] * len(texts), np.zeros(len(texts))
         found, sizes = self.phrases(texts)
-        value = found * np.array(self.norm)[None, :]
+        value = found * self.norm
         best = value.argmin(axis=1)
         low = value[np.arange(len(texts)), best]
-        second = np.partition(value, 1, axis=1)[:, 1] if len(self.langs) > 1 else sizes * self.norm[0]
+        second = np.partition(value, 1, axis=1)[:, 1] if len(self.langs) > 1 else sizes * self.norm
         score = np.where(second > 0, 1 - low / np.maximum(second, 1e-9), 0.0).clip(0, 1)
         none = sizes == 0
         return ["und" if n else self.langs[b] for n, b in zip(none.tolist(), best.tolist(), strict=True)], np.where(none, 0.0, score)

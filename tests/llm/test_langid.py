@@ -82,6 +82,14 @@ def test_ties_go_to_the_first_language():
     assert parser.predict(["same"])[0] == ["a"]
 
 
+def test_tiny_samples_take_no_texts(documents, sample):
+    texts = [r.text[:3000] for r in documents.where("lang = 'en' AND length(text) >= 200").limit(40).collect()]
+    want = langid.CrossParser(sample).predict(texts)[0]
+    assert texts and want.count("en") >= 0.9 * len(texts)
+    for tiny in ("a", "ab", "zq", "this", "xyz w"):
+        assert langid.CrossParser({**sample, "aa": [tiny]}).predict(texts)[0] == want
+
+
 def test_one_language_still_scores():
     langs, scores = langid.CrossParser({"a": ["some text here"]}).predict(["some text", "zzz", ""])
     assert langs == ["a", "a", "und"] and scores[0] > scores[1] >= 0
