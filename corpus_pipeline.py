@@ -46,22 +46,30 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: that of the smallest doc_id.
 
-    Of rows with equal doc_id the one with the smallest other values stays. Rows
-    without a doc_id are in no position to stand for a group; all of them stay.
+    Rows with equal doc_id and different texts are documents of their own, in
+    order of a digest of the text. Of rows with equal doc_id and text the one
+    with the smallest other values stays. Rows without a doc_id are in no
+    position to stand for a group; all of them stay.
     """
     own = _shielded(docs)
-    groups = simhash.simhash_groups(own, shingle=4, max_bits=4)
-    heads = materialise(groups.where("doc_id = component").select("doc_id").distinct(), "simhash-heads")
-    order = Window.partitionBy("doc_id").orderBy(*(c for c in own.columns if c != "doc_id"))
-    first = own.join(heads.hint("merge"), "doc_id", "left_semi").withColumn("place", F.row_number().over(order)).where("place = 1")
-    return first.select(*own.columns).union(own.where("doc_id IS NULL")).toDF(*docs.columns)
+    own = own.withColumn("key", F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("digest"))))
+    groups = simhash.simhash_groups(own, id_col="key", shingle=4, max_bits=4)
+    heads = materialise(groups.where("key = component").select("key").distinct(), "simhash-heads")
+    order = Window.partitionBy("key").orderBy(*(c for c in own.columns if c not in ("key", "doc_id")))
+    first = own.join(heads.hint("merge"), "key", "left_semi").withColumn("place", F.row_number().over(order)).where("place = 1")
+    return first.select(own.columns[:-1]).union(own.where("doc_id IS NULL").select(own.columns[:-1])).toDF(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item (within a tenth of its length in edits)."""
+    """Documents that hold no benchmark item (within a tenth of its length in edits).
+
+    Each row is judged by its own text, whatever other rows have its doc_id or none.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = materialise(decontaminate.benchmark_matches(docs, benchmark).select("doc_id").distinct(), "benchmark-hits")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+    own = _shielded(docs)
+    own = own.withColumn("key", F.md5(F.concat_ws(" ", F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))))
+    found = materialise(decontaminate.benchmark_matches(own, benchmark, id_col="key").select("key").distinct(), "benchmark-hits")
+    return own.join(found, "key", "left_anti").select(own.columns[:-1]).toDF(*docs.columns)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -57,6 +57,19 @@ def test_near_duplicates_leave_one_of_each_group(spark, docs_of):
     assert sorted(str(r.doc_id) for r in left) == ["3", "9", "None"]
 
 
+def test_equal_ids_leave_every_group_its_document(spark, docs_of):
+    rows = [(5, "a b c d e f"), (5, "other words are here now"), (7, "a b c d e f"), (8, "other words are here now"), (8, "a third text of its own")]
+    left = corpus_pipeline.near_duplicate_stage(spark, docs_of(rows), SF).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == [(5, "a b c d e f"), (5, "other words are here now"), (8, "a third text of its own")]
+
+
+def test_a_contaminated_row_takes_no_other_with_it(spark, docs_of):
+    item = next(r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if len(r.text or "") > 50)
+    rows = [(None, f"before {item} after"), (None, "clean text"), (None, None), (4, item), (4, "clean too"), (4, item), (6, item)]
+    left = corpus_pipeline.decontamination_stage(spark, docs_of(rows), SF).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in left) == [("4", "clean too"), ("None", "None"), ("None", "clean text")]
+
+
 def test_entry_works_without_the_subpackage(tmp_path):
     """A copy of the repository without these modules imports and has its other queries."""
     code = (
