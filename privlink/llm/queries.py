@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import bpe, decontaminate, imatch, langid, line_dedup, sharding, simhash, suffix_dedup, url_rules, warc
+from . import bpe, decontaminate, hard_negatives, imatch, langid, line_dedup, sharding, simhash, suffix_dedup, toxicity, url_rules, vector_codes, warc
 from .common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,3 +202,73 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate group of every document."""
     groups = simhash.simhash_groups(_read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+def _codes_sql(parts: int = vector_codes.PARTS, entries: int = vector_codes.ENTRIES, rounds: int = vector_codes.ROUNDS) -> str:
+    """Rounds of assignment and means as a chain of tables; sums of whole numbers are exact in doubles."""
+    ctes = [
+        f"""k AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({vector_codes.SCALE} * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"p AS (SELECT vec_id, label, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] AS v FROM k, range({parts}) AS r(p))",
+        f"b0 AS (SELECT p, e, v FROM (SELECT p, v, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM p) WHERE e < {entries})",
+    ]
+    for i in range(rounds + 1):
+        ctes.append(
+            f"""a{i} AS (SELECT vec_id, label, p, v, min({{'d': d, 'e': e}}) AS s FROM (
+  SELECT p.vec_id, p.label, p.p, p.v, e, list_inner_product(p.v, p.v) - 2 * list_inner_product(p.v, b.v) + list_inner_product(b.v, b.v) AS d
+  FROM p JOIN b{i} b ON p.p = b.p) GROUP BY vec_id, label, p, v)"""
+        )
+        if i < rounds:
+            ctes.append(
+                f"""b{i + 1} AS (SELECT b.p, b.e, coalesce(n.v, b.v) AS v FROM b{i} b LEFT JOIN (
+  SELECT p, e, list(m ORDER BY j) AS v FROM (
+    SELECT p, s.e AS e, j, CAST(floor(sum(v[j]) / count(*)) AS DOUBLE) AS m FROM a{i}, range(1, (SELECT max(len(v)) FROM p) + 1) AS r(j) GROUP BY p, s.e, j) GROUP BY p, e) n
+  ON b.p = n.p AND b.e = n.e)"""
+            )
+    return f"""
+WITH {", ".join(ctes)},
+f AS (SELECT vec_id, label, string_agg(printf('%02x', s.e), '' ORDER BY p) AS code, CAST(sum(s.d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id, label),
+g AS (SELECT string_agg(array_to_string(list_transform(v, lambda x: CAST(x AS BIGINT)), ','), ',' ORDER BY p, e) AS t FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, sha256(t) AS codebooks_sha256 FROM f, g
+"""
+
+
+@register("op11_vector_codes", _codes_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors in four codebooks of 256 entries, with their errors."""
+    codes, books = vector_codes.compress_vectors(_read(spark, sf_dir, "embeddings"))
+    code = F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
+    digest = F.lit(books.digest() if books else None).cast("string")
+    return vector_codes.with_label_error(codes).select(F.col("id").alias("vec_id"), code.alias("code"), "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+@register("op12_toxicity")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learned from the labelled documents that are not held out."""
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    known = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    model = toxicity.fit_toxicity(docs.where(~in_fold()).select("doc_id", "text").join(known, "doc_id").select("text", "toxic"))
+    return toxicity.score_toxicity(docs, model).select("doc_id", in_fold().alias("held_out"), "score", "predicted")
+
+
+_NEGATIVES_SQL = f"""
+WITH k AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor({hard_negatives.SCALE} * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, r.vec_id AS id, r.label, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM k a JOIN k r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, id, score FROM s WHERE label = own QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+       s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND s.label <> s.own AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
+
+@register("op13_hard_negatives", _NEGATIVES_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
