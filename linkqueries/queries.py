@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from privlink.functions.crypto import HMAC_BLOCK, HMAC_IPAD, HMAC_OPAD, new_key
 from privlink.functions.dates import clinical_day, message_day
-from privlink.operators.analysis import exposure_report, exposure_stats, user_code_counts
+from privlink.operators.analysis import distinct_bitmaps, exposure_report, exposure_stats, merge_bitmaps, stats_of_bitmaps, user_code_counts
 from privlink.operators.flatten import (
     conditions_from_resources,
     flatten_conditions,
@@ -24,11 +24,11 @@ from privlink.operators.flatten import (
 )
 from privlink.operators.lineage import dangling_edges, lineage_datasets, lineage_edges
 from privlink.operators.link import link_by_interval
-from privlink.operators.privacy import decrypt_columns, encrypt_columns, hash_columns
+from privlink.operators.privacy import decrypt_columns, encrypt_columns, hash_columns, key_record, spread
 from privlink.plans.jobs import run_jobs_on
 from privlink.schemas import PERSONAL_COLUMNS, REPORT, STATS
 from privlink.session import scratch_path
-from privlink.sources.files import read_csv, read_message_lines, read_resources, write_csv
+from privlink.sources.files import read_bundles, read_csv, read_lineage_docs, read_message_docs, read_message_lines, read_resources, write_csv, write_docs, write_parquet
 from privlink.streaming.incremental import link_stream
 
 from . import testdata as td
@@ -156,7 +156,7 @@ def _user_code_counts(spark, sf_dir):
     ),
 )
 def _hashed_hmac(spark, sf_dir):
-    return hash_columns(linked(spark, sf_dir), algo="hmac-sha256", key=DEMO_HASH_KEY)
+    return hash_columns(linked_rows(spark, sf_dir), algo="hmac-sha256", key=DEMO_HASH_KEY)
 
 
 @register("exposure_report_hmac", _report_sql(_GROUP_USERS))
@@ -201,28 +201,37 @@ def _report_murmur3(spark, sf_dir):
     return exposure_report(h, uid="SynSocial_UID_hashed")
 
 
-@register(
-    "exposure_stats_murmur3",
-    _with_linked(
-        f""", hashed AS ({_MURMUR_COPY_SQL})
+_STATS_MURMUR_SQL = _with_linked(
+    f""", hashed AS ({_MURMUR_COPY_SQL})
 SELECT CAST(count(DISTINCT SynSocial_UID_hashed) AS BIGINT) AS "Social-Media-Users",
        CAST(count(DISTINCT Synthea_UID_hashed) AS BIGINT) AS "Medical-Records",
        CAST(count(DISTINCT code) AS BIGINT) AS "Medical-Codes"
 FROM hashed"""
-    ),
 )
+
+
+@register("exposure_stats_murmur3", _STATS_MURMUR_SQL)
 def _stats_murmur3(spark, sf_dir):
     h = hash_columns(linked(spark, sf_dir), algo="murmur3")
     return exposure_stats(h, uid="SynSocial_UID_hashed", record="Synthea_UID_hashed")
 
 
+@register("exposure_stats_murmur3_bitmaps", _STATS_MURMUR_SQL)
+def _stats_bitmaps(spark, sf_dir):
+    """Bitmaps of the hashed copy for each month, merged to those of the whole copy."""
+    uid, record = "SynSocial_UID_hashed", "Synthea_UID_hashed"
+    h = hash_columns(linked(spark, sf_dir), algo="murmur3").withColumn("month", F.trunc("created_at", "month"))
+    monthly = distinct_bitmaps(h, (uid, record, "code"), by=("month",))
+    return stats_of_bitmaps(merge_bitmaps(monthly), uid, record)
+
+
 # -- encrypted copy -------------------------------------------------------------
 
 
 def linked_rows(spark, sf_dir) -> DataFrame:
-    """The linked table dealt by row identity: every test table is a single row
-    group, hence one scan task, and encryption costs far more than the shuffle."""
-    return linked(spark, sf_dir).repartition(*td.LINKED_ROW_ID)
+    """The linked table in even partitions, as the link job writes it: every test
+    table is a single row group, hence one scan task, and encryption costs far more than the shuffle."""
+    return spread(linked(spark, sf_dir))
 
 
 def encrypted(spark, sf_dir, key: str | None = None) -> DataFrame:
@@ -268,6 +277,15 @@ def _roundtrip(spark, sf_dir):
     return decrypt_columns(enc, key, check_column="tokens_valid")
 
 
+@register("key_record_roundtrip", _with_linked("SELECT *, true AS tokens_valid FROM linked"))
+def _key_record(spark, sf_dir):
+    """Encrypted copy and key record written; the copy opened with the key as read back."""
+    key, copy, record = new_key(), scratch_path(spark, "encrypted"), scratch_path(spark, "key")
+    write_parquet(encrypt_columns(linked_rows(spark, sf_dir), key, row_id_cols=td.LINKED_ROW_ID), copy)
+    write_parquet(key_record(spark, key), record, single_file=True)
+    return decrypt_columns(spark.read.parquet(copy), spark.read.parquet(record), check_column="tokens_valid")
+
+
 @register(
     "encrypted_token_uniqueness",
     _with_linked(
@@ -424,6 +442,43 @@ def _json_resources(spark, sf_dir):
     return patient_conditions(conditions_from_resources(r, with_id=True), patients_from_resources(r))
 
 
+# documents as files: written by Spark, one file each, and read by the document readers
+
+
+_BLOCK = f"({{}} // {td.BUNDLE_ORDERS})"
+_WHOLE = f"{_BLOCK} % {td.BROKEN_MOD} <> 0"
+BUNDLE_DOCUMENTS_SQL = f"""
+SELECT c.display, c.code, c.assertedDate, c.abatementDate, p.Given_Name, p.Identifier,
+       p.id AS Synthea_UID, p.Family_Name, c.condition_id
+FROM ({FLAT_CONDITIONS_SQL}) c JOIN ({FLAT_PATIENTS_SQL}) p
+  ON regexp_replace(c.reference, '^(urn:uuid:|Patient/)', '') = p.id
+JOIN (SELECT o_custkey, min(o_orderkey) AS first_order FROM orders GROUP BY o_custkey) f ON p.id = CAST(f.o_custkey AS VARCHAR)
+WHERE {_WHOLE.format("CAST(c.condition_id AS BIGINT)")} AND {_WHOLE.format("first_order")}
+"""
+
+
+@register("bundle_documents", BUNDLE_DOCUMENTS_SQL)
+def _bundle_documents(spark, sf_dir):
+    """A bundle per file; every ninth file is broken and gives no resource."""
+    path = scratch_path(spark, "bundle-documents")
+    write_docs(td.bundle_documents(spark, sf_dir), path)
+    b = read_bundles(spark, path)
+    return patient_conditions(flatten_conditions(b, with_id=True), flatten_patients(b))
+
+
+_PERSON_SQL = f"c_name || ' +50%_' || c_mktsegment || '_' || CAST(c_custkey AS VARCHAR) || '{td.MESSAGE_FILE_SUFFIX}'"
+PERSON_DOCUMENTS_SQL = FLAT_MESSAGES_SQL.replace(_FILE_NAME_SQL, _PERSON_SQL) + f"WHERE (c_custkey + o_orderkey // {td.PERSON_ORDERS}) % {td.BROKEN_MOD} <> 0"
+
+
+@register("message_documents", PERSON_DOCUMENTS_SQL)
+def _message_documents(spark, sf_dir):
+    """A folder per person, with a file for each of the person's documents; the file
+    name column is the folder's, and broken files give no message."""
+    path = scratch_path(spark, "message-documents")
+    write_docs(td.person_documents(spark, sf_dir), path, folder="person")
+    return flatten_messages(read_message_docs(spark, path), folder="person")
+
+
 # spells of a day, of 30 years and up to the year 9999, overlapping per person
 
 
@@ -485,6 +540,18 @@ def _dangling(spark, sf_dir):
     return dangling_edges(lineage_edges(docs), lineage_datasets(docs))
 
 
+@register(
+    "lineage_documents_dangling",
+    f"SELECT * FROM ({LINEAGE_EDGES_SQL}) e WHERE dataset NOT IN (SELECT qualifiedName FROM ({LINEAGE_DATASETS_SQL}))",
+)
+def _documents_dangling(spark, sf_dir):
+    """The dangling ends in catalogue files that were written and read back."""
+    path = scratch_path(spark, "lineage-documents")
+    write_docs(td.lineage_documents(spark, sf_dir), path)
+    docs = read_lineage_docs(spark, path)
+    return dangling_edges(lineage_edges(docs), lineage_datasets(docs))
+
+
 # -- CSV hand-offs: write, read back with the fixed schema -----------------------------
 
 

@@ -169,6 +169,11 @@ def _entry(resource, full_url):
 
 def bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clinical bundles from customer and orders."""
+    return keyed_bundles(spark, sf_dir).select("resourceType", "entry")
+
+
+def keyed_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bundles with ``order_key``, or ``customer_key`` for a customer without orders."""
     c = table(spark, sf_dir, "customer")
     ck = F.col("c_custkey")
     cid = ck.cast("string")
@@ -195,7 +200,7 @@ def bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     o = table(spark, sf_dir, "orders")
     firsts = o.groupBy("o_custkey").agg(F.min("o_orderkey").alias("first_order"))
-    patients = c.join(firsts, F.col("c_custkey") == F.col("o_custkey"), "left").select("first_order", patient.alias("patient"))
+    patients = c.join(firsts, F.col("c_custkey") == F.col("o_custkey"), "left").select("first_order", "c_custkey", patient.alias("patient"))
     ok = F.col("o_orderkey")
     coding = "array<struct<code:string,display:string>>"
     first = F.struct((ok % CODE_MODULUS).cast("string").alias("code"), F.col("o_orderpriority").alias("display"))
@@ -237,33 +242,40 @@ def bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_order = o.join(patients, ok == F.col("first_order"), "left").select(
         F.lit("Bundle").alias("resourceType"),
         F.array_compact(F.array(observation, F.col("patient"), condition)).alias("entry"),
+        ok.alias("order_key"),
+        _null("bigint").alias("customer_key"),
+    )
+    alone = patients.filter(F.col("first_order").isNull()).select(
+        F.lit("Bundle").alias("resourceType"), F.array("patient").alias("entry"), _null("bigint").alias("order_key"), F.col("c_custkey").alias("customer_key")
     )
-    alone = patients.filter(F.col("first_order").isNull()).select(F.lit("Bundle").alias("resourceType"), F.array("patient").alias("entry"))
     return by_order.unionByName(alone)
 
 
-def message_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Message documents (``messages``, ``path``): one per order, with a message
-    per line item, plus an empty document per order in status 'P'."""
-    li = table(spark, sf_dir, "lineitem")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+def _message():
+    """A line item, joined to its order and customer, as a message."""
     hours = ((F.col("l_linenumber") * 3) % 24).cast("int")
-    created = F.date_format(F.col("l_shipdate") + F.make_dt_interval(hours=hours), MESSAGE_TIME_PATTERN)
-    name = message_file_name(F.col("c_name"), F.col("c_mktsegment"), F.col("c_custkey"))
-    msg = F.struct(
+    return F.struct(
         F.struct(
             F.col("o_custkey").cast("string").alias("id"),
             F.col("c_name").alias("name"),
             F.lower("c_name").alias("screen_name"),
         ).alias("user"),
-        created.alias("created_at"),
+        F.date_format(F.col("l_shipdate") + F.make_dt_interval(hours=hours), MESSAGE_TIME_PATTERN).alias("created_at"),
         F.concat("l_returnflag", "l_linestatus").alias("text"),
     )
+
+
+def message_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Message documents (``messages``, ``path``): one per order, with a message
+    per line item, plus an empty document per order in status 'P'."""
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+    name = message_file_name(F.col("c_name"), F.col("c_mktsegment"), F.col("c_custkey"))
     # one folder per order; the path's last segment (the person's file name) links it
     path = F.concat(F.lit(MESSAGE_FOLDER), F.col("o_orderkey").cast("string"), F.lit("/"), encode_file_name(name))
-    placed = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", msg.alias("message"))
+    placed = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", _message().alias("message"))
     docs = j.groupBy(path.alias("path")).agg(F.sort_array(F.collect_list(placed)).alias("m"))
     docs = docs.select(F.transform("m", lambda x: x["message"]).alias("messages"), "path")
     empty = (
@@ -277,6 +289,58 @@ def message_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.unionByName(empty)
 
 
+# -- documents as files ---------------------------------------------------------
+#
+# Texts of whole documents, over several lines each. A fixed rule on the keys
+# breaks some of them off in the middle: they must give no rows.
+
+# Fixed rules of the documents.
+BUNDLE_ORDERS = 64       # order keys of a bundle document
+PERSON_ORDERS = 16_384   # order keys of a message document (one person's)
+BROKEN_MOD = 9           # block number % 9 == 0: the document is cut in half
+
+_PRETTY = {"pretty": "true"}
+
+
+def _document(content, broken):
+    text = F.to_json(content, _PRETTY)
+    return F.when(broken, F.substr(text, F.lit(1), (F.length(text) / 2).cast("int"))).otherwise(text).alias("document")
+
+
+def bundle_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(document): bundles of BUNDLE_ORDERS order keys, or of as many customer keys without orders."""
+    b = keyed_bundles(spark, sf_dir)
+    block = lambda k: F.floor(F.col(k) / BUNDLE_ORDERS)
+    docs = b.groupBy(block("order_key").alias("b"), block("customer_key").alias("c")).agg(F.flatten(F.collect_list("entry")).alias("entry"))
+    return docs.select(_document(F.struct(F.lit("Bundle").alias("resourceType"), "entry"), F.coalesce(F.col("b") % BROKEN_MOD == 0, F.lit(False))))
+
+
+def person_folder(name, segment, custkey):
+    """A person's folder name, with characters that paths escape."""
+    return F.concat(name, F.lit(" +50%_"), segment, F.lit("_"), custkey.cast("string"), F.lit(MESSAGE_FILE_SUFFIX))
+
+
+def person_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(person, document): message documents of a person, PERSON_ORDERS order keys each."""
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+    block = F.floor(F.col("o_orderkey") / PERSON_ORDERS)
+    person = person_folder(F.col("c_name"), F.col("c_mktsegment"), F.col("c_custkey"))
+    docs = j.groupBy(person.alias("person"), "c_custkey", block.alias("b")).agg(F.collect_list(_message()).alias("messages"))
+    return docs.select("person", _document(F.struct("messages"), (F.col("c_custkey") + F.col("b")) % BROKEN_MOD == 0))
+
+
+def lineage_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(document): catalogue files, an array of entities each (those of BUNDLE_ORDERS keys of a kind)."""
+    docs = lineage_docs(spark, sf_dir)
+    name = F.col("entity.attributes.qualifiedName")
+    block = F.floor(F.regexp_extract(name, r"_(\d+)@", 1).cast("long") / BUNDLE_ORDERS)
+    kept = docs.groupBy(F.regexp_extract(name, "^([a-z]+)_", 1).alias("kind"), block.alias("b")).agg(F.collect_list(F.struct("entity")).alias("entities"))
+    return kept.select(_document(F.col("entities"), F.lit(False)))
+
+
 def lineage_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue documents: a dataset per customer and per order, a process per
     order reading its customer and writing the order. Orders that are not

@@ -24,7 +24,7 @@ import hashlib
 import os
 import time
 
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Fixed values of the Fernet format and of HMAC (RFC 2104).
 FERNET_VERSION = b"\x80"
@@ -73,6 +73,21 @@ class HmacKey:
         k = k.ljust(HMAC_BLOCK, b"\0")
         self.ipad, self.opad = secret(bytes(b ^ HMAC_IPAD for b in k), bytes(b ^ HMAC_OPAD for b in k))
 
+    @classmethod
+    def of_row(cls, frame: DataFrame, key: Column) -> HmacKey:
+        """The key that an expression over a one-row frame gives (at most a block long)."""
+        out = cls.__new__(cls)
+        out.ipad, out.opad = (frame.select(_padded(key, pad).alias("pad")).scalar() for pad in (HMAC_IPAD, HMAC_OPAD))
+        return out
+
+
+def _padded(key: Column, pad: int) -> Column:
+    """A binary key, filled up with zeros to a block, each byte XOR ``pad``."""
+    digits = F.rpad(F.hex(key), 2 * HMAC_BLOCK, "0")
+    byte = lambda i: F.conv(F.substr(digits, 2 * i - 1, F.lit(2)), 16, 10).cast("int")
+    padded = F.transform(F.sequence(F.lit(1), F.lit(HMAC_BLOCK)), lambda i: F.lpad(F.hex(byte(i).bitwiseXOR(F.lit(pad))), 2, "0"))
+    return F.when(key.isNotNull(), F.unhex(F.array_join(padded, "")))
+
 
 class FernetKey:
     """A Fernet key's two halves as secret columns; raises on a malformed key."""
@@ -82,6 +97,33 @@ class FernetKey:
         self.sign = HmacKey(sign_key)
         (self.enc,) = secret(enc_key)
 
+    @classmethod
+    def from_record(cls, record: DataFrame, column: str = "Key-String") -> FernetKey:
+        """The key of a key record that was read back, taken from the one-row table
+        straight into the plan: its text never reaches the driver. A record
+        without a well-formed key, or of several rows, fails the job."""
+        raw = F.try_to_binary(F.translate(F.col(f"`{column}`"), "-_", "+/"), F.lit("base64"))
+        rows = record.agg(F.count("*").alias("n"), F.max(raw).alias("raw"))
+        good = (F.col("n") == 1) & (F.octet_length("raw") == 32)
+        one = rows.select(F.when(good, F.col("raw")).otherwise(F.raise_error("the key record holds no single Fernet key").cast("binary")).alias("raw"))
+        half = lambda at: F.substr(F.col("raw"), F.lit(at), F.lit(16))
+        out = cls.__new__(cls)
+        out.sign, out.enc = HmacKey.of_row(one, half(1)), one.select(half(17).alias("enc")).scalar()
+        return out
+
+
+    def as_column(self) -> Column:
+        """The key as a struct column, for functions that hold no subquery (lambdas)."""
+        return F.struct(self.sign.ipad.alias("ipad"), self.sign.opad.alias("opad"), self.enc.alias("enc"))
+
+    @classmethod
+    def in_column(cls, held: Column) -> FernetKey:
+        """The key in a struct column made by ``as_column``."""
+        out = cls.__new__(cls)
+        out.sign = HmacKey.__new__(HmacKey)
+        out.sign.ipad, out.sign.opad, out.enc = held["ipad"], held["opad"], held["enc"]
+        return out
+
 
 def _fernet_key(key: str | bytes | FernetKey) -> FernetKey:
     return key if isinstance(key, FernetKey) else FernetKey(key)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, functions as F
 
 # Fixed value: suffix of every per-person message file name.
 MESSAGE_FILE_SUFFIX = "TwitterData.json"
+# Fixed value: folder name that Spark and Hive give to a NULL partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def person_file_key(
@@ -25,9 +27,25 @@ def file_name_from_path(path: Column | str) -> Column:
     protected before decoding; malformed escapes leave the name as is.
     """
     p = F.col(path) if isinstance(path, str) else path
-    last = F.element_at(F.split(p, "/"), -1)
-    protected = F.replace(last, F.lit("+"), F.lit("%2B"))
-    return F.trim(F.coalesce(F.try_url_decode(protected), last))
+    return F.trim(_decoded(F.element_at(F.split(p, "/"), -1)))
+
+
+def _decoded(text: Column) -> Column:
+    """URI-decoded; ``+`` is literal in a path, malformed escapes leave the text as is."""
+    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+
+
+def folder_value_from_path(path: Column | str, name: str) -> Column:
+    """The value of the partition folder ``name=value`` in a file URI; NULL if
+    the path has none.
+
+    Spark escapes a value once when it names the folder, and the URI of a file
+    escapes the folder's name again. The value of a NULL partition reads as NULL.
+    """
+    p = F.col(path) if isinstance(path, str) else path
+    folder = F.try_element_at(F.filter(F.split(p, "/"), lambda s: F.startswith(s, F.lit(f"{name}="))), F.lit(-1))
+    value = F.substr(folder, F.lit(len(name) + 2))
+    return F.nullif(_decoded(_decoded(value)), F.lit(NULL_FOLDER))
 
 
 def encode_file_name(name: Column | str) -> Column:

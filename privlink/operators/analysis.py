@@ -8,6 +8,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
+def exposure_counts(df: DataFrame, uid: str = "SynSocial_UID", record: str = "Synthea_UID", code: str = "code") -> DataFrame:
+    """(code, uid, record, n): linked rows per code, user and record, NULLs as
+    groups of their own.
+
+    The one pass over a copy from which both analyses follow (``report_of_counts``,
+    ``stats_of_counts``). It aggregates map-side before its shuffle; of a clear or hashed
+    copy little is left. Of a copy with a token per row nothing is merged, but only
+    the three columns that the analyses read are moved.
+    """
+    return df.groupBy(code, uid, record).agg(F.count(F.lit(1)).alias("n"))
+
+
+def report_of_counts(counts: DataFrame, uid: str = "SynSocial_UID", code: str = "code") -> DataFrame:
+    """``exposure_report`` of ``exposure_counts``."""
+    per_user = counts.filter(F.col(code).isNotNull()).groupBy(code, uid).agg(F.sum("n").alias("n"))
+    return _per_code(per_user, code)
+
+
+def stats_of_counts(counts: DataFrame, uid: str = "SynSocial_UID", record: str = "Synthea_UID", code: str = "code") -> DataFrame:
+    """``exposure_stats`` of ``exposure_counts``."""
+    return counts.agg(
+        F.count_distinct(uid).alias("Social-Media-Users"),
+        F.count_distinct(record).alias("Medical-Records"),
+        F.count_distinct(code).alias("Medical-Codes"),
+    )
+
+
 def exposure_report(df: DataFrame, uid: str = "SynSocial_UID", code: str = "code") -> DataFrame:
     """Per condition code: users, messages, and messages per user.
 
@@ -27,6 +54,11 @@ def exposure_report(df: DataFrame, uid: str = "SynSocial_UID", code: str = "code
         .groupBy(code, uid)
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    return _per_code(per_user, code)
+
+
+def _per_code(per_user: DataFrame, code: str) -> DataFrame:
+    """The report's columns of (code, user, n) rows."""
     per_code = per_user.groupBy(code).agg(
         F.count(F.lit(1)).alias("users"),
         F.sum("n").alias("msgs"),
@@ -53,11 +85,7 @@ def exposure_stats(
     Counts are bigint: on an encrypted copy every token is distinct, so the
     user count equals the row count and would overflow a 32-bit int at scale.
     """
-    return df.agg(
-        F.count_distinct(uid).alias("Social-Media-Users"),
-        F.count_distinct(record).alias("Medical-Records"),
-        F.count_distinct(code).alias("Medical-Codes"),
-    )
+    return stats_of_counts(df, uid, record, code)
 
 
 def user_code_counts(df: DataFrame, uid: str = "SynSocial_UID", code: str = "code") -> DataFrame:
@@ -67,3 +95,30 @@ def user_code_counts(df: DataFrame, uid: str = "SynSocial_UID", code: str = "cod
         .groupBy(uid, code)
         .agg(F.count(F.lit(1)).alias("count"))
     )
+
+
+def distinct_bitmaps(df: DataFrame, columns: tuple[str, ...] | list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, column, bucket, bitmap): the distinct whole numbers of each column as bits.
+
+    For copies whose identifiers are numbers, as in the hashed copy (32-bit hashes
+    kept as text). A bucket has 32,768 neighbouring numbers in 4 KB, so a
+    32-bit column has 131,072 buckets at most, however many rows there are. Bitmaps of
+    parts of a table (``by``: days, batches) merge to those of the whole, without the rows
+    (``merge_bitmaps``). NULLs and texts that are no whole number have no bit.
+    """
+    numbers = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).try_cast("bigint").alias("number")) for c in columns])
+    bits = df.select(*by, F.inline(numbers)).where(F.col("number").isNotNull())
+    return bits.groupBy(*by, "column", F.bitmap_bucket_number("number").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bitmap"))
+
+
+def merge_bitmaps(bitmaps: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """``distinct_bitmaps`` of parts put together (kept apart by ``by``)."""
+    return bitmaps.groupBy(*by, "column", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
+
+def stats_of_bitmaps(bitmaps: DataFrame, uid: str, record: str, code: str = "code") -> DataFrame:
+    """``exposure_stats`` from merged bitmaps of the three columns."""
+    bits = F.bitmap_count("bitmap")
+    return bitmaps.agg(
+        *[F.coalesce(F.sum(F.when(F.col("column") == c, bits)), F.lit(0)).cast("bigint").alias(name) for c, name in ((uid, "Social-Media-Users"), (record, "Medical-Records"), (code, "Medical-Codes"))]
+    )

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.keys import file_name_from_path
+from ..functions.keys import file_name_from_path, folder_value_from_path
 
 # Fixed prefixes a FHIR reference or id may carry.
 REFERENCE_PREFIX_PATTERN = r"^(urn:uuid:|Patient/)"
@@ -112,17 +112,20 @@ def patient_conditions(conditions: DataFrame, patients: DataFrame) -> DataFrame:
     )
 
 
-def flatten_messages(docs: DataFrame, path_col: str = "path", with_position: bool = False) -> DataFrame:
+def flatten_messages(docs: DataFrame, path_col: str = "path", with_position: bool = False, folder: str | None = None) -> DataFrame:
     """Columns: SynSocial_UID, name, screen_name, created_at, text, filename
     (+ source_path and message_pos, the message's identity, when asked).
 
     ``path_col`` holds the source file path (URI); the file name is its last
-    segment, decoded. Documents without messages give no row. The position is
+    segment, decoded, or with ``folder`` the value of the partition folder of
+    that name (a layout of one folder per person, whatever the files in it are called).
+    Documents without messages give no row. The position is
     the message's place in its document, or the document's ``line`` if it has one.
     """
+    name = file_name_from_path(F.col(path_col)) if folder is None else folder_value_from_path(F.col(path_col), folder)
     pos = F.col("line") if "line" in docs.columns else F.col("pos").cast("long")
     x = docs.select("*", F.posexplode("messages").alias("pos", "m")).select(
-        "m", pos.alias("message_pos"), file_name_from_path(F.col(path_col)).alias("filename"), F.col(path_col).alias("source_path")
+        "m", pos.alias("message_pos"), name.alias("filename"), F.col(path_col).alias("source_path")
     )
     extra = ["source_path", "message_pos"] if with_position else []
     return x.select(

@@ -4,22 +4,30 @@ Semantics (parity): a left outer join on the person key with
 ``start <= day <= end``; every message is kept, a message inside k spells
 gives k rows, and a condition without an end date never matches.
 
-Plan: a plain equi-join on the person key would compare every message of a
+Plan: whether and what a message matches depends on its person and day
+alone. The interval join therefore runs on the distinct (person, day) pairs of
+the messages, and its result meets the messages in one left outer equi-join
+on (person, day), in which every message is kept. Only that join moves whole messages.
+
+A plain equi-join on the person key would compare every day of a
 person with every condition of that person inside one task, which breaks
-down when one person holds a large share of the rows. The join key is
+down when one person holds a large share of the rows. The join key of the pairs is
 therefore ``(person, level, day bucket)`` over a few fixed bucket widths
 (levels). A spell belongs to the narrowest level at least as wide as itself,
 where it touches at most two buckets, so it is copied at most twice; only
 spells wider than the widest level are copied into each of its buckets they
-touch (a century each). Matches are one inner join for which a message is
-looked up once per level, in its one bucket there, so each matching pair is
-produced exactly once. Messages without a match are what is left after an
-anti join per level. An analysis of matched rows drops that part of the plan.
+touch (a century each). A pair is looked up once per level, in its one bucket
+there, so each matching pair of day and spell is produced exactly once. An
+analysis of matched rows turns the last join into an inner one.
+
+A stream may keep no distinct pairs without state. There the messages
+themselves are looked up, and those without a match are what is left after
+an anti join per level.
 
 Rows that can never match (no key, no start or end, end before start) are
 dropped from the condition side only, which cannot change a left outer join.
 Catalyst/AQE choose sort-merge or broadcast from measured sizes; AQE splits a
-skewed message partition (left side) at run time.
+skewed message partition (the left side of the outer join) at run time.
 """
 
 from __future__ import annotations
@@ -33,6 +41,7 @@ from ..functions.keys import person_file_key
 LEVEL_DAYS = (30, 1_095, 36_525)
 
 _K, _L, _B = "__pl_key", "__pl_level", "__pl_bucket"
+_HIT_K, _HIT_AT = "__pl_hit_key", "__pl_hit_day"
 
 
 def _bucket(day, width):
@@ -103,16 +112,29 @@ def link_by_interval(
             same = same & x
         return same & inside
 
-    looked_up = m.filter(F.col(_K).isNotNull() & F.col(at).isNotNull()).select(
-        "*", F.inline(F.array(*[F.struct(F.lit(i).alias(_L), _bucket(F.col(at), w).alias(_B)) for i, w in enumerate(levels)]))
-    )
+    found = F.col(_K).isNotNull() & F.col(at).isNotNull()
+    lookups = F.inline(F.array(*[F.struct(F.lit(i).alias(_L), _bucket(F.col(at), w).alias(_B)) for i, w in enumerate(levels)]))
     hit = on(F.col(f"m.{_L}") == F.col(f"c.{_L}"), F.col(f"m.{_B}") == F.col(f"c.{_B}"))
+    if messages.isStreaming:
+        return _link_stream(messages, m, c, m.filter(found).select("*", lookups), hit, on, at, levels, conditions.columns)
+    days = m.filter(found).select(_K, at).distinct().select("*", lookups)
+    spells = days.alias("m").join(c.alias("c"), hit, "inner").select(
+        F.col(f"m.{_K}").alias(_HIT_K), F.col(f"m.{at}").alias(_HIT_AT), *[F.col(f"c.{x}") for x in conditions.columns]
+    )
+    same_day = (F.col(f"m.{_K}") == F.col(f"h.{_HIT_K}")) & (F.col(f"m.{at}") == F.col(f"h.{_HIT_AT}"))
+    return m.alias("m").join(spells.alias("h"), same_day, "left").select(
+        *[F.col(f"m.{x}") for x in messages.columns], *[F.col(f"h.{x}") for x in conditions.columns]
+    )
+
+
+def _link_stream(messages: DataFrame, m: DataFrame, c: DataFrame, looked_up: DataFrame, hit, on, at: str, levels, columns) -> DataFrame:
+    """The link of a stream: stateless joins only."""
     matched = looked_up.alias("m").join(c.alias("c"), hit, "inner").select(
-        *[F.col(f"m.{x}") for x in messages.columns], *[F.col(f"c.{x}") for x in conditions.columns]
+        *[F.col(f"m.{x}") for x in messages.columns], *[F.col(f"c.{x}") for x in columns]
     )
     rest = m
     for i, w in enumerate(levels):
         at_level = c.filter(F.col(_L) == i).alias("c")
         rest = rest.alias("m").join(at_level, on(_bucket(F.col(f"m.{at}"), w) == F.col(f"c.{_B}")), "left_anti")
-    nothing = [F.lit(None).cast(c.schema[x].dataType).alias(x) for x in conditions.columns]
+    nothing = [F.lit(None).cast(c.schema[x].dataType).alias(x) for x in columns]
     return matched.union(rest.select(*messages.columns, *nothing))

@@ -56,7 +56,19 @@ def hash_columns(
     return df.select(*keep, *[pseudonym(c, algo, k).alias(f"{c}{suffix}") for c in cols])
 
 
-_ROW, _BODY, _RAW, _OK = "__pl_row", "__pl_body_{}", "__pl_raw_{}", "__pl_ok_{}"
+_ROW, _BODY = "__pl_row", "__pl_body_{}"
+_KEY, _RAW, _OK, _TEXT = "__pl_key", "__pl_raw", "__pl_ok", "__pl_text"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt evenly over tasks, for what costs far more than a shuffle.
+
+    AQE sizes the partitions from what is really there: it splits large ones
+    and merges small ones. Encryption and keyed hashes are such work (about 20
+    microseconds a value); a table that is read from many row groups needs no dealing.
+    A row is no longer known by its place then, so give ``row_id_cols``.
+    """
+    return df.hint("rebalance")
 
 
 def _row_id(df: DataFrame, row_id_cols):
@@ -66,9 +78,16 @@ def _row_id(df: DataFrame, row_id_cols):
     return F.uuid() if df.isStreaming else F.monotonically_increasing_id().cast("string")
 
 
+def _key(key: str | FernetKey | DataFrame) -> FernetKey:
+    """Checks a key text early, on the driver; a key record stays a table."""
+    if isinstance(key, DataFrame):
+        return FernetKey.from_record(key)
+    return key if isinstance(key, FernetKey) else FernetKey(key)
+
+
 def encrypt_columns(
     df: DataFrame,
-    key: str,
+    key: str | FernetKey | DataFrame,
     cols=tuple(PERSONAL_COLUMNS),
     row_id_cols=None,
     *,
@@ -77,7 +96,8 @@ def encrypt_columns(
     suffix: str = "_encrypted",
     deterministic: bool = False,
 ) -> DataFrame:
-    """Replace each column by a Fernet token under ``key``; NULL stays NULL.
+    """Replace each column by a Fernet token under ``key`` (its text, or a key
+    record that was read back); NULL stays NULL.
 
     Every value gets its own IV derived from a secret per-run salt, the
     column name, the row identity and the value, so equal values in
@@ -94,7 +114,7 @@ def encrypt_columns(
     Equality of values is then visible in the copy; their content is not.
     """
     keep = _check(df, cols)
-    k = FernetKey(key)  # validates the key early, on the driver
+    k = _key(key)
     (s,) = secret(new_salt() if salt is None else salt)
     t = int(time.time()) if at is None else int(at)
     rows = df.withColumn(_ROW, F.lit("") if deterministic else _row_id(df, row_id_cols))
@@ -105,27 +125,31 @@ def encrypt_columns(
 
 def decrypt_columns(
     df: DataFrame,
-    key: str,
+    key: str | FernetKey | DataFrame,
     cols=tuple(PERSONAL_COLUMNS),
     suffix: str = "_encrypted",
     check_column: str | None = None,
     ttl: int | None = None,
 ) -> DataFrame:
-    """Inverse of ``encrypt_columns``: ``c_encrypted`` back to ``c``.
+    """Inverse of ``encrypt_columns``: ``c_encrypted`` back to ``c``, under the
+    key's text or a key record that was read back.
     Tokens whose MAC fails (or older than ``ttl`` seconds) decrypt to NULL;
     ``check_column`` (if given) holds True when every non-NULL token of the
-    row verified. Each token is decoded and checked once."""
+    row verified. Each token is decoded and checked once; all tokens of a row
+    go through one higher-order function, so the code of a decryption is there once."""
     tokens = [f"{c}{suffix}" for c in cols]
     keep = _check(df, tokens)
-    k = FernetKey(key)
-    raw, ok = [_RAW.format(i) for i in range(len(tokens))], [_OK.format(i) for i in range(len(tokens))]
-    rows = df.select(*keep, *tokens, *[fernet_raw(F.col(t)).alias(r) for t, r in zip(tokens, raw)])
-    rows = rows.select(*keep, *tokens, *raw, *[fernet_raw_ok(F.col(r), k, ttl).alias(o) for r, o in zip(raw, ok)])
-    out = [F.when(F.col(o), fernet_raw_text(F.col(r), k)).alias(c) for c, r, o in zip(cols, raw, ok)]
+    k = _key(key)
+    rows = df.select(*keep, *tokens, k.as_column().alias(_KEY), F.transform(F.array(*tokens), fernet_raw).alias(_RAW))
+    held = FernetKey.in_column(F.col(_KEY))
+    rows = rows.withColumn(_OK, F.transform(_RAW, lambda r: fernet_raw_ok(r, held, ttl)))
+    texts = F.zip_with(_RAW, _OK, lambda r, ok: F.when(ok, fernet_raw_text(r, held)))
+    rows = rows.select(*keep, *tokens, _OK, texts.alias(_TEXT))
+    out = [F.get(_TEXT, i).alias(c) for i, c in enumerate(cols)]
     if check_column:
         every = F.lit(True)
-        for t, o in zip(tokens, ok):
-            every = every & (F.col(t).isNull() | F.col(o))
+        for i, t in enumerate(tokens):
+            every = every & (F.col(t).isNull() | F.get(_OK, i))
         out.append(every.alias(check_column))
     return rows.select(*keep, *out)
 
@@ -138,4 +162,4 @@ def key_record(spark: SparkSession, key: str, when: _dt.date | None = None, note
     return spark.createDataFrame([row], KEY_RECORD)
 
 
-__all__ = ["decrypt_columns", "encrypt_columns", "hash_columns", "key_record", "new_key"]
+__all__ = ["decrypt_columns", "encrypt_columns", "hash_columns", "key_record", "new_key", "spread"]

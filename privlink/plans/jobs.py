@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.analysis import exposure_report, exposure_stats
+from ..operators.analysis import exposure_counts, report_of_counts, stats_of_counts
 from ..operators.flatten import (
     conditions_from_resources,
     flatten_conditions,
@@ -27,7 +27,7 @@ from ..operators.flatten import (
     resources_of,
 )
 from ..operators.link import link_by_interval
-from ..operators.privacy import encrypt_columns, hash_columns, key_record, new_key
+from ..operators.privacy import encrypt_columns, hash_columns, key_record, new_key, spread
 from ..schemas import CONDITIONS, LINKED, MESSAGES, PERSONAL_COLUMNS, protected
 from ..sources.files import (
     DIALECTS,
@@ -48,6 +48,7 @@ HASHED = "hashedDFData"
 ENCRYPTED = "encryptedDFData"
 KEY = "KEY"
 RESOURCES_STAGE = "_resources"  # parsed clinical resources, always parquet
+COUNTS_STAGE = "_counts-{kind}"  # rows of a copy merged by code, user and record, always parquet
 ANALYSIS = "analysis-{kind}"
 ANALYSIS_STATS = "analysis-{kind}-stats"
 
@@ -186,7 +187,8 @@ def job_messages(hop: Hop, message_docs: DataFrame) -> dict:
 def job_link(hop: Hop, strict_dates: bool = False) -> dict:
     """2: messages + conditions -> linked table."""
     linked = link_by_interval(hop.read(SOCIAL, MESSAGES), hop.read(PATIENTS, CONDITIONS), strict_dates=strict_dates)
-    return {"joined": hop.write(linked, JOINED)}
+    # even files, so that the privacy step, which costs most, has even tasks
+    return {"joined": hop.write(spread(linked), JOINED)}
 
 
 def job_privacy(
@@ -213,11 +215,15 @@ def job_privacy(
 def job_analysis(hop: Hop, kind: str) -> dict:
     """4A (``kind="hash"``) / 4B (``kind="encrypt"``): report and stats."""
     folder, suffix = {"hash": (HASHED, "_hashed"), "encrypt": (ENCRYPTED, "_encrypted")}[kind]
-    copy = hop.read(folder, protected(suffix))
     uid, rec = f"SynSocial_UID{suffix}", f"Synthea_UID{suffix}"
-    return {
-        f"analysis-{kind}": hop.write(exposure_report(copy, uid=uid), ANALYSIS.format(kind=kind), small=True),
-        f"analysis-{kind}-stats": hop.write(
-            exposure_stats(copy, uid=uid, record=rec), ANALYSIS_STATS.format(kind=kind), small=True
-        ),
+    # one scan of the copy: report and stats both follow from its merged rows
+    counts = exposure_counts(hop.read(folder, protected(suffix)), uid, rec)
+    stage = hop.path(COUNTS_STAGE.format(kind=kind))
+    write_parquet(counts, stage)
+    counts = hop.spark.read.schema(counts.schema).parquet(stage)
+    out = {
+        f"analysis-{kind}": hop.write(report_of_counts(counts, uid), ANALYSIS.format(kind=kind), small=True),
+        f"analysis-{kind}-stats": hop.write(stats_of_counts(counts, uid, rec), ANALYSIS_STATS.format(kind=kind), small=True),
     }
+    hop.drop(COUNTS_STAGE.format(kind=kind))
+    return out

@@ -103,6 +103,14 @@ def read_lineage_docs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LINEAGE_DOC).option("multiLine", "true").option("mode", "PERMISSIVE").json(path)
 
 
+def write_docs(df: DataFrame, path: str, folder: str | None = None) -> None:
+    """Write each row's ``document`` (a text) as a file of its own, in the layout that
+    the document readers take; with ``folder``, under a partition folder named
+    by that column."""
+    w = df.select("document", *([folder] if folder else [])).write.mode("overwrite").option("maxRecordsPerFile", 1)
+    (w.partitionBy(folder) if folder else w).text(path)
+
+
 def _replaced(c: Column, pairs) -> Column:
     for old, new in pairs:
         c = F.replace(c, F.lit(old), F.lit(new))

@@ -91,3 +91,30 @@ def test_murmur3_collision_undercounts_hmac_does_not(spark):
     assert exposure_stats(m, uid="SynSocial_UID_hashed", record="Synthea_UID_hashed").first()["Social-Media-Users"] == 1
     h = hash_columns(df, ["SynSocial_UID", "Synthea_UID"], algo="hmac-sha256", key=b"k")
     assert exposure_stats(h, uid="SynSocial_UID_hashed", record="Synthea_UID_hashed").first()["Social-Media-Users"] == 2
+
+
+def test_counts_give_both_analyses(spark):
+    from privlink.operators.analysis import exposure_counts, report_of_counts, stats_of_counts
+
+    rows = [("u1", "r1", 1), ("u1", "r1", 1), ("u1", "r2", 1), (None, "r1", 1), (None, None, None), ("u2", None, None), ("u2", "r1", 2)]
+    df = spark.createDataFrame(rows, "SynSocial_UID string, Synthea_UID string, code long")
+    counts = exposure_counts(df)
+    assert counts.count() == 6 and counts.where("n = 2").count() == 1
+    assert sorted(map(tuple, report_of_counts(counts).collect())) == sorted(map(tuple, exposure_report(df).collect()))
+    assert stats_of_counts(counts).first() == exposure_stats(df).first() == (2, 2, 2)
+    empty = df.limit(0)
+    assert exposure_stats(empty).first() == (0, 0, 0) and report_of_counts(exposure_counts(empty)).count() == 0
+
+
+def test_bitmaps_count_numbers_exactly_and_merge(spark):
+    from privlink.operators.analysis import distinct_bitmaps, merge_bitmaps, stats_of_bitmaps
+
+    numbers = [0, 1, -1, 32767, 32768, -32768, -32769, 2**31 - 1, -(2**31), 42, 42]
+    rows = [(str(n), str(-n), i % 3, i % 2) for i, n in enumerate(numbers)] + [(None, "no number", None, 0)]
+    df = spark.createDataFrame(rows, "u string, r string, code long, part int")
+    merged = merge_bitmaps(distinct_bitmaps(df, ("u", "r", "code"), by=("part",)))
+    assert stats_of_bitmaps(merged, "u", "r").first() == (10, 10, 3)
+    assert stats_of_bitmaps(distinct_bitmaps(df, ("u", "r", "code")), "u", "r").first() == (10, 10, 3)
+    assert stats_of_bitmaps(distinct_bitmaps(df.limit(0), ("u", "r", "code")), "u", "r").first() == (0, 0, 0)
+    per_part = merge_bitmaps(distinct_bitmaps(df, ("u",), by=("part",)), by=("part",)).groupBy("part").agg(F.sum(F.bitmap_count("bitmap"))).collect()
+    assert sorted(map(tuple, per_part)) == [(0, 6), (1, 5)]

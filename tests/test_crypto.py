@@ -104,3 +104,44 @@ def test_ttl(spark):
     assert dec(ttl=60, now=VECTOR_TIME + 100) is None  # expired
     assert dec(ttl=60, now=VECTOR_TIME - 100) is None  # stamped in the future
     assert dec() == "hello"
+
+
+def _record(spark, *keys):
+    return spark.createDataFrame([(bytearray((k or "").encode()), k) for k in keys], "Key binary, `Key-String` string")
+
+
+def test_key_of_a_record_equals_the_key(spark):
+    from privlink.operators.privacy import key_record
+
+    df = spark.createDataFrame([(1, "hello"), (2, None), (3, "")], "i int, c string")
+    record = key_record(spark, VECTOR_KEY)
+    enc = encrypt_columns(df, record, ["c"], ["i"])
+    for key in (VECTOR_KEY, record):
+        rows = decrypt_columns(enc, key, ["c"], check_column="ok").orderBy("i").collect()
+        assert [r["c"] for r in rows] == ["hello", None, ""] and all(r["ok"] for r in rows)
+    vector = spark.createDataFrame([(VECTOR_TOKEN,)], "c_encrypted string")
+    assert decrypt_columns(vector, record, ["c"]).first()["c"] == "hello"
+    other = decrypt_columns(enc, _record(spark, new_key()), ["c"], check_column="ok").orderBy("i").collect()
+    assert [r["c"] for r in other] == [None] * 3 and [r["ok"] for r in other] == [False, True, False]
+
+
+def test_a_record_without_one_key_fails(spark):
+    import pytest
+
+    df = spark.createDataFrame([("hello",)], "c string")
+    for record in (_record(spark), _record(spark, "short"), _record(spark, None), _record(spark, "not base64 !!"), _record(spark, new_key(), new_key())):
+        with pytest.raises(Exception, match="no single Fernet key"):
+            encrypt_columns(df, record, ["c"]).collect()
+
+
+def test_the_key_of_a_record_stands_in_no_plan(spark, workdir):
+    from privlink.operators.privacy import key_record
+
+    key = new_key()
+    key_record(spark, key).write.parquet(f"{workdir}/key")
+    df = spark.createDataFrame([("hello",)], "c string")
+    enc = encrypt_columns(df, spark.read.parquet(f"{workdir}/key"), ["c"])
+    enc.collect()
+    text = enc._jdf.queryExecution().toString()
+    raw = base64.urlsafe_b64decode(key)
+    assert key not in text and raw[:16].hex().upper() not in text.upper() and raw[16:].hex().upper() not in text.upper()

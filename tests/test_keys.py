@@ -47,3 +47,22 @@ def test_person_key(spark):
     df = spark.createDataFrame([("Ann", "Lee", "1"), (None, "Lee", "1"), (None, None, None)], "g string, f string, i string")
     got = [r[0] for r in df.select(person_file_key("g", "f", "i")).collect()]
     assert got == ["Ann_Lee_1TwitterData.json", "Lee_1TwitterData.json", "TwitterData.json"]
+
+
+def test_folder_values_as_spark_writes_them(spark, workdir):
+    """Names with characters that the folder and the file URI each escape."""
+    from privlink.functions.keys import folder_value_from_path
+
+    names = ["Ann Lee +50%_1", "a/b=c:d?e", "%41", "100%", "#1 'x' {y}", "é日本", " outer ", "plain", None]
+    df = spark.createDataFrame([(n, str(i)) for i, n in enumerate(names)], "person string, value string")
+    df.write.partitionBy("person").text(f"{workdir}/t")
+    rows = spark.read.text(f"{workdir}/t").select("value", folder_value_from_path("_metadata.file_path", "person").alias("person"), folder_value_from_path("_metadata.file_path", "other").alias("other")).collect()
+    assert {int(r["value"]): r["person"] for r in rows} == dict(enumerate(names))
+    assert all(r["other"] is None for r in rows)
+
+
+def test_the_innermost_folder_counts(spark):
+    from privlink.functions.keys import folder_value_from_path
+
+    df = spark.createDataFrame([("file:/p=1/x/p=2%253D/part-0",), ("file:/xp=1/f",), (None,)], "u string")
+    assert [r[0] for r in df.select(folder_value_from_path("u", "p")).collect()] == ["2=", None, None]

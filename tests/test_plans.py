@@ -23,7 +23,10 @@ def test_link_join_keys_and_pruned_scans(spark):
     plan, df = _plan(spark, "link_by_interval")
     df.collect()  # final adaptive plan
     final = df._jdf.queryExecution().executedPlan().toString()
-    assert "LeftAnti" in final and "Inner" in final
+    # days are matched once, messages meet them in one outer equi-join; no anti join is left
+    assert "LeftAnti" not in final and final.count("LeftOuter") <= 2 and "Inner" in final
+    days = [ln for ln in final.splitlines() if "__pl_level" in ln and "Join" in ln]
+    assert days and all("l_orderkey" not in ln for ln in days)  # whole messages are not looked up
     # lineitem read with only the columns the link needs, filters pushed
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_linenumber:int," in plan
     assert "l_quantity" not in plan and "l_extendedprice" not in plan
@@ -73,3 +76,25 @@ def test_each_token_is_decoded_and_checked_once(spark):
     text = df._jdf.queryExecution().optimizedPlan().toString()
     # eight columns: one decryption each
     assert text.count("try_aes_decrypt") <= 8 or text.count("AES") <= 24
+
+
+def test_a_copy_is_scanned_once_for_both_analyses(spark, workdir):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from linkqueries import testdata as td
+    from privlink.functions.crypto import new_key
+    from privlink.plans.jobs import PATIENTS, SOCIAL, Hop, job_analysis, job_link, job_privacy
+
+    hop = Hop(spark, workdir, "parquet")
+    hop.write(td.messages(spark, SF).select("SynSocial_UID", "name", "screen_name", F.date_format("created_at", "EEE MMM dd HH:mm:ss +0000 yyyy").alias("created_at"), "text", "filename"), SOCIAL)
+    cond = td.conditions(spark, SF).select("display", F.col("code").cast("long").alias("code"), F.col("assertedDate").cast("string"), F.col("abatementDate").cast("string"), "Given_Name", "Identifier", "Synthea_UID", "Family_Name")
+    hop.write(cond, PATIENTS)
+    job_link(hop)
+    job_privacy(hop, new_key())
+    out = job_analysis(hop, "hash")
+    assert spark.read.parquet(out["analysis-hash"]).count() == 40
+    assert spark.read.parquet(out["analysis-hash-stats"]).count() == 1
+    assert not [f for f in os.listdir(workdir) if f.startswith("_counts")]  # the stage is gone
+
