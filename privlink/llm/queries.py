@@ -246,8 +246,7 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text, learned from the labelled documents that are not held out."""
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
-    known = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    model = toxicity.fit_toxicity(docs.where(~in_fold()).select("doc_id", "text").join(known, "doc_id").select("text", "toxic"))
+    model = toxicity.fit_toxicity(toxicity.labelled_texts(docs.where(~in_fold()), labels.where(~in_fold())))
     return toxicity.score_toxicity(docs, model).select("doc_id", in_fold().alias("held_out"), "score", "predicted")
 
 

@@ -1,6 +1,6 @@
 """Toxicity scores: gradient-boosted trees over dense features, calibrated by isotonic regression.
 
-Learning takes a bounded sample of labelled rows:
+Learning takes a bounded sample of distinct labelled texts:
 
 1. *Lexicon.* Terms are whole words and word beginnings of PREFIXES letters. Spark
    counts, per term, the distinct toxic and clean texts that have it; terms of
@@ -19,6 +19,7 @@ calibration are Spark ML models.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from dataclasses import dataclass
@@ -56,10 +57,26 @@ FEATURES = (
 
 _TOKEN = re.compile(r"\S+")
 _LETTERS = re.compile(r"[^\W\d_]+")
-_PLAIN = re.compile(r"[^\w]*([^\W\d_]+)[^\w]*\Z")
 _RUN = re.compile(r"(.)\1{2,}")
+#: Signs that may stand before and after a plain word.
+_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»„“”‚‘’…–—¿¡"
 #: Words whose lookup a worker keeps.
 _KEPT_WORDS = 1 << 17
+#: Kinds of characters, as bits.
+_LETTER, _UPPER, _SIGN = 1, 2, 4
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """The kind of every code point."""
+    out = np.zeros(0x110000, np.uint8)
+    for i in range(0x110000):
+        c = chr(i)
+        if c.isalpha():
+            out[i] = _LETTER | _UPPER * c.isupper()
+        elif not (c.isdigit() or c.isnumeric() or c.isspace() or i < 32 or i == 127):
+            out[i] = _SIGN
+    return out
 
 
 def terms_of(word: str) -> list[str]:
@@ -76,42 +93,38 @@ class Features:
 
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
+        self._heads = {t.removesuffix("$")[: PREFIXES[0]] for t in lexicon}
         self._words: dict[str, tuple[float, float, int]] = {}
 
     def odds(self, word: str) -> float:
         """The greatest log odds of a lower-case word's terms, 0 without a hit."""
+        if word[: PREFIXES[0]] not in self._heads:
+            return 0.0
         get = self.lexicon.get
         return max(get(t, 0.0) for t in terms_of(word))
 
     def _token(self, token: str) -> tuple[float, float, int]:
         """(log odds, log odds once it is read through its disguise, bits: 1 second person,
         2 obfuscated, 4 masked by signs, 8 drawn out, 16 shouted)."""
-        plain = _PLAIN.match(token)
-        if plain:
-            word = plain[1]
+        word = token.strip(_SIGNS)
+        bits = 4 * (0 < len(word) <= len(token) - 3)
+        if word.isalpha():
             low = word.lower()
-            bits = (low in SECOND_PERSON) + 16 * (len(word) > 2 and word.isupper())
+            bits |= (low in SECOND_PERSON) + 16 * (len(word) > 2 and word.isupper())
             odds = hidden = self.odds(low)
-        else:
-            bits, odds, low = 0, 0.0, token.lower()
-            letters = sum(map(str.isalpha, token))
-            if letters > 1:
-                bits = 2
-                inner = _LETTERS.findall(low)
-                odds = max((self.odds(w) for w in inner), default=0.0)
-                joined = "".join(_LETTERS.findall(low.translate(LOOKALIKES)))
-                hidden = max(odds, self.odds(joined)) if joined else odds
-            else:
-                hidden = 0.0
-        signs = sum(not c.isalnum() for c in token)
-        if signs >= 3 and signs < len(token):
-            bits |= 4
-        if _RUN.search(low) and any(map(str.isalpha, low)):
-            squeezed = _RUN.sub(r"\1", low)
-            if squeezed.isalpha():
+            if _RUN.search(low):
                 bits |= 8
-                hidden = max(hidden, self.odds(squeezed))
-        return odds, hidden, bits
+                hidden = max(hidden, self.odds(_RUN.sub(r"\1", low)))
+            return odds, hidden, bits
+        low = token.lower()
+        if sum(map(str.isalpha, token)) < 2:
+            return 0.0, 0.0, bits
+        # letters with other characters between them
+        odds = max((self.odds(w) for w in _LETTERS.findall(low)), default=0.0)
+        joined = "".join(_LETTERS.findall(low.translate(LOOKALIKES)))
+        hidden = max(odds, self.odds(joined), self.odds(_RUN.sub(r"\1", joined)))
+        signs = sum(not c.isalnum() for c in word)
+        return odds, hidden, bits | 2 | 4 * (signs >= 3)
 
     def of(self, text: str) -> list[float]:
         words, hits, second = self._words, [], []
@@ -147,18 +160,8 @@ class Features:
             while s < len(second) and second[s] < i - NEAR:
                 s += 1
             near += s < len(second) and second[s] <= i + NEAR
-        letters = capitals = signs = 0
-        if text.isascii():
-            raw = np.frombuffer(text.encode(), np.uint8)
-            upper = int(((raw >= 65) & (raw <= 90)).sum())
-            lower = int(((raw >= 97) & (raw <= 122)).sum())
-            letters, capitals = upper + lower, upper
-            digits = int(((raw >= 48) & (raw <= 57)).sum())
-            signs = int((raw > 32).sum()) - letters - digits - int((raw == 127).sum())
-        else:
-            letters = sum(map(str.isalpha, text))
-            capitals = sum(map(str.isupper, text))
-            signs = sum(not (c.isalnum() or c.isspace()) for c in text)
+        kinds = np.bincount(_kinds()[np.frombuffer(text.encode("utf-32-le"), np.uint32)], minlength=5)
+        letters, capitals, signs = int(kinds[_LETTER] + kinds[_LETTER | _UPPER]), int(kinds[_LETTER | _UPPER]), int(kinds[_SIGN])
         per = 1.0 / n if n else 0.0
         return [
             tiers[0] * per, tiers[1] * per, tiers[2] * per, math.log1p(tiers[2]), strongest, total * per,
@@ -190,7 +193,7 @@ def with_features(docs: DataFrame, lexicons: dict[int, dict[str, float]], text_c
 
 def mine_lexicons(sample: DataFrame, folds: int = FOLDS, most: int = LEXICON_TERMS) -> dict[int, dict[str, float]]:
     """Lexicons of (text, toxic int, fold int): key f has the terms as counted without
-    fold f, key ``folds`` those of all rows. Equal texts of a fold count once."""
+    fold f, key ``folds`` those of all rows. The texts are distinct."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         terms, toxic, fold = [], [], []
@@ -201,7 +204,7 @@ def mine_lexicons(sample: DataFrame, folds: int = FOLDS, most: int = LEXICON_TER
             fold += [f] * len(own)
         return pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(toxic, pa.int32()), pa.array(fold, pa.int32())], names=["term", "toxic", "fold"])
 
-    texts = sample.groupBy("text", "fold").agg(F.max("toxic").alias("toxic")).select("text", "toxic", "fold")
+    texts = sample.select("text", "toxic", "fold")
     totals = {(r["fold"], r["toxic"]): r["n"] for r in texts.groupBy("fold", "toxic").agg(F.count("*").alias("n")).collect()}
     counted = map_batches(texts, run, "term string, toxic int, fold int").groupBy("term").agg(
         *(F.sum(((F.col("fold") == f) & (F.col("toxic") == x)).cast("long")).alias(f"n{f}_{x}") for f in range(folds) for x in (0, 1))
@@ -243,17 +246,38 @@ def _margin(seen: DataFrame) -> Column:
     return F.element_at(vector_to_array(seen["rawPrediction"]), 2)
 
 
-def fit_toxicity(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", rows: int = SAMPLE_ROWS, folds: int = FOLDS) -> ToxicityModel:
-    """The model of (text, toxic 0/1) rows; rows with a null label are left out.
+def _share(rows: int, n: int) -> Column | None:
+    """The greatest hash of a share of about ``rows`` of ``n`` evenly spread 64-bit hashes; None for all."""
+    return None if n <= rows else F.lit(-(1 << 63) + (rows << 64) // n)
+
 
-    At most ``rows`` rows are learned from, those of the smallest hash of their
-    text. A sample with one class only, or none, gives a constant score: its share of toxic rows, 0 of none.
+def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(text, toxic int, h long): about ``rows`` distinct labelled texts, those of the smallest hash.
+
+    A label belongs to the documents of its id; of several labels of an id or a text
+    the greatest counts. The labels are narrow and drawn first, ``rows`` ids at most, which go out as a
+    broadcast; if ids repeat in ``docs``, the texts they lead to are drawn again by their
+    hash, which is counted before any text moves.
+    """
+    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("own_id")).agg((F.max(label_col) > 0).cast("int").alias("toxic"))
+    known = materialise(known.withColumn("own_hash", F.xxhash64("own_id")), "toxicity-labels")
+    limit = _share(rows, known.count())
+    few = known if limit is None else known.where(F.col("own_hash") < limit)
+    few = few.orderBy("own_hash", "own_id").limit(rows).select("own_id", "toxic")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    own = docs.select(F.col(id_col).alias("own_id"), text.alias("text")).join(F.broadcast(few), "own_id").select("text", "toxic", F.xxhash64("text").alias("h"))
+    limit = _share(rows, own.agg(F.approx_count_distinct("h", 0.01)).first()[0])
+    own = own if limit is None else own.where(F.col("h") < limit)
+    return own.groupBy("h").agg(F.any_value("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic", "h")
+
+
+def fit_toxicity(sample: DataFrame, folds: int = FOLDS) -> ToxicityModel:
+    """The model of (text, toxic 0/1, h) rows, as ``labelled_texts`` gives them.
+
+    A sample with one class only, or none, gives a constant score: its share of toxic rows, 0 of none.
     """
-    own = labelled.where(F.col(label_col).isNotNull()).select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), (F.col(label_col) > 0).cast("int").alias("toxic"))
-    hashed = own.withColumn("h", F.xxhash64("text"))
-    few = hashed.orderBy("h", "text", "toxic").limit(rows)
-    few = few.select("text", "toxic", F.pmod("h", F.lit(folds)).cast("int").alias("fold"), F.pmod(F.shiftright("h", 16), F.lit(4)).cast("int").alias("part"))
-    sample = materialise(few.repartition(16), "toxicity-sample")
+    few = sample.select("text", "toxic", F.pmod("h", F.lit(folds)).cast("int").alias("fold"), F.pmod(F.shiftright("h", 16), F.lit(4)).cast("int").alias("part"))
+    sample = materialise(few, "toxicity-sample")
     n, toxic = sample.agg(F.count("*"), F.sum("toxic")).first()
     parts = {(r["part"] == 0, r["toxic"]) for r in sample.select("part", "toxic").distinct().collect()}
     if not n or not {(False, 0), (False, 1)} <= parts:

@@ -28,7 +28,7 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
     flat = column.values.to_numpy(zero_copy_only=False)
     sizes = np.diff(offsets)
     if (sizes == width).all():
-        return flat[offsets[0] : offsets[-1]].reshape(-1, width).astype(np.int64)
+        return flat[offsets[0] : offsets[-1]].reshape(len(sizes), width).astype(np.int64)
     out = np.zeros((len(sizes), width), np.int64)
     row = np.repeat(np.arange(len(sizes)), sizes)
     out[row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat[offsets[0] : offsets[-1]]

@@ -1,0 +1,119 @@
+"""Hard negatives against brute force, and the lists' certificates."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from privlink.llm import hard_negatives as hn
+from privlink.llm.queries import QUERIES
+
+from .conftest import SF
+
+SCHEMA = "vec_id long, embedding array<float>, label int, id string, v string, slot string, block string, score string"
+
+
+def brute(rows, every=5, positives=5, negatives=3, low=50, high=95, scale=256):
+    kept = [(i, [math.floor(scale * float(np.float32(x))) for x in v], lab) for i, v, lab in rows if lab is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for a, av, al in kept:
+        if a is None or a % every:
+            continue
+        scored = sorted(((sum(x * y for x, y in zip(av, v)), i, lab) for i, v, lab in kept if i != a), key=lambda t: (-t[0], t[1] is None, t[1] or 0))
+        for ps, p, _ in [t for t in scored if t[2] == al][:positives]:
+            for rank, (ns, n, _) in enumerate([t for t in scored if t[2] != al and low * ps <= 100 * t[0] <= high * ps][:negatives], 1):
+                out.append((a, p, rank, n, ps, ns))
+    return sorted(out, key=str)
+
+
+def mined(spark, rows, every=5, **sizes):
+    frame = spark.createDataFrame([(i, v, lab, "id", "v", "slot", "block", "score") for i, v, lab in rows], SCHEMA)
+    return sorted((tuple(r) for r in hn.hard_negatives(frame, F.col("vec_id") % every == 0, **sizes).collect()), key=str)
+
+
+def clustered(n, width=8, groups=6, seed=0):
+    random = np.random.default_rng(seed)
+    centres = random.normal(size=(groups, width))
+    return [(i, (centres[i % groups] + 0.3 * random.normal(size=width)).tolist(), int(random.integers(0, 3))) for i in range(n)]
+
+
+@pytest.fixture
+def small_cells(monkeypatch):
+    """Blocks, cells, lists and steps of a few rows."""
+    for name, value in {"BLOCK": 7, "CELL_ROWS": 40, "LIST_ROWS": 16, "STEP": 4, "MEMBERS": 3}.items():
+        monkeypatch.setattr(hn, name, value)
+
+
+def test_against_brute_force(spark, tiny_batches, small_cells):
+    rows = clustered(150)
+    assert mined(spark, rows) == brute(rows) != []
+
+
+def test_production_sizes(spark):
+    rows = clustered(400, seed=4)
+    assert mined(spark, rows, positives=2, negatives=4, low=30, high=99) == brute(rows, positives=2, negatives=4, low=30, high=99)
+
+
+def test_ties_and_odd_rows(spark, tiny_batches, small_cells):
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, [float(i % 3), 1.0], i % 2) for i in range(40)]  # many equal scores
+    rows += [(None, [2.0, 1.0], 1), (None, [1.9, 1.0], 0), (100, None, 1), (105, [nan, 1.0], 1), (110, [1.0, None], 0), (115, [inf, 1.0], 0), (120, [1.0, 1.0], None)]
+    rows += [(125, [], 0), (130, [0.0, 0.0], 1), (135, [-3.0, -1.0], 1), (140, [2.0], 0), (5, [0.5, 0.75], 1)]
+    assert mined(spark, rows) == brute(rows)
+
+
+def test_repeated_rows(spark):
+    rows = [(i, [1.0 + i / 10, 1.0], i % 2) for i in range(10)] + [(6, [1.9, 1.0], 1)] * 30 + [(5, [1.5, 1.0], 1)]
+    assert mined(spark, rows) == brute(rows)
+
+
+def test_no_anchor_no_row_no_range(spark):
+    assert mined(spark, []) == []
+    assert mined(spark, [(1, [1.0], 1), (2, [1.0], 0)]) == []
+    assert mined(spark, [(5, [1.0], 1), (6, [-1.0], 1), (7, [1.0], 0)]) == []  # a negative score has no range
+    assert mined(spark, [(5, [1.0], 1)]) == []
+
+
+def test_components_beyond_the_exact_floats():
+    random = np.random.default_rng(2)
+    a, b = random.integers(-hn.LIMIT, hn.LIMIT, (3, 40)), random.integers(-hn.LIMIT, hn.LIMIT, (5, 40))
+    got = hn.scorer(a, b)(np.arange(3), np.arange(5))
+    assert got.tolist() == [[sum(int(x) * int(y) for x, y in zip(r, s)) for s in b] for r in a]
+
+
+def test_bounds_hold_and_lists_end_early():
+    random = np.random.default_rng(5)
+    centres = random.normal(size=(4, 16)) * 100
+    anchors = (np.repeat(centres, 32, axis=0) + random.normal(size=(128, 16)) * 4).astype(np.int64)
+    rows = (np.tile(centres, (500, 1)) + random.normal(size=(2000, 16)) * 4).astype(np.int64)
+    lists = hn.SharedLists(anchors)
+    assert sum(map(len, lists.members)) == 128
+    scores = anchors @ rows.T
+    for members, bound in zip(lists.members, lists.bounds(rows)):
+        assert (scores[members] <= bound[None, :] * lists.size[members][:, None] + 1e-6).all()
+    best = hn.Best(128, 3)
+
+    def take(m, p, s):
+        slot, place = np.nonzero(np.ones_like(s, bool))
+        best.add(m[slot], s[slot, place], p[place])
+
+    scored = lists.walk(rows, lambda m: best.worst[m].astype(float), take)
+    assert scored < 0.5 * scores.size  # certified, not exhausted
+    want = np.sort(scores, axis=1)[:, ::-1][:, :3]
+    assert (best.score.reshape(128, 3) == want).all()
+
+
+def test_zero_vectors_and_opposite_members():
+    anchors = np.array([[0, 0], [5, 0], [-5, 0], [0, 3]])
+    rows = np.array([[1, 1], [0, 0], [-7, 2]])
+    lists = hn.SharedLists(anchors)
+    scores = anchors @ rows.T
+    for members, bound in zip(lists.members, lists.bounds(rows)):
+        assert (scores[members] <= bound[None, :] * lists.size[members][:, None] + 1e-6).all()
+
+
+def test_query(spark):
+    rows = [(r["vec_id"], r["embedding"], (r["label"] + 1) % 10 if r["vec_id"] % 7 == 0 else r["label"]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    got = sorted((tuple(r) for r in QUERIES["op13_hard_negatives"](spark, SF).collect()), key=str)
+    assert got == brute(rows, every=50)

@@ -1,0 +1,144 @@
+"""Toxicity: features by hand, held-out accuracy, odd rows."""
+
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from privlink.llm import toxicity as tx
+from privlink.llm.queries import QUERIES
+
+from .conftest import ODD, SF
+
+LEXICON = {"moron$": 5.0, "vequ": 3.5, "fool$": 2.0}
+
+
+def features(text, lexicon=LEXICON):
+    return dict(zip(tx.FEATURES, tx.Features(lexicon).of(text), strict=True))
+
+
+def test_lexicon_features():
+    f = features("you are a moron and a vequelar of a fool")
+    assert f["fair_density"] == pytest.approx(3 / 10) and f["good_density"] == pytest.approx(2 / 10) and f["strong_density"] == pytest.approx(1 / 10)
+    assert f["strongest"] == 5.0 and f["odds_density"] == pytest.approx(10.5 / 10)
+    assert f["near_second_person"] == pytest.approx(1 / 10)  # vequelar is six words away
+    assert f["second_person"] == pytest.approx(1 / 10) and f["log_words"] == pytest.approx(np.log(11))
+
+
+def test_a_hit_is_near_a_later_second_person_word_too():
+    assert features("moron a b c d you")["near_second_person"] == pytest.approx(1 / 6)
+    assert features("moron a b c d e you")["near_second_person"] == 0
+    assert features("You, moron!")["near_second_person"] == pytest.approx(1 / 2)
+
+
+@pytest.mark.parametrize("word", ["m0r0n", "m-o-r-o-n", "m.o.r.o.n.", "mooooron", "MOOOORON!!"])
+def test_obfuscated_hits(word):
+    f = features(f"such {word} here")
+    assert f["strong_density"] == pytest.approx(1 / 3) and f["hidden_hits"] == pytest.approx(1 / 3)
+
+
+def test_capitals_punctuation_and_rates():
+    f = features("SHOUT at it now!!! %%%a&&& 12 ok")
+    assert f["shouted"] == pytest.approx(1 / 7) and f["masked"] == pytest.approx(2 / 7)
+    assert f["capitals"] == pytest.approx(5 / 15) and f["exclamations"] == pytest.approx(3 / 7)
+    assert f["punctuation"] == pytest.approx(9 / 32)
+    assert features("ÉÉ é")["capitals"] == pytest.approx(2 / 3)
+
+
+def test_plain_and_unicode_counts_agree():
+    text = "Mixed CASE, with: signs! 12 and_more #"
+    plain, other = features(text), features(text + "é")
+    letters = sum(c.isalpha() for c in text)
+    assert plain["capitals"] == pytest.approx(sum(c.isupper() for c in text) / letters)
+    assert other["punctuation"] == pytest.approx(plain["punctuation"] * len(text) / (len(text) + 1))
+
+
+@pytest.mark.parametrize("text", ["", " \n", "...", "\x00", "é" * 3, "a" * 300_000, "$" * 1000])
+def test_odd_texts_have_finite_features(text):
+    assert np.isfinite(tx.Features(LEXICON).of(text)).all()
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    words = "the and for with this that river stone cloud paper green early".split()
+    random = np.random.default_rng(0)
+    rows = []
+    for i in range(600):
+        text = random.choice(words, 60).tolist()
+        toxic = i % 6 == 0
+        if toxic:
+            for at in random.integers(0, 60, 4):
+                text[at] = random.choice(["blergh", "snarfen", "snarfach", "gr0kk"])
+        rows.append((i, " ".join(text), int(toxic)))
+    return spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+
+
+def fit(labelled):
+    return tx.fit_toxicity(tx.labelled_texts(labelled.select("doc_id", "text"), labelled.select("doc_id", "toxic")))
+
+
+def test_learns_words_and_stems(spark, labelled):
+    model = fit(labelled.where("doc_id % 3 <> 1"))
+    assert {"blergh$", "snarf"} <= set(model.lexicon)
+    held = labelled.where("doc_id % 3 = 1")
+    got = tx.score_toxicity(held, model).join(held, "doc_id").collect()
+    assert np.mean([r["predicted"] == r["toxic"] for r in got]) > 0.97
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in got)
+
+
+def test_lexicon_counts_by_fold(spark):
+    rows = [(f"clean words here {f}", 0, f) for f in (0, 1)] + [(f"nasty number {'abcdef'[k]}", 1, k % 2) for k in range(6)]
+    lexicons = tx.mine_lexicons(spark.createDataFrame(rows, "text string, toxic int, fold int"))
+    # six of six toxic texts, none of two clean ones
+    assert lexicons[2]["nasty$"] == pytest.approx(np.log(6.5 / 7) - np.log(0.5 / 3))
+    assert "nasty$" not in lexicons[0] and "nasty$" not in lexicons[1]  # three texts are too few
+
+
+def test_sample_of_distinct_texts(spark):
+    docs = [(1, "a"), (2, "a"), (3, "b"), (4, None), (5, "c"), (None, "d"), (6, "e"), (6, "f")] + [(7, "hot")] * 50
+    labels = [(1, 0), (2, 1), (3, 0), (3, 0), (4, 0), (5, None), (None, 1), (6, 1), (7, 0), (8, 1)]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = sorted((r["text"], r["toxic"]) for r in tx.labelled_texts(*frames).collect())
+    assert got == [("", 0), ("a", 1), ("b", 0), ("e", 1), ("f", 1), ("hot", 0)]
+
+
+def test_sample_is_bounded(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    got = tx.labelled_texts(docs, spark.range(4000).selectExpr("id AS doc_id", "1 AS toxic"), rows=500)
+    assert 400 < got.count() <= 500
+    # one id leads to all texts
+    got = tx.labelled_texts(docs.selectExpr("1L AS doc_id", "text"), spark.createDataFrame([(1, 1)], "doc_id long, toxic int"), rows=500)
+    assert 400 < got.count() < 600
+
+
+def test_one_class_or_none(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    for rows, want in (([], 0.0), ([(1, "a", None)], 0.0), ([(1, "a", 0), (2, "b", 0)], 0.0), ([(1, "a", 1)], 1.0)):
+        assert tx.score_toxicity(docs, fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))).first()["score"] == want
+
+
+def test_odd_rows_and_clashing_columns(spark, labelled, docs_of, tiny_batches):
+    model = fit(labelled)
+    docs = docs_of(ODD)
+    got = tx.score_toxicity(docs, model).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(i) for i, _ in ODD)
+    assert all(r["score"] is not None and 0 <= r["score"] <= 1 for r in got)
+    assert tx.score_toxicity(docs.limit(0), model).count() == 0
+
+
+def test_query(spark):
+    done = QUERIES["op12_toxicity"](spark, SF)
+    assert done.columns == ["doc_id", "held_out", "score", "predicted"]
+    rows = done.collect()
+    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in rows)
+
+
+def test_held_out_documents(spark):
+    """In these tables the toxic documents in English are marked by words; labels of other languages are chance."""
+    sf = SF.replace("sf0.001", "sf0.1")
+    known = spark.read.parquet(f"{sf}/labels.parquet").join(spark.read.parquet(f"{sf}/documents.parquet").where("lang = 'en'"), "doc_id")
+    got = QUERIES["op12_toxicity"](spark, sf).where("held_out").join(known.select("doc_id", "toxic"), "doc_id")
+    caught, right, clean = got.agg(F.avg(F.when(F.col("toxic") == 1, F.col("predicted"))), F.avg(F.when(F.col("predicted") == 1, F.col("toxic"))), F.avg(F.when(F.col("toxic") == 0, 1 - F.col("predicted")))).first()
+    assert caught > 0.85 and right > 0.9 and clean > 0.99
