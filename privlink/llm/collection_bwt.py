@@ -7,13 +7,15 @@ starts is the rank-th of those that begin with c. The common prefix of a new row
 with its neighbour is one more than the smallest common prefix between the rows
 they were extended from.
 
-Transform and prefix array are two files. A round reads both from front to end
-and writes the new ones over them; memory holds one pass of them.
+Transform and prefix array are two sequential files. A round reads both from front
+to end and writes the new ones over them. Collections are bounded (see
+:mod:`suffix_dedup`), so the files are byte streams in memory and a round holds them
+whole: nothing is written to a machine's own disk.
 """
 
 from __future__ import annotations
 
-from tempfile import TemporaryFile
+from io import BytesIO
 
 import numpy as np
 
@@ -70,7 +72,7 @@ def shared_prefixes(strings: list[bytes], least: int) -> tuple[np.ndarray, np.nd
     for i, s in enumerate(strings):
         columns[i, : len(s)] = number[np.frombuffer(s, np.uint8)[::-1]]
     columns = np.ascontiguousarray(columns.T)
-    with TemporaryFile() as bwt_file, TemporaryFile() as lcp_file:
+    with BytesIO() as bwt_file, BytesIO() as lcp_file:
         _store(bwt_file, columns[0])
         _store(lcp_file, np.zeros(m, kind))
         n, row = m, np.arange(m)

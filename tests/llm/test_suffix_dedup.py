@@ -1,8 +1,10 @@
 import hashlib
 import random
+import zlib
 
 import pyarrow as pa
 import pytest
+import xxhash
 
 from privlink.llm import queries, suffix_dedup
 from privlink.llm.collection_bwt import shared_prefixes
@@ -10,9 +12,15 @@ from privlink.llm.collection_bwt import shared_prefixes
 from .conftest import ODD, SF
 
 
+def hash_of(text):
+    """Spark's 64-bit hash of a text, signed."""
+    h = xxhash.xxh64_intdigest(text, 42)
+    return h - (h >> 63 << 64)
+
+
 def brute(rows, length=100):
     """Covered bytes by a set of all windows seen so far, in document order."""
-    order = sorted({(float("inf") if i is None else i, (t or "").encode()) for i, t in rows}, key=lambda x: (x[0], suffix_dedup._tag(x[1])))
+    order = sorted({(float("inf") if i is None else i, (t or "").encode()) for i, t in rows}, key=lambda x: (x[0], hash_of(x[1])))
     seen, found = set(), {}
     for i, b in order:
         covered, end = bytearray(len(b)), 0
@@ -113,13 +121,15 @@ def test_collections_of_a_hot_core_are_bounded(monkeypatch):
     rng = random.Random(5)
     # cores 0 and 2 are small, core 1 has 300 distinct pieces; a piece's first window is one of a few
     pieces = sorted({(core, i, 7, bytes(rng.choices(b"ab", k=2)) + b"core %d" % core * 15 + bytes([i % 256, i // 256])[: rng.randint(0, 2)]) for core, n in ((0, 5), (1, 300), (2, 5)) for i in range(n)})
-    table = pa.table({"core": [p[0] for p in pieces], "hash": [hash(p[3]) for p in pieces], "id": [p[1] for p in pieces], "pos": [p[2] for p in pieces], "text": [p[3] for p in pieces]}).sort_by([(c, "ascending") for c in ("core", "hash", "id", "pos")])
+    table = pa.table({"core": [p[0] for p in pieces], "hash": [hash(p[3]) for p in pieces], "id": [p[1] for p in pieces], "a": [0] * len(pieces), "b": [1] * len(pieces), "pos": [p[2] for p in pieces], "text": [p[3] for p in pieces]})
+    table = table.sort_by([(c, "ascending") for c in ("core", "hash", "id", "pos")])
     out = [r for b in suffix_dedup._meet_pieces(iter(table.to_batches(max_chunksize=8)), 90) for r in b.to_pylist()]
+    found = {(r["id"], r["pos"] + k) for r in out if r["kind"] == 0 for k in range(r["n"])}
+    wide = pa.Table.from_pylist([r for r in out if r["kind"] == 2]).select(suffix_dedup._WINDOW).sort_by([(c, "ascending") for c in ("hash", "low", "id", "a", "b", "pos")])
+    assert len(wide) > 100  # more than a collection, settled by collections of their own
+    for b in suffix_dedup._meet_windows(iter(wide.to_batches(max_chunksize=7)), 90):
+        found |= {(r["id"], r["pos"]) for r in b.to_pylist()}
     assert sizes and max(sizes) <= 32
-    first, found = {}, {(r["id"], r["pos"] + k) for r in out if r["kind"] == 0 for k in range(r["n"])}
-    for r in sorted((r for r in out if r["kind"] == 2), key=lambda r: (r["id"], r["pos"])):
-        if first.setdefault((r["key"], r["hash"]), r) is not r:
-            found.add((r["id"], r["pos"]))
     seen, want = {}, set()
     for core, i, pos, text in sorted(pieces, key=lambda p: (p[1], p[2])):
         for k in range(len(text) - 89):
@@ -128,6 +138,41 @@ def test_collections_of_a_hot_core_are_bounded(monkeypatch):
     assert found == {(i, p) for _, i, p in want}
 
 
+def test_one_hot_window_over_many_collections(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "COLLECTION", 4)
+    rows = [{"low": 1, "hash": h, "id": i, "a": 0, "b": 0, "pos": 3, "text": b"%d" % h * 90} for h, n in ((1, 2), (2, 23), (3, 1)) for i in range(n)]
+    found = [(r["id"], r["pos"]) for b in suffix_dedup._meet_windows(iter(pa.Table.from_pylist(rows).to_batches(max_chunksize=5)), 90) for r in b.to_pylist()]
+    assert sorted(found) == sorted([(1, 3), *((i, 3) for i in range(1, 23))])
+
+
+def test_texts_of_one_crc_under_null_ids(spark, docs_of):
+    """Ids that say nothing and a short hash that is equal: texts are still told apart."""
+    rng, seen = random.Random(8), {}
+    while True:
+        text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=300))
+        other = seen.setdefault(zlib.crc32(text.encode()) >> 1, text)
+        if other != text:
+            break
+    rows = [(1, other[:200]), (None, other), (None, text), (7, text[:50] + "!" + other[100:])]
+    assert got(suffix_dedup.dedup_substrings(docs_of(rows))) == brute(rows)
+
+
+def test_a_repeated_row_is_one_document(spark, docs_of, tiny_batches):
+    rng = random.Random(6)
+    long, other = ("".join(rng.choices("abcdefgh", k=250)) for _ in range(2))
+    rows = [(5, long)] * 9 + [(6, other), (6, other), (None, long + other), (None, long + other), (6, "x" + long)]
+    out = got(suffix_dedup.dedup_substrings(docs_of(rows)))
+    assert out == brute(rows)
+    assert all(not spans for i, _, spans, _ in out if i == "5")  # a copy of a row is no earlier text
+
+
+def test_a_third_of_the_rows_without_id(spark, docs_of):
+    rng = random.Random(2)
+    base = ["".join(rng.choices("abcdefgh ", k=180)) for _ in range(5)]
+    rows = [(None if i % 3 == 0 else i, rng.choice(base) + str(i % 40) + rng.choice(base)[rng.randint(0, 90) :]) for i in range(240)]
+    assert got(suffix_dedup.dedup_substrings(docs_of(rows))) == brute(rows)
+
+
 def test_empty_table_and_short_length(spark, docs_of):
     assert suffix_dedup.dedup_substrings(docs_of([])).collect() == []
     with pytest.raises(ValueError):
