@@ -1,7 +1,8 @@
 """Dropping frequent lines with a sharded minimal perfect hash.
 
 1. Each text is read once: the 64-bit hashes of its distinct line keys go to a
-   small table. Counting them (map-side first) gives the documents of each line.
+   small table, beside 128 bits of hash of the text. Counting them (map-side first) gives the
+   documents of each line.
 2. The distinct hashes are dealt into shards of about KEYS_PER_SHARD keys. Each
    shard becomes a minimal perfect hash (bit levels: a key that is alone at its
    bit of a level owns it, the others go on to the next level; the number of
@@ -9,8 +10,11 @@
    fingerprint and the saturated count.
 3. The documents' hashes visit the shard that owns them and probe its arrays; no
    table of lines is joined. A shard streams in front of its probes, so a task
-   holds one shard at a time, and probes of a hot line are spread over SALTS
-   copies of its shard. Only hits travel back to their documents.
+   holds one shard at a time. The probes of a shard are dealt to copies of it, as many as
+   the corpus has probes for; a line in more than 1 / HOT_LINES of all probes has as many
+   copies more as its own count asks for. Only hits travel back.
+4. Which lines a text loses depends on the text alone. So hits are gathered and joined by the
+   hash of the text, not by document: ids may repeat or be null, and equal texts share one list.
 
 Every probe is a member of its shard, so the fingerprint is a check on the
 structure, not a source of false hits.
@@ -24,11 +28,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import map_batches, materialise, texts_of
 
-KEYS_PER_SHARD, SALTS = 1 << 18, 8
+KEYS_PER_SHARD = 1 << 18
+#: Probes of one copy of a shard, and the most lines that have copies of their own.
+PROBES_PER_CELL, HOT_LINES = 1 << 18, 4_096
 #: Bits of a level for each key still without an index.
 _GAMMA = 2
 _EDGES = re.compile(r"[\x20\x09-\x0D]+")
@@ -116,19 +122,24 @@ class PerfectCounts:
         return cls(levels, np.frombuffer(data, "<u2", keys, at), np.frombuffer(data, "<u2", keys, at + 2 * keys))
 
 
-def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """(id, hashes array<long>): the distinct keys of each text's lines."""
+def line_hashes(docs: DataFrame, text_col: str, min_chars: int) -> DataFrame:
+    """(a, b, hashes array<long>) of every text: 128 bits of its hash, and the distinct keys of its lines."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         flat, sizes = [], [0]
-        for text in texts_of(batch.column(1)):
+        for text in texts_of(batch.column(2)):
             flat += {_hash(k) for k in map(line_key, text.split("\n")) if len(k) >= min_chars}
             sizes.append(len(flat))
         hashes = pa.array(np.array(flat, np.uint64).view(np.int64))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), hashes)], names=["id", "hashes"])
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), hashes)], names=["a", "b", "hashes"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_batches(docs.select(id_col, text_col), run, f"id {kind}, hashes array<long>")
+    return map_batches(docs.select(*text_bits(text_col), text_col), run, "a long, b long, hashes array<long>")
+
+
+def text_bits(text_col: str) -> list[Column]:
+    """128 bits of hash of a text, null as the empty text."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return [F.xxhash64(text).alias("a"), F.xxhash64(F.lit("b"), text).alias("b")]
 
 
 def build_index(counts: DataFrame, keys_per_shard: int = KEYS_PER_SHARD) -> tuple[DataFrame, int]:
@@ -143,63 +154,70 @@ def build_index(counts: DataFrame, keys_per_shard: int = KEYS_PER_SHARD) -> tupl
     return sharded.groupBy("shard").applyInArrow(build, "shard int, data binary"), shards
 
 
-def _probe(batches: Iterator[pa.RecordBatch], min_docs: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Probes of (shard, salt) groups, each led by its shard's data."""
+def _probe(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator[pa.RecordBatch]:
+    """The probes (a, b, hash) of cells that hit, each cell led by its shard's data."""
     shard: PerfectCounts | None = None
     for batch in batches:
-        data = batch.column(0).to_pylist()
-        leads = [i for i, x in enumerate(data) if x is not None]
-        for a, b in zip([0, *(i + 1 for i in leads)], [*leads, len(data)], strict=True):
+        data = batch.column(0)
+        leads = np.flatnonzero(~np.asarray(data.is_null())).tolist()
+        for a, b in zip([0, *(i + 1 for i in leads)], [*leads, batch.num_rows], strict=True):
             if b > a:
                 part = batch.slice(a, b - a)
-                hits = shard.count(part.column(2).to_numpy().view(np.uint64)) >= min_docs
-                yield pa.RecordBatch.from_arrays([part.column(1), part.column(2)], schema=schema).filter(pa.array(hits))
-            if b < len(data):
-                shard = PerfectCounts.from_bytes(data[b])
+                hits = shard.count(part.column(3).to_numpy().view(np.uint64)) >= min_docs
+                yield pa.RecordBatch.from_arrays(part.columns[1:], names=["a", "b", "hash"]).filter(pa.array(hits))
+            if b < batch.num_rows:
+                shard = PerfectCounts.from_bytes(data[b].as_py())
+
 
+def _cells(counts: DataFrame, shards: int) -> tuple[int, DataFrame]:
+    """(copies of every shard, (line long, copies int, of int) of hot lines): a line with
+    over 1 / HOT_LINES of all probes, at most HOT_LINES lines therefore, is spread over copies of its own shard."""
+    probes = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = max(PROBES_PER_CELL, -(-probes // HOT_LINES))
+    lines = counts.where(F.col("n") > hot).select(F.col("hash").alias("line"), F.ceil(F.col("n") / hot).cast("int").alias("copies"), F.pmod("hash", F.lit(shards)).cast("int").alias("of"))
+    return max(1, -(-probes // (shards * hot))), lines
 
-def frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text", keys_per_shard: int = KEYS_PER_SHARD) -> DataFrame:
-    """(id, drop array<long>): for each id, hashes of its lines that at least
-    ``min_docs`` documents (rows) have. Ids without such lines are left out."""
+
+def frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, text_col: str = "text", keys_per_shard: int = KEYS_PER_SHARD) -> DataFrame:
+    """(a, b, drop array<long>): for each text (128 bits of its hash), hashes of its lines that
+    at least ``min_docs`` documents (rows) have. Texts without such lines are left out."""
     if not 1 <= min_docs <= 0xFFFF:
         raise ValueError("min_docs must be 1 to 65535")
-    own = materialise(line_hashes(docs, id_col, text_col, min_chars), "line-hashes")
-    posts = own.select("id", F.explode("hashes").alias("hash"))
+    own = materialise(line_hashes(docs, text_col, min_chars), "line-hashes")
+    posts = own.select("a", "b", F.monotonically_increasing_id().alias("row"), F.explode("hashes").alias("hash"))  # a written table
     counts = materialise(posts.groupBy("hash").agg(F.count("*").alias("n")), "line-counts")
     index, shards = build_index(counts, keys_per_shard)
-    kind = own.schema["id"].dataType
-    leads = index.select("data", F.lit(None).cast(kind).alias("id"), F.lit(None).cast("long").alias("hash"), "shard", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    probes = posts.select(F.lit(None).cast("binary").alias("data"), "id", "hash", F.pmod("hash", F.lit(shards)).cast("int").alias("shard"), F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
-    dealt = leads.union(probes).repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.col("data").isNull())
-    arrow = pa.schema([("id", _arrow_type(own)), ("hash", pa.int64())])
-    hits = dealt.select("data", "id", "hash").mapInArrow(lambda it: _probe(it, min_docs, arrow), f"id {kind.simpleString()}, hash long")
-    return hits.groupBy("id").agg(F.collect_set("hash").alias("drop"))
-
-
-def _arrow_type(own: DataFrame) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(own.schema["id"].dataType)
-
-
-def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text", keys_per_shard: int = KEYS_PER_SHARD) -> DataFrame:
+    base, hot = _cells(counts, shards)
+    wide = hot.groupBy("of").agg(F.max("copies").alias("copies"))
+    copies = F.greatest(F.lit(base), F.coalesce("copies", F.lit(1)))
+    none = F.lit(None).cast("long")
+    leads = index.join(F.broadcast(wide), F.col("shard") == F.col("of"), "left").select(
+        "data", none.alias("a"), none.alias("b"), none.alias("hash"), "shard", F.explode(F.sequence(F.lit(0), copies - 1)).alias("cell")
+    )
+    probes = posts.join(F.broadcast(hot), F.col("hash") == F.col("line"), "left").select(
+        F.lit(None).cast("binary").alias("data"), "a", "b", "hash", F.pmod("hash", F.lit(shards)).cast("int").alias("shard"), F.pmod(F.xxhash64("row", "hash"), copies).cast("int").alias("cell")
+    )
+    dealt = leads.union(probes).repartition("shard", "cell").sortWithinPartitions("shard", "cell", F.col("data").isNull())
+    hits = dealt.select("data", "a", "b", "hash").mapInArrow(lambda it: _probe(it, min_docs), "a long, b long, hash long")
+    return hits.groupBy("a", "b").agg(F.collect_set("hash").alias("drop"))
+
+
+def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, text_col: str = "text", keys_per_shard: int = KEYS_PER_SHARD) -> DataFrame:
     """All columns of ``docs`` with the frequent lines gone from the text, and
     ``n_lines`` (before), ``n_dropped``; columns of these names are replaced.
 
     A line's key is the line without ASCII blanks at its ends, A-Z lower-cased.
     Keys of at least ``min_chars`` code points that at least ``min_docs`` rows
     have lose all their lines in every document. Null and empty text: one empty
-    line; a null text stays null. Rows that share an id (or have none) share the
-    list of hashes that may go, which leaves each row's result as it is: whether
-    a line goes depends on its key alone. Repeated rows count as documents of
-    their own.
+    line; a null text stays null. Ids are not looked at: they may repeat or be
+    null. Repeated rows and rows of equal text count as documents of their own.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    drops = frequent_lines(docs, min_docs, min_chars, id_col, text_col, keys_per_shard)
-    left = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)))
+    drops = frequent_lines(docs, min_docs, min_chars, text_col, keys_per_shard)
+    left = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)), *text_bits(text_col))
     at = kept.index(text_col)
     # a merge join at every size: which side is small is no property of the corpus
-    joined = left.join(drops.hint("merge"), left[f"c{kept.index(id_col)}"].eqNullSafe(drops["id"]), "left").drop("id")
+    joined = left.join(drops.hint("merge"), ["a", "b"], "left").drop("a", "b")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, n_lines, n_dropped = [], [], []
@@ -216,6 +234,6 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
         cols[at] = pa.array(texts, pa.string())
         return pa.RecordBatch.from_arrays([*cols, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names=[*(f"c{i}" for i in range(len(kept))), "n_lines", "n_dropped"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema[: len(kept)])
     done = map_batches(joined, run, f"{schema}, n_lines long, n_dropped long")
     return done.toDF(*kept, "n_lines", "n_dropped")

@@ -50,6 +50,33 @@ def test_hot_line_and_repeated_rows(spark, docs_of):
     assert got(line_dedup.drop_frequent_lines(docs_of(rows), min_docs=6)) == brute(rows, 6)
 
 
+def test_hot_lines_are_spread_by_their_count(spark, docs_of, tiny_batches, monkeypatch):
+    monkeypatch.setattr(line_dedup, "PROBES_PER_CELL", 8)
+    rows = [(i, f"hot\nwarm {i % 4}\nown {i}") for i in range(100)]
+    base, hot = line_dedup._cells(spark.createDataFrame([(7, 100), (8, 9), (9, 8)], "hash long, n long"), 4)
+    assert base == 4 and sorted((r["line"], r["copies"], r["of"]) for r in hot.collect()) == [(7, 13, 3), (8, 2, 0)]
+    assert got(line_dedup.drop_frequent_lines(docs_of(rows), min_docs=25, keys_per_shard=16)) == brute(rows, 25)
+
+
+def test_hot_lines_are_few(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "PROBES_PER_CELL", 1)
+    monkeypatch.setattr(line_dedup, "HOT_LINES", 10)
+    _, hot = line_dedup._cells(spark.createDataFrame([(i, 1 + i % 50) for i in range(500)], "hash long, n long"), 2)
+    assert hot.count() <= 10
+
+
+def test_a_third_of_the_rows_without_id(spark, docs_of):
+    rows = [(None if i % 3 == 0 else i % 50, f"line {i % 20}\nown {i}\nline {i % 7}") for i in range(300)]
+    assert got(line_dedup.drop_frequent_lines(docs_of(rows), min_docs=16)) == brute(rows, 16)
+
+
+def test_rows_without_id_cost_what_others_cost(spark):
+    """Lists are by text: their number and size do not depend on ids."""
+    rows = spark.range(2000).selectExpr("cast(null AS bigint) AS doc_id", "concat('common\nown ', id, '\nrare ', id % 100) AS text")
+    lists = line_dedup.frequent_lines(rows, 10)
+    assert lists.count() == 2000 and lists.selectExpr("max(size(drop)) AS n").first()["n"] == 2
+
+
 def test_short_keys_stay(spark, docs_of):
     rows = [(i, "\nab\nabc") for i in range(5)]
     assert got(line_dedup.drop_frequent_lines(docs_of(rows), min_docs=5, min_chars=3)) == brute(rows, 5, 3)
