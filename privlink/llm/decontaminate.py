@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 
 from .common import kept, map_batches, texts_of
 
-ERROR_RATE, BLOCK_CHARS = 0.1, 4_000_000
+#: Characters of a block: its pieces take about 100 bytes of a worker for each.
+ERROR_RATE, BLOCK_CHARS = 0.1, 1_000_000
 
 
 def normalise(text: str) -> str:
@@ -71,14 +72,18 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
 class _Node:
     """A part of an item, ``start`` to ``stop``, with its own error budget."""
 
+    __slots__ = ("item", "start", "stop", "budget", "masks")
+
     def __init__(self, item: str, start: int, stop: int, budget: int):
-        self.start, self.stop, self.budget = start, stop, budget
-        self.masks, self.size = _masks(item[start:stop]), stop - start
+        self.item, self.start, self.stop, self.budget = item, start, stop, budget
+        self.masks: dict[str, int] | None = None  # made at the first find, which most parts never see
 
     def near(self, text: str, begin: int) -> bool:
         """Within budget where the item, laid over the text from ``begin`` on, has this part."""
+        if self.masks is None:
+            self.masks = _masks(self.item[self.start : self.stop])
         part = text[max(0, begin + self.start - self.budget) : max(0, begin + self.stop + self.budget)]
-        return _search(self.masks, self.size, part)[0] <= self.budget
+        return _search(self.masks, self.stop - self.start, part)[0] <= self.budget
 
 
 class Pieces:

@@ -170,16 +170,17 @@ def simhash_links(fps: DataFrame, max_bits: int = 4, block: int = 4096) -> DataF
     return ordered.mapInArrow(lambda batches: _posting_links(batches, max_bits), "a long, b long")
 
 
-def connected(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each linked node reaches.
 
     Alternates two star steps (each node's larger neighbours, then its smaller
-    ones, are hung on its smallest neighbour) until nothing changes; needs about
-    log² rounds. Each round is written to the shared folder.
+    ones, are hung on its smallest neighbour) until nothing changes. Each round that changes
+    something makes the labels of the edges smaller, so it ends; about log² rounds
+    are needed. Each is written to the shared folder.
     """
     edges = materialise(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     sign = None
-    for _ in range(max_rounds):
+    while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -190,7 +191,6 @@ def connected(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == sign:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         sign = now
-    raise RuntimeError(f"components did not settle within {max_rounds} rounds")
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:

@@ -9,8 +9,9 @@
   :func:`read_at` reads the records that rows of the index point to.
 
 All files are read and written by Spark, so any store that it reaches will do
-and a lost task is run again. An archive holds at most RECORDS_PER_ARCHIVE
-records and is the unit of work of one task.
+and a lost task is run again. A file or archive is the unit of work of one task; it is closed once it has
+ARCHIVE_BYTES bytes, so it holds at most one record more than that, whatever
+the number and length of the pages.
 """
 
 from __future__ import annotations
@@ -20,11 +21,13 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import map_batches, materialise
 
-RECORDS_PER_ARCHIVE = 10_000
+#: Bytes (not compressed) at which a file of records, or an archive (compressed), is closed.
+ARCHIVE_BYTES = 32 << 20
 #: Payloads of at least so many bytes may be revisits.
 REVISIT_BYTES = 100
 _END = b"\r\n\r\n"
@@ -65,9 +68,22 @@ def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     return said.select(F.concat(head, body).alias("record"))
 
 
-def write_monolithic(records: DataFrame, path: str, per_archive: int = RECORDS_PER_ARCHIVE) -> None:
-    """Write records as WARC files that are one gzip stream each."""
-    records.write.option("lineSep", _END.decode()).option("compression", "gzip").option("maxRecordsPerFile", per_archive).text(path)
+def write_monolithic(records: DataFrame, path: str, most: int = ARCHIVE_BYTES) -> None:
+    """Write records as WARC files that are one gzip stream each, closed at ``most`` bytes."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, size = 0, 0
+        for batch in batches:
+            files = []
+            for n in pc.binary_length(batch.column(0)).to_pylist():
+                if size >= most:
+                    file, size = file + 1, 0
+                files.append(file)
+                size += n
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(files, pa.int32())], names=["record", "file"])
+
+    dealt = records.mapInArrow(deal, "record string, file int")
+    dealt.write.option("lineSep", _END.decode()).option("compression", "gzip").partitionBy("file").text(path)
 
 
 def inflate_records(data: bytes, piece: int = 1 << 20) -> Iterator[bytes]:
@@ -149,34 +165,43 @@ _INDEX = pa.struct([("offset", pa.int64()), ("length", pa.int64()), ("record_id"
 _FILES = pa.schema([("archive", pa.string()), ("data", pa.binary()), ("entries", pa.list_(_INDEX))])
 
 
-def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rewrite(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            # a file of Spark's has its name within its folder; k counts the file's archives
+            stem, k = "-".join(x.split(".")[0].removeprefix("file=") for x in path.rsplit("/", 2)[1:]), 0
             out, entries = bytearray(), []
             for record in inflate_records(data.as_py()):
                 member = _member(record)
                 head = _headers(record[: record.find(_END) + 2])
                 entries.append({"offset": len(out), "length": len(member), "record_id": head.get("warc-record-id"), "record_type": head.get("warc-type")})
                 out += member
-            if out and out[-1]:  # the sink's separator is a zero byte: close with an empty member
-                out += _member(b"")
+                if len(out) >= most:
+                    yield _archive(f"{stem}-{k}", out, entries)
+                    out, entries, k = bytearray(), [], k + 1
             if entries:
-                name = path.rsplit("/", 1)[-1].split(".")[0]
-                yield pa.RecordBatch.from_pylist([{"archive": name, "data": bytes(out), "entries": entries}], schema=_FILES)
+                yield _archive(f"{stem}-{k}", out, entries)
+
+
+def _archive(name: str, out: bytearray, entries: list[dict]) -> pa.RecordBatch:
+    if out[-1]:  # the sink's separator is a zero byte: close with an empty member
+        out += _member(b"")
+    return pa.RecordBatch.from_pylist([{"archive": name, "data": bytes(out), "entries": entries}], schema=_FILES)
 
 
-def normalise(spark: SparkSession, path: str, out: str) -> DataFrame:
+def normalise(spark: SparkSession, path: str, out: str, most: int = ARCHIVE_BYTES) -> DataFrame:
     """Rewrite the gzip WARC files in ``path`` as archives with a member for each
     record under ``out``/archives; returns the sidecar index written to
     ``out``/index: (archive, offset, length, record_id, record_type).
 
-    A file without records gives no archive. A gzip member ends with the high
+    A file gives an archive, or several where one reaches ``most`` bytes, and none if it
+    has no records. A gzip member ends with the high
     byte of its size, zero for records under 16 MB; that byte is left to the
     text sink's separator, which makes it write the archive's bytes as they are.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
     kinds = "archive string, data binary, entries array<struct<offset: long, length: long, record_id: string, record_type: string>>"
-    done = materialise(files.mapInArrow(_rewrite, kinds), "warc-members")
+    done = materialise(files.mapInArrow(lambda it: _rewrite(it, most), kinds), "warc-members")
     raw = done.select("archive", F.expr("substring(data, 1, octet_length(data) - 1)").cast("string").alias("value"))
     raw.write.option("lineSep", "\0").partitionBy("archive").text(f"{out}/archives")
     done.select("archive", F.explode("entries").alias("e")).select("archive", "e.*").write.parquet(f"{out}/index")

@@ -1,4 +1,6 @@
+import math
 import random
+import re
 
 import pytest
 
@@ -12,30 +14,68 @@ def sample(documents):
     return queries.language_sample(documents)
 
 
-def brute_phrases(parser, sample, text):
-    """Greedy longest matches found with substring search."""
-    data = "".join(map(chr, parser.symbols([text])[0]))
-    out = []
-    for lang in parser.langs:
-        known = "".join(map(chr, parser.symbols(sample[lang])[0][: langid.SAMPLE_CHARS]))
-        n = 0
-        for at in range(0, len(data), langid.BLOCK):
-            block, i = data[at : at + langid.BLOCK], 0
-            while i < len(block):
+def brute_symbols(text, letters):
+    """Letters lower-cased (\x01 where no sample has it), any other characters as one blank, none at the ends."""
+    marked = "".join((c.lower() if c.lower() in letters else "\x01") if c.isalpha() else " " for c in text)
+    return re.sub(" +", " ", marked).strip(" ")
+
+
+def brute(sample, texts):
+    """(phrases of each language, language, score) of texts: greedy longest matches found with substring search."""
+    letters = {c for own in sample.values() for t in own for c in t.lower() if c.isalpha()}
+    known = {lang: "".join(brute_symbols(t, letters) for t in own)[: langid.SAMPLE_CHARS] for lang, own in sample.items()}
+    known = {lang: k for lang, k in known.items() if re.search("[^ \x01]", k)}
+    bits, out = math.log2(max(map(len, known.values())) + 1), []
+    for text in texts:
+        data, counts = brute_symbols(text, letters), []
+        for own in known.values():
+            n = i = 0
+            while i < len(data):
                 size = 0
-                while i + size < len(block) and block[i : i + size + 1] in known:
+                while i + size < len(data) and data[i + size] != "\x01" and data[i : i + size + 1] in own:
                     size += 1
                 i += max(size, 1)
                 n += 1
-        out.append(n)
+            counts.append(n)
+        low, *rest = sorted(n * bits for n in counts)
+        second = rest[0] if rest else len(data) * bits
+        best = list(known)[counts.index(min(counts))]
+        out.append((counts, best if data else "und", max(0.0, 1 - low / second) if data and second else 0.0))
     return out
 
 
-def test_phrases_equal_brute_force(documents, sample):
-    parser = langid.parser_of(sample)
-    texts = [r.text[:6000] for r in documents.limit(25).collect()] + ["", "Ж日x", "a", ". . b", "aaa" * 900]
+ODD_TEXTS = ["", "Ж日x", "a", ". . b", "aaa" * 900, "İstanbul ǅ x", "...", "\x00"]
+
+
+def check(sample, texts):
+    parser = langid.CrossParser(sample)
+    want = brute(sample, texts)
+    assert parser.phrases(texts)[0].tolist() == [w[0] for w in want]
+    langs, scores = parser.predict(texts)
+    assert langs == [w[1] for w in want] and scores.tolist() == pytest.approx([w[2] for w in want])
+
+
+def test_phrases_language_and_score_equal_brute_force(documents, sample):
+    texts = [r.text[:6000] for r in documents.where("text IS NOT NULL").limit(25).collect()] + ODD_TEXTS
     random.Random(3).shuffle(texts)
-    assert parser.phrases(texts)[0].tolist() == [brute_phrases(parser, sample, t) for t in texts]
+    check(sample, texts)
+
+
+@pytest.mark.parametrize("block", [1, 2, 5, 64])
+def test_blocks_make_no_difference(documents, sample, monkeypatch, block):
+    monkeypatch.setattr(langid, "BLOCK", block)
+    texts = [r.text[:700] for r in documents.where("text IS NOT NULL").limit(12).collect()] + ODD_TEXTS
+    check(sample, texts)
+    # long repeats: a parse and its fresh start stay apart over many blocks
+    check({"a": ["abababababababab" * 9, "cabab"], "b": ["aab" * 30]}, ["ab" * 300 + "c" + "ba" * 100, "aab" * 99, "b" + "ab" * 77])
+
+
+def test_parts_of_a_long_text_count_as_the_whole(sample):
+    """What a text says does not depend on where a block happens to end."""
+    parser = langid.CrossParser(sample)
+    lead = next(iter(sample.values()))[0][:300]
+    counts = [parser.phrases([lead[:k] + lead * 40])[0][0, 0] for k in (0, 1, 2, 3)]
+    assert max(counts) - min(counts) <= 4
 
 
 def test_held_out_accuracy(spark, documents):
@@ -59,6 +99,25 @@ def test_sample_is_bounded(spark, documents):
     assert all(len(t) <= 3 and max(map(len, t)) <= 50 for t in small.values())
 
 
+def test_copies_do_not_fill_the_sample(spark):
+    rows = [(f"copied {i}", "aa") for i in range(3) for _ in range(80)] + [(f"own text {i}", "aa") for i in range(50)] + [(None, "aa"), ("x", None)]
+    found = langid.labelled_sample(spark.createDataFrame(rows, "text string, lang string"))
+    assert len(found["aa"]) == 53 and set(found) == {"aa"}
+
+
+def test_labels_are_bounded(spark):
+    rows = [(f"text {i} {j}", f"l{i:03d}") for i in range(40) for j in range(1 + i % 2)]
+    found = langid.labelled_sample(spark.createDataFrame(rows, "text string, lang string"), most=25)
+    assert list(found) == sorted([f"l{i:03d}" for i in range(1, 40, 2)] + [f"l{i:03d}" for i in range(0, 10, 2)])
+
+
+def test_letterless_texts_differ_from_a_language_called_und(spark, docs_of):
+    rows = langid.predict_language(docs_of([(1, "same words"), (2, "..."), (3, None)]), {"und": ["same words"]}, no_letter=None).collect()
+    assert {r.doc_id: r.lang_pred for r in rows} == {1: "und", 2: None, 3: None}
+    rows = langid.predict_language(docs_of([(1, "same words"), (2, "...")]), {}, no_letter=None).collect()
+    assert {r.doc_id: r.lang_pred for r in rows} == {1: "und", 2: None}
+
+
 def test_odd_rows(spark, docs_of, sample, tiny_batches):
     rows = langid.predict_language(docs_of(ODD), sample)
     got = rows.collect()

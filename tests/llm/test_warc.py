@@ -53,12 +53,26 @@ ROWS = [row(5, LONG), row(2, LONG), row(9, LONG), row(3, "short"), row(4, "short
 
 
 def test_round_trip_of_odd_rows(spark, workdir):
-    raw, out, index = round_trip(spark, workdir, pages_of(spark, ROWS).repartition(3), per_archive=4)
+    raw, out, index = round_trip(spark, workdir, pages_of(spark, ROWS).repartition(3), most=600)
     got = warc.read_archives(spark, out).collect()
     assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=str) == brute(ROWS)
     assert "http://x/%20%20Evil:%201" in {r.url for r in got}
 
 
+def test_files_and_archives_are_closed_by_bytes(spark, workdir):
+    pages = [row(i, chr(97 + i % 26) * (40_000 if i % 9 == 4 else 300)) for i in range(40)]
+    raw, out = f"{workdir}/raw", f"{workdir}/out"
+    warc.write_monolithic(warc.page_records(pages_of(spark, pages).coalesce(1)), raw, most=2_000)
+    sizes = [len(gzip.open(f).read()) for f in files(raw, ".gz")]
+    assert len(sizes) > 5 and max(sizes) < 43_000  # a long page closes the file that it is in
+    warc.normalise(spark, raw, out, most=500)
+    archives = files(f"{out}/archives", ".txt")
+    assert len(archives) > len(sizes) and max(map(os.path.getsize, archives)) < 1_200
+    got = warc.read_archives(spark, out).collect()
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=str) == brute(pages)
+    assert len({r.archive for r in got}) == len(archives)
+
+
 def test_every_record_is_a_member_and_the_index_points_to_it(spark, workdir):
     raw, out, index = round_trip(spark, workdir, pages_of(spark, ROWS).coalesce(1))
     assert all(gzip.open(f).read().startswith(b"WARC/1.1\r\n") for f in files(raw, ".gz"))
