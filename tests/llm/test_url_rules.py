@@ -91,3 +91,44 @@ def test_query(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url").collect()
     want = sorted((str(p.page_id), h, q, str(r), v) for p, (h, q, r, v) in zip(pages, brute([p.url for p in pages]), strict=True))
     assert got(queries.QUERIES["op9_url_rules"](spark, SF)) == want
+
+
+def segments(k, n):
+    return "/".join(f"s{k}x{i}" for i in range(n))
+
+
+def test_deep_urls_and_long_hosts(spark):
+    """A labelled url of 40 segments that a third of the labelled rows share, and a host of 100,000 labels."""
+    deep = f"http://a.net/{segments(0, 40)}"
+    urls = [deep] * 20 + [f"http://w{i}.example.net/en/{segments(0, 5)}" for i in range(20)] + [f"http://q.com/{segments(0, 3)}/x", f"http://q.com/{segments(0, 40)}", "http://" + "b." * 100_000 + "com/z", "http://" + "c." * 100_000 + "net/z"]
+    rows = got(url_rules.judge_urls(frame_of(spark, urls), RULES))
+    by_id = {int(r[0]): r for r in rows}
+    assert len(rows) == len(urls) and by_id[0][3:] == ("net/", "block") and by_id[20][3:] == ("example.net/en/", "allow")
+    assert by_id[len(urls) - 1][3:] == ("net/", "block") and by_id[len(urls) - 2][3] == "None"
+    assert by_id[41][4] == "block"  # the deep url's own segments say so
+
+
+def test_hot_url(spark):
+    urls = spark.range(200_000).selectExpr("id AS page_id", "if(id % 3 = 0, 'http://hot.net/a/b/c', concat('http://h', id % 500, '.org/', if(id % 2 = 0, 'fr', 'en'), '/', id % 11)) AS url")
+    rows = url_rules.judge_urls(urls, RULES).groupBy("verdict", "rule").count().collect()
+    assert sum(r["count"] for r in rows) == 200_000 and {r["rule"] for r in rows} == {"net/", "org/fr/", None}
+
+
+def test_copies_weigh_as_rows(spark, monkeypatch):
+    monkeypatch.setattr(url_rules, "COPIES", 4)
+    urls = URLS + ["http://w1.example.net/de/1"] * 23 + ["http://w2.example.org/fr/2"] * 8
+    want = sorted((str(k), h, p, str(r), v) for k, (h, p, r, v) in enumerate(brute(urls)))
+    assert got(url_rules.judge_urls(frame_of(spark, urls), RULES)) == want
+
+
+def test_tokens_of_the_same_rows_are_one_item(spark):
+    kinds = spark.createDataFrame([(1, ["a", "b", "c"]), (2, ["a", "b"]), (3, ["d", "c"]), (4, ["d"])], "kind long, tokens array<string>")
+    assert {r["token"]: r["item"] for r in url_rules.token_items(kinds).collect()} == {"a": "a", "b": "a", "c": "c", "d": "d"}
+
+
+def test_no_python_worker(spark, monkeypatch):
+    """Every table that the operator writes, and its result, come from native plans."""
+    plans, write = [], url_rules.materialise
+    monkeypatch.setattr(url_rules, "materialise", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, name))
+    plans.append(url_rules.judge_urls(frame_of(spark, URLS), RULES)._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 5 and not any(word in p for p in plans for word in ("Python", "Arrow", "Pandas"))
