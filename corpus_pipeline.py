@@ -9,6 +9,7 @@ the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from privlink.llm import bpe, decontaminate, langid, line_dedup, simhash
 from privlink.llm.common import materialise, prepare
@@ -22,13 +23,15 @@ def _shielded(docs: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that have a language: those judged ``und`` (null text, no letter) go.
+    """Documents that have a language: those without one (null text, no letter) go.
 
     Learns from the labelled documents of its own input, the held-out third left out.
+    A label that is itself ``und`` is a language like others, and without any
+    label all texts with a letter stay.
     """
     own = _shielded(docs)
-    known = langid.predict_language(own, language_sample(docs))
-    return known.where("lang_pred <> 'und'").select(*own.columns).toDF(*docs.columns)
+    known = langid.predict_language(own, language_sample(docs), no_letter=None)
+    return known.where("lang_pred IS NOT NULL").select(*own.columns).toDF(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +58,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     own = own.withColumn("key", F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("digest"))))
     groups = simhash.simhash_groups(own, id_col="key", shingle=4, max_bits=4)
     heads = materialise(groups.where("key = component").select("key").distinct(), "simhash-heads")
-    order = Window.partitionBy("key").orderBy(*(c for c in own.columns if c not in ("key", "doc_id")))
+    # some values have no order of their own: their text has
+    plain = {f.name for f in own.schema if not isinstance(f.dataType, (MapType, ArrayType, StructType))}
+    order = Window.partitionBy("key").orderBy(*(c if c in plain else F.col(c).cast("string") for c in own.columns if c not in ("key", "doc_id")))
     first = own.join(heads.hint("merge"), "key", "left_semi").withColumn("place", F.row_number().over(order)).where("place = 1")
     return first.select(own.columns[:-1]).union(own.where("doc_id IS NULL").select(own.columns[:-1])).toDF(*docs.columns)
 
