@@ -213,7 +213,8 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     null. Repeated rows and rows of equal text count as documents of their own.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    drops = frequent_lines(docs, min_docs, min_chars, text_col, keys_per_shard)
+    # a written table: both sides of the join come through an exchange then, and AQE can split a text with many copies
+    drops = materialise(frequent_lines(docs, min_docs, min_chars, text_col, keys_per_shard), "line-drops")
     left = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)), *text_bits(text_col))
     at = kept.index(text_col)
     # a merge join at every size: which side is small is no property of the corpus
