@@ -114,7 +114,35 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@register("op5_sharding")
+def _sharding_sql(shards: int = 16) -> str:
+    """The smallest capacity by a table over (shards so far, groups so far), then greedy cuts;
+    CRC-32 bit by bit, as a fold over each byte and seven zeros."""
+    steps = [f"c1 AS (SELECT i, total AS most FROM g)"] + [
+        f"c{k} AS (SELECT g.i, min(greatest(p.most, g.total - b.total)) AS most FROM g JOIN c{k - 1} p ON p.i <= g.i JOIN b ON b.i = p.i GROUP BY g.i)" for k in range(2, shards + 1)
+    ]
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, substr(sha256(coalesce(text, '')), 1, 32) AS grp,
+         regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS bytes FROM documents),
+h AS (SELECT doc_id, size, grp, xor(4294967295, list_reduce(
+         list_prepend(4294967295::BIGINT, flatten(list_transform(bytes, lambda x: [CAST('0x' || x AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+         lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1)))) AS text_crc32 FROM d),
+s AS (SELECT grp, sum(size) AS bytes FROM h GROUP BY grp),
+g AS (SELECT row_number() OVER (ORDER BY grp) AS i, grp, CAST(sum(bytes) OVER (ORDER BY grp) AS BIGINT) AS total FROM s),
+b AS (SELECT i, total FROM g),
+{", ".join(steps)},
+cap AS (SELECT most FROM c{shards} ORDER BY i DESC LIMIT 1),
+cuts(shard, start, stop) AS (
+  SELECT 0, CAST(0 AS BIGINT), (SELECT max(total) FROM g, cap WHERE total <= most)
+  UNION ALL
+  SELECT shard + 1, stop, (SELECT max(total) FROM g, cap WHERE total <= stop + most) FROM cuts WHERE stop < (SELECT max(total) FROM g))
+SELECT doc_id, size, text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY h.grp, doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM h JOIN g ON h.grp = g.grp JOIN cuts ON g.total > cuts.start AND g.total <= cuts.stop
+"""
+
+
+@register("op5_sharding", _sharding_sql())
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of nearly equal bytes."""
     done = sharding.shard_by_bytes(_read(spark, sf_dir, "documents"), 16)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import materialise
 
-BUCKETS, SALTS, FAN = 1024, 64, 24
+BUCKETS, FAN = 1024, 24
 
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -98,7 +98,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     """(id, size, text_crc32, shard, slot): all documents in shards of nearly equal bytes.
 
     Equal texts share a shard. ``slot`` numbers a shard's documents from 0
-    without gaps, in order of text hash and id. Null text is empty; repeated
+    without gaps, in order of text hash and id (null first). Null text is empty; repeated
     rows take slots of their own; an empty table gives no rows.
     """
     rows = materialise(sized(docs, id_col, text_col), "shard-rows")
@@ -110,10 +110,11 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     shard: Column = F.lit(0)
     for grp in last:
         shard = shard + (F.col("grp") > grp).cast("int")
-    # slots: documents of a (shard, bucket, salt) cell are numbered there, cells by their counts
-    placed = rows.withColumn("shard", shard).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-    cell = ["shard", "bucket", "salt"]
-    counts = placed.groupBy(*cell).agg(F.count("*").alias("n"))  # at most BUCKETS * SALTS + shards rows
-    ahead = counts.select(*cell, (F.sum("n").over(Window.partitionBy("shard").orderBy("bucket", "salt")) - F.col("n")).alias("ahead"))
-    number = F.row_number().over(Window.partitionBy(*cell).orderBy("grp", "id"))
-    return placed.join(ahead, cell).select(F.col("id").alias(id_col), "size", "text_crc32", "shard", (F.col("ahead") + number - 1).alias("slot"))
+    # slots: the rows are dealt in order, by ranges that cut a text with many documents too, and numbered
+    # by their place in their range
+    order = ["shard", "grp", "id", "row"]
+    placed = rows.withColumn("shard", shard).withColumn("row", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = materialise(placed.drop("row").withColumn("at", F.monotonically_increasing_id()), "shard-order").withColumn("range", F.shiftright("at", 33))
+    counts = placed.groupBy("range", "shard").agg(F.min("at").alias("first"), F.count("*").alias("n"))  # at most ranges + shards rows
+    ahead = counts.select("range", "shard", "first", (F.sum("n").over(Window.partitionBy("shard").orderBy("range")) - F.col("n")).alias("ahead"))
+    return placed.join(ahead, ["range", "shard"]).select(F.col("id").alias(id_col), "size", "text_crc32", "shard", (F.col("at") - F.col("first") + F.col("ahead")).alias("slot"))

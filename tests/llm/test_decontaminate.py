@@ -82,3 +82,31 @@ def test_query_finds_exact_passages(spark, documents):
     rows = queries.QUERIES["op8_decontaminate"](spark, SF).collect()
     assert want and want <= {(r.doc_id, r.item_id) for r in rows}
     assert {(r.doc_id, r.item_id) for r in rows if r.distance == 0} == want
+
+
+def levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_spans_and_occurrences(spark, docs_of):
+    """The span is the closest passage, the first of equally close ones; every place with the item counts."""
+    rng = random.Random(11)
+    item = " ".join("".join(rng.choices("etaoinshr", k=rng.randint(3, 8))) for _ in range(12))
+    fill = lambda n: " ".join("".join(rng.choices("xyzw", k=5)) for _ in range(n))
+    near, docs, want = edited(rng, item, 3), [], {}
+    for d, bodies in enumerate([[item], [near], [near, item], [item, near, item], [near, near]]):
+        docs.append((d, " ".join([fill(4), *(x for b in bodies for x in (b, fill(6)))])))
+        want[d] = (0 if item in bodies else None, len(bodies))
+    rows = {r.doc_id: r for r in decontaminate.benchmark_matches(docs_of(docs), docs_of([(1, item)]).selectExpr("doc_id AS item_id", "text")).collect()}
+    text = dict(docs)
+    for d, (distance, places) in want.items():
+        r = rows[d]
+        assert r.occurrences == places and r.distance == min(brute_distance(item, text[d]), len(item))
+        assert levenshtein(item, text[d][r.start : r.end]) == r.distance
+        if distance == 0:
+            assert r.start == text[d].index(item) and r.end == r.start + len(item)

@@ -74,3 +74,25 @@ def test_query(spark, documents):
 def test_main_path_is_native(spark, documents):
     plan = sharding.shard_by_bytes(documents, 4)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_hot_text_without_ids(spark, docs_of):
+    """Copies of one text without an id: slots without gaps, dealt over ranges."""
+    rows = [(None, "hot")] * 400 + [(i, f"text {i % 90}") for i in range(200)]
+    got = sharding.shard_by_bytes(docs_of(rows).repartition(5), 4).collect()
+    check(rows, got, 4)
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append((r.slot, r.text_crc32, r.doc_id))
+    # equal texts are neighbours, in order of id
+    for x in slots.values():
+        texts = [t for _, t, _ in sorted(x)]
+        assert sum(a != b for a, b in zip(texts, texts[1:])) == len(set(texts)) - 1
+
+
+def test_query_equals_sql(spark, documents):
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    assert sorted(map(tuple, queries.QUERIES["op5_sharding"](spark, SF).collect())) == sorted(con.sql(queries.ORACLE["op5_sharding"]).fetchall())
