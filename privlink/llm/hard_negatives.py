@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import materialise
-from .vectors import kept_vectors, matrix, width_of
+from .vectors import kept_vectors, matrix
 
 SCALE, LIMIT = 256, 1 << 24
 #: Anchors of a block, rows of a cell, rows of a list, rows that members take from the list at a time.
@@ -117,22 +117,32 @@ class Best:
 
     def __init__(self, slots: int, k: int):
         self.k = k
-        self.slot, self.score, self.id = (np.zeros(0, np.int64) for _ in range(3))
+        self.scores, self.ids, self.held = np.zeros((slots, k), np.int64), np.zeros((slots, k), np.int64), np.zeros(slots, np.int64)
         self.worst = np.full(slots, np.iinfo(np.int64).min)  # of a full slot
 
     def add(self, slot: np.ndarray, score: np.ndarray, id_: np.ndarray) -> None:
         near = score >= self.worst[slot]
         if not near.any():
             return
-        slot, score, id_ = (np.concatenate([old, new[near]]) for old, new in ((self.slot, slot), (self.score, score), (self.id, id_)))
+        slot, score, id_ = slot[near], score[near], id_[near]
+        old, place = np.nonzero(np.arange(self.k) < self.held[(touched := np.unique(slot))][:, None])
+        old = touched[old]
+        slot, score, id_ = np.concatenate([old, slot]), np.concatenate([self.scores[old, place], score]), np.concatenate([self.ids[old, place], id_])
         order = np.lexsort((id_, -score, slot))
         slot, score, id_ = slot[order], score[order], id_[order]
         first = np.flatnonzero(np.diff(slot, prepend=-1))
         place = np.arange(len(slot)) - np.repeat(first, np.diff(np.append(first, len(slot))))
         keep = place < self.k
+        slot, place, score = slot[keep], place[keep], score[keep]
+        self.scores[slot, place], self.ids[slot, place] = score, id_[keep]
+        np.maximum.at(self.held, slot, place + 1)
         last = place == self.k - 1
         self.worst[slot[last]] = score[last]
-        self.slot, self.score, self.id = slot[keep], score[keep], id_[keep]
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(slot, score, id) of all that is held."""
+        slot, place = np.nonzero(np.arange(self.k) < self.held[:, None])
+        return slot, self.scores[slot, place], self.ids[slot, place]
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -159,8 +169,8 @@ class _Positives:
         self.best.add(members[m], scores[m, r], ids[r])
 
     def rows(self, block: int) -> pa.RecordBatch:
-        n = len(self.best.slot)
-        return _result(block, self.best.slot, np.zeros(n, np.int64), self.best)
+        slot, score, id_ = self.best.rows()
+        return _result(block, slot, np.zeros(len(slot), np.int64), score, id_)
 
 
 class _Negatives:
@@ -197,11 +207,12 @@ class _Negatives:
             self.best.add(ranges[m], own[m, r], ids[r])
 
     def rows(self, block: int) -> pa.RecordBatch:
-        return _result(block, self.slot[self.best.slot], self.place[self.best.slot], self.best)
+        of, score, id_ = self.best.rows()
+        return _result(block, self.slot[of], self.place[of], score, id_)
 
 
-def _result(block: int, slot: np.ndarray, place: np.ndarray, best: Best) -> pa.RecordBatch:
-    columns = [np.full(len(slot), block, np.int32), slot.astype(np.int32), place.astype(np.int32), best.score, best.id]
+def _result(block: int, slot: np.ndarray, place: np.ndarray, score: np.ndarray, id_: np.ndarray) -> pa.RecordBatch:
+    columns = [np.full(len(slot), block, np.int32), slot.astype(np.int32), place.astype(np.int32), score, id_]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["block", "slot", "place", "score", "id"])
 
 

@@ -101,7 +101,19 @@ def test_bounds_hold_and_lists_end_early():
     scored = lists.walk(rows, lambda m: best.worst[m].astype(float), take)
     assert scored < 0.5 * scores.size  # certified, not exhausted
     want = np.sort(scores, axis=1)[:, ::-1][:, :3]
-    assert (best.score.reshape(128, 3) == want).all()
+    assert (best.rows()[1].reshape(128, 3) == want).all()
+
+
+def test_best_of_slots_against_sorting():
+    random = np.random.default_rng(7)
+    best, seen = hn.Best(20, 3), []
+    for _ in range(40):
+        n = int(random.integers(0, 30))
+        new = random.integers(0, 20, n), random.integers(-9, 9, n), random.integers(0, 50, n)
+        seen += zip(*(x.tolist() for x in new))
+        best.add(*new)
+    want = [(s, v, i) for s in range(20) for v, i in sorted(((v, i) for q, v, i in seen if q == s), key=lambda t: (-t[0], t[1]))[:3]]
+    assert list(zip(*(x.tolist() for x in best.rows()))) == want
 
 
 def test_zero_vectors_and_opposite_members():
