@@ -218,5 +218,6 @@ def compress_vectors(
 def with_label_error(codes: DataFrame) -> DataFrame:
     """``codes`` and ``label_error``: the error summed over the rows of equal label, nulls together."""
     codes = materialise(codes, "vector-codes")
-    sums = codes.groupBy("label").agg(F.sum("error").alias("label_error")).withColumnRenamed("label", "of")
+    # a written table: if the join is no broadcast, both sides come through an exchange and AQE can split a hot label
+    sums = materialise(codes.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error")), "label-errors")
     return codes.join(sums, codes["label"].eqNullSafe(F.col("of"))).drop("of")
