@@ -52,6 +52,11 @@ def conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _owned(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Orders with their customer, joined before the line items, which are then moved once."""
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+
+
 def message_file_name(name, segment, custkey):
     return F.concat(name, F.lit("_"), segment, F.lit("_"), custkey.cast("string"), F.lit(MESSAGE_FILE_SUFFIX))
 
@@ -60,7 +65,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+    j = li.join(_owned(o, c), li.l_orderkey == F.col("o_orderkey"))
     return j.select(
         F.col("o_custkey").cast("string").alias("SynSocial_UID"),
         F.col("c_name").alias("name"),
@@ -271,7 +276,7 @@ def message_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+    j = li.join(_owned(o, c), li.l_orderkey == F.col("o_orderkey"))
     name = message_file_name(F.col("c_name"), F.col("c_mktsegment"), F.col("c_custkey"))
     # one folder per order; the path's last segment (the person's file name) links it
     path = F.concat(F.lit(MESSAGE_FOLDER), F.col("o_orderkey").cast("string"), F.lit("/"), encode_file_name(name))
@@ -325,7 +330,7 @@ def person_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+    j = li.join(_owned(o, c), li.l_orderkey == F.col("o_orderkey"))
     block = F.floor(F.col("o_orderkey") / PERSON_ORDERS)
     person = person_folder(F.col("c_name"), F.col("c_mktsegment"), F.col("c_custkey"))
     docs = j.groupBy(person.alias("person"), "c_custkey", block.alias("b")).agg(F.collect_list(_message()).alias("messages"))

@@ -13,10 +13,12 @@ A plain equi-join on the person key would compare every day of a
 person with every condition of that person inside one task, which breaks
 down when one person holds a large share of the rows. The join key of the pairs is
 therefore ``(person, level, day bucket)`` over a few fixed bucket widths
-(levels). A spell belongs to the narrowest level at least as wide as itself,
-where it touches at most two buckets, so it is copied at most twice; only
-spells wider than the widest level are copied into each of its buckets they
-touch (a century each). A pair is looked up once per level, in its one bucket
+(levels). A text key goes through the pairs as 64 bits: they are looked up once
+per level, and the keys of persons with equal bits are compared in the join with
+the messages, as every hit has its condition's own key. A spell belongs to the narrowest level at least as wide as itself,
+where it touches at most two buckets, so it is copied at most twice, as no spell
+is wider than the widest level (with ``level_days`` of one's own, such a spell is
+copied into each bucket it touches). A pair is looked up once per level, in its one bucket
 there, so each matching pair of day and spell is produced exactly once. An
 analysis of matched rows turns the last join into an inner one.
 
@@ -33,14 +35,16 @@ skewed message partition (the left side of the outer join) at run time.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.dates import as_day, clinical_day, message_day
 from ..functions.keys import person_file_key
 
-#: Bucket widths in days: a month, three years, a century.
-LEVEL_DAYS = (30, 1_095, 36_525)
+#: Bucket widths in days: a month, three years, and all days that a date holds.
+LEVEL_DAYS = (30, 1_095, 4_000_000)
 
 _K, _L, _B = "__pl_key", "__pl_level", "__pl_bucket"
+_BITS = "__pl_person"
 _HIT_K, _HIT_AT = "__pl_hit_key", "__pl_hit_day"
 
 
@@ -114,15 +118,23 @@ def link_by_interval(
 
     found = F.col(_K).isNotNull() & F.col(at).isNotNull()
     lookups = F.inline(F.array(*[F.struct(F.lit(i).alias(_L), _bucket(F.col(at), w).alias(_B)) for i, w in enumerate(levels)]))
-    hit = on(F.col(f"m.{_L}") == F.col(f"c.{_L}"), F.col(f"m.{_B}") == F.col(f"c.{_B}"))
     if messages.isStreaming:
+        hit = on(F.col(f"m.{_L}") == F.col(f"c.{_L}"), F.col(f"m.{_B}") == F.col(f"c.{_B}"))
         return _link_stream(messages, m, c, m.filter(found).select("*", lookups), hit, on, at, levels, conditions.columns)
-    days = m.filter(found).select(_K, at).distinct().select("*", lookups)
-    spells = days.alias("m").join(c.alias("c"), hit, "inner").select(
-        F.col(f"m.{_K}").alias(_HIT_K), F.col(f"m.{at}").alias(_HIT_AT), *[F.col(f"c.{x}") for x in conditions.columns]
+    text = isinstance(m.schema[_K].dataType, StringType) and m.schema[_K].dataType == c.schema[_K].dataType
+    bits = F.xxhash64(_K) if text else F.col(_K)
+    days = m.filter(found).select(bits.alias(_BITS), at).distinct().select("*", lookups)
+    # persons with equal bits share their days, so each spell meets a day once whoever's it is
+    inside = (F.col(f"c.{start}") <= F.col(f"m.{at}")) & (F.col(f"m.{at}") <= F.col(f"c.{end}"))
+    hit = (F.col(f"m.{_BITS}") == F.col(f"c.{_BITS}")) & (F.col(f"m.{_L}") == F.col(f"c.{_L}")) & (F.col(f"m.{_B}") == F.col(f"c.{_B}")) & inside
+    spells = days.alias("m").join(c.withColumn(_BITS, bits).alias("c"), hit, "inner").select(
+        F.col(f"c.{_BITS}"), F.col(f"c.{_K}").alias(_HIT_K), F.col(f"m.{at}").alias(_HIT_AT), *[F.col(f"c.{x}") for x in conditions.columns]
     )
-    same_day = (F.col(f"m.{_K}") == F.col(f"h.{_HIT_K}")) & (F.col(f"m.{at}") == F.col(f"h.{_HIT_AT}"))
-    return m.alias("m").join(spells.alias("h"), same_day, "left").select(
+    # the bits come first: file names begin alike, so sorting by them alone compares whole texts
+    same_day = (F.col(f"m.{message_key}") == F.col(f"h.{_HIT_K}")) & (F.col(f"m.{at}") == F.col(f"h.{_HIT_AT}"))
+    if text:
+        same_day = (F.xxhash64(f"m.{message_key}") == F.col(f"h.{_BITS}")) & same_day
+    return m.drop(_K).alias("m").join(spells.alias("h"), same_day, "left").select(
         *[F.col(f"m.{x}") for x in messages.columns], *[F.col(f"h.{x}") for x in conditions.columns]
     )
 
