@@ -105,10 +105,16 @@ def distinct_bitmaps(df: DataFrame, columns: tuple[str, ...] | list[str], by: tu
     32-bit column has 131,072 buckets at most, however many rows there are. Bitmaps of
     parts of a table (``by``: days, batches) merge to those of the whole, without the rows
     (``merge_bitmaps``). NULLs and texts that are no whole number have no bit.
+
+    Single numbers are moved, never bitmaps, which are mostly zeros where a part has
+    few numbers of a bucket. A bucket's parts lie next to each other, in order, so that
+    merging them neither moves nor sorts the bitmaps.
     """
     numbers = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).try_cast("bigint").alias("number")) for c in columns])
-    bits = df.select(*by, F.inline(numbers)).where(F.col("number").isNotNull())
-    return bits.groupBy(*by, "column", F.bitmap_bucket_number("number").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bitmap"))
+    bits = df.select(*by, F.inline(numbers)).where(F.col("number").isNotNull()).distinct()
+    bits = bits.withColumn("bucket", F.bitmap_bucket_number("number")).repartition("column", "bucket")
+    bitmaps = bits.groupBy("column", "bucket", *by).agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bitmap"))
+    return bitmaps.select(*by, "column", "bucket", "bitmap")
 
 
 def merge_bitmaps(bitmaps: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
