@@ -154,9 +154,16 @@ def row_iv(salt: bytes | Column, column_name: str, row_id: Column, value: Column
     return F.substring(F.unhex(F.sha2(material, 256)), 1, 16)
 
 
+def _swapped(text: Column, pairs) -> Column:
+    """Texts replaced by others; a search each, where ``translate`` looks up every character."""
+    for old, new in pairs:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
 def base64url(b: Column) -> Column:
     """Padded urlsafe base64 without the line breaks Spark's base64 may add."""
-    return F.translate(F.base64(b), "+/\r\n", "-_")
+    return _swapped(F.base64(b), (("\r\n", ""), ("+", "-"), ("/", "_")))
 
 
 def fernet_body(value: Column, key: FernetKey, iv: Column, at: int) -> Column:
@@ -177,7 +184,7 @@ def fernet_encrypt(value: Column, key: str | bytes | FernetKey, iv: Column, at:
 
 def fernet_raw(token: Column) -> Column:
     """The bytes of a token; NULL if it is absent or no base64url."""
-    return F.try_to_binary(F.translate(token, "-_", "+/"), F.lit("base64"))
+    return F.try_to_binary(_swapped(token, (("-", "+"), ("_", "/"))), F.lit("base64"))
 
 
 def fernet_raw_ok(raw: Column, key: FernetKey, ttl: int | None = None, now: int | None = None) -> Column:
