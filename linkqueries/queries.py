@@ -28,7 +28,7 @@ from privlink.operators.privacy import decrypt_columns, encrypt_columns, hash_co
 from privlink.plans.jobs import run_jobs_on
 from privlink.schemas import PERSONAL_COLUMNS, REPORT, STATS
 from privlink.session import scratch_path
-from privlink.sources.files import read_bundles, read_csv, read_lineage_docs, read_message_docs, read_message_lines, read_resources, write_csv, write_docs, write_parquet
+from privlink.sources.files import read_bundles, read_csv, read_lineage_docs, read_message_docs, read_message_lines, read_resources, write_csv, write_docs, write_json, write_parquet
 from privlink.streaming.incremental import link_stream
 
 from . import testdata as td
@@ -231,7 +231,7 @@ def _stats_bitmaps(spark, sf_dir):
 def linked_rows(spark, sf_dir) -> DataFrame:
     """The linked table in even partitions, as the link job writes it: every test
     table is a single row group, hence one scan task, and encryption costs far more than the shuffle."""
-    return spread(linked(spark, sf_dir))
+    return spread(linked(spark, sf_dir), joined=True)
 
 
 def encrypted(spark, sf_dir, key: str | None = None) -> DataFrame:
@@ -430,14 +430,14 @@ register("link_from_nested", NESTED_LINKED_SQL)(nested_linked)
 @register("json_roundtrip_messages", f"SELECT * EXCLUDE (filename) FROM ({FLAT_MESSAGES_SQL})")
 def _json_messages(spark, sf_dir):
     path = scratch_path(spark, "json-messages")
-    td.message_docs(spark, sf_dir).select(F.inline("messages")).write.json(path)
+    write_json(td.message_docs(spark, sf_dir).select(F.inline("messages")), path)
     return flatten_messages(read_message_lines(spark, path)).drop("filename")
 
 
 @register("json_roundtrip_resources", PATIENT_CONDITIONS_SQL)
 def _json_resources(spark, sf_dir):
     path = scratch_path(spark, "json-resources")
-    resources_of(td.bundles(spark, sf_dir), kinds=("Condition", "Patient", "Observation")).write.json(path)
+    write_json(resources_of(td.bundles(spark, sf_dir), kinds=("Condition", "Patient", "Observation")), path)
     r = read_resources(spark, path)
     return patient_conditions(conditions_from_resources(r, with_id=True), patients_from_resources(r))
 

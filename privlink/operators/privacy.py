@@ -60,15 +60,19 @@ _ROW, _BODY = "__pl_row", "__pl_body_{}"
 _KEY, _RAW, _OK, _TEXT = "__pl_key", "__pl_raw", "__pl_ok", "__pl_text"
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, joined: bool = False) -> DataFrame:
     """``df`` dealt evenly over tasks, for what costs far more than a shuffle.
 
     AQE sizes the partitions from what is really there: it splits large ones
     and merges small ones. Encryption and keyed hashes are such work (about 20
     microseconds a value); a table that is read from many row groups needs no dealing.
     A row is no longer known by its place then, so give ``row_id_cols``.
+
+    ``joined`` says that the rows come straight from a shuffled join, as linked rows do.
+    That shuffle has dealt them by a hash of person and day, and AQE sizes and splits its
+    partitions alike; moving every wide row once more would only cost the disk.
     """
-    return df.hint("rebalance")
+    return df if joined else df.hint("rebalance")
 
 
 def _row_id(df: DataFrame, row_id_cols):

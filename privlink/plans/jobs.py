@@ -188,7 +188,7 @@ def job_link(hop: Hop, strict_dates: bool = False) -> dict:
     """2: messages + conditions -> linked table."""
     linked = link_by_interval(hop.read(SOCIAL, MESSAGES), hop.read(PATIENTS, CONDITIONS), strict_dates=strict_dates)
     # even files, so that the privacy step, which costs most, has even tasks
-    return {"joined": hop.write(spread(linked), JOINED)}
+    return {"joined": hop.write(spread(linked, joined=True), JOINED)}
 
 
 def job_privacy(

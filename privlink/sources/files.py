@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import BUNDLE, LINEAGE_DOC, MESSAGE, MESSAGE_DOC, RESOURCE
+from ..session import shuffles_released
 
 # The two dialects of the hand-off CSV. "safe" keeps every text: NULL has a
 # mark of its own, and line ends within a text are escaped before writing, so
@@ -33,6 +34,13 @@ _ESCAPES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
 #: row groups, so small ones give its CPU-heavy projections enough tasks.
 ROW_GROUP_BYTES = 8 << 20
 
+#: Codec of the parquet hand-offs: tokens are base64 of random bytes, of which
+#: snappy saves nothing and zstd the quarter that base64 adds.
+PARQUET_CODEC = "zstd"
+
+#: Codec of the text hand-offs, which repeat names and dates in every row.
+TEXT_CODEC = "gzip"
+
 _CORRUPT = "_corrupt_record"
 
 
@@ -108,7 +116,8 @@ def write_docs(df: DataFrame, path: str, folder: str | None = None) -> None:
     the document readers take; with ``folder``, under a partition folder named
     by that column."""
     w = df.select("document", *([folder] if folder else [])).write.mode("overwrite").option("maxRecordsPerFile", 1)
-    (w.partitionBy(folder) if folder else w).text(path)
+    with shuffles_released(df.sparkSession):
+        (w.partitionBy(folder) if folder else w).text(path)
 
 
 def _replaced(c: Column, pairs) -> Column:
@@ -130,11 +139,22 @@ def read_csv(spark: SparkSession, path: str, schema, dialect: str = "safe") -> D
 def write_csv(df: DataFrame, path: str, single_file: bool = False, dialect: str = "safe") -> None:
     """Overwrite ``path`` with a header CSV. ``single_file`` is for small
     results (a per-code report, a one-row table): their rows are computed in
-    parallel and only the finished ones go to the one writer."""
+    parallel and only the finished ones go to the one writer. Large tables in the
+    safe dialect are packed, a file per task; the next job has a task for each."""
     out = _on_texts(df, _ESCAPES) if dialect == "safe" else df
-    (out.repartition(1) if single_file else out).write.mode("overwrite").options(**DIALECTS[dialect]).csv(path)
+    w = (out.repartition(1) if single_file else out).write.mode("overwrite").options(**DIALECTS[dialect])
+    with shuffles_released(df.sparkSession):
+        (w if single_file or dialect != "safe" else w.option("compression", TEXT_CODEC)).csv(path)
+
+
+def write_json(df: DataFrame, path: str) -> None:
+    """Rows as packed JSON lines, which the line readers take."""
+    with shuffles_released(df.sparkSession):
+        df.write.option("compression", TEXT_CODEC).json(path)
 
 
 def write_parquet(df: DataFrame, path: str, single_file: bool = False) -> None:
     out = df.repartition(1) if single_file else df
-    out.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    w = out.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES).option("compression", PARQUET_CODEC)
+    with shuffles_released(df.sparkSession):
+        w.parquet(path)
