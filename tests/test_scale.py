@@ -1,0 +1,125 @@
+"""What moves and stays on disk: narrow lookups, single moves, packed hand-offs, released shuffles."""
+
+import base64
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from linkqueries import testdata as td
+from privlink.functions.crypto import base64url, fernet_raw
+from privlink.operators.analysis import distinct_bitmaps, merge_bitmaps
+from privlink.operators.link import link_by_interval, spell_buckets
+from privlink.operators.privacy import spread
+from privlink.sources.files import read_csv, write_csv, write_json, write_parquet
+
+CONF = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+
+
+@pytest.fixture
+def unbroadcast(spark):
+    old = {k: spark.conf.get(k, None) for k in CONF}
+    for k, v in CONF.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _plan(df):
+    return [x.strip(" :+-") for x in df._jdf.queryExecution().executedPlan().toString().splitlines()]
+
+
+def _people(spark):
+    n = 40
+    m = spark.createDataFrame([(f"m{i}", f"p{i % 7}", f"2020-01-{1 + i % 28:02d}") for i in range(n)] + [("x", None, "2020-01-01"), ("y", "p1", None)], "mid string, filename string, d string")
+    c = spark.createDataFrame([(i, f"p{i % 5}", f"2020-01-{1 + i:02d}", ("2020-01-20", "2050-01-01", "9999-12-31")[i % 3]) for i in range(15)], "cid int, k string, s string, e string")
+    return m.withColumn("created_at", F.to_date("d")).drop("d"), c.withColumn("assertedDate", F.to_date("s")).withColumn("abatementDate", F.to_date("e")).drop("s", "e")
+
+
+def test_lookups_carry_no_text(unbroadcast):
+    m, c = _people(unbroadcast)
+    out = link_by_interval(m, c, condition_key=F.col("k"))
+    lookups = [x for x in _plan(out) if x.startswith("Exchange hashpartitioning") and "__pl_level" in x]
+    assert lookups and all("__pl_person" in x and "__pl_key" not in x for x in lookups)
+    ms, cs = m.collect(), c.collect()
+    exp = []
+    for a in ms:
+        hits = [b["cid"] for b in cs if a["filename"] == b["k"] and a["created_at"] and b["assertedDate"] <= a["created_at"] <= b["abatementDate"]]
+        exp += [(a["mid"], h) for h in hits or [-1]]
+    assert sorted((r["mid"], -1 if r["cid"] is None else r["cid"]) for r in out.collect()) == sorted(exp)
+
+
+def test_keys_of_other_types_still_compare(spark):
+    m = spark.sql("SELECT 1L AS filename, DATE'2020-01-02' AS created_at UNION ALL SELECT 2L, DATE'2020-01-02'")
+    c = spark.sql("SELECT 1 AS k, DATE'2020-01-01' AS assertedDate, DATE'2020-01-03' AS abatementDate")
+    assert sorted((r["filename"], r["k"]) for r in link_by_interval(m, c, condition_key=F.col("k")).fillna(-1).collect()) == [(1, 1), (2, -1)]
+
+
+def test_a_spell_of_any_length_is_copied_twice_at_most(spark):
+    spells = spark.sql("SELECT * FROM VALUES (DATE'1900-01-01', DATE'9999-12-31'), (DATE'1960-01-01', DATE'2080-01-01'), (DATE'0001-01-01', DATE'9999-12-31') AS t(s, e)")
+    assert max(r[0] for r in spells.select(F.size(spell_buckets(F.col("s"), F.col("e")))).collect()) <= 2
+
+
+def _shuffles_of(df):
+    """Exchanges of the plan by the columns they deal by, those under them included."""
+    return [x for x in _plan(df) if x.startswith("Exchange ")]
+
+
+def test_line_items_are_moved_once_before_the_link(unbroadcast):
+    for frame in (td.messages, td.message_docs, td.person_documents):
+        df = frame(unbroadcast, "/root/testdata/sf0.001")
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        joins = [x for x in text.splitlines() if "Join Inner" in x]
+        assert "l_orderkey" in joins[0] and "c_custkey" in joins[1]
+
+
+def test_linked_rows_are_not_dealt_again(unbroadcast):
+    from linkqueries.queries import linked_rows
+
+    df = linked_rows(unbroadcast, "/root/testdata/sf0.001")
+    assert "REBALANCE" not in "".join(_plan(df))
+    assert "REBALANCE" in "".join(_plan(spread(unbroadcast.range(9))))
+
+
+def test_base64url_without_a_lookup_per_character(spark):
+    blobs = [bytes(range(i, 256)) + b"\xfb\xff\xfe" * i for i in range(200)] + [b"", b"\xff"]
+    df = spark.createDataFrame([(bytearray(b),) for b in blobs], "b binary").select("b", base64url(F.col("b")).alias("t"))
+    df = df.select("b", "t", fernet_raw(F.col("t")).alias("back"))
+    assert all(r["t"] == base64.urlsafe_b64encode(bytes(r["b"])).decode() and r["back"] == r["b"] for r in df.collect())
+    assert "translate(" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_large_text_hand_offs_are_packed(spark, workdir):
+    df = spark.range(5000).select(F.concat(F.lit("Customer#"), F.col("id").cast("string"), F.lit("\n\\,\"")).alias("name"), "id")
+    write_csv(df, f"{workdir}/c")
+    assert glob.glob(f"{workdir}/c/part-*.csv.gz") and not glob.glob(f"{workdir}/c/part-*.csv")
+    assert sorted(read_csv(spark, f"{workdir}/c", df.schema).collect()) == sorted(df.collect())
+    write_json(df, f"{workdir}/j")
+    assert glob.glob(f"{workdir}/j/part-*.json.gz")
+    write_parquet(df, f"{workdir}/p")
+    assert glob.glob(f"{workdir}/p/part-*.zstd.parquet") and spark.read.parquet(f"{workdir}/p").count() == 5000
+
+
+def _shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {os.path.join(d, f) for top in dirs for d, _, names in os.walk(str(top)) for f in names if f.startswith("shuffle_")}
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, workdir):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = _shuffle_files(spark), spark.conf.get(name)
+    df = spark.range(1000).groupBy(F.col("id") % 7).count()
+    write_parquet(df, f"{workdir}/t")
+    assert not _shuffle_files(spark) - before[0] and spark.conf.get(name) == before[1]
+    assert df.count() == 7 and spark.read.parquet(f"{workdir}/t").count() == 7
+
+
+def test_bitmaps_are_neither_moved_nor_sorted(spark):
+    df = spark.range(3000).select((F.col("id") * 7919 % 100_000).cast("string").alias("u"), (F.col("id") % 5).alias("month"))
+    out = merge_bitmaps(distinct_bitmaps(df, ("u",), by=("month",)))
+    plan = _plan(out)
+    first = next(i for i, x in enumerate(plan) if "bitmap_construct_agg" in x)
+    assert not [x for x in plan[:first] if x.startswith(("Exchange", "Sort "))], plan[:first]
+    assert sum(r[0] for r in out.select(F.bitmap_count("bitmap")).collect()) == 3000
