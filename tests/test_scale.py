@@ -123,3 +123,25 @@ def test_bitmaps_are_neither_moved_nor_sorted(spark):
     first = next(i for i, x in enumerate(plan) if "bitmap_construct_agg" in x)
     assert not [x for x in plan[:first] if x.startswith(("Exchange", "Sort "))], plan[:first]
     assert sum(r[0] for r in out.select(F.bitmap_count("bitmap")).collect()) == 3000
+
+
+def test_long_texts_are_told_apart_by_sixteen_bytes(spark):
+    from privlink.operators.analysis import DIGEST_BYTES, told_apart
+
+    values = [None, "", "a", "a", "b" * 15, "b" * 16, "b" * 17, "é" * 7, "é" * 8, "t" * 100, "t" * 100, "t" * 99 + "u"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "n int, v string")
+    got = told_apart(df, "n", "v")
+    assert got.schema["n"].dataType.simpleString() == "int" and got.schema["v"].dataType.simpleString() == "binary"
+    seen = {r["n"]: r["v"] for r in got.collect()}
+    assert all((seen[i] == seen[j]) == (x == y) for i, x in enumerate(values) for j, y in enumerate(values))
+    assert max(len(v) for v in seen.values() if v is not None) == DIGEST_BYTES
+
+
+def test_analyses_move_no_tokens(spark):
+    from privlink.operators.analysis import exposure_report, exposure_stats
+
+    rows = [(f"token-{i % 5}-" + "x" * 90, None if i % 3 else f"token-{i}-" + "y" * 90, i % 2) for i in range(12)] + [(None, None, None), (None, "r", 1)]
+    df = spark.createDataFrame(rows, "SynSocial_UID string, Synthea_UID string, code int")
+    assert all("sha2(" in " ".join(_plan(x)) for x in (exposure_report(df), exposure_stats(df)))
+    assert exposure_stats(df).first() == (5, 5, 2)
+    assert sorted((r["Medical_Codes"], r["User_Count"], r["Message_Count"]) for r in exposure_report(df).collect()) == [(0, 5.0, 6.0), (1, 6.0, 7.0)]
