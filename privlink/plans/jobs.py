@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.analysis import exposure_counts, report_of_counts, stats_of_counts
+from ..operators.analysis import exposure_counts, report_of_counts, stats_of_counts, told_apart
 from ..operators.flatten import (
     conditions_from_resources,
     flatten_conditions,
@@ -216,8 +216,9 @@ def job_analysis(hop: Hop, kind: str) -> dict:
     """4A (``kind="hash"``) / 4B (``kind="encrypt"``): report and stats."""
     folder, suffix = {"hash": (HASHED, "_hashed"), "encrypt": (ENCRYPTED, "_encrypted")}[kind]
     uid, rec = f"SynSocial_UID{suffix}", f"Synthea_UID{suffix}"
-    # one scan of the copy: report and stats both follow from its merged rows
-    counts = exposure_counts(hop.read(folder, protected(suffix)), uid, rec)
+    # one scan of the copy: report and stats both follow from its merged rows, in which
+    # users and records are only told apart, so tokens are neither moved nor written again
+    counts = exposure_counts(told_apart(hop.read(folder, protected(suffix)), uid, rec), uid, rec)
     stage = hop.path(COUNTS_STAGE.format(kind=kind))
     write_parquet(counts, stage)
     counts = hop.spark.read.schema(counts.schema).parquet(stage)
