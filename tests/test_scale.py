@@ -145,3 +145,18 @@ def test_analyses_move_no_tokens(spark):
     assert all("sha2(" in " ".join(_plan(x)) for x in (exposure_report(df), exposure_stats(df)))
     assert exposure_stats(df).first() == (5, 5, 2)
     assert sorted((r["Medical_Codes"], r["User_Count"], r["Message_Count"]) for r in exposure_report(df).collect()) == [(0, 5.0, 6.0), (1, 6.0, 7.0)]
+
+
+def test_message_documents_stay_where_the_join_has_moved_them(unbroadcast, workdir):
+    spark = unbroadcast
+    spark.sql("SELECT 1L AS c_custkey, 'Ann' AS c_name, 'A' AS c_mktsegment UNION ALL SELECT 2L, NULL, 'B' UNION ALL SELECT 1L, 'Ann', 'A'").write.parquet(f"{workdir}/customer.parquet")
+    spark.sql("SELECT id AS o_orderkey, 1 + id % 2 AS o_custkey, 'F' AS o_orderstatus FROM range(10, 16) UNION ALL SELECT 10L, 1L, 'P'").write.parquet(f"{workdir}/orders.parquet")
+    spark.sql("SELECT 10 + id % 6 AS l_orderkey, CAST(id AS int) AS l_linenumber, 1L AS l_partkey, 2L AS l_suppkey, timestamp_ntz'2020-01-01' AS l_shipdate, 'R' AS l_returnflag, 'O' AS l_linestatus FROM range(24)").write.parquet(f"{workdir}/lineitem.parquet")
+    docs = td.message_docs(spark, workdir)
+    plan = _plan(docs)
+    assert any("Aggregate(key=[o_orderkey" in x or "Aggregate(keys=[o_orderkey" in x or "keys=[o_orderkey" in x or "key=[o_orderkey" in x for x in plan)
+    assert not any(x.startswith("Exchange hashpartitioning(o_orderkey") and "path" in x for x in plan)
+    sizes = sorted((str(r["path"]).removeprefix(td.MESSAGE_FOLDER), len(r["messages"])) for r in docs.collect())
+    # a document per order and name, also where keys repeat; those without a name are one
+    name = "/Ann_A_1TwitterData.json"
+    assert sizes == [("10" + name, 16), ("12" + name, 8), ("14" + name, 8), ("None", 12), ("empty-10.json", 0)]
