@@ -23,8 +23,8 @@ there, so each matching pair of day and spell is produced exactly once. An
 analysis of matched rows turns the last join into an inner one.
 
 A stream may keep no distinct pairs without state. There the messages
-themselves are looked up, and those without a match are what is left after
-an anti join per level.
+themselves are looked up, each level moving them once. The spans of days that any spell
+covers are held on the widest level, where a message that meets none is known to have no match.
 
 Rows that can never match (no key, no start or end, end before start) are
 dropped from the condition side only, which cannot change a left outer join.
@@ -34,7 +34,7 @@ skewed message partition (the left side of the outer join) at run time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.dates import as_day, clinical_day, message_day
@@ -45,6 +45,7 @@ LEVEL_DAYS = (30, 1_095, 4_000_000)
 
 _K, _L, _B = "__pl_key", "__pl_level", "__pl_bucket"
 _BITS = "__pl_person"
+_SPELL, _NEW = "__pl_spell", "__pl_span"
 _HIT_K, _HIT_AT = "__pl_hit_key", "__pl_hit_day"
 
 
@@ -61,6 +62,11 @@ def spell_buckets(start, end, levels=LEVEL_DAYS):
     return F.transform(F.sequence(_bucket(start, width), _bucket(end, width)), lambda b: F.struct(level.alias(_L), b.alias(_B)))
 
 
+def _lookups(at: str, levels):
+    """A row per level with the bucket of the day there."""
+    return F.inline(F.array(*[F.struct(F.lit(i).alias(_L), _bucket(F.col(at), w).alias(_B)) for i, w in enumerate(levels)]))
+
+
 def link_by_interval(
     messages: DataFrame,
     conditions: DataFrame,
@@ -107,7 +113,6 @@ def link_by_interval(
         & F.col(end).isNotNull()
         & (F.col(start) <= F.col(end))
     )
-    c = c.select("*", F.inline(spell_buckets(F.col(start), F.col(end), levels)))
 
     def on(*more):
         same = F.col(f"m.{_K}") == F.col(f"c.{_K}")
@@ -117,13 +122,12 @@ def link_by_interval(
         return same & inside
 
     found = F.col(_K).isNotNull() & F.col(at).isNotNull()
-    lookups = F.inline(F.array(*[F.struct(F.lit(i).alias(_L), _bucket(F.col(at), w).alias(_B)) for i, w in enumerate(levels)]))
     if messages.isStreaming:
-        hit = on(F.col(f"m.{_L}") == F.col(f"c.{_L}"), F.col(f"m.{_B}") == F.col(f"c.{_B}"))
-        return _link_stream(messages, m, c, m.filter(found).select("*", lookups), hit, on, at, levels, conditions.columns)
+        return _link_stream(messages, m.filter(found), m.filter(~found), c, on, at, start, end, levels, conditions.columns)
+    c = c.select("*", F.inline(spell_buckets(F.col(start), F.col(end), levels)))
     text = isinstance(m.schema[_K].dataType, StringType) and m.schema[_K].dataType == c.schema[_K].dataType
     bits = F.xxhash64(_K) if text else F.col(_K)
-    days = m.filter(found).select(bits.alias(_BITS), at).distinct().select("*", lookups)
+    days = m.filter(found).select(bits.alias(_BITS), at).distinct().select("*", _lookups(at, levels))
     # persons with equal bits share their days, so each spell meets a day once whoever's it is
     inside = (F.col(f"c.{start}") <= F.col(f"m.{at}")) & (F.col(f"m.{at}") <= F.col(f"c.{end}"))
     hit = (F.col(f"m.{_BITS}") == F.col(f"c.{_BITS}")) & (F.col(f"m.{_L}") == F.col(f"c.{_L}")) & (F.col(f"m.{_B}") == F.col(f"c.{_B}")) & inside
@@ -139,14 +143,31 @@ def link_by_interval(
     )
 
 
-def _link_stream(messages: DataFrame, m: DataFrame, c: DataFrame, looked_up: DataFrame, hit, on, at: str, levels, columns) -> DataFrame:
-    """The link of a stream: stateless joins only."""
-    matched = looked_up.alias("m").join(c.alias("c"), hit, "inner").select(
+def _covered(c: DataFrame, start: str, end: str, width: int) -> DataFrame:
+    """(key, start, end, bucket): the days inside any spell as disjoint spans per person, which
+    are no more than the days however many spells overlap, copied to the buckets of ``width`` they touch."""
+    before = Window.partitionBy(_K).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
+    fresh = F.coalesce(F.col(start) > F.max(end).over(before), F.lit(True))
+    upto = Window.partitionBy(_K).orderBy(start, end).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = c.select(_K, start, end, fresh.alias(_NEW)).select(_K, start, end, F.count_if(_NEW).over(upto).alias(_NEW))
+    spans = spans.groupBy(_K, _NEW).agg(F.min(start).alias(start), F.max(end).alias(end))
+    return spans.select(_K, start, end, F.explode(F.sequence(_bucket(F.col(start), width), _bucket(F.col(end), width))).alias(_B))
+
+
+def _link_stream(messages: DataFrame, found: DataFrame, unfound: DataFrame, spells: DataFrame, on, at: str, start: str, end: str, levels, columns) -> DataFrame:
+    """The link of a stream: one stateless join, in which a message is moved once per level.
+
+    It is read once too: random line numbers would differ where it is read again. The widest level
+    also holds the covered days, so a message that meets nothing there has no match at all."""
+    last = len(levels) - 1
+    looked_up = found.select("*", _lookups(at, levels)).alias("m")
+    copies = spells.select("*", F.inline(spell_buckets(F.col(start), F.col(end), levels)), F.lit(True).alias(_SPELL))
+    covered = _covered(spells, start, end, levels[-1]).select("*", F.lit(last).alias(_L), F.lit(False).alias(_SPELL))
+    held = copies.unionByName(covered, allowMissingColumns=True).alias("c")
+    met = looked_up.join(held, on(F.col(f"m.{_L}") == F.col(f"c.{_L}"), F.col(f"m.{_B}") == F.col(f"c.{_B}")), "left")
+    spell = F.col(f"c.{_SPELL}")
+    met = met.where(spell | (spell.isNull() & (F.col(f"m.{_L}") == last))).select(
         *[F.col(f"m.{x}") for x in messages.columns], *[F.col(f"c.{x}") for x in columns]
     )
-    rest = m
-    for i, w in enumerate(levels):
-        at_level = c.filter(F.col(_L) == i).alias("c")
-        rest = rest.alias("m").join(at_level, on(_bucket(F.col(f"m.{at}"), w) == F.col(f"c.{_B}")), "left_anti")
-    nothing = [F.lit(None).cast(c.schema[x].dataType).alias(x) for x in columns]
-    return matched.union(rest.select(*messages.columns, *nothing))
+    nothing = [F.lit(None).cast(spells.schema[x].dataType).alias(x) for x in columns]
+    return met.union(unfound.select(*messages.columns, *nothing))

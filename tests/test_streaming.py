@@ -110,3 +110,38 @@ def test_broken_lines_are_no_messages(spark, workdir):
     write_messages(os.path.join(workdir, "docs"))
     bad = [os.path.basename(r["path"]) for r in rejected_docs(spark, os.path.join(workdir, "docs")).collect()]
     assert "broken.json" in bad and not any("TwitterData" in x for x in bad)
+
+
+def test_a_stream_links_messages_in_one_join_like_a_batch(spark, workdir):
+    """Overlapping, touching, equal and endless spells; messages before, between and after them, without key or day."""
+    spells = [("p", 1, 5), ("p", 3, 4), ("p", 6, 6), ("p", 20, 2000), ("p", 25, 30), ("p", 25, 30), ("q", 0, 900_000), ("r", 9, 7), (None, 1, 9)]
+    c = spark.createDataFrame([(i, k, a, b) for i, (k, a, b) in enumerate(spells)], "cid int, k string, a int, b int")
+    c = c.select("cid", "k", F.date_from_unix_date("a").alias("assertedDate"), F.date_from_unix_date("b").alias("abatementDate"))
+    m = [(k, d) for k in ("p", "q", "r", "s", None) for d in (-1, 0, 1, 4, 5, 6, 7, 19, 20, 26, 31, 2000, 2001, 5000)] + [("p", None), (None, None)]
+    m = spark.createDataFrame([(i, *x) for i, x in enumerate(m + m[:9])], "mid int, filename string, d int")
+    m = m.select("mid", "filename", F.date_from_unix_date("d").alias("created_at"))
+    src, out = f"{workdir}/src", f"{workdir}/out"
+    m.write.parquet(src)
+    for levels in ((30, 1095, 4_000_000), (7,)):
+        linked = link_by_interval(spark.readStream.schema(m.schema).parquet(src), c, condition_key=F.col("k"), level_days=levels)
+        to = f"{out}-{len(levels)}"
+        q = linked.writeStream.format("parquet").option("path", to).option("checkpointLocation", f"{to}-ckpt").trigger(availableNow=True).start()
+        assert q.awaitTermination(120)
+        batch = link_by_interval(m, c, condition_key=F.col("k"), level_days=levels)
+        rows = lambda df: sorted(map(str, df.select("mid", "filename", "created_at", "cid", "assertedDate", "abatementDate").collect()))
+        assert rows(spark.read.parquet(to)) == rows(batch)
+    # one join in the plan: no anti join moves the messages again
+    assert linked._jdf.queryExecution().analyzed().toString().count("Join ") == 1
+
+
+def test_random_line_numbers_stay_those_of_their_message(spark, workdir):
+    """A message inside spells of two levels is one message, also where its number is random."""
+    src, out = f"{workdir}/src", f"{workdir}/out"
+    m = spark.sql("SELECT 'p' AS filename, DATE'2020-01-02' AS created_at")
+    m.write.parquet(src)
+    c = spark.sql("SELECT 'p' AS k, DATE'2020-01-01' AS assertedDate, explode(array(DATE'2020-01-03', DATE'2021-01-01', DATE'9999-12-31')) AS abatementDate")
+    s = spark.readStream.schema(m.schema).parquet(src).withColumn("n", F.xxhash64(F.uuid()))
+    q = link_by_interval(s, c, condition_key=F.col("k")).writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-ckpt").trigger(availableNow=True).start()
+    assert q.awaitTermination(120)
+    got = spark.read.parquet(out)
+    assert got.count() == 3 and got.select("n").distinct().count() == 1
