@@ -2,10 +2,12 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from linkqueries import testdata as td
 from privlink.operators.flatten import flatten_conditions, flatten_messages
+from privlink.sources import files
 from privlink.sources.files import read_bundles, read_lineage_docs, read_message_docs, rejected_docs, write_docs
 
 SF = "/root/testdata/sf0.001"
@@ -48,3 +50,45 @@ def test_arrays_of_catalogue_entities(spark, workdir):
     back = read_lineage_docs(spark, f"{workdir}/l")
     assert back.count() == td.lineage_docs(spark, SF).count()
     assert len(_files(f"{workdir}/l")) < back.count() / 10
+
+
+def _layout(folder):
+    """Texts by folder, whatever the files are called."""
+    return sorted((os.path.relpath(os.path.dirname(f), folder), open(f, newline="").read()) for f in _files(folder))
+
+
+def test_documents_are_plain_files_laid_out_as_spark_does(spark, workdir):
+    odd = ["Ann +50%", "a/b", "x=y:z", "q\"'#*?", "{[]}^\\", "tab\there", "caf\u00e9/\U0001f600", "\U0001f600", "", None, "Ann +50%"]
+    rows = [(p, None if i == 3 else f"{{\"n\":\n {i}, \"t\": \"\u00fc\"}}") for i, p in enumerate(odd)]
+    docs = spark.createDataFrame(rows, "`per son` string, document string").repartition(3)
+    write_docs(docs, f"{workdir}/m", folder="per son")
+    docs.select("document", "per son").write.option("maxRecordsPerFile", 1).partitionBy("per son").text(f"{workdir}/spark")
+    assert _layout(f"{workdir}/m") == _layout(f"{workdir}/spark")
+    # checksum files mean Hadoop's local file system, which starts processes for each file
+    assert not [f for _, _, names in os.walk(workdir + "/m") for f in names if f.endswith(".crc")]
+    assert {e for e in os.listdir(f"{workdir}/m") if "=" not in e} == {"_SUCCESS"}
+
+
+def test_documents_are_overwritten_only_by_a_whole_write(spark, workdir):
+    write_docs(spark.createDataFrame([("old",), ("older",)], "document string"), f"{workdir}/d")
+    broken = spark.range(50, numPartitions=4).select(F.when(F.col("id") == 49, F.raise_error(F.lit("stop"))).otherwise(F.col("id").cast("string")).alias("document"))
+    with pytest.raises(Exception, match="stop"):
+        write_docs(broken, f"{workdir}/d")
+    assert [t for _, t in _layout(f"{workdir}/d")] == ["old\n", "older\n"]
+    write_docs(spark.createDataFrame([("new",)], "document string"), f"{workdir}/d")
+    assert _layout(f"{workdir}/d") == [(".", "new\n")]
+    assert not [e for e in os.listdir(f"{workdir}/d") if e.startswith("_temporary")]
+    write_docs(spark.createDataFrame([], "document string"), f"{workdir}/d")
+    assert spark.read.text(f"{workdir}/d").count() == 0
+
+
+def test_listing_of_many_folders_takes_few_tasks(spark, workdir):
+    docs = spark.range(600).select(F.col("id").cast("string").alias("person"), F.lit('{"messages": [{"text": "a"}]}').alias("document"))
+    write_docs(docs, f"{workdir}/m", folder="person")
+    spark.sparkContext.setJobGroup("listing", "listing")
+    back = read_message_docs(spark, f"{workdir}/m")
+    spark.sparkContext._jsc.clearJobGroup()
+    seen = spark.sparkContext.statusTracker()
+    stages = [seen.getStageInfo(i) for j in seen.getJobIdsForGroup("listing") for i in seen.getJobInfo(j).stageIds]
+    assert max((st.numTasks for st in stages), default=0) <= files.LISTING_TASKS < 600
+    assert flatten_messages(back, folder="person").select("filename").distinct().count() == 600
