@@ -5,6 +5,7 @@ import pytest
 
 import corpus_pipeline
 from privlink.llm import decontaminate, queries
+from privlink.llm.common import BATCH_ROWS
 
 from .conftest import ODD, REPO, SF
 from .test_bpe import expected
@@ -50,6 +51,14 @@ def test_each_stage_takes_odd_rows_and_an_empty_table(spark, docs_of, k):
     assert set(ids) <= {i for i, _ in rows}
 
 
+@pytest.mark.parametrize("k", range(len(corpus_pipeline.STAGES)))
+def test_a_stage_run_alone_takes_short_batches(spark, docs_of, k):
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(rows, "10000")
+    corpus_pipeline.STAGES[k][1](spark, docs_of([(1, "one text")]), SF).collect()
+    assert spark.conf.get(rows) == str(BATCH_ROWS)
+
+
 def test_near_duplicates_leave_one_of_each_group(spark, docs_of):
     rows = [(5, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (9, "other words are here now"), (None, "a b c d e f")]
     left = corpus_pipeline.near_duplicate_stage(spark, docs_of(rows), SF).collect()
