@@ -28,7 +28,7 @@ from privlink.operators.privacy import decrypt_columns, encrypt_columns, hash_co
 from privlink.plans.jobs import run_jobs_on
 from privlink.schemas import PERSONAL_COLUMNS, REPORT, STATS
 from privlink.session import scratch_path
-from privlink.sources.files import read_bundles, read_csv, read_lineage_docs, read_message_docs, read_message_lines, read_resources, write_csv, write_docs, write_json, write_parquet
+from privlink.sources.files import packed, read_bundles, read_csv, read_lineage_docs, read_message_docs, read_message_lines, read_resources, write_csv, write_docs, write_json, write_parquet
 from privlink.streaming.incremental import link_stream
 
 from . import testdata as td
@@ -548,7 +548,7 @@ def _documents_dangling(spark, sf_dir):
     """The dangling ends in catalogue files that were written and read back."""
     path = scratch_path(spark, "lineage-documents")
     write_docs(td.lineage_documents(spark, sf_dir), path)
-    docs = read_lineage_docs(spark, path)
+    docs = packed(read_lineage_docs(spark, path), scratch_path(spark, "lineage-entities"))
     return dangling_edges(lineage_edges(docs), lineage_datasets(docs))
 
 

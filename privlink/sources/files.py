@@ -50,6 +50,10 @@ TEXT_CODEC = "gzip"
 #: person, and Spark would start up to 10,000 tasks, most of a folder or two.
 LISTING_TASKS = 256
 
+#: What opening a file counts as, in bytes, when a folder of small documents is
+#: packed. Spark's 4 MB would start a task for every 32 files.
+OPEN_COST_BYTES = 256 << 10
+
 _CORRUPT = "_corrupt_record"
 
 
@@ -116,6 +120,16 @@ def read_lineage_docs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LINEAGE_DOC).option("multiLine", "true").option("mode", "PERMISSIVE").json(path)
 
 
+def packed(docs: DataFrame, path: str) -> DataFrame:
+    """``docs``, rows of a folder of many documents, written as a table to ``path`` and
+    read from there. A join of the documents with themselves then opens and parses each
+    file once, not once a side, in tasks of some hundred files."""
+    spark = docs.sparkSession
+    with conf_of(spark, "spark.sql.files.openCostInBytes", str(OPEN_COST_BYTES)):
+        write_parquet(docs, path)
+    return spark.read.schema(docs.schema).parquet(path)
+
+
 def write_docs(df: DataFrame, path: str, folder: str | None = None) -> None:
     """Write each row's ``document`` (a text) as a file of its own, in the layout that
     the document readers take; with ``folder``, under a partition folder named

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkqueries import testdata as td
+from linkqueries.queries import QUERIES
 from privlink.operators.flatten import flatten_conditions, flatten_messages
 from privlink.sources import files
-from privlink.sources.files import read_bundles, read_lineage_docs, read_message_docs, rejected_docs, write_docs
+from privlink.sources.files import packed, read_bundles, read_lineage_docs, read_message_docs, rejected_docs, write_docs
 
 SF = "/root/testdata/sf0.001"
 
@@ -92,3 +93,20 @@ def test_listing_of_many_folders_takes_few_tasks(spark, workdir):
     stages = [seen.getStageInfo(i) for j in seen.getJobIdsForGroup("listing") for i in seen.getJobInfo(j).stageIds]
     assert max((st.numTasks for st in stages), default=0) <= files.LISTING_TASKS < 600
     assert flatten_messages(back, folder="person").select("filename").distinct().count() == 600
+
+
+@pytest.mark.parametrize("name", ["lineage_documents_dangling"])
+def test_both_sides_of_a_join_share_one_pass_over_the_files(spark, name):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Format: Parquet") >= 2
+    assert "Format: JSON" not in plan
+
+
+def test_packed_documents_keep_all_rows_in_few_tasks(spark, workdir):
+    texts = [f'[{{"entity": {{"typeName": "hdfs_folder",\n "attributes": {{"qualifiedName": "q{i % 390}", "inputs": {"[]" if i % 2 else "null"}}}}}}}]' for i in range(400)]
+    write_docs(spark.createDataFrame([(t,) for t in [*texts, '[{"entity": {"ty']], "document string"), f"{workdir}/l")
+    docs = read_lineage_docs(spark, f"{workdir}/l")
+    back = packed(docs, f"{workdir}/p")
+    assert sorted(map(str, back.collect())) == sorted(map(str, docs.collect()))
+    # by Spark's cost of a file, 32 files a task
+    assert len(_files(f"{workdir}/p")) <= 4 < 400 / 32
