@@ -462,8 +462,8 @@ def _bundle_documents(spark, sf_dir):
     """A bundle per file; every ninth file is broken and gives no resource."""
     path = scratch_path(spark, "bundle-documents")
     write_docs(td.bundle_documents(spark, sf_dir), path)
-    b = read_bundles(spark, path)
-    return patient_conditions(flatten_conditions(b, with_id=True), flatten_patients(b))
+    r = packed(resources_of(read_bundles(spark, path)), scratch_path(spark, "bundle-resources"))
+    return patient_conditions(conditions_from_resources(r, with_id=True), patients_from_resources(r))
 
 
 _PERSON_SQL = f"c_name || ' +50%_' || c_mktsegment || '_' || CAST(c_custkey AS VARCHAR) || '{td.MESSAGE_FILE_SUFFIX}'"

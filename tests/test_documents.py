@@ -95,7 +95,7 @@ def test_listing_of_many_folders_takes_few_tasks(spark, workdir):
     assert flatten_messages(back, folder="person").select("filename").distinct().count() == 600
 
 
-@pytest.mark.parametrize("name", ["lineage_documents_dangling"])
+@pytest.mark.parametrize("name", ["bundle_documents", "lineage_documents_dangling"])
 def test_both_sides_of_a_join_share_one_pass_over_the_files(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Format: Parquet") >= 2
