@@ -29,6 +29,7 @@ from ..operators.flatten import (
 from ..operators.link import link_by_interval
 from ..operators.privacy import encrypt_columns, hash_columns, key_record, new_key, spread
 from ..schemas import CONDITIONS, LINKED, MESSAGES, PERSONAL_COLUMNS, protected
+from ..session import joins_by_measured_size
 from ..sources.files import (
     DIALECTS,
     read_bundles,
@@ -75,10 +76,11 @@ class Hop:
 
     def write(self, df: DataFrame, name: str, small: bool = False) -> str:
         p = self.path(name)
-        if self.fmt == "csv":
-            write_csv(df, p, single_file=small, dialect=self.dialect)
-        else:
-            write_parquet(df, p, single_file=small)
+        with joins_by_measured_size(self.spark):
+            if self.fmt == "csv":
+                write_csv(df, p, single_file=small, dialect=self.dialect)
+            else:
+                write_parquet(df, p, single_file=small)
         return p
 
     def read(self, name: str, schema) -> DataFrame:

@@ -67,6 +67,8 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+_BROADCAST = "spark.sql.autoBroadcastJoinThreshold"
+_BROADCAST_MEASURED = "spark.sql.adaptive.autoBroadcastJoinThreshold"
 _RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -87,6 +89,19 @@ def shuffles_released(spark: SparkSession):
     return conf_of(spark, _RELEASE, "true")
 
 
+@contextlib.contextmanager
+def joins_by_measured_size(spark: SparkSession):
+    """Within, a side of a join is broadcast only if AQE has measured it as small, as rows.
+
+    A plan made before anything ran goes by the size of the files. Packed hand-offs are some
+    tens of times smaller than their rows, which the driver would then have to hold. The
+    session's own threshold (-1 too) holds for what was measured."""
+    threshold = spark.conf.get(_BROADCAST)
+    measured = spark.conf.get(_BROADCAST_MEASURED, None) or threshold
+    with conf_of(spark, _BROADCAST_MEASURED, measured), conf_of(spark, _BROADCAST, "-1"):
+        yield
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared folder for a written table."""
     import uuid

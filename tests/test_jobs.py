@@ -147,3 +147,41 @@ def test_clear_staging_table_goes_unless_kept(spark, workdir):
     assert not os.path.exists(os.path.join(workdir, "o1", "_resources")) and "resources" not in gone.paths
     kept = run_jobs(spark, b, m, os.path.join(workdir, "o2"), keep_stage=True)
     assert os.path.isdir(kept.paths["resources"])
+
+
+@pytest.mark.parametrize("hop_format", ["parquet", "csv"])
+def test_hand_offs_are_not_broadcast_by_their_file_size(spark, workdir, hop_format):
+    """Packed rows: a few kilobytes of files, over a megabyte in the driver's memory."""
+    from pyspark.sql import functions as F
+
+    from privlink.plans.jobs import PATIENTS, SOCIAL, Hop, job_link
+
+    person, day = (F.col("id") % 2000).cast("string"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") / 2000).cast("int"))
+    messages = spark.range(20_000).select(
+        F.lit("u").alias("SynSocial_UID"), F.lit("n").alias("name"), F.lit("s").alias("screen_name"),
+        F.date_format(day.cast("timestamp"), "EEE MMM dd HH:mm:ss +0000 yyyy").alias("created_at"), F.lit("t").alias("text"),
+        F.concat(F.lit("G_F_"), person, F.lit("TwitterData.json")).alias("filename"),
+    )
+    conditions = spark.range(4000).select(
+        F.lit("x" * 300).alias("display"), F.lit(1).cast("bigint").alias("code"), F.lit("2020-01-01").alias("assertedDate"), F.lit("2020-01-10").alias("abatementDate"),
+        F.lit("G").alias("Given_Name"), person.alias("Identifier"), person.alias("Synthea_UID"), F.lit("F").alias("Family_Name"),
+    )
+    key, measured = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        hop = Hop(spark, workdir, hop_format)
+        hop.write(messages, SOCIAL)
+        hop.write(conditions, PATIENTS)
+        files = [os.path.join(workdir, PATIENTS, f) for f in os.listdir(os.path.join(workdir, PATIENTS)) if f.startswith("part-")]
+        assert sum(map(os.path.getsize, files)) < 64 << 10
+        out = job_link(hop)["joined"]
+        assert (spark.conf.get(key), spark.conf.get(measured, None)) == ("64k", None)
+    finally:
+        spark.conf.set(key, before)
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [runs.apply(i).physicalPlanDescription() for i in range(runs.size())]
+    plan = [p for p in plans if "__pl_bucket" in p and workdir in p][-1]
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    joined = spark.read.parquet(out) if hop_format == "parquet" else spark.read.options(header=True).csv(out)
+    assert joined.where("Synthea_UID IS NOT NULL").count() == joined.count() == 40_000
