@@ -15,6 +15,12 @@ The IV is never left to ``aes_encrypt``: an IV-less call counts as
 deterministic, so the optimizer may duplicate it and the copies would
 disagree. Callers pass an IV expression derived from a secret run salt and
 the row identity, which is unique per row and stable under task retries.
+
+Most of a call of ``aes_encrypt`` or its inverse is the making of a cipher object. The
+tokens of a row therefore share a call (``fernet_segment``, ``fernet_row``): CBC of all
+values one after the other, a block of zeros before each, whose ciphertext is an IV that
+nobody can tell beforehand. CBC picks up again after two blocks, so tokens of whatever
+origin can be decrypted in one call as well (``fernet_row_plain``).
 """
 
 from __future__ import annotations
@@ -33,6 +39,7 @@ HMAC_IPAD = 0x36
 HMAC_OPAD = 0x5C
 _MAC_LEN = 32
 _HEADER_LEN = 9  # version byte + 8-byte time
+_BLOCK = 16  # bytes of an AES block, and of an IV
 _MAX_CLOCK_SKEW = 60  # seconds a token may be stamped in the future
 
 
@@ -57,11 +64,14 @@ def _bin(b: bytes) -> Column:
     return F.lit(bytearray(b))
 
 
-def secret(*values: bytes) -> list[Column]:
-    """Binary columns whose values no plan text and no event log shows."""
+def secret(*values: bytes, of=()) -> list[Column]:
+    """Binary columns whose values no plan text and no event log shows. With ``of``, of
+    a single value: a column for each of its functions (None: the value itself)."""
     spark = SparkSession.active()
     names = [f"part_{i}" for i in range(len(values))]
     frame = spark.createDataFrame([tuple(bytearray(v) for v in values)], ", ".join(f"{n} binary" for n in names))
+    if of:
+        return [frame.select(fn(F.col(names[0])).alias("made") if fn else names[0]).scalar() for fn in of]
     return [frame.select(n).scalar() for n in names]
 
 
@@ -95,7 +105,7 @@ class FernetKey:
     def __init__(self, key: str | bytes):
         sign_key, enc_key = split_key(key)
         self.sign = HmacKey(sign_key)
-        (self.enc,) = secret(enc_key)
+        self.enc, self.end = secret(enc_key, of=(None, _sealed_end))
 
     @classmethod
     def from_record(cls, record: DataFrame, column: str = "Key-String") -> FernetKey:
@@ -109,22 +119,32 @@ class FernetKey:
         half = lambda at: F.substr(F.col("raw"), F.lit(at), F.lit(16))
         out = cls.__new__(cls)
         out.sign, out.enc = HmacKey.of_row(one, half(1)), one.select(half(17).alias("enc")).scalar()
+        out.end = one.select(_sealed_end(half(17)).alias("end")).scalar()
         return out
 
-
     def as_column(self) -> Column:
         """The key as a struct column, for functions that hold no subquery (lambdas)."""
-        return F.struct(self.sign.ipad.alias("ipad"), self.sign.opad.alias("opad"), self.enc.alias("enc"))
+        return F.struct(self.sign.ipad.alias("ipad"), self.sign.opad.alias("opad"), self.enc.alias("enc"), self.end.alias("end"))
 
     @classmethod
     def in_column(cls, held: Column) -> FernetKey:
         """The key in a struct column made by ``as_column``."""
         out = cls.__new__(cls)
         out.sign = HmacKey.__new__(HmacKey)
-        out.sign.ipad, out.sign.opad, out.enc = held["ipad"], held["opad"], held["enc"]
+        out.sign.ipad, out.sign.opad, out.enc, out.end = held["ipad"], held["opad"], held["enc"], held["end"]
         return out
 
 
+def _sealed_end(enc: Column) -> Column:
+    """The empty text under an encryption key, IV first: an end that any ciphertext may have."""
+    return F.aes_encrypt(_bin(b""), enc, F.lit("CBC"), F.lit("PKCS"), _bin(bytes(_BLOCK)))
+
+
+def _pad_of(n: Column) -> Column:
+    """PKCS#7 padding of ``n`` bytes."""
+    return F.get(F.array(*[_bin(bytes([_BLOCK - k]) * (_BLOCK - k)) for k in range(_BLOCK)]), n % _BLOCK)
+
+
 def _fernet_key(key: str | bytes | FernetKey) -> FernetKey:
     return key if isinstance(key, FernetKey) else FernetKey(key)
 
@@ -172,6 +192,64 @@ def fernet_body(value: Column, key: FernetKey, iv: Column, at: int) -> Column:
     return F.concat(_bin(header), F.aes_encrypt(value.cast("binary"), key.enc, F.lit("CBC"), F.lit("PKCS"), iv))
 
 
+def fernet_segment(value: Column) -> Column:
+    """A value's part of what ``fernet_row`` encrypts: the block its IV is made of, the
+    value and its padding; nothing for NULL."""
+    v = value.cast("binary")
+    return F.coalesce(F.concat(_bin(bytes(_BLOCK)), v, _pad_of(F.octet_length(v))), _bin(b""))
+
+
+def row_salted_iv(salt: Column, row_id: Column, message: Column) -> Column:
+    """16-byte IV = first half of SHA-256(salt | row id | all values of the row)."""
+    material = F.concat(salt, F.coalesce(row_id.cast("binary"), _bin(b"")), _bin(b"\0"), message)
+    return F.substring(F.unhex(F.sha2(material, 256)), 1, _BLOCK)
+
+
+def fernet_row(message: Column, key: FernetKey, iv: Column) -> Column:
+    """The segments of a row (``message``) encrypted in one call, IV first."""
+    return F.aes_encrypt(message, key.enc, F.lit("CBC"), F.lit("PKCS"), iv)
+
+
+def _starts(lengths: list[Column]) -> list[Column]:
+    """Bytes before each part."""
+    out, at = [], F.lit(0)
+    for n in lengths:
+        out.append(at)
+        at = at + n
+    return out
+
+
+def fernet_row_bodies(row: Column, lengths: list[Column], at: int) -> list[Column]:
+    """What each token of an encrypted row signs; NULL where its segment has no bytes."""
+    header = _bin(FERNET_VERSION + at.to_bytes(8, "big"))
+    return [F.when(n > 0, F.concat(header, F.substr(row, start + (_BLOCK + 1), n))) for start, n in zip(_starts(lengths), lengths)]
+
+
+def fernet_sealed(raw: Column) -> Column:
+    """IV and ciphertext of a token; no bytes if they are no whole blocks."""
+    n = F.octet_length(raw) - (_HEADER_LEN + _MAC_LEN)
+    return F.when(n % _BLOCK == 0, F.substr(raw, F.lit(_HEADER_LEN + 1), n)).otherwise(_bin(b""))
+
+
+def fernet_row_plain(sealed: list[Column], key: FernetKey) -> Column:
+    """The plain text of tokens (``fernet_sealed``; no bytes: no token) decrypted in one call, paddings
+    and, where an IV was, unreadable blocks included; see ``fernet_row_texts``."""
+    return F.try_aes_decrypt(F.concat(*sealed, key.end), key.enc, F.lit("CBC"), F.lit("PKCS"))
+
+
+def fernet_row_data(plain: Column, lengths: list[Column]) -> list[Column]:
+    """Each token's padded bytes in ``fernet_row_plain`` of tokens with so many sealed bytes."""
+    return [F.when(n > _BLOCK, F.substr(plain, start + 1, n - _BLOCK)) for start, n in zip(_starts(lengths), lengths)]
+
+
+def unpadded_text(data: Column) -> Column:
+    """The text before a PKCS#7 padding; NULL if it is none."""
+    n = F.octet_length(data)
+    pad = F.ascii(F.substr(data, n, F.lit(1)).cast("string"))
+    good = pad.between(1, _BLOCK) & (F.substr(data, n - pad + 1, pad) == _pad_of(_BLOCK - pad))
+    return F.when(good, F.substr(data, F.lit(1), n - pad)).cast("string")
+
+
 def fernet_sign(body: Column, key: FernetKey) -> Column:
     return base64url(F.concat(body, hmac_sha256(key.sign, body)))
 

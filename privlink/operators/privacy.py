@@ -20,12 +20,19 @@ from ..functions.crypto import (
     fernet_body,
     fernet_raw,
     fernet_raw_ok,
-    fernet_raw_text,
+    fernet_row,
+    fernet_row_bodies,
+    fernet_row_data,
+    fernet_row_plain,
+    fernet_sealed,
+    fernet_segment,
     fernet_sign,
     new_key,
     new_salt,
     row_iv,
+    row_salted_iv,
     secret,
+    unpadded_text,
 )
 from ..functions.hashing import pseudonym
 from ..schemas import KEY_RECORD, PERSONAL_COLUMNS
@@ -56,8 +63,9 @@ def hash_columns(
     return df.select(*keep, *[pseudonym(c, algo, k).alias(f"{c}{suffix}") for c in cols])
 
 
-_ROW, _BODY = "__pl_row", "__pl_body_{}"
-_KEY, _RAW, _OK, _TEXT = "__pl_key", "__pl_raw", "__pl_ok", "__pl_text"
+_ROW, _BODY, _TOKENS = "__pl_row", "__pl_body", "__pl_tokens"
+_SEG, _MESSAGE, _SEALED = "__pl_seg_{}", "__pl_message", "__pl_sealed"
+_KEY, _RAW, _OK, _PLAIN, _DATA = "__pl_key", "__pl_raw", "__pl_ok", "__pl_plain", "__pl_data"
 
 
 def spread(df: DataFrame, joined: bool = False) -> DataFrame:
@@ -103,17 +111,18 @@ def encrypt_columns(
     """Replace each column by a Fernet token under ``key`` (its text, or a key
     record that was read back); NULL stays NULL.
 
-    Every value gets its own IV derived from a secret per-run salt, the
-    column name, the row identity and the value, so equal values in
-    different rows get unrelated tokens, as with random IVs. ``row_id_cols``
+    Every value gets its own IV derived from a secret per-run salt, the row identity
+    and the values of the row, so equal values in different rows get unrelated
+    tokens, as with random IVs. A row is encrypted in one call, in which
+    each token's IV is the ciphertext of a block of its own. ``row_id_cols``
     must identify a row (e.g. message id plus condition id); a retried task
     then reproduces the same tokens wherever its rows come from. Without
     them a row is known by its place in the input (stable for a table that is
     read from storage; random in a stream), so that identical rows get
     different tokens as well.
 
-    ``deterministic=True`` leaves the row out of the IV: within one run (one
-    salt and time) equal values get equal tokens, so counts of distinct
+    ``deterministic=True`` derives the IV from salt, column name and value alone, a call a value:
+    within one run (one salt and time) equal values get equal tokens, so counts of distinct
     users and records on the encrypted copy equal those on the clear table.
     Equality of values is then visible in the copy; their content is not.
     """
@@ -121,10 +130,19 @@ def encrypt_columns(
     k = _key(key)
     (s,) = secret(new_salt() if salt is None else salt)
     t = int(time.time()) if at is None else int(at)
-    rows = df.withColumn(_ROW, F.lit("") if deterministic else _row_id(df, row_id_cols))
-    body = [_BODY.format(i) for i in range(len(cols))]
-    rows = rows.select(*keep, *[fernet_body(F.col(c), k, row_iv(s, c, F.col(_ROW), F.col(c)), t).alias(b) for c, b in zip(cols, body)])
-    return rows.select(*keep, *[fernet_sign(F.col(b), k).alias(f"{c}{suffix}") for c, b in zip(cols, body)])
+    if deterministic:
+        rows = df.select("*", F.array(*[fernet_body(F.col(c), k, row_iv(s, c, F.lit(""), F.col(c)), t) for c in cols]).alias(_BODY))
+    else:
+        seg = [_SEG.format(i) for i in range(len(cols))]
+        rows = df.withColumn(_ROW, _row_id(df, row_id_cols)).select(*keep, _ROW, *[fernet_segment(F.col(c)).alias(x) for c, x in zip(cols, seg)])
+        rows = rows.withColumn(_MESSAGE, F.concat(*seg))
+        rows = rows.withColumn(_SEALED, fernet_row(F.col(_MESSAGE), k, row_salted_iv(s, F.col(_ROW), F.col(_MESSAGE))))
+        rows = rows.select(*keep, F.array(*fernet_row_bodies(F.col(_SEALED), [F.octet_length(x) for x in seg], t)).alias(_BODY))
+    # one higher-order function each for signing and unpadding: code for each column would be a method too long for the JVM's compiler
+    rows = rows.select(*keep, _BODY, k.as_column().alias(_KEY))
+    held = FernetKey.in_column(F.col(_KEY))
+    rows = rows.select(*keep, F.transform(_BODY, lambda b: fernet_sign(b, held)).alias(_TOKENS))
+    return rows.select(*keep, *[F.get(_TOKENS, i).alias(f"{c}{suffix}") for i, c in enumerate(cols)])
 
 
 def decrypt_columns(
@@ -139,17 +157,21 @@ def decrypt_columns(
     key's text or a key record that was read back.
     Tokens whose MAC fails (or older than ``ttl`` seconds) decrypt to NULL;
     ``check_column`` (if given) holds True when every non-NULL token of the
-    row verified. Each token is decoded and checked once; all tokens of a row
-    go through one higher-order function, so the code of a decryption is there once."""
+    row verified. Each token is decoded and checked once; all good tokens of a row
+    are decrypted in one call."""
     tokens = [f"{c}{suffix}" for c in cols]
     keep = _check(df, tokens)
     k = _key(key)
     rows = df.select(*keep, *tokens, k.as_column().alias(_KEY), F.transform(F.array(*tokens), fernet_raw).alias(_RAW))
     held = FernetKey.in_column(F.col(_KEY))
     rows = rows.withColumn(_OK, F.transform(_RAW, lambda r: fernet_raw_ok(r, held, ttl)))
-    texts = F.zip_with(_RAW, _OK, lambda r, ok: F.when(ok, fernet_raw_text(r, held)))
-    rows = rows.select(*keep, *tokens, _OK, texts.alias(_TEXT))
-    out = [F.get(_TEXT, i).alias(c) for i, c in enumerate(cols)]
+    n = range(len(cols))
+    rows = rows.select(*keep, *tokens, _KEY, _OK, F.zip_with(_RAW, _OK, lambda r, ok: F.when(ok, fernet_sealed(r)).otherwise(F.lit(bytearray(b"")))).alias(_SEALED))
+    rows = rows.withColumn(_PLAIN, fernet_row_plain([F.get(_SEALED, i) for i in n], held))
+    data = fernet_row_data(F.col(_PLAIN), [F.octet_length(F.get(_SEALED, i)) for i in n])
+    rows = rows.select(*keep, *tokens, _OK, F.array(*data).alias(_DATA))
+    rows = rows.withColumn(_DATA, F.transform(_DATA, unpadded_text))
+    out = [F.get(_DATA, i).alias(c) for i, c in enumerate(cols)]
     if check_column:
         every = F.lit(True)
         for i, t in enumerate(tokens):

@@ -145,3 +145,51 @@ def test_the_key_of_a_record_stands_in_no_plan(spark, workdir):
     text = enc._jdf.queryExecution().toString()
     raw = base64.urlsafe_b64decode(key)
     assert key not in text and raw[:16].hex().upper() not in text.upper() and raw[16:].hex().upper() not in text.upper()
+
+
+def test_a_row_takes_one_cipher_call_each_way(spark):
+    """Making the cipher costs most, so the tokens of a row share it; each is a Fernet token of its own."""
+    import re
+
+    cols = ["a", "b", "c"]
+    values = [None, "", "x", "y" * 15, "z" * 16, "Zoë — 漢字", "w" * 33]
+    rows = [(i, values[i % 7], values[i // 7 % 7], values[i // 49 % 7]) for i in range(343)] + [(343, "same", "same", "same")]
+    df = spark.createDataFrame(rows, "i int, a string, b string, c string")
+    key = new_key()
+    enc = encrypt_columns(df, key, cols, ["i"])
+    dec = decrypt_columns(enc, key, cols, check_column="ok")
+    plans = [x._jdf.queryExecution().optimizedPlan().toString() for x in (enc, spark.createDataFrame([], enc.schema).transform(decrypt_columns, key, cols))]
+    # calls on rows, not on constants; none of them for each element of an array
+    assert [re.findall(r"aesEncrypt\((?!0x)\w+", plans[0]), re.findall(r"aesDecrypt\(\w+", plans[1])] == [["aesEncrypt(__pl_message"], ["aesDecrypt(concat"]]
+    assert sorted(map(tuple, dec.collect()), key=lambda r: r[0]) == [(*r, True) for r in rows]
+    # read by the function that knows one token only
+    one = enc.select("i", *[fernet_decrypt(F.col(f"{c}_encrypted"), key).alias(c) for c in cols])
+    assert sorted(map(tuple, one.collect()), key=lambda r: r[0]) == rows
+    tokens = [base64.urlsafe_b64decode(t) for r in enc.collect() for t in r[1:] if t is not None]
+    assert len({t[9:25] for t in tokens}) == len(tokens)
+
+
+def test_tokens_of_any_origin_are_decrypted_together(spark):
+    """A bad token of a row leaves the others alone: tampered, badly padded, no whole blocks, absent."""
+    from privlink.functions.crypto import FernetKey, fernet_sign
+
+    key, iv = new_key(), F.lit(bytearray(range(16)))
+    k = FernetKey(key)
+    sealed = lambda text: F.aes_encrypt(F.lit(text).cast("binary"), k.enc, F.lit("CBC"), F.lit("PKCS"), iv)
+    head = F.lit(bytearray(b"\x80" + bytes(8)))
+    sign = lambda body: fernet_sign(F.concat(head, body), k)
+    unpadded = F.substr(sealed("q" * 32), F.lit(1), F.lit(48))  # its last block is text
+    df = spark.range(1).select(
+        sign(sealed("first")).alias("a_encrypted"),
+        sign(unpadded).alias("b_encrypted"),
+        sign(sealed("third" * 10)).alias("c_encrypted"),
+        sign(F.concat(sealed("odd"), F.lit(bytearray(b"xyz")))).alias("d_encrypted"),
+        F.lit(VECTOR_TOKEN).alias("e_encrypted"),  # of another key
+        F.lit(None).cast("string").alias("f_encrypted"),
+        sign(sealed("")).alias("g_encrypted"),
+        sign(F.substr(sealed("r" * 32), F.lit(1), F.lit(48))).alias("h_encrypted"),
+    )
+    row = decrypt_columns(df, key, list("abcdefgh"), check_column="ok").first()
+    assert [row[c] for c in "abcdefgh"] == ["first", None, "third" * 10, None, None, None, "", None] and row["ok"] is False
+    only_bad = decrypt_columns(df.select("b_encrypted", "f_encrypted"), key, ["b", "f"], check_column="ok").first()
+    assert tuple(only_bad) == (None, None, True)  # signed by the key, as before
