@@ -32,6 +32,7 @@ from ..schemas import CONDITIONS, LINKED, MESSAGES, PERSONAL_COLUMNS, protected
 from ..session import joins_by_measured_size
 from ..sources.files import (
     DIALECTS,
+    drop_path,
     read_bundles,
     read_resources,
     read_csv,
@@ -90,10 +91,8 @@ class Hop:
         return self.spark.read.schema(schema).parquet(p)
 
     def drop(self, name: str) -> None:
-        """Delete a hand-off folder, through Spark's own file systems."""
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        """Delete a hand-off folder."""
+        drop_path(self.spark, self.path(name))
 
 
 def run_jobs(
