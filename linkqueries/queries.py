@@ -28,7 +28,7 @@ from privlink.operators.privacy import decrypt_columns, encrypt_columns, hash_co
 from privlink.plans.jobs import run_jobs_on
 from privlink.plans.parts import link_in_parts
 from privlink.schemas import PERSONAL_COLUMNS, REPORT, STATS
-from privlink.session import scratch_path
+from privlink.session import joins_by_measured_size, scratch_path, shuffles_released
 from privlink.sources.files import packed, read_bundles, read_csv, read_lineage_docs, read_message_docs, read_message_lines, read_resources, write_csv, write_docs, write_json, write_parquet
 from privlink.streaming.incremental import link_stream
 
@@ -635,19 +635,26 @@ def _jobs_stats_encrypt_csv(spark, sf_dir):
 # -- the link as a Structured Streaming job ------------------------------------------
 
 
+#: Packed bytes of messages in a micro-batch, whose shuffles go when it is written.
+STREAM_BATCH_BYTES = 1 << 30
+
+
 @register("stream_link_report_murmur3", _report_sql(_GROUP_USERS))
 def _stream_link_report(spark, sf_dir):
     """Messages (derived from the tables, written by Spark) arrive as a
     parquet stream; the stream-static link writes hashed rows; the report
     runs over what the stream wrote."""
-    src = scratch_path(spark, "stream-src")
-    msgs = td.messages(spark, sf_dir)
-    msgs.write.parquet(src)
+    src, known = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-conditions")
+    msgs, conditions = td.messages(spark, sf_dir), td.conditions(spark, sf_dir)
+    with joins_by_measured_size(spark):
+        write_parquet(msgs, src)
+        write_parquet(conditions, known)
     out = scratch_path(spark, "stream-out")
-    stream = spark.readStream.schema(msgs.schema).parquet(src)
-    q = link_stream(stream, td.conditions(spark, sf_dir), out, protect="hash",
-                    checkpoint=scratch_path(spark, "stream-ckpt"))
-    q.awaitTermination()
+    stream = spark.readStream.schema(msgs.schema).option("maxBytesPerTrigger", STREAM_BATCH_BYTES).parquet(src)
+    with shuffles_released(spark):
+        q = link_stream(stream, spark.read.schema(conditions.schema).parquet(known), out, protect="hash",
+                        checkpoint=scratch_path(spark, "stream-ckpt"))
+        q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return exposure_report(spark.read.parquet(out), uid="SynSocial_UID_hashed")

@@ -115,7 +115,7 @@ def link_by_interval(
     )
 
     def on(*more):
-        same = F.col(f"m.{_K}") == F.col(f"c.{_K}")
+        same = F.col(f"m.{message_key}") == F.col(f"c.{_K}")
         inside = (F.col(f"c.{start}") <= F.col(f"m.{at}")) & (F.col(f"m.{at}") <= F.col(f"c.{end}"))
         for x in more:
             same = same & x
@@ -123,7 +123,7 @@ def link_by_interval(
 
     found = F.col(_K).isNotNull() & F.col(at).isNotNull()
     if messages.isStreaming:
-        return _link_stream(messages, m.filter(found), m.filter(~found), c, on, at, start, end, levels, conditions.columns)
+        return _link_stream(messages, m.filter(found).drop(_K), m.filter(~found), c, on, at, start, end, levels, conditions.columns)
     c = c.select("*", F.inline(spell_buckets(F.col(start), F.col(end), levels)))
     text = isinstance(m.schema[_K].dataType, StringType) and m.schema[_K].dataType == c.schema[_K].dataType
     bits = F.xxhash64(_K) if text else F.col(_K)

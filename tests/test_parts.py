@@ -45,3 +45,18 @@ def test_a_copy_is_made_when_the_shuffles_of_the_link_are_gone(spark, name):
     df = QUERIES[name](spark, SF)
     assert not [x for x in _plan(df) if x.startswith("Exchange")] and not _shuffle_files(spark) - before
     assert df.count() > 0
+
+
+def test_a_stream_holds_the_shuffles_of_one_batch(spark, monkeypatch):
+    from linkqueries import queries
+    from privlink.session import conf_of, shared_dir
+
+    monkeypatch.setattr(queries, "STREAM_BATCH_BYTES", 20_000)
+    top = shared_dir(spark).removeprefix("file:")
+    old, before = set(os.listdir(top)), _shuffle_files(spark)
+    with conf_of(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        df = QUERIES["stream_link_report_murmur3"](spark, SF)
+    assert not _shuffle_files(spark) - before
+    (ckpt,) = [x for x in set(os.listdir(top)) - old if x.startswith("stream-ckpt")]
+    assert len([x for x in os.listdir(f"{top}/{ckpt}/commits") if x.isdigit()]) > 1
+    assert _rows(df) == _rows(QUERIES["exposure_report_murmur3"](spark, SF))
